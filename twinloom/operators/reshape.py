@@ -92,10 +92,10 @@ def reshape_linked(df: DataFrame, rules: LinkedRules) -> DataFrame:
         cast = {**dict.fromkeys(rules.integers, to_integer), **dict.fromkeys(rules.booleans, to_boolean)}
         text = F.col(name).cast("string")
         if name not in cast:
-            return F.to_variant_object(F.struct(text.alias("v")))
+            return F.when(text.isNotNull(), F.to_variant_object(F.struct(text.alias("v"))))
         typed = cast[name](F.col(name))
-        return F.when(typed.isNotNull(), F.to_variant_object(F.struct(typed.alias("v")))).otherwise(
-            F.to_variant_object(F.struct(text.alias("v")))
+        return F.when(typed.isNotNull(), F.to_variant_object(F.struct(typed.alias("v")))).when(
+            text.isNotNull(), F.to_variant_object(F.struct(text.alias("v")))
         )
 
     fields = [F.try_variant_get(scalar(c), "$.v", "variant").alias(c) for c in df.columns]

@@ -34,7 +34,8 @@ def parse_requests(
     A field of the request wins over the default, the properties as a whole; adds the columns of
     a normal request and ``error``. A request in error finds nothing.
     """
-    request = F.from_json(F.col(content), model.SEARCH_REQUEST)
+    fields = model.SEARCH_REQUEST.removesuffix(">") + ",_bad:string>"
+    request = F.from_json(F.col(content), fields, {"columnNameOfCorruptRecord": "_bad"})
     parsed = docs.withColumn("_r", request).withColumn(
         "_d", F.from_json(F.lit(json.dumps(defaults)), model.SEARCH_REQUEST)
     )
@@ -47,7 +48,7 @@ def parse_requests(
         setting("text").alias("text"), setting("location").alias("location"),
         setting("properties").alias("specs"), setting("scope").alias("scope"),
         setting("responseType").alias("response_type"), setting("expiryTimeout").alias("expiry"),
-        F.col("_r").isNotNull().alias("_parsed"),
+        (F.col("_r").isNotNull() & F.col("_r._bad").isNull()).alias("_parsed"),
     )
     spec_reasons = F.filter(F.transform("specs", spec_error), lambda e: e.isNotNull())
     reasons = F.concat_ws(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom import model, vocab
 from twinloom.functions.properties import flat
-from twinloom.sources.documents import text_bytes, twin_struct
+from twinloom.sources.documents import text_bytes
 
 HOST_PREFIX = vocab.DID_PREFIX + "host"
 TWIN_PREFIX = vocab.DID_PREFIX + "twin"
@@ -46,10 +46,9 @@ def _ports(ids: list[tuple[str, bool]], values: Column) -> Column:
     ])
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with the name and region of their nation; the nation table is a few rows."""
-    nation = table(spark, sf_dir, "nation")
-    joined = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+def with_nation(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Customers with their nation and the ids of their twin; the nation table is a few rows."""
+    joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.select(
         "c_custkey", "c_name", "c_acctbal", "c_mktsegment", "n_name",
         F.concat(F.lit(HOST_PREFIX), F.col("n_regionkey")).alias("host_id"),
@@ -57,8 +56,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def twins(spark: SparkSession, sf_dir: str, with_content: bool = False) -> DataFrame:
-    """One twin per customer. ``with_content`` fills the values of its feeds."""
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_nation(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a table as a stream of files."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet")
+
+
+def twin_rows(named: DataFrame, values: Column) -> DataFrame:
+    """One twin per customer, with its key; ``values`` are those of each feed."""
     key = F.col("c_custkey")
     allowed = (
         F.when(key % 10 == 0, F.lit(f"{vocab.DID_PREFIX}1, {vocab.DID_PREFIX}2"))
@@ -79,18 +88,11 @@ def twins(spark: SparkSession, sf_dir: str, with_content: bool = False) -> DataF
         ),
         flat(F.lit(vocab.HOST_ALLOW_LIST), allowed, "Uri"),
     )
-    content = money(F.col("c_acctbal")) if with_content else None
-    no_values = F.array().cast(f"array<{model.VALUE}>")
-    values = (
-        F.when(key % 7 == 0, no_values)
-        .when(key % 11 == 0, F.array(_value("value", content), _value("value", content)))
-        .otherwise(F.array(_value("value", content)))
-    )
-    inputs = F.when(key % 3 == 0, _ports([("control", False)], no_values)).otherwise(
+    inputs = F.when(key % 3 == 0, _ports([("control", False)], no_values())).otherwise(
         F.array().cast(f"array<{model.PORT}>")
     )
-    return customers(spark, sf_dir).select(
-        "host_id", "twin_id",
+    return named.select(
+        "c_custkey", "host_id", "twin_id",
         (key * 37 % 179 - 89).cast("double").alias("lat"),
         (key * 91 % 359 - 179).cast("double").alias("lon"),
         properties.alias("properties"),
@@ -99,17 +101,193 @@ def twins(spark: SparkSession, sf_dir: str, with_content: bool = False) -> DataF
     )
 
 
-def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+def no_values() -> Column:
+    return F.array().cast(f"array<{model.VALUE}>")
+
+
+def declared_values() -> Column:
+    """Values that are declared but hold nothing: none, one, or one label twice."""
+    key, value = F.col("c_custkey"), _value("value")
+    return F.when(key % 7 == 0, no_values()).when(key % 11 == 0, F.array(value, value)).otherwise(
+        F.array(value)
+    )
+
+
+def shared_values() -> Column:
+    """Values to publish: missing, none, repeated, without content, or good."""
+    key, value = F.col("c_custkey"), _value("value", money(F.col("c_acctbal")))
+    return (
+        F.when(key % 17 == 0, F.lit(None).cast(f"array<{model.VALUE}>"))
+        .when(key % 7 == 0, no_values())
+        .when(key % 11 == 0, F.array(value, value))
+        .when(key % 13 == 0, F.array(_value("value")))
+        .otherwise(F.array(value, _value("unit", F.lit("USD"))))
+    )
+
+
+def twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twin table: one twin per customer."""
+    return twin_rows(customers(spark, sf_dir), declared_values()).drop("c_custkey")
+
+
+def keyed_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twin table with the customer's key."""
+    return twin_rows(customers(spark, sf_dir), declared_values())
+
+
+def shared_twins(named: DataFrame) -> DataFrame:
+    """``c_custkey, twin``: twins as they are published, some without id or feeds."""
+    rows = twin_rows(named, shared_values())
+    key = F.col("c_custkey")
+    twin = F.struct(
+        F.col("host_id").alias("hostId"), F.when(key % 19 != 0, F.col("twin_id")).alias("id"),
+        "properties", F.when(key % 23 != 0, F.col("feeds")).alias("feeds"), "inputs",
+    )
+    return rows.select("c_custkey", twin.alias("twin"))
+
+
+def document_key() -> Column:
+    """Five customers in a row share a document."""
+    return F.floor(F.col("c_custkey") / 5).cast("bigint")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, content``: arrays of five twins, some single twins, and some broken texts."""
+    keyed = shared_twins(customers(spark, sf_dir)).withColumn("doc_id", document_key())
+    grouped = keyed.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("c_custkey", "twin"))).alias("members")
+    )
+    listed = F.transform("members", lambda m: m["twin"])
+    text = F.when(F.col("doc_id") % 7 == 3, F.to_json(F.element_at(listed, 1))).otherwise(F.to_json(listed))
+    broken = F.col("doc_id") % 50 == 49
+    return grouped.select(
+        "doc_id", F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("content")
+    )
+
+
+def twin_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``c_custkey, content``: one twin per document, some faulty in one way each."""
+    key = F.col("c_custkey")
+    rows = twin_rows(customers(spark, sf_dir), declared_values())
+
+    def field(name: str, text: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), text)
+
+    properties = F.to_json(F.when(key % 29 == 0, F.slice("properties", 2, 5)).otherwise(F.col("properties")))
+    feeds = (
+        F.when(key % 13 == 0, F.lit('{"id":"view"}'))
+        .when(key % 17 == 0, F.lit('[{"storeLast":true}]'))
+        .when(key % 31 == 0, F.lit("[1]"))
+        .otherwise(F.to_json("feeds"))
+    )
+    text = F.concat(F.lit("{"), F.concat_ws(
+        ",", field("hostId", F.concat(F.lit('"'), "host_id", F.lit('"'))),
+        field("id", F.concat(F.lit('"'), "twin_id", F.lit('"'))),
+        F.when(key % 6 != 0, field("properties", properties)), field("feeds", feeds),
+        F.when(key % 3 == 0, field("inputs", F.to_json("inputs"))), field("extra", F.lit("1")),
+    ), F.lit("}"))
+    broken = key % 50 == 49
+    return rows.select(
+        "c_custkey", F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("content")
+    )
+
+
+LINKED_CONTEXT = {
+    "rdfs": "http://www.w3.org/2000/01/rdf-schema#",
+    "ID": vocab.IDENTIFIER,
+    "label": "rdfs:label",
+    "active": vocab.SCHEMA_ORG + "active",
+    "Units": vocab.SCHEMA_ORG + "units",
+    "Score": vocab.SCHEMA_ORG + "score",
+    "Parts": vocab.SCHEMA_ORG + "parts",
+    "allow": vocab.HOST_ALLOW_LIST,
+}
+
+
+def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, content``: a flat JSON-LD document per customer, some faulty in one way each."""
+    key = F.col("c_custkey")
+    allowed = F.when(key % 6 == 0, F.lit(f" {vocab.DID_PREFIX}1, {vocab.DID_PREFIX}2 ")).when(
+        key % 6 == 3, F.lit("nonsense")
+    )
+    text = F.to_json(F.struct(
+        F.create_map(*[F.lit(x) for pair in LINKED_CONTEXT.items() for x in pair]).alias("@context"),
+        F.concat(F.lit(vocab.SCHEMA_ORG), "c_mktsegment").alias("@type"),
+        F.when(key % 50 != 48, key.cast("string")).alias("ID"),
+        F.col("c_name").alias("label"), (key % 2 == 0).alias("active"), key.alias("Units"),
+        (key + F.lit(0.5)).alias("Score"), F.col("n_name").alias("Comment"),
+        allowed.alias("allow"),
+        F.when(key % 50 == 47, F.struct(F.lit(1).alias("a"))).alias("Parts"),
+    ))
+    broken = key % 50 == 49
+    return customers(spark, sf_dir).select(
+        key.alias("doc_id"), F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("content")
+    )
+
+
+def shares_of_events(events: DataFrame, hosts: DataFrame) -> DataFrame:
     """One share per event, with the host of the twin it belongs to."""
-    hosts = customers(spark, sf_dir).select("c_custkey", "host_id", "twin_id")
-    events = table(spark, sf_dir, "events")
-    return events.join(hosts, F.col("user_id") == F.col("c_custkey")).select(
+    keyed = hosts.select("c_custkey", "host_id", "twin_id")
+    return events.join(keyed, F.col("user_id") == F.col("c_custkey")).select(
         "event_id", "host_id", "twin_id", F.col("event_type").alias("feed_id"),
         F.lit("application/json").alias("mime_type"), F.col("ts").alias("occurred_at"),
         text_bytes(F.concat(F.lit('{"value":"'), money(F.col("value")), F.lit('"}'))).alias("payload"),
     )
 
 
+def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shares_of_events(table(spark, sf_dir, "events"), customers(spark, sf_dir))
+
+
+def result_chunks(spark: SparkSession, sf_dir: str, size: int = 100) -> DataFrame:
+    """Texts cut into chunks; every 20th text lacks the mark of its last chunk."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{size}}}"), 0).alias("pieces")
+    )
+    total = F.size("pieces")
+    cut = docs.select("doc_id", total.alias("total"), F.posexplode("pieces").alias("at", "chunk"))
+    return cut.select(
+        "doc_id", F.col("at").cast("bigint").alias("seq"),
+        ((F.col("at") == F.col("total") - 1) & (F.col("doc_id") % 20 != 0)).alias("last"), "chunk",
+    )
+
+
+def request_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``request_id, content``: a search request per customer, in parts missing or wrong."""
+    key = F.col("c_custkey")
+
+    def field(name: str, cases: dict[int, str | Column], modulo: int) -> Column:
+        text = F.lit(None).cast("string")
+        for rest, content in cases.items():
+            content = F.lit(content) if isinstance(content, str) else content
+            text = F.when(key % modulo == rest, content).otherwise(text)
+        return F.concat(F.lit(f'"{name}":'), text)
+
+    def quoted(text: Column) -> Column:
+        return F.concat(F.lit('"'), text, F.lit('"'))
+
+    location = F.concat(
+        F.lit('{"lat":'), (key % 200 - 100).cast("string"), F.lit(',"lon":"'),
+        (key % 400 - 200).cast("string"), F.lit('","r":'), (key % 7 - 1).cast("string"), F.lit(".5}"),
+    )
+    spec = F.concat(F.lit('[{"key":"k","stringLiteral":"'), "c_name", F.lit('"}]'))
+    text = F.concat(F.lit("{"), F.concat_ws(
+        ",",
+        field("expiryTimeout", {0: '"2"', 1: "7", 2: "-1"}, 4),
+        field("text", {0: quoted(F.col("c_name")), 1: '" "'}, 5),
+        field("location", {0: location}, 3),
+        field("scope", {0: '"LOCAL"', 1: '"WORLD"'}, 6),
+        field("responseType", {0: '"MINIMAL"', 1: '"LOCATED"', 2: '"SOME"'}, 8),
+        field("properties", {0: spec, 1: '[{"key":"k","literal":"1"}]',
+                             2: '[{"key":"k","langLiteral":"1"},{}]', 3: "[]",
+                             4: '[{"key":"k"}]'}, 9),
+    ), F.lit("}"))
+    broken = key % 50 == 49
+    return customers(spark, sf_dir).select(
+        key.alias("request_id"), F.when(broken, F.lit('{"text": "x')).otherwise(text).alias("content")
+    )
+
+
 def _wanted(key: str, **value: str) -> dict[str, str]:
     return {"key": key, **value}
 

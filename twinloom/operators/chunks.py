@@ -19,7 +19,7 @@ def reassemble(chunks: DataFrame, key: str = "query_id", per_segment: int = CHUN
     segment = F.floor(F.col("seq") / per_segment).cast("bigint")
     parts = chunks.groupBy(key, segment.alias("segment")).agg(
         F.count("*").alias("n_chunks"),
-        F.array_sort(F.collect_list(F.struct("seq", "chunk"))).alias("ordered"),
+        F.sort_array(F.collect_list(F.struct("seq", "chunk"))).alias("ordered"),
     )
     texts = parts.select(
         key, "segment", "n_chunks",

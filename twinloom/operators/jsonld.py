@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from twinloom import vocab
 from twinloom.functions import checks, uris
 from twinloom.functions.identity import twin_identity
+from twinloom.functions.lets import let
 from twinloom.functions.properties import flat
 
 QUAD = "struct<s:string,p:string,o:string,kind:string,datatype:string,lang:string>"
@@ -23,20 +24,25 @@ _CONTEXT_KEYWORDS = ("@vocab", "@language", "@version")
 
 def canonical_double(number: Column) -> Column:
     """XSD form of a double: one digit before the point, exponent behind ``E``."""
-    text = F.format_string("%s", F.abs(number).cast("string"))
-    mantissa = F.regexp_extract(text, r"^([0-9.]+)", 1)
-    exponent = F.coalesce(F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    whole = F.regexp_extract(mantissa, r"^([0-9]+)", 1)
-    digits = F.regexp_replace(mantissa, r"\.", "")
-    zeros = F.length(F.regexp_extract(digits, r"^(0*)", 1))
-    significant = F.regexp_replace(F.substring(digits, zeros + 1, F.length(digits)), r"0+$", "")
-    rest = F.substring(significant, F.lit(2), F.length(significant))
-    shift = exponent + F.length(whole) - 1 - zeros
-    form = F.concat(
-        F.when(number < 0, F.lit("-")).otherwise(F.lit("")), F.substring(significant, 1, 1),
-        F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest), F.lit("E"), shift.cast("string"),
-    )
-    return F.when(number == 0, F.lit("0.0E0")).otherwise(form)
+    zero = F.lit("0")
+
+    def form(parts: Column, digits: Column, leading: Column, significant: Column) -> Column:
+        rest = F.substring(significant, F.lit(2), F.length(significant))
+        exponent = F.coalesce(F.get(parts, F.lit(1)).try_cast("int"), F.lit(0))
+        shift = exponent + F.instr(F.get(parts, F.lit(0)), ".") - 2
+        shift = shift - (F.length(digits) - F.length(leading))
+        return F.concat(
+            F.when(number < 0, F.lit("-")).otherwise(F.lit("")), F.substring(significant, 1, 1),
+            F.lit("."), F.when(rest == "", zero).otherwise(rest), F.lit("E"), shift.cast("string"),
+        )
+
+    parts = F.split(F.abs(number).cast("string"), "E")
+    made = let(parts, lambda ps: let(
+        F.replace(F.get(ps, zero.cast("int")), F.lit("."), F.lit("")), lambda digits: let(
+            F.ltrim(digits, zero), lambda leading: let(
+                F.rtrim(leading, zero), lambda significant: form(ps, digits, leading, significant)
+            ))))
+    return F.when(number == 0, F.lit("0.0E0")).otherwise(made)
 
 
 def _kind(value: Column) -> Column:
@@ -50,14 +56,22 @@ def _text(value: Column) -> Column:
 
 def _expand_once(name: Column, context: Column) -> Column:
     """A term to what the context says, or ``prefix:rest`` to the prefix's text and the rest."""
-    prefix = F.regexp_extract(name, r"^([^:]*):(?!//)", 1)
-    rest = F.regexp_replace(name, r"^[^:]*:", "")
+    colon = F.instr(name, ":")
+    prefix = F.substring_index(name, ":", 1)
+    rest = F.substring(name, colon + 1, F.length(name))
+    compact = (colon > 0) & ~rest.startswith("//") & F.map_contains_key(context, prefix)
     return F.when(F.map_contains_key(context, name), F.try_element_at(context, name)).when(
-        (prefix != "") & F.map_contains_key(context, prefix),
-        F.concat(F.try_element_at(context, prefix), rest),
+        compact, F.concat(F.try_element_at(context, prefix), rest)
     ).otherwise(name)
 
 
+def _resolved(context: Column) -> Column:
+    """The context with its own terms and prefixes expanded."""
+    for _ in range(_ALIAS_STEPS - 1):
+        context = let(context, lambda c: F.transform_values(c, lambda _, iri: _expand_once(iri, c)))
+    return context
+
+
 def _absolute(name: Column, context: Column) -> Column:
     """An expanded name as a keyword or absolute IRI; null if it is neither."""
     return F.when(name.startswith("@") | name.startswith("_:") | uris.is_absolute(name), name).otherwise(
@@ -67,128 +81,144 @@ def _absolute(name: Column, context: Column) -> Column:
 
 def _expand_all(names: Column, context: Column) -> Column:
     """Absolute IRIs of a list of names; null for a name that has none."""
-    for _ in range(_ALIAS_STEPS):
-        names = F.transform(names, lambda n: _expand_once(n, context))
-    return F.transform(names, lambda n: _absolute(n, context))
+    return F.transform(names, lambda n: let(_expand_once(n, context), lambda e: _absolute(e, context)))
 
 
 def _literal_quad(subject: Column, entry: Column, language: Column) -> Column:
     value, kind = entry["value"], entry["kind"]
-    text = _text(value)
     number = F.try_variant_get(value, "$", "double")
     # A decimal without digits behind the point is 5.0, or an integer too long for a bigint.
-    long_integer = (kind == "DECIMAL") & (F.abs(number) >= 9.3e18) & ~F.schema_of_variant(value).rlike(r",[1-9]")
-    integer = (kind == "BIGINT") | long_integer
-    double = ((kind == "DECIMAL") & ~long_integer) | (kind == "DOUBLE")
+    long_integer = (F.abs(number) >= 9.3e18) & ~F.schema_of_variant(value).rlike(r",[1-9]")
     tagged = (kind == "STRING") & language.isNotNull()
     datatype = (
-        F.when(integer, F.lit(vocab.XSD + "integer"))
-        .when(double, F.lit(vocab.XSD + "double"))
+        F.when(tagged, F.lit(vocab.RDF_LANG_STRING))
+        .when(kind == "STRING", F.lit(vocab.XSD + "string"))
+        .when(kind == "BIGINT", F.lit(vocab.XSD + "integer"))
         .when(kind == "BOOLEAN", F.lit(vocab.XSD + "boolean"))
-        .when(tagged, F.lit(vocab.RDF_LANG_STRING))
-        .otherwise(F.lit(vocab.XSD + "string"))
+        .when((kind == "DECIMAL") & long_integer, F.lit(vocab.XSD + "integer"))
+        .otherwise(F.lit(vocab.XSD + "double"))
     )
-    return F.struct(
+    return let(datatype, lambda known: F.struct(
         subject.alias("s"), entry["iri"].alias("p"),
-        F.when(double, canonical_double(number)).otherwise(text).alias("o"),
-        F.lit("literal").alias("kind"), datatype.alias("datatype"),
+        F.when(known == vocab.XSD + "double", let(number, canonical_double))
+        .otherwise(_text(value)).alias("o"),
+        F.lit("literal").alias("kind"), known.alias("datatype"),
         F.when(tagged, language).alias("lang"),
-    )
+    ))
 
 
-def to_quads(docs: DataFrame, content: str = "content") -> DataFrame:
-    """Adds ``quads``, in the order of predicate and term and each once, and ``error``."""
-    root = F.col("_root")
-    opened = docs.withColumn("_root", F.try_parse_json(F.col(content))).withColumn(
-        "_fields", F.try_variant_get(root, "$", "map<string,variant>")
-    )
-    given = F.try_element_at("_fields", F.lit("@context"))
-    empty = F.from_json(F.lit("{}"), "map<string,variant>")
-    opened = opened.withColumn("_given", F.when(given.isNull(), empty).otherwise(
-        F.try_variant_get(given, "$", "map<string,variant>")
-    ))
-    context = F.col("_context")
-    opened = opened.withColumn(
-        "_context", F.transform_values("_given", lambda _, v: F.when(_kind(v) == "STRING", _text(v)))
-    )
-    entries = F.filter(
-        F.transform(
-            F.array_sort(F.map_keys("_fields")),
-            lambda k: F.struct(k.alias("key"), F.try_element_at("_fields", k).alias("value")),
-        ),
-        lambda e: (e["key"] != "@context"),
-    )
-    opened = opened.withColumn("_entries", F.transform(
-        entries, lambda e: F.struct(e["key"], e["value"], _kind(e["value"]).alias("kind"))
-    ))
-    opened = opened.withColumn("_iris", _expand_all(F.transform("_entries", lambda e: e["key"]), context))
-    opened = opened.withColumn("_entries", F.filter(
-        F.transform("_entries", lambda e, i: F.struct(
-            e["key"], e["value"], e["kind"], F.get(F.col("_iris"), i).alias("iri")
-        )),
-        lambda e: e["iri"].isNotNull() & (e["kind"] != "VOID"),
+def _texts(entry: Column) -> Column:
+    """The texts of a type or an id: one, or a list of them."""
+    listed = F.try_variant_get(entry["value"], "$", "array<string>")
+    return F.when(entry["kind"] == "ARRAY", listed).otherwise(F.array(_text(entry["value"])))
+
+
+def _entries(fields: Column, context: Column) -> Column:
+    """The entries of a document that mean something, in the order of their terms."""
+    def entry(key: Column, iri: Column) -> Column:
+        return let(F.try_element_at(fields, key), lambda value: F.struct(
+            key.alias("key"), value.alias("value"), _kind(value).alias("kind"), iri.alias("iri")
+        ))
+
+    keys = F.filter(F.sort_array(F.map_keys(fields)), lambda k: k != "@context")
+    made = let(keys, lambda ks: let(
+        _expand_all(ks, context), lambda iris: F.transform(ks, lambda k, i: entry(k, F.get(iris, i)))
     ))
+    return F.filter(made, lambda e: e["iri"].isNotNull() & (e["kind"] != "VOID"))
 
-    def named(iri: str) -> Column:
-        return F.filter("_entries", lambda e: e["iri"] == iri)
 
-    def texts(entry: Column) -> Column:
-        return F.when(
-            entry["kind"] == "ARRAY", F.try_variant_get(entry["value"], "$", "array<string>")
-        ).otherwise(F.array(_text(entry["value"])))
+def _named(entries: Column, keyword: str, context: Column) -> Column:
+    """The expanded texts of ``@type`` or ``@id``."""
+    texts = F.flatten(F.transform(F.filter(entries, lambda e: e["iri"] == keyword), _texts))
+    return _expand_all(texts, context)
 
-    opened = (
-        opened.withColumn("_types", _expand_all(F.flatten(F.transform(named("@type"), texts)), context))
-        .withColumn("_ids", _expand_all(F.flatten(F.transform(named("@id"), texts)), context))
-        .withColumn("_literals", F.filter("_entries", lambda e: ~e["iri"].startswith("@")))
-    )
-    subject = F.coalesce(F.get("_ids", F.lit(0)), F.lit(BLANK))
-    language = F.try_element_at(context, F.lit("@language"))
+
+def _ordered_quads(entries: Column, types: Column, subject: Column, context: Column) -> Column:
+    none = F.lit(None).cast("string")
     typed = F.transform(
-        F.filter("_types", lambda t: t.isNotNull()),
+        F.filter(types, lambda t: t.isNotNull()),
         lambda t: F.struct(F.lit("@type").alias("by"), F.lit("").alias("key"), F.struct(
             subject.alias("s"), F.lit(vocab.RDF_TYPE).alias("p"), t.alias("o"),
             F.when(t.startswith("_:"), F.lit("blank")).otherwise(F.lit("iri")).alias("kind"),
-            F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"),
+            none.alias("datatype"), none.alias("lang"),
         ).alias("q")),
     )
-    literal = F.transform(
-        "_literals",
+    language = F.try_element_at(context, F.lit("@language"))
+    literals = F.transform(
+        F.filter(entries, lambda e: ~e["iri"].startswith("@")),
         lambda e: F.struct(
             e["iri"].alias("by"), e["key"].alias("key"), _literal_quad(subject, e, language).alias("q")
         ),
     )
-    ordered = F.array_sort(F.concat(typed, literal))
-    quads = F.array_distinct(F.transform(ordered, lambda x: x["q"]))
+    ordered = F.sort_array(F.concat(typed, literals))
+    return F.array_distinct(F.transform(ordered, lambda x: x["q"]))
 
-    nested = F.exists("_literals", lambda e: e["kind"].isin("OBJECT", "ARRAY"))
-    keyword = F.exists("_entries", lambda e: e["iri"].startswith("@") & ~e["iri"].isin("@type", "@id"))
-    bad_context = F.col("_given").isNull() | F.exists(
-        F.map_entries("_given"),
+
+def _error(root: Column, fields: Column, given: Column, entries: Column) -> Column:
+    nested = F.exists(
+        entries, lambda e: ~e["iri"].startswith("@") & e["kind"].isin("OBJECT", "ARRAY")
+    )
+    keyword = F.exists(entries, lambda e: e["iri"].startswith("@") & ~e["iri"].isin("@type", "@id"))
+    bad_context = given.isNull() | F.exists(
+        F.map_entries(given),
         lambda e: ~_kind(e["value"]).isin("STRING", "VOID")
         | (e["key"].startswith("@") & ~e["key"].isin(*_CONTEXT_KEYWORDS)),
     )
-    relative_id = (F.size("_ids") > 0) & F.get("_ids", F.lit(0)).isNull()
-    error = F.when(root.isNull(), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED)).when(
-        F.col("_fields").isNull() | bad_context | nested | keyword,
+    return F.when(root.isNull(), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED)).when(
+        fields.isNull() | bad_context | nested | keyword,
         F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED),
     )
-    finished = opened.withColumn("error", error)
-    return finished.select(
-        *docs.columns,
-        F.when(F.col("error").isNull(), F.when(
-            F.coalesce(relative_id, F.lit(False)), F.array().cast(f"array<{QUAD}>")
-        ).otherwise(quads)).alias("quads"),
-        "error",
-    )
+
+
+def _of_document(content: Column) -> Column:
+    """``struct(quads, error)`` of a document's text."""
+    def of_root(root: Column) -> Column:
+        return let(F.try_variant_get(root, "$", "map<string,variant>"), lambda f: of_fields(root, f))
+
+    def of_fields(root: Column, fields: Column) -> Column:
+        empty = F.from_json(F.lit("{}"), "map<string,variant>")
+        context = let(F.try_element_at(fields, F.lit("@context")), lambda c: F.when(
+            c.isNull(), empty
+        ).otherwise(F.try_variant_get(c, "$", "map<string,variant>")))
+        return let(context, lambda given: of_context(root, fields, given))
+
+    def of_context(root: Column, fields: Column, given: Column) -> Column:
+        texts = F.transform_values(given, lambda _, v: F.when(_kind(v) == "STRING", _text(v)))
+        return let(_resolved(texts), lambda context: let(
+            _entries(fields, context), lambda entries: finish(root, fields, given, context, entries)
+        ))
+
+    def finish(root: Column, fields: Column, given: Column, context: Column, entries: Column) -> Column:
+        def with_subject(ids: Column) -> Column:
+            relative = (F.size(ids) > 0) & F.get(ids, F.lit(0)).isNull()
+            subject = F.coalesce(F.get(ids, F.lit(0)), F.lit(BLANK))
+            quads = _ordered_quads(entries, _named(entries, "@type", context), subject, context)
+            return F.when(relative, F.array().cast(f"array<{QUAD}>")).otherwise(quads)
+
+        quads = let(_named(entries, "@id", context), with_subject)
+        return let(_error(root, fields, given, entries), lambda error: F.struct(
+            F.when(error.isNull(), quads).alias("quads"), error.alias("error")
+        ))
+
+    return let(F.try_parse_json(content), of_root)
+
+
+def to_quads(docs: DataFrame, content: str = "content") -> DataFrame:
+    """Adds ``quads``, in the order of predicate and term and each once, and ``error``."""
+    made = docs.withColumn("_q", _of_document(F.col(content)))
+    return made.select(*docs.columns, "_q.quads", "_q.error")
 
 
 def explode_quads(with_quads: DataFrame) -> DataFrame:
-    """One row per quad, in order."""
+    """One row per quad, in order.
+
+    The outer explode adds no filter of its own, which would have to build the quads once more.
+    """
     others = [c for c in with_quads.columns if c not in ("quads", "error")]
-    return with_quads.select(
-        *others, F.lit(DEFAULT_GRAPH).alias("graph"), F.posexplode("quads").alias("pos", "q")
-    ).select(*others, "graph", "pos", "q.*")
+    rows = with_quads.select(
+        *others, F.lit(DEFAULT_GRAPH).alias("graph"), F.posexplode_outer("quads").alias("pos", "q")
+    )
+    return rows.where(F.col("pos").isNotNull()).select(*others, "graph", "pos", "q.*")
 
 
 def default_graph(quads: DataFrame) -> DataFrame:

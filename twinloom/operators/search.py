@@ -186,7 +186,7 @@ def request_anchors(requests: DataFrame) -> DataFrame:
         )),
     )
     better = F.concat(*[F.coalesce(by, no_option) for by in (by_property, by_circle, by_text)])
-    leveled = leveled.withColumn("options", F.array_sort(better)).drop("_box", "_cells", "_pieces")
+    leveled = leveled.withColumn("options", F.sort_array(better)).drop("_box", "_cells", "_pieces")
     return leveled.withColumn(
         "options", F.when(F.size("options") > 0, F.col("options")).otherwise(F.array(by_scope))
     )

@@ -612,7 +612,7 @@ def q_jsonld_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_quads_to_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = jsonld.build_twins(_quads(spark, sf_dir), SEED, data.LOCAL_HOST, vocab.ALLOW_ALL)
-    rows = built.select("doc_id", F.posexplode("properties").alias("pos", "p"))
+    rows = built.select("doc_id", F.posexplode_outer("properties").alias("pos", "p")).where("pos is not null")
     return rows.select(
         "doc_id", _big("pos").alias("pos"), F.col("p.key").alias("key"), F.col("p.value").alias("value"),
         F.col("p.type").alias("type"), F.col("p.dataType").alias("data_type"),

@@ -155,7 +155,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, content``: arrays of five twins, some single twins, and some broken texts."""
     keyed = shared_twins(customers(spark, sf_dir)).withColumn("doc_id", document_key())
     grouped = keyed.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("c_custkey", "twin"))).alias("members")
+        F.sort_array(F.collect_list(F.struct("c_custkey", "twin"))).alias("members")
     )
     listed = F.transform("members", lambda m: m["twin"])
     text = F.when(F.col("doc_id") % 7 == 3, F.to_json(F.element_at(listed, 1))).otherwise(F.to_json(listed))

@@ -20,16 +20,20 @@ def payload_error(values: Column) -> Column:
     )
 
 
-def payload(values: Column) -> Column:
-    """JSON object of label and content; null for a list with an error.
+def checked_payload(values: Column) -> Column:
+    """JSON object of label and content of values that have no error.
 
-    A map is only built from a list that was checked: a repeated label would stop the job.
+    A repeated label would stop the job, so others must be null here.
     """
-    checked = F.when(payload_error(values).isNull(), values)
-    pairs = F.transform(checked, lambda v: F.struct(v["label"], v["value"]))
+    pairs = F.transform(values, lambda v: F.struct(v["label"], v["value"]))
     return F.to_json(F.map_from_entries(pairs))
 
 
+def payload(values: Column) -> Column:
+    """JSON object of label and content; null for a list with an error."""
+    return checked_payload(F.when(payload_error(values).isNull(), values))
+
+
 def set_values(values: Column, content: Column) -> Column:
     """Put the content given per label into the first value of that label; other keys are ignored."""
     labels = F.transform(values, lambda v: v["label"])
@@ -53,43 +57,47 @@ def fan_out(parsed: DataFrame) -> DataFrame:
     A twin without a feeds list keeps one row with a null feed, so that it is not lost.
     """
     twins = explode_twins(parsed)
-    no_list = F.array(F.lit(None).cast(_feed_type(parsed)))
-    feeds = F.coalesce(F.col("twin.feeds"), no_list)
+    feeds = F.coalesce(F.col("twin.feeds"), _missing_feeds(parsed))
     return twins.select(*twins.columns, F.posexplode(feeds).alias("feed_pos", "feed"))
 
 
-def _feed_type(parsed: DataFrame):
-    return parsed.schema["twins"].dataType.elementType["feeds"].dataType.elementType
+def _missing_feeds(parsed: DataFrame) -> Column:
+    """A list of one null feed, in place of a list that is missing."""
+    feed = parsed.schema["twins"].dataType.elementType["feeds"].dataType.elementType
+    return F.array(F.lit(None).cast(feed))
 
 
 def publish(parsed: DataFrame) -> DataFrame:
     """One row per feed: route, error, share and output document.
 
-    A success shows the whole input twin. Feeds without values are skipped, not failed.
+    A success shows the whole input twin, which is written once per twin and not per feed. Feeds
+    without values are skipped, not failed.
     """
-    values = F.col("feed.values")
-    no_values = F.coalesce(F.size(values) == 0, F.lit(False))
-    error = (
-        F.when(F.col("feed").isNull(), F.lit(vocab.FEEDS_MISSING))
-        .when(payload_error(values).isNotNull(), payload_error(values))
-        .when(~no_values & F.col("twin.id").isNull(), F.lit(vocab.TWIN_ID_MISSING))
-        .when(~no_values & F.col("feed.id").isNull(), F.lit(vocab.FEED_ID_MISSING))
+    twins = explode_twins(parsed).select(
+        "doc_id", "twin_pos", F.col("twin.hostId").alias("host_id"), F.col("twin.id").alias("twin_id"),
+        F.coalesce(F.col("twin.feeds"), _missing_feeds(parsed)).alias("feeds"),
+        to_document(F.col("twin")).alias("twin_document"),
     )
-    events = fan_out(parsed).withColumn("error", error)
-    route = (
-        F.when(F.col("error").isNotNull(), F.lit("failure"))
-        .when(no_values, F.lit("skipped"))
-        .otherwise(F.lit("success"))
+    events = twins.select(*twins.columns, F.posexplode("feeds").alias("feed_pos", "feed")).drop("feeds")
+    values = F.col("feed.values")
+    has_values = F.size(values) > 0
+    error = F.coalesce(
+        F.when(F.col("feed").isNull(), F.lit(vocab.FEEDS_MISSING)),
+        payload_error(values),
+        F.when(has_values & F.col("twin_id").isNull(), F.lit(vocab.TWIN_ID_MISSING)),
+        F.when(has_values & F.col("feed.id").isNull(), F.lit(vocab.FEED_ID_MISSING)),
     )
-    routed = events.withColumn("route", route)
-    shared = F.col("route") == "success"
-    return routed.select(
-        "doc_id", "twin_pos", "feed_pos", "route", "error",
-        F.col("twin.hostId").alias("host_id"), F.col("twin.id").alias("twin_id"),
-        F.col("feed.id").alias("feed_id"),
-        F.when(shared, payload(values)).alias("payload"),
-        F.when(shared, to_document(F.col("twin")))
-        .when(F.col("route") == "failure", error_document(F.col("error"), F.col("twin")))
+    events = events.withColumn("error", error)
+    shared = F.col("error").isNull() & has_values
+    failed = F.col("error").isNotNull()
+    error_field = F.substring(error_document(F.col("error")), F.lit(2), F.length(error_document(F.col("error"))))
+    return events.select(
+        "doc_id", "twin_pos", "feed_pos",
+        F.when(failed, F.lit("failure")).when(shared, F.lit("success")).otherwise(F.lit("skipped")).alias("route"),
+        "error", "host_id", "twin_id", F.col("feed.id").alias("feed_id"),
+        checked_payload(F.when(shared, values)).alias("payload"),
+        F.when(shared, F.col("twin_document"))
+        .when(failed, F.concat(F.lit('{"twin":'), "twin_document", F.lit(","), error_field))
         .alias("document"),
     )
 

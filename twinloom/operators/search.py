@@ -21,6 +21,7 @@ from twinloom.functions.properties import spec_error, spec_property
 from twinloom.session import materialize
 
 PIECE = 3  # characters of a text anchor
+MAX_LISTED = 2_000  # anchors that may be written into a plan
 
 
 # --- Requests ---------------------------------------------------------------
@@ -245,17 +246,32 @@ def twin_anchors(needs: Needs) -> Column:
     return F.array_distinct(F.concat(*[F.coalesce(kind, none) for kind in kinds]))
 
 
-def anchored(twins: DataFrame, needs: Needs) -> DataFrame:
-    """Twins once per anchor."""
-    return twins.withColumn("anchor", F.explode(twin_anchors(needs)))
+def anchored(twins: DataFrame, needs: Needs, wanted: list[str] | None = None) -> DataFrame:
+    """Twins once per anchor; only those in ``wanted`` if it is given.
+
+    A short list keeps a twin without a wanted anchor from being repeated at all.
+    """
+    anchors = twin_anchors(needs)
+    if wanted is not None:
+        anchors = F.filter(anchors, lambda a: a.isin(*wanted))
+    return twins.withColumn("anchor", F.explode(anchors))
+
+
+def listed(anchors: DataFrame, small: bool) -> list[str] | None:
+    """The distinct anchors, if they are few enough to be written into a plan."""
+    if not small:
+        return None
+    rows = anchors.select("anchor").distinct().limit(MAX_LISTED + 1).collect()
+    return [row["anchor"] for row in rows] if len(rows) <= MAX_LISTED else None
 
 
 def anchor_counts(twins: DataFrame, optioned: DataFrame, needs: Needs) -> DataFrame:
     """How many twins have each anchor that is an option of some request."""
     options = optioned.where(F.size("options") > 1).select(F.explode("options.anchors").alias("a"))
     asked = options.select(F.explode("a").alias("anchor")).distinct()
-    slim = anchored(twins.select("host_id", "lat", "lon", "properties"), needs).select("anchor")
-    return slim.join(sizing.broadcast_if(asked, needs.small), "anchor").groupBy("anchor").count()
+    slim = twins.select("host_id", "lat", "lon", "properties")
+    found = anchored(slim, needs, listed(asked, needs.small)).select("anchor")
+    return found.join(sizing.broadcast_if(asked, needs.small), "anchor").groupBy("anchor").count()
 
 
 def choose_anchors(requests: DataFrame, counts: DataFrame | None, small: bool = False) -> DataFrame:
@@ -310,7 +326,9 @@ def search(
         counts = anchor_counts(twins, optioned, needs)
     anchors = choose_anchors(optioned, counts, needs.small)
     if needs.small:
-        candidates = anchored(twins, needs).join(F.broadcast(anchors), "anchor")
+        anchors = materialize(anchors, "anchors")
+        wanted = listed(anchors, needs.small)
+        candidates = anchored(twins, needs, wanted).join(F.broadcast(anchors), "anchor")
     else:
         index = anchored(twins, needs).select("anchor", "host_id", "twin_id")
         pairs = sizing.spread_join(

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Keeping the call site of every column makes large expressions slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_dirs: dict[str, str] = {}

@@ -23,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, where the files are too few to give each core a task.
+
+    Real tables have many more files than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def money(amount: Column) -> Column:
     return amount.cast("decimal(12,2)").cast("string")
 
@@ -57,7 +66,7 @@ def with_nation(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_nation(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    return with_nation(spread(table(spark, sf_dir, "customer")), table(spark, sf_dir, "nation"))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -241,7 +250,7 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def result_chunks(spark: SparkSession, sf_dir: str, size: int = 100) -> DataFrame:
     """Texts cut into chunks; every 20th text lacks the mark of its last chunk."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{size}}}"), 0).alias("pieces")
     )
     total = F.size("pieces")

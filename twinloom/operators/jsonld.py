@@ -137,7 +137,7 @@ def _ordered_quads(entries: Column, types: Column, subject: Column, context: Col
     none = F.lit(None).cast("string")
     typed = F.transform(
         F.filter(types, lambda t: t.isNotNull()),
-        lambda t: F.struct(F.lit("@type").alias("by"), F.lit("").alias("key"), F.struct(
+        lambda t, i: F.struct(F.lit("@type").alias("by"), F.lit("").alias("key"), i.alias("at"), F.struct(
             subject.alias("s"), F.lit(vocab.RDF_TYPE).alias("p"), t.alias("o"),
             F.when(t.startswith("_:"), F.lit("blank")).otherwise(F.lit("iri")).alias("kind"),
             none.alias("datatype"), none.alias("lang"),
@@ -147,7 +147,8 @@ def _ordered_quads(entries: Column, types: Column, subject: Column, context: Col
     literals = F.transform(
         F.filter(entries, lambda e: ~e["iri"].startswith("@")),
         lambda e: F.struct(
-            e["iri"].alias("by"), e["key"].alias("key"), _literal_quad(subject, e, language).alias("q")
+            e["iri"].alias("by"), e["key"].alias("key"), F.lit(0).alias("at"),
+            _literal_quad(subject, e, language).alias("q"),
         ),
     )
     ordered = F.sort_array(F.concat(typed, literals))

@@ -27,6 +27,8 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g",
+        # Small results of a shuffle still keep all cores busy.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     })
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1_000_000).selectExpr("sum(id)").collect()

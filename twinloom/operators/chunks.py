@@ -14,9 +14,10 @@ def reassemble(chunks: DataFrame, key: str = "query_id", per_segment: int = CHUN
 
     A result of at most ``per_segment`` chunks is one row. A longer one is kept whole as several
     rows, numbered by ``segment``, so that no task ever holds more than one segment of it.
-    Adds ``route`` and ``error``: a result whose last chunk never came is a failure.
+    Adds ``route`` and ``error``: a result whose last chunk never came is a failure. Which results
+    are complete is read apart, from the keys of last chunks alone.
     """
-    segment = F.floor(F.col("seq") / per_segment).cast("bigint")
+    segment = F.expr(f"seq div {int(per_segment)}")
     parts = chunks.groupBy(key, segment.alias("segment")).agg(
         F.count("*").alias("n_chunks"),
         F.sort_array(F.collect_list(F.struct("seq", "chunk"))).alias("ordered"),
@@ -25,9 +26,9 @@ def reassemble(chunks: DataFrame, key: str = "query_id", per_segment: int = CHUN
         key, "segment", "n_chunks",
         F.array_join(F.transform("ordered", lambda c: c["chunk"]), "").alias("text"),
     )
-    ends = chunks.groupBy(key).agg(F.max("last").alias("complete"))
-    joined = texts.join(ends, key)
-    failed = ~F.coalesce(F.col("complete"), F.lit(False))
+    ends = chunks.where("last").select(key).distinct().withColumn("complete", F.lit(True))
+    joined = texts.join(ends, key, "left")
+    failed = F.col("complete").isNull()
     return joined.select(
         key, "segment", "n_chunks", "text",
         F.when(failed, F.lit("failure")).otherwise(F.lit("success")).alias("route"),

@@ -698,7 +698,10 @@ def q_follow_snapshot_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_follow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     interests = _interests(spark, sf_dir, FOLLOWED)
-    live = data.shares_of_events(data.stream_table(spark, sf_dir, "events"), data.customers(spark, sf_dir))
+    live = data.shares_of_events(
+        data.stream_table(spark, sf_dir, "events"),
+        data.with_nation(data.table(spark, sf_dir, "customer"), data.table(spark, sf_dir, "nation")),
+    )
     out, checkpoint = scratch_path(spark, "followed"), scratch_path(spark, "progress")
     follow_streams.start_follow(live, interests, out, checkpoint).awaitTermination()
     return _share_columns(spark.read.parquet(out))

@@ -245,7 +245,8 @@ def shares_of_events(events: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shares_of_events(table(spark, sf_dir, "events"), customers(spark, sf_dir))
+    hosts = with_nation(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    return shares_of_events(table(spark, sf_dir, "events"), hosts)
 
 
 def result_chunks(spark: SparkSession, sf_dir: str, size: int = 100) -> DataFrame:

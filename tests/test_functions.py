@@ -53,7 +53,7 @@ def test_datetime_types_agree_with_the_jdk(spark):
 
 
 URI_TEXTS = [
-    "http://smartrics.example", "smartrics.example", "", "a b", "1a:b", ":x", "#a", "http://x#a#b", "http://x/[a]", "http://x?[a]",
+    "http://example.org", "example.org", "", "a b", "1a:b", ":x", "#a", "http://x#a#b", "http://x/[a]", "http://x?[a]",
     "%zz", "%20", "mailto:a", "a:b c", "http://h^", "http://[::1]/x", "http://a_b/", "//x", "é:a", "http://é/", "x:#a", "http:",
     "urn:x", "file:///", "http:///x", "a:?b", "a:/", "?a:b", "/a:b", "a/b:c", "a?b:c", "x:[a]", "[a]", "did:x:1, did:x:2",
     "http://x/#", "http://x.org/types#decimal", "string", "http://\u2003x",

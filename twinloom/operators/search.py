@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from twinloom import model, sizing, vocab
 from twinloom.functions import checks, geo, uris
-from twinloom.functions.properties import spec_error, spec_property
+from twinloom.functions.lets import let
+from twinloom.functions.properties import or_empty, spec_error, spec_property
 from twinloom.session import materialize
 
 PIECE = 3  # characters of a text anchor
@@ -35,41 +36,47 @@ def parse_requests(
     A field of the request wins over the default, the properties as a whole; adds the columns of
     a normal request and ``error``. A request in error finds nothing.
     """
-    fields = model.SEARCH_REQUEST.removesuffix(">") + ",_bad:string>"
-    request = F.from_json(F.col(content), fields, {"columnNameOfCorruptRecord": "_bad"})
-    parsed = docs.withColumn("_r", request).withColumn(
-        "_d", F.from_json(F.lit(json.dumps(defaults)), model.SEARCH_REQUEST)
-    )
+    given = F.from_json(F.lit(json.dumps(defaults)), model.SEARCH_REQUEST)
+    made = docs.withColumn("_r", _request_of(F.col(content), given, local_host))
+    return made.select(*docs.columns, "_r.*")
 
-    def setting(name: str) -> Column:
-        return F.coalesce(F.col("_r")[name], F.col("_d")[name])
 
-    named = parsed.select(
-        *docs.columns,
-        setting("text").alias("text"), setting("location").alias("location"),
-        setting("properties").alias("specs"), setting("scope").alias("scope"),
-        setting("responseType").alias("response_type"), setting("expiryTimeout").alias("expiry"),
-        (F.col("_r").isNotNull() & F.col("_r._bad").isNull()).alias("_parsed"),
-    )
-    spec_reasons = F.filter(F.transform("specs", spec_error), lambda e: e.isNotNull())
-    reasons = F.concat_ws(
-        ", ",
-        F.when(~F.col("_parsed"), F.lit("malformed request")),
-        checks.setting_error(F.col("scope"), F.col("response_type"), F.col("expiry"), F.lit(None)),
-        checks.location_error(F.col("location")),
-        F.when(F.size(spec_reasons) > 0, F.array_join(spec_reasons, ", ")),
-    )
-    wanted = F.array_distinct(F.filter(F.transform("specs", spec_property), lambda p: p.isNotNull()))
-    return named.select(
-        *docs.columns, "text",
-        F.col("location.lat").try_cast("double").alias("lat0"),
-        F.col("location.lon").try_cast("double").alias("lon0"),
-        checks.whole_number(F.col("location.r")).alias("radius_km"),
-        F.coalesce(wanted, F.array().cast(f"array<{model.PROPERTY}>")).alias("wanted"),
-        "scope", F.lit(local_host).alias("local_host"), "response_type",
-        checks.whole_number(F.col("expiry")).alias("expiry_seconds"),
-        F.when(reasons != "", reasons).alias("error"),
-    )
+def _request_of(content: Column, defaults: Column, local_host: str) -> Column:
+    """All columns of a checked request in a struct."""
+    fields = model.SEARCH_REQUEST.removesuffix(">") + ",_bad:string>"
+    request = F.from_json(content, fields, {"columnNameOfCorruptRecord": "_bad"})
+    names = ("text", "location", "properties", "scope", "responseType", "expiryTimeout")
+
+    def with_settings(r: Column) -> Column:
+        readable = F.coalesce(r.isNotNull() & r["_bad"].isNull(), F.lit(False))
+        settings = F.struct(*[F.coalesce(r[n], defaults[n]).alias(n) for n in names])
+        return let(settings, lambda s: F.struct(*normal(s), error(s, readable).alias("error")))
+
+    def normal(s: Column) -> list[Column]:
+        wanted = F.filter(F.transform(s["properties"], spec_property), lambda p: p.isNotNull())
+        return [
+            s["text"].alias("text"),
+            s["location"]["lat"].try_cast("double").alias("lat0"),
+            s["location"]["lon"].try_cast("double").alias("lon0"),
+            checks.whole_number(s["location"]["r"]).alias("radius_km"),
+            or_empty(F.array_distinct(wanted), model.PROPERTY).alias("wanted"),
+            s["scope"].alias("scope"), F.lit(local_host).alias("local_host"),
+            s["responseType"].alias("response_type"),
+            checks.whole_number(s["expiryTimeout"]).alias("expiry_seconds"),
+        ]
+
+    def error(s: Column, readable: Column) -> Column:
+        specs = F.filter(F.transform(s["properties"], spec_error), lambda e: e.isNotNull())
+        reasons = F.concat_ws(
+            ", ",
+            F.when(~readable, F.lit("malformed request")),
+            checks.setting_error(s["scope"], s["responseType"], s["expiryTimeout"], F.lit(None)),
+            checks.location_error(s["location"]),
+            F.when(F.size(specs) > 0, F.array_join(specs, ", ")),
+        )
+        return F.nullif(reasons, F.lit(""))
+
+    return let(request, with_settings)
 
 
 # --- Predicates -------------------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom import model, vocab
+from twinloom.functions.lets import let
 from twinloom.functions.properties import or_empty
 
 _SHALLOW_TWIN = "struct<hostId:string,id:string,properties:string,feeds:string,inputs:string,_bad:string>"
@@ -79,54 +80,47 @@ def _ports(text: Column) -> Column:
     return F.transform(_structs(text, _SHALLOW_PORT), lambda p: F.when(p.isNotNull(), port(p)))
 
 
-def _list_error(lists: list[Column]) -> Column:
-    broken = F.lit(False)
-    for items in lists:
-        broken = broken | items.isNull() | F.exists(items, lambda i: i.isNull())
-    return broken
+def _twin_error(content: Column, shallow: Column, lists: Column) -> Column:
+    """Why a text is no twin; null if it is one."""
+    is_object = F.coalesce(content.rlike(r"^\s*\{") & shallow["_bad"].isNull(), F.lit(False))
+    all_ports = F.concat(lists["feeds"], lists["inputs"])  # null if either is
+    bad_entry = (
+        lists["properties"].isNull() | all_ports.isNull()
+        | F.exists(lists["properties"], lambda p: p.isNull())
+        | F.exists(all_ports, lambda p: p.isNull() | p["properties"].isNull() | p["values"].isNull())
+    )
+    return (
+        F.when(~is_object, F.lit(vocab.TWIN_NOT_OBJECT))
+        .when(bad_entry, F.lit(vocab.TWIN_BAD_LIST))
+        .when(F.exists(all_ports, lambda p: p["id"].isNull()), F.lit(vocab.PORT_NO_ID))
+    )
+
+
+def _twin_of(content: Column) -> Column:
+    """``struct(error, twin)`` of a text."""
+    def with_lists(shallow: Column) -> Column:
+        lists = F.struct(
+            _structs(shallow["properties"], model.PROPERTY).alias("properties"),
+            _ports(shallow["feeds"]).alias("feeds"), _ports(shallow["inputs"]).alias("inputs"),
+        )
+        return let(lists, lambda ls: let(_twin_error(content, shallow, ls), lambda error: F.struct(
+            error.alias("error"),
+            F.when(error.isNull(), F.struct(
+                shallow["hostId"].alias("hostId"), shallow["id"].alias("id"),
+                *[ls[name].alias(name) for name in ("properties", "feeds", "inputs")],
+            )).alias("twin"),
+        )))
+
+    return let(F.from_json(content, _SHALLOW_TWIN, {"columnNameOfCorruptRecord": "_bad"}), with_lists)
 
 
 def parse_twins(docs: DataFrame, content: str = "content") -> DataFrame:
-    """The tolerant way, one twin per document: adds ``twin`` and ``error``.
+    """The tolerant way, one twin per document: adds ``error`` and ``twin``.
 
     Lists that are missing or no lists become empty, unknown fields are ignored. A port without
     ``id`` puts the whole twin in error.
     """
-    shallow = docs.withColumn(
-        "_s", F.from_json(F.col(content), _SHALLOW_TWIN, {"columnNameOfCorruptRecord": "_bad"})
-    )
-    s = F.col("_s")
-    lists = shallow.withColumn("_properties", _structs(s["properties"], model.PROPERTY))
-    lists = lists.withColumn("_feeds", _ports(s["feeds"])).withColumn("_inputs", _ports(s["inputs"]))
-    names = ("_properties", "_feeds", "_inputs")
-
-    def port_lists_broken(name: str) -> Column:
-        return F.exists(
-            F.col(name), lambda p: p["properties"].isNull() | p["values"].isNull()
-        )
-
-    def no_id(name: str) -> Column:
-        return F.exists(F.col(name), lambda p: p["id"].isNull())
-
-    is_object = F.coalesce(F.col(content).rlike(r"^\s*\{") & s["_bad"].isNull(), F.lit(False))
-    error = (
-        F.when(~is_object, F.lit(vocab.TWIN_NOT_OBJECT))
-        .when(
-            _list_error([F.col(n) for n in names])
-            | port_lists_broken("_feeds") | port_lists_broken("_inputs"),
-            F.lit(vocab.TWIN_BAD_LIST),
-        )
-        .when(no_id("_feeds") | no_id("_inputs"), F.lit(vocab.PORT_NO_ID))
-    )
-    twin = F.struct(
-        s["hostId"].alias("hostId"), s["id"].alias("id"),
-        *[F.col(n).alias(n[1:]) for n in names],
-    )
-    return (
-        lists.withColumn("error", error)
-        .withColumn("twin", F.when(F.col("error").isNull(), twin))
-        .drop("_s", *names)
-    )
+    return docs.withColumn("_t", _twin_of(F.col(content))).select(*docs.columns, "_t.error", "_t.twin")
 
 
 def twin_struct(host_id: str = "host_id", twin_id: str = "twin_id") -> Column:

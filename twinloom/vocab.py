@@ -11,7 +11,6 @@ SCHEMA_ORG = "http://schema.org/"
 IDENTIFIER = "http://schema.org/identifier"
 
 HOST_ALLOW_LIST = "http://data.iotics.com/public#hostAllowList"
-HOST_METADATA_ALLOW_LIST = "http://data.iotics.com/public#hostMetadataAllowList"
 ALLOW_ALL = "http://data.iotics.com/public#all"
 ALLOW_NONE = "http://data.iotics.com/public#none"
 DID_PREFIX = "did:iotics:"

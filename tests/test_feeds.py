@@ -174,8 +174,15 @@ def test_twin_store_keeps_the_newest_of_each(spark, tmp_path):
         built = upsert.build_twins(docs.parse_twins(frame), "s", "h").drop("content", "error")
         assert store.upsert(built) == number
     assert labels(store.read()) == ["a2", "b3", "c"]
-    (tmp_path / "twins" / "v=9").mkdir()
+    before = {p.name for p in (tmp_path / "twins" / "v=2").glob("bucket=*")}
+    assert len(before) == 2 and store.versions() == [1, 2]
+    left = tmp_path / "twins" / "v=3" / "bucket=0"
+    left.mkdir(parents=True)
+    (left / "part.parquet").write_text("left by a failed job")
     assert labels(store.read()) == ["a2", "b3", "c"]
+    assert store.upsert(store.read().where("properties[0].value = '3'").withColumn("batch", F.lit(99))) == 3
+    assert labels(store.read()) == ["a2", "b3", "c"]
+    assert store.upsert(store.read().where("false")) == 3
 
 
 @pytest.mark.parametrize("few", [True, False])

@@ -81,33 +81,57 @@ def merge(stored: DataFrame, updates: DataFrame, key: str = "twin_id", order: st
 
 
 class TwinStore:
-    """Snapshots of a twin table under one folder; readers see the last complete one.
+    """A twin table under one folder, in buckets by twin id, for one writer and many readers.
 
-    A snapshot is written beside the one being read, as files cannot be replaced while in use.
+    An upsert reads and writes only the buckets its twins fall in. It writes them beside the ones
+    being read, as a new version; a version counts once its job has left the success mark, so
+    that what a failed job left is never read and is replaced by the next one.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
-    def _versions(self) -> list[int]:
-        """Numbers of complete snapshots: those whose job has left its success mark."""
+    def _folders(self, pattern: str) -> list[str]:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        marks = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v=*/_SUCCESS")
-        found = marks.getFileSystem(conf).globStatus(marks) or []
-        return sorted(int(s.getPath().getParent().getName()[2:]) for s in found)
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        return [f.getPath().toString() for f in path.getFileSystem(conf).globStatus(path) or []]
+
+    def versions(self) -> list[int]:
+        """Numbers of the complete versions."""
+        marks = self._folders("v=*/_SUCCESS")
+        return sorted(int(mark.split("/v=")[-1].split("/")[0]) for mark in marks)
+
+    def _parts(self) -> dict[int, str]:
+        """The folder that holds the newest complete version of each bucket."""
+        complete, newest_of = set(self.versions()), {}
+        for folder in self._folders("v=*/bucket=*"):
+            version, bucket = (int(x) for x in folder.split("/v=")[-1].split("/bucket="))
+            if version in complete:
+                newest_of[bucket] = max(newest_of.get(bucket, (0, "")), (version, folder))
+        return {bucket: folder for bucket, (_, folder) in newest_of.items()}
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.option("basePath", self.root).parquet(*folders).drop("v", "bucket")
 
     def read(self) -> DataFrame | None:
-        versions = self._versions()
-        return self.spark.read.parquet(f"{self.root}/v={versions[-1]}") if versions else None
+        """All twins; None before the first upsert."""
+        parts = self._parts()
+        return self._read(list(parts.values())) if parts else None
 
     def upsert(self, updates: DataFrame, order: str = "batch") -> int:
-        """Merge ``updates`` into the last snapshot; gives the number of the new one."""
-        stored = self.read()
-        merged = newest(updates, order=order) if stored is None else merge(stored, updates, order=order)
-        number = (self._versions() or [0])[-1] + 1
-        write_twins(merged, f"{self.root}/v={number}")
-        return number
+        """Merge ``updates`` into the table; gives the number of the version that holds them."""
+        bucket = F.pmod(F.xxhash64("twin_id"), F.lit(self.buckets)).cast("int")
+        touched = {row[0] for row in updates.select(bucket.alias("bucket")).distinct().collect()}
+        last = (self.versions() or [0])[-1]
+        if not touched:
+            return last
+        old = [folder for number, folder in self._parts().items() if number in touched]
+        merged = merge(self._read(old), updates, order=order) if old else newest(updates, order=order)
+        version = f"{self.root}/v={last + 1}"
+        write_twins(merged.withColumn("bucket", bucket), version, "bucket", "overwrite")
+        return last + 1
 
 
 def distinct_ports(twins: DataFrame, ports: str = "feeds") -> DataFrame:

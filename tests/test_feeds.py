@@ -205,11 +205,14 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     (source / "1.txt").write_text(twin_document("1", "a") + "\n{broken\n")
     (source / "2.txt").write_text(twin_document("2", "b") + "\n")
     store = upsert.TwinStore(spark, str(tmp_path / "twins"))
-    lines = docs.read_document_lines(spark, str(source), streaming=True)
-    run = lambda: doc_streams.start_upsert(lines, store, str(tmp_path / "bad"), str(tmp_path / "p1"), "s", "h", F.lit(1)).awaitTermination()
-    run()
+    lines = docs.read_document_lines(spark, str(source), streaming=True).withColumn("batch", F.lit(1))
+
+    def run(build, progress):
+        doc_streams.start_upsert(lines, build, store, str(tmp_path / "bad"), str(tmp_path / progress)).awaitTermination()
+
+    run(doc_streams.twins_of_documents("s", "h"), "p1")
     (source / "3.txt").write_text(twin_document("3", "c") + "\n")
-    run()
+    run(doc_streams.twins_of_documents("s", "h"), "p1")
     assert labels(store.read()) == ["a", "b", "c"] and spark.read.parquet(str(tmp_path / "bad")).count() == 1
 
     feeds_ = tmp_path / "feeds"
@@ -219,6 +222,10 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     doc_streams.start_publish(keyed, str(tmp_path / "out"), str(tmp_path / "p2")).awaitTermination()
     assert route.route_counts(spark.read.parquet(str(tmp_path / "out"))).where("route = 'success'").first()["n"] == 2
 
+    doc_streams.start_share(keyed, str(tmp_path / "shares"), str(tmp_path / "p4")).awaitTermination()
+    assert sorted(json.loads(r["p"])["isOperational" if "is" in r["p"] else "a"] for r in spark.read.parquet(str(tmp_path / "shares"))
+                  .select(docs.bytes_text(F.col("payload")).alias("p")).collect()) == ["1", "true"]
+
     twins = store.read().select("host_id", "twin_id", "properties", "feeds", "inputs")
     known = twins.first()
     (feeds_ / "2.txt").write_text(json.dumps({"hostId": "h", "id": known["twin_id"]}))
@@ -226,6 +233,18 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "described")).where("route = 'success'").count() == 1
 
 
+def test_linked_documents_stream_into_the_store(spark, tmp_path):
+    source = tmp_path / "docs"
+    source.mkdir()
+    linked = {"@context": {"ID": vocab.IDENTIFIER, "label": vocab.RDFS_LABEL}, "ID": "1", "label": "x"}
+    (source / "1.txt").write_text(json.dumps(linked) + "\n{broken\n")
+    store = upsert.TwinStore(spark, str(tmp_path / "twins"))
+    lines = docs.read_document_lines(spark, str(source), streaming=True).withColumn("batch", F.lit(1))
+    build = doc_streams.twins_of_linked_documents("s", "h", vocab.ALLOW_NONE)
+    doc_streams.start_upsert(lines, build, store, str(tmp_path / "bad"), str(tmp_path / "p")).awaitTermination()
+    assert labels(store.read()) == ["x"] and spark.read.parquet(str(tmp_path / "bad")).first()["error"].startswith(vocab.JSONLD_INVALID)
+
+
 # --- Tables and sizes ----------------------------------------------------------------
 
 

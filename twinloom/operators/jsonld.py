@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from twinloom import vocab
+from twinloom import model, vocab
 from twinloom.functions import checks, uris
 from twinloom.functions.identity import twin_identity
 from twinloom.functions.lets import let
@@ -279,5 +279,7 @@ def build_twins(
     return found.withColumn("error", error).select(
         *others, F.lit(host_id).alias("host_id"),
         F.when(F.col("error").isNull(), twin_identity(F.col("_id"), seed)).alias("twin_id"),
-        F.when(F.col("error").isNull(), F.col("_p.properties")).alias("properties"), "error",
+        F.when(F.col("error").isNull(), F.col("_p.properties")).alias("properties"),
+        F.array().cast(f"array<{model.PORT}>").alias("feeds"),
+        F.array().cast(f"array<{model.PORT}>").alias("inputs"), "error",
     )

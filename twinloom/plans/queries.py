@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from twinloom import vocab
 from twinloom.functions import checks, datetimes, geo, properties as props, uris
 from twinloom.functions.identity import twin_identity
+from twinloom.functions.lets import let
 from twinloom.operators import (
     chunks, describe as describing, follow as following, graph, jsonld, publish as publishing,
     reshape, route, search as searching, upsert as upserting,
@@ -217,15 +218,16 @@ def _keyed_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_property_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    union = props.typed_union(F.col("p"))
-    key = F.col("c_custkey")
-    emptied = F.struct(
-        union["key"].alias("key"),
-        *[F.when(key % 10 != 3, union[m]).alias(m) for m in
-          ("literalValue", "langLiteralValue", "uriValue", "stringLiteralValue")],
-    )
+    rest = F.col("c_custkey") % 10
+    members = ("literalValue", "langLiteralValue", "uriValue", "stringLiteralValue")
+
+    def faulty(union: Column) -> Column:
+        emptied = F.struct(union["key"].alias("key"), *[F.when(rest != 3, union[m]).alias(m) for m in members])
+        return F.when(rest != 4, emptied)
+
     flat = _keyed_properties(spark, sf_dir).select(
-        "c_custkey", "pos", props.flatten_union(F.when(key % 10 != 4, emptied)).alias("f")
+        "c_custkey", "pos",
+        let(props.typed_union(F.col("p")), lambda u: let(faulty(u), props.flatten_union)).alias("f"),
     )
     p = F.col("f.property")
     return flat.select(

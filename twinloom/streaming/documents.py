@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from twinloom.operators import describe as describing
-from twinloom.operators import publish as publishing
+from twinloom.operators import describe as describing, jsonld, publish as publishing
 from twinloom.operators.upsert import TwinStore, build_twins
 from twinloom.sources.documents import explode_twins, parse_documents, parse_twins
 from twinloom.streaming.follow import _start
 
+Builder = Callable[[DataFrame], DataFrame]
+
 
 def start_publish(
     docs: DataFrame, out: str, checkpoint: str, interval: str | None = None
@@ -21,20 +24,42 @@ def start_publish(
     return _start(writer.option("checkpointLocation", checkpoint), interval)
 
 
+def start_share(
+    docs: DataFrame, feeds: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Write the shares of each arriving document to the table of feeds, each exactly once.
+
+    A share occurs at the time of its micro-batch, which stays the same if the batch is run again.
+    """
+    published = publishing.publish(parse_documents(docs))
+    shares = publishing.shares_of(published, F.current_timestamp())
+    writer = shares.writeStream.format("parquet").option("path", feeds).partitionBy("feed_id")
+    return _start(writer.outputMode("append").option("checkpointLocation", checkpoint), interval)
+
+
+def twins_of_documents(seed: str, host_id: str) -> Builder:
+    """How twin documents become twins."""
+    return lambda docs: build_twins(parse_twins(docs), seed, host_id)
+
+
+def twins_of_linked_documents(seed: str, host_id: str, default_allow_list: str) -> Builder:
+    """How flat JSON-LD documents become twins."""
+    return lambda docs: jsonld.build_twins(jsonld.to_quads(docs), seed, host_id, default_allow_list)
+
+
 def start_upsert(
-    docs: DataFrame, store: TwinStore, failures: str, checkpoint: str, seed: str, host_id: str,
-    order: Column, interval: str | None = None,
+    docs: DataFrame, build: Builder, store: TwinStore, failures: str, checkpoint: str,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Build a twin from each arriving document and merge it into ``store``.
+    """Build a twin from each arriving document (``content, batch``) and merge it into ``store``.
 
-    ``order`` tells which of two documents of a twin is the later. A batch that is run again
+    ``batch`` tells which of two documents of a twin is the later. A batch that is run again
     after a failure merges the same rows, which changes nothing.
     """
     def write_batch(batch: DataFrame, number: int) -> None:
-        built = build_twins(parse_twins(batch.withColumn("batch", order)), seed, host_id).persist()
+        built = build(batch).persist()
         good = built.where(F.col("error").isNull())
-        columns = ["host_id", "twin_id", "properties", "feeds", "inputs", "batch"]
-        store.upsert(good.select(*columns))
+        store.upsert(good.select("host_id", "twin_id", "properties", "feeds", "inputs", "batch"))
         bad = built.where(F.col("error").isNotNull()).select("content", "error")
         bad.write.mode("overwrite").parquet(f"{failures}/batch={number}")
         built.unpersist()

@@ -195,9 +195,12 @@ def request_anchors(requests: DataFrame) -> DataFrame:
     )
     better = F.concat(*[F.coalesce(by, no_option) for by in (by_property, by_circle, by_text)])
     leveled = leveled.withColumn("options", F.sort_array(better)).drop("_box", "_cells", "_pieces")
-    return leveled.withColumn(
+    optioned = leveled.withColumn(
         "options", F.when(F.size("options") > 0, F.col("options")).otherwise(F.array(by_scope))
     )
+    # Stored, as it is read again for counts, for the choice and for the lookup: each use, and each
+    # filter pushed into it, would otherwise repeat the parsing and all steps above.
+    return materialize(optioned, "requests")
 
 
 @dataclass(frozen=True)
@@ -326,8 +329,7 @@ def search(
     ``counts`` are anchor counts kept from earlier (``anchor_counts``); without them they are
     taken from ``twins`` if some request has a choice.
     """
-    # Parsed once: the requests are read again for counts, for the choice and for the lookup.
-    optioned = materialize(request_anchors(requests), "requests")
+    optioned = request_anchors(requests)
     needs = measure(optioned, max_rows, max_bytes)
     if counts is None and needs.has_choice:
         counts = anchor_counts(twins, optioned, needs)

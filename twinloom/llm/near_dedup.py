@@ -5,9 +5,12 @@ that share a band of MinHash values are candidates; their signatures are compare
 and a pair is dropped as soon as its chance of reaching the threshold falls below ``miss``. The
 shingle sets of the survivors are compared in full, and only that makes a link.
 
-No group is written out as pairs. A band's group first sends each member to its smallest one (a
-star, as many pairs as members); only members that the stars leave in different components are
-paired with each other afterwards.
+No group is written out as pairs. Among the documents that share a band, shingles that only one
+of them has are counted; with u of its n shingles its own, a document can meet another of n' in at
+most min(n - u, n' - u') shingles. That bounds their similarity, and documents that can reach the threshold with
+no member of a group leave it. Of the others each is paired with the group's member that has the
+fewest shingles of its own (a star, as many pairs as members), which tends to be the one all were copied from. Only
+members that the stars leave in different components, and that the bound does not exclude, are paired afterwards.
 
 Defined results: no words (null, empty or blank text) means no shingles and no link. Rows with a
 null ``doc_id`` are linked with nothing and have a null component. Rows that repeat a ``doc_id`` are one document. Other
@@ -22,13 +25,14 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from twinloom.llm.components import connected
 from twinloom.llm.sketch import (
     MinHash, TextCodes, band_keys, digest_of, shingle_hashes, shingle_set,
 )
 from twinloom.session import materialize
+from twinloom.sizing import broadcast_if, fits
 
 
 @dataclass(frozen=True)
@@ -87,7 +91,8 @@ def sketches(docs: DataFrame, config: NearConfig) -> DataFrame:
                 pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * config.bands),
                 pa.array(keys.ravel()), mask=pa.array([d is None for d in digests]),
             )
-            rows = [None if d is None else s.tobytes() for d, s in zip(digests, table)]
+            # A byte of each value is enough to compare: chance agreement only keeps a pair longer.
+            rows = [None if d is None else s.tobytes() for d, s in zip(digests, table.astype(np.uint8))]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                 lists, pa.array(rows, pa.binary()),
@@ -99,39 +104,72 @@ def sketches(docs: DataFrame, config: NearConfig) -> DataFrame:
     )
 
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """Pairs of the smallest member of each group with each other member."""
-    leaders = (
-        buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"))
-        .filter("a < last").drop("last")
+def _own_shingles(texts: DataFrame, config: NearConfig) -> DataFrame:
+    """``doc_id, own``: how many shingles no other of these documents has; no row means none."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = TextCodes()
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = shingle_hashes(codes.words(text.as_py())[0], config.width).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(hashes), doc_id)), pa.array(hashes)], names=["doc_id", "shingle"]
+                )
+
+    owned = texts.mapInArrow(spread, "doc_id long, shingle long").groupBy("shingle").agg(
+        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")
+    )
+    return owned.filter("doc_id = last").groupBy("doc_id").agg(F.count("*").alias("own"))
+
+
+def _reachable(total: Column, shared: Column, config: NearConfig) -> Column:
+    """Whether sets of ``total`` elements in all, ``shared`` of them common at most, can reach the threshold."""
+    return (100 + config.percent) * shared >= config.percent * total
+
+
+def _within_reach(placed: DataFrame, config: NearConfig) -> DataFrame:
+    """``key, doc_id, n, shared`` of members that some other member's size lets reach the threshold."""
+    least = placed.groupBy("key").agg(F.min("n").alias("least"))
+    near = placed.join(least, "key").filter(_reachable(F.col("n") + F.col("least"), F.col("shared"), config))
+    several = (
+        near.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        .filter("a < b").select("key")
     )
+    return near.join(several, "key", "left_semi").drop("least")
+
+
+def _stars(placed: DataFrame, config: NearConfig) -> DataFrame:
+    """Pairs of the member with the smallest share of own shingles with each other member."""
+    rank = F.struct(((F.col("n") - F.col("shared")) / F.col("n")).alias("own"), "doc_id", "n", "shared")
+    leaders = placed.groupBy("key").agg(F.min(rank).alias("leader"))
+    one = F.col("leader")
     return (
-        buckets.join(leaders, "key").filter("doc_id > a")
-        .select("a", F.col("doc_id").alias("b")).distinct()
+        placed.join(leaders, "key").filter(F.col("doc_id") != one["doc_id"])
+        .filter(_reachable(F.col("n") + one["n"], F.least(F.col("shared"), one["shared"]), config))
+        .select(F.least("doc_id", one["doc_id"]).alias("a"), F.greatest("doc_id", one["doc_id"]).alias("b"))
+        .distinct()
     )
 
 
-def _across(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of members of one group that are not in the same component."""
-    placed = (
-        buckets.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+def _across(placed: DataFrame, labels: DataFrame, config: NearConfig) -> DataFrame:
+    """Pairs of members of one group that are in different components and within reach of each other."""
+    named = (
+        placed.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
     mixed = (
-        placed.groupBy("key")
+        named.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high").select("key")
     )
-    placed = materialize(placed.join(mixed, "key", "left_semi"), "near-mixed")
-    inside = placed.select("key", "component").distinct()
-    one = placed.select("key", F.col("component").alias("p"), F.col("doc_id").alias("x"))
-    two = placed.select("key", F.col("component").alias("q"), F.col("doc_id").alias("y"))
-    pairs = (
-        inside.withColumnRenamed("component", "p")
-        .join(inside.withColumnRenamed("component", "q"), "key").filter("p < q")
-        .join(one, ["key", "p"]).join(two, ["key", "q"])
-    )
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = _within_reach(materialize(named.join(mixed, "key", "left_semi"), "near-mixed"), config)
+    rest = materialize(rest, "near-rest")
+    one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "component", "n", "shared")])
+    two = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "component", "n", "shared")])
+    reach = _reachable(F.col("n_a") + F.col("n_b"), F.least("shared_a", "shared_b"), config)
+    apart = (one["key"] == two["key"]) & (F.col("doc_id_a") < F.col("doc_id_b"))
+    pairs = one.join(two, apart & (F.col("component_a") != F.col("component_b")) & reach)
+    return pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
 def _likely(pairs: DataFrame, signatures: DataFrame, config: NearConfig) -> DataFrame:
@@ -145,7 +183,7 @@ def _likely(pairs: DataFrame, signatures: DataFrame, config: NearConfig) -> Data
             if not batch.num_rows:
                 continue
             one, two = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32)
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8)
                 .reshape(batch.num_rows, values) for k in (2, 3)
             )
             alive = np.arange(batch.num_rows)
@@ -166,7 +204,7 @@ def _likely(pairs: DataFrame, signatures: DataFrame, config: NearConfig) -> Data
     return joined.mapInArrow(pursue, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, config: NearConfig) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,9 +224,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFra
                 names=["a", "b"],
             )
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = materialize(texts.join(ids, "doc_id", "left_semi"), "near-texts")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("two"))
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
@@ -204,26 +239,41 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     named = sketched.filter("doc_id is not null and digest is not null")
     groups = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-groups")
     nodes = groups.select(F.col("node").alias("doc_id"), "digest")
-    signatures = named.join(nodes, ["doc_id", "digest"], "left_semi").select("doc_id", "signature")
-    signatures = signatures.dropDuplicates(["doc_id"])
     buckets = (
         named.select("doc_id", "digest", "keys").join(nodes, ["doc_id", "digest"], "left_semi")
         .select("doc_id", F.explode("keys").alias("key"))
     )
+    several = (
+        buckets.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        .filter("a < b").select("key")
+    )
+    shared = materialize(buckets.join(several, "key", "left_semi").distinct(), "near-buckets")
+    # From here on only documents that share a band matter.
+    ids = materialize(shared.select("doc_id").distinct(), "near-ids")
+    ids = broadcast_if(ids, fits(ids))
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = materialize(texts.join(ids, "doc_id", "left_semi").distinct(), "near-texts")
+    known = named.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"])
+    known = known.join(_own_shingles(texts, config), "doc_id", "left").withColumn(
+        "shared", F.col("n_shingles") - F.coalesce("own", F.lit(0))
+    )
+    known = materialize(known.withColumnRenamed("n_shingles", "n").drop("own"), "near-known")
+    placed = shared.join(known.select("doc_id", "n", "shared"), "doc_id")
+    placed = materialize(_within_reach(placed, config), "near-placed")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        likely = materialize(_likely(pairs, signatures, config), f"{name}-likely")
-        return materialize(_confirmed(likely, docs, config), f"{name}-links")
+        likely = materialize(_likely(pairs, known, config), f"{name}-likely")
+        return materialize(_confirmed(likely, texts, config), f"{name}-links")
 
-    stars = links(_stars(buckets), "near-star")
+    stars = links(_stars(placed, config), "near-star")
     labels = connected(stars)
-    rest = links(_across(buckets, labels), "near-across")
+    rest = links(_across(placed, labels, config), "near-across")
     if not rest.isEmpty():
         labels = connected(stars.union(rest))
-    placed = groups.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
+    reached = groups.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
         "digest", F.coalesce("component", "node").alias("reached")
     )
-    found = sketched.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")
+    found = sketched.select("doc_id", "n_shingles", "digest").join(reached, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "doc_id"))
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"),

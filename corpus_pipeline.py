@@ -9,8 +9,11 @@ from twinloom.session import materialize
 
 #: Each takes (spark, docs, sf_dir); all but the last return the columns of ``documents``.
 STAGES = [
+    ("language", stages.known_language),
     ("exact_dedup", stages.exact_dedup),
     ("near_dedup", stages.near_dedup),
+    ("mixing", stages.mixing),
+    ("pieces", stages.pieces),
 ]
 
 #: Compression, MinHash and merges have no SQL form; tests hold the rows against brute force.

@@ -2,15 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
 
-from twinloom.llm import exact_dedup, near_dedup
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from twinloom.llm import (
+    exact_dedup, html_text, language, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
+)
+
+#: Public vocabulary files, read on the driver.
+VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+PIECE_MODEL = f"{VOCABULARIES}/piece_bpe_32k.model"
+RANKS = f"{VOCABULARIES}/byte_bpe_50k.tiktoken"
+#: The pattern that belongs to the rank file. Fixed value.
+RANKS_PATTERN = (
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+)
+#: Shares of all words that the mixture is to have.
+DOMAIN_WEIGHTS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """A fifth of the documents, which nothing is learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def domains_of(labels: DataFrame) -> DataFrame:
+    """``doc_id, domain``: toxic, else good or poor."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,7 +48,101 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_near_dedup)}
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents that give the domains of ``labels`` their weights."""
+    _, rated, _ = mixing.domain_rates(
+        table(spark, sf_dir, "documents"), domains_of(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS
+    )
+    shares = [F.col("_posterior")[k].alias(f"p_{d}") for k, d in enumerate(DOMAIN_WEIGHTS)]
+    return rated.select("doc_id", "tokens", *shares, "rate")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sample = toxicity.labelled_sample(docs.filter(~held_out()), table(spark, sf_dir, "labels"))
+    model = toxicity.learn_toxicity(sample)
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.toxicity_of(F.col("text"), model).alias("t"))
+    return scored.select(
+        "doc_id", "held_out", F.col("t.score").alias("score"),
+        (F.col("t.score") >= 0.5).cast("int").alias("predicted"), F.col("t.matched").alias("matched"),
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = language.learn_dictionaries(docs.filter(~held_out()).select("text", "lang"))
+    found = docs.select("doc_id", held_out().alias("held_out"), language.language_of(F.col("text"), learned).alias("l"))
+    return found.select(
+        "doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score"),
+        F.col("l.margin").alias("margin"), F.col("l.rejected").alias("rejected"),
+    )
+
+
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it."""
+    model = pieces.read_model(PIECE_MODEL)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = docs.withColumn("ids", pieces.encoded(F.col("text"), model))
+    again = coded.withColumn("again", pieces.decoded(F.col("ids"), model))
+    same = F.col("again").eqNullSafe(F.translate("text", pieces.BLANK, " "))
+    return again.select("doc_id", F.size("ids").alias("n_ids"), same.alias("round_trip"), "ids")
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.with_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def edits_of(doc_id: Column, text: Column) -> Column:
+    """Three edits for each document, drawn from its own text: a word replaced, a copy of a passage put
+    in, and the text's middle character removed."""
+    size = F.length(F.coalesce(text, F.lit("")))
+    at = F.pmod(F.xxhash64(doc_id), F.greatest(size, F.lit(1)))
+
+    def edit(start: Column, end: Column, new: Column) -> Column:
+        return F.struct(
+            start.cast("int").alias("start"), end.cast("int").alias("end"), new.cast("string").alias("text")
+        )
+
+    return F.array(
+        edit(at, at + 5, F.concat(F.lit(" edited "), doc_id.cast("string"))),
+        edit(F.lit(0), F.lit(0), F.substring(text, (at + 1).cast("int"), F.lit(40))),
+        edit(size / 2, size / 2 + 1, F.lit("")),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after its edits."""
+    model = token_counts.read_ranks(RANKS, RANKS_PATTERN)
+    docs = table(spark, sf_dir, "documents")
+    edits = edits_of(F.col("doc_id"), F.col("text"))
+    counted = docs.select("doc_id", token_counts.counts_with_edits(F.col("text"), edits, model).alias("c"))
+    return counted.select("doc_id", "c.n_before", "c.n_after", "c.n_pieces", "c.n_counted")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pii.spans_of(F.col("text"), pii.learn_pii(docs)).alias("p"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("p.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.spelled(F.col("p.base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("p.spans")).alias("spans"),
+    )
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op1_exact_dedup, op2_near_dedup, op3_top_k, op4_mixing, op5_toxicity, op6_language, op7_pieces,
+        op8_html_text, op9_token_counts, op10_pii,
+    )
+}
 
 ORACLES = {
     "op1_exact_dedup": """
@@ -30,4 +150,19 @@ ORACLES = {
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))
     """,
+    "op3_top_k": """
+        with rows as (
+            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and vec_id is not null
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id,
+                   cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+            from rows q join rows c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v)
+        ), ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+        )
+        select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
+    """,
 }

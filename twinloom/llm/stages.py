@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinloom.llm import exact_dedup as exact, near_dedup as near
+from twinloom.llm import exact_dedup as exact, language, mixing as mix, near_dedup as near, pieces as piece
+from twinloom.llm.queries import DOMAIN_WEIGHTS, PIECE_MODEL, domains_of, held_out, table
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear; learned from four fifths of them."""
+    learned = language.learn_dictionaries(docs.filter(~held_out()).select("text", "lang"))
+    return docs.filter(~language.language_of(docs["text"], learned)["rejected"])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,3 +23,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one of the smallest ``doc_id``."""
     gone = near.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its rate says. Good documents keep all their words; others are thinned."""
+    labels = domains_of(table(spark, sf_dir, "labels"))
+    fit, _, posterior = mix.domain_rates(docs, labels, DOMAIN_WEIGHTS, keep="good")
+    rated = posterior(docs).withColumn("_copies", mix.copies(fit.rate(F.col("_posterior")), F.col("doc_id")))
+    often = rated.filter("_copies > 0").withColumn("_copies", F.explode(F.sequence(F.lit(1), "_copies")))
+    return often.select(*[docs[c] for c in docs.columns])
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encoded documents: ``doc_id, lang, source, ids, n_ids``."""
+    coded = docs.withColumn("ids", piece.encoded(docs["text"], piece.read_model(PIECE_MODEL)))
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_ids"))

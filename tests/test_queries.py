@@ -4,8 +4,8 @@ import pytest
 from check_oracles import compare, connect
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from twinloom.plans.oracles import ORACLES
+from twinloom.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def connection(sf_dir):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -74,7 +74,10 @@ def without_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """
     kept = exact_duplicates(docs, salts).filter("kept")
     kept = kept.select(F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_text")).distinct()
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    rows = docs.withColumn("_digest", text_digest(text))
+    # The row travels as one column, out of the way of the operator's own.
+    rows = docs.select(
+        F.col("doc_id").cast("long"), text_digest(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_digest"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+    )
     same = rows["_digest"].eqNullSafe(kept["_kept_text"]) & rows["doc_id"].eqNullSafe(kept["_kept_id"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select("_row.*")

@@ -9,7 +9,7 @@
    estimates for each kind how common true spans are and how reliable each labeler is, and with that how
    likely each pattern of votes is a true span.
 4. A logistic model of the spans' features is fitted to these likelihoods. A candidate with at least ``threshold``
-   becomes a span; base spans always are.
+   becomes a span; base spans always are, and what fails its check digit or range never is.
 
 Only counts of patterns, of which there are a bounded number, pass through the driver.
 
@@ -253,8 +253,11 @@ def spans_of(text: Column, model: PiiModel) -> Column:
             found = []
             for text in batch:
                 base, more = candidates(text or "")
+                # What fails its own check digit or range teaches the model, but is never added.
+                failed = set(base_and_failed(text)[1]) if more else ()
                 added = [
-                    s for s in more if model.chance(s[2], describe(text, *s, False)[1]) >= model.threshold
+                    s for s in more
+                    if s not in failed and model.chance(s[2], describe(text, *s, False)[1]) >= model.threshold
                 ]
                 every = sorted([*base, *added], key=lambda s: (s[0], KINDS.index(s[2])))
                 found.append([[dict(zip(keys, s)) for s in spans] for spans in (base, every)])

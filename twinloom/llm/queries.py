@@ -152,10 +152,10 @@ ORACLES = {
     """,
     "op3_top_k": """
         with rows as (
-            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
             from embeddings
             where embedding is not null and vec_id is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ), scored as (
             select q.vec_id as query_id, c.vec_id,
                    cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score

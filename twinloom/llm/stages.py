@@ -29,9 +29,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says. Good documents keep all their words; others are thinned."""
     labels = domains_of(table(spark, sf_dir, "labels"))
     fit, _, posterior = mix.domain_rates(docs, labels, DOMAIN_WEIGHTS, keep="good")
-    rated = posterior(docs).withColumn("_copies", mix.copies(fit.rate(F.col("_posterior")), F.col("doc_id")))
-    often = rated.filter("_copies > 0").withColumn("_copies", F.explode(F.sequence(F.lit(1), "_copies")))
-    return often.select(*[docs[c] for c in docs.columns])
+    # The row travels as one column, out of the way of the operator's own.
+    rows = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    copies = mix.copies(fit.rate(F.col("_posterior")), F.col("doc_id"))
+    often = posterior(rows).select("_row", copies.alias("_copies")).filter("_copies > 0")
+    return often.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,20 +69,21 @@ def machine() -> Transducer:
     strong = ("insult", "threat")
     deny: dict = {("plain", "negation"): ("armed", "negation", 0.0)}
     for k, state in enumerate(("armed", "near", "far")):  # within three words
-        following = ("near", "far", "plain")[k]
-        deny |= {(state, s): (following, s, 0.0) for s in ("target", "report", "other")}
+        after = ("near", "far", "plain")[k]
+        deny |= {(state, s): (after, s, 0.0) for s in ("target", "report", "other")}
         deny |= {(state, s): ("plain", "denied", 0.0) for s in strong}
         deny[state, "negation"] = ("armed", "negation", 0.0)
     quote: dict = {("plain", "report"): ("open", "report", 0.0)}
     quote |= {("open", s): ("open", "quoted", 0.0) for s in strong}
     negation, report = Transducer("plain", deny), Transducer("plain", quote)
-    # A target up to two words before an insult or threat, or right after it.
+    # A target with up to two words before an insult or threat, or right after it.
     aim: dict = {}
-    for state in ("none", "seen", "late", "hit"):
+    following = {"seen": "late", "late": "later"}
+    for state in ("none", "seen", "late", "later", "hit"):
         aim[state, "target"] = ("seen", "personal" if state == "hit" else "target", 0.0)
-        aim |= {(state, s): ("hit", f"{s}+" if state in ("seen", "late") else s, 0.0) for s in strong}
+        aim |= {(state, s): ("hit", f"{s}+" if state in ("seen", "late", "later") else s, 0.0) for s in strong}
         aim |= {
-            (state, s): ({"seen": "late"}.get(state, "none"), s, 0.0)
+            (state, s): (following.get(state, "none"), s, 0.0)
             for s in ("other", "report", "negation", "denied", "quoted")
         }
     target = Transducer("none", aim)

@@ -26,6 +26,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from twinloom.llm.components import connected
 from twinloom.llm.sketch import (
@@ -49,6 +50,8 @@ class NearConfig:
     rows: int = 5
     batch: int = 32
     miss: float = 1e-7
+    #: Documents left over after the stars that may have a rare shingle; changes the work, not the links.
+    rare: int = 32
 
 
 def least_matches(compared: int, similarity: float, miss: float) -> int:
@@ -104,8 +107,8 @@ def sketches(docs: DataFrame, config: NearConfig) -> DataFrame:
     )
 
 
-def _own_shingles(texts: DataFrame, config: NearConfig) -> DataFrame:
-    """``doc_id, own``: how many shingles no other of these documents has; no row means none."""
+def _occurrences(texts: DataFrame, config: NearConfig) -> DataFrame:
+    """``doc_id, shingle`` (a hash): a row for each shingle of each text."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TextCodes()
@@ -116,7 +119,12 @@ def _own_shingles(texts: DataFrame, config: NearConfig) -> DataFrame:
                     [pa.array(np.full(len(hashes), doc_id)), pa.array(hashes)], names=["doc_id", "shingle"]
                 )
 
-    owned = texts.mapInArrow(spread, "doc_id long, shingle long").groupBy("shingle").agg(
+    return texts.mapInArrow(spread, "doc_id long, shingle long")
+
+
+def _own_shingles(texts: DataFrame, config: NearConfig) -> DataFrame:
+    """``doc_id, own``: how many shingles no other of these documents has; no row means none."""
+    owned = _occurrences(texts, config).groupBy("shingle").agg(
         F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")
     )
     return owned.filter("doc_id = last").groupBy("doc_id").agg(F.count("*").alias("own"))
@@ -127,10 +135,10 @@ def _reachable(total: Column, shared: Column, config: NearConfig) -> Column:
     return (100 + config.percent) * shared >= config.percent * total
 
 
-def _within_reach(placed: DataFrame, config: NearConfig) -> DataFrame:
-    """``key, doc_id, n, shared`` of members that some other member's size lets reach the threshold."""
+def _within_reach(placed: DataFrame, common: str, config: NearConfig) -> DataFrame:
+    """Members that can reach the threshold with some other member's size by their ``common`` shingles."""
     least = placed.groupBy("key").agg(F.min("n").alias("least"))
-    near = placed.join(least, "key").filter(_reachable(F.col("n") + F.col("least"), F.col("shared"), config))
+    near = placed.join(least, "key").filter(_reachable(F.col("n") + F.col("least"), F.col(common), config))
     several = (
         near.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
         .filter("a < b").select("key")
@@ -151,8 +159,14 @@ def _stars(placed: DataFrame, config: NearConfig) -> DataFrame:
     )
 
 
-def _across(placed: DataFrame, labels: DataFrame, config: NearConfig) -> DataFrame:
-    """Pairs of members of one group that are in different components and within reach of each other."""
+def _across(placed: DataFrame, labels: DataFrame, texts: DataFrame, config: NearConfig) -> DataFrame:
+    """Pairs of members of one group that are in different components and may reach the threshold.
+
+    Shingles that ``rare`` or fewer of the documents left over have are rare. A pair at the threshold either
+    has a rare shingle in common, and then one among the rarest few of both (no more than may be missing from a
+    link), or only frequent ones, whose number bounds its similarity far more closely. The first are found
+    by those shingles, at most ``rare`` documents each; the second in their groups.
+    """
     named = (
         placed.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
@@ -162,12 +176,35 @@ def _across(placed: DataFrame, labels: DataFrame, config: NearConfig) -> DataFra
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high").select("key")
     )
-    rest = _within_reach(materialize(named.join(mixed, "key", "left_semi"), "near-mixed"), config)
+    rest = _within_reach(materialize(named.join(mixed, "key", "left_semi"), "near-mixed"), "shared", config)
     rest = materialize(rest, "near-rest")
-    one = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "component", "n", "shared")])
-    two = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "component", "n", "shared")])
-    reach = _reachable(F.col("n_a") + F.col("n_b"), F.least("shared_a", "shared_b"), config)
-    apart = (one["key"] == two["key"]) & (F.col("doc_id_a") < F.col("doc_id_b"))
+    left = rest.select("doc_id", "component", "n", "shared").distinct()
+    held = materialize(_occurrences(texts.join(left, "doc_id", "left_semi"), config).distinct(), "near-held")
+    seldom = held.groupBy("shingle").agg(F.count("*").alias("docs")).filter(F.col("docs") <= config.rare)
+    seldom = materialize(held.join(seldom, "shingle"), "near-seldom")
+    often = left.join(seldom.groupBy("doc_id").agg(F.count("*").alias("seldom")), "doc_id", "left").select(
+        "doc_id", "component", "n", "shared", (F.col("n") - F.coalesce("seldom", F.lit(0))).alias("often")
+    )
+    often = materialize(often, "near-often")
+
+    first = Window.partitionBy("doc_id").orderBy("docs", "shingle")
+    missing = F.col("n") - F.ceil(F.col("n") * config.percent / 100) + 1
+    rarest = (
+        seldom.withColumn("at", F.row_number().over(first)).join(often, "doc_id")
+        .filter((F.col("at") <= missing) & (F.col("docs") > 1))
+    )
+    near = rest.select("key", "doc_id").join(often, "doc_id")
+    by_group = _paired(_within_reach(near, "often", config), "key", "often", config)
+    return _paired(rarest, "shingle", "shared", config).union(by_group).distinct()
+
+
+def _paired(members: DataFrame, key: str, common: str, config: NearConfig) -> DataFrame:
+    """Pairs with the same ``key`` in different components whose ``common`` shingles may do."""
+    columns = ["doc_id", "component", "n", common]
+    one = members.select(key, *[F.col(c).alias(f"{c}_a") for c in columns])
+    two = members.select(F.col(key).alias("other"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    reach = _reachable(F.col("n_a") + F.col("n_b"), F.least(f"{common}_a", f"{common}_b"), config)
+    apart = (F.col(key) == F.col("other")) & (F.col("doc_id_a") < F.col("doc_id_b"))
     pairs = one.join(two, apart & (F.col("component_a") != F.col("component_b")) & reach)
     return pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
@@ -259,7 +296,7 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     )
     known = materialize(known.withColumnRenamed("n_shingles", "n").drop("own"), "near-known")
     placed = shared.join(known.select("doc_id", "n", "shared"), "doc_id")
-    placed = materialize(_within_reach(placed, config), "near-placed")
+    placed = materialize(_within_reach(placed, "shared", config), "near-placed")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         likely = materialize(_likely(pairs, known, config), f"{name}-likely")
@@ -267,7 +304,7 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
 
     stars = links(_stars(placed, config), "near-star")
     labels = connected(stars)
-    rest = links(_across(placed, labels, config), "near-across")
+    rest = links(_across(placed, labels, texts, config), "near-across")
     if not rest.isEmpty():
         labels = connected(stars.union(rest))
     reached = groups.join(labels.withColumnRenamed("id", "node"), "node", "left").select(

@@ -41,7 +41,7 @@ def test_publish_routes(spark):
     assert json.loads(rows[0]["payload"]) == {"isOperational": "true"} and json.loads(rows[2]["payload"]) == {"a": "1", "b": "2"}
     assert json.loads(rows[0]["document"])["id"] == "t" and rows[1]["document"] is None
     assert json.loads(rows[4]["document"]) == {"twin": PUBLISHED[3], "error": vocab.LABEL_DUPLICATE}
-    status = {r["doc_id"]: r for r in publish.document_status(docs_, publish.publish(docs_)).collect()}
+    status = {r["doc_id"]: r for r in publish.document_status(docs_).collect()}
     assert len(status) == 10 and status[9]["route"] == "failure" and status[8]["n_feeds"] == 0
     assert (status[1]["n_feeds"], status[1]["n_success"], status[1]["n_skipped"]) == (2, 1, 1)
 
@@ -166,31 +166,37 @@ def labels(twins):
     return sorted(r["properties"][1]["value"] for r in twins.collect())
 
 
-def test_twin_store_keeps_the_newest_of_each(spark, tmp_path):
-    store = upsert.TwinStore(spark, str(tmp_path / "twins"))
-    assert store.read() is None
-    for number, documents in enumerate([[("1", "a"), ("2", "b"), ("1", "a2")], [("2", "b3"), ("3", "c")]], start=1):
-        frame = spark.createDataFrame([(number * 10 + i, twin_document(*d)) for i, d in enumerate(documents)], "batch int, content string")
-        built = upsert.build_twins(docs.parse_twins(frame), "s", "h").drop("content", "error")
-        assert store.upsert(built) == number
-    assert labels(store.read()) == ["a2", "b3", "c"]
-    before = {p.name for p in (tmp_path / "twins" / "v=2").glob("bucket=*")}
-    assert len(before) == 2 and store.versions() == [1, 2]
-    left = tmp_path / "twins" / "v=3" / "bucket=0"
-    left.mkdir(parents=True)
-    (left / "part.parquet").write_text("left by a failed job")
-    assert labels(store.read()) == ["a2", "b3", "c"]
-    assert store.upsert(store.read().where("properties[0].value = '3'").withColumn("batch", F.lit(99))) == 3
-    assert labels(store.read()) == ["a2", "b3", "c"]
-    assert store.upsert(store.read().where("false")) == 3
+def test_versions_keep_the_newest_of_each(spark, tmp_path):
+    table, smaller = str(tmp_path / "twins"), str(tmp_path / "compacted")
+
+    def add(rows):
+        frame = spark.createDataFrame([(n, twin_document(*d)) for n, d in rows], "batch int, content string")
+        upsert.append_versions(upsert.build_twins(docs.parse_twins(frame), "s", "h").drop("content", "error"), table, 4)
+
+    add([(1, ("1", "a")), (2, ("2", "b")), (3, ("1", "a2"))])
+    add([(9, ("2", "b3")), (4, ("3", "c")), (2, ("1", "late"))])
+    assert labels(upsert.read_newest(spark, table)) == ["a2", "b3", "c"]
+    add([(9, ("2", "b3"))])  # a batch that is run again
+    upsert.compact(spark, table, smaller, buckets=2)
+    assert labels(upsert.read_newest(spark, smaller)) == ["a2", "b3", "c"]
+    assert spark.read.parquet(smaller).count() == 3 and spark.read.parquet(table).count() == 7
 
 
 @pytest.mark.parametrize("few", [True, False])
 def test_merge_replaces_whole_rows(spark, monkeypatch, few):
     monkeypatch.setattr(sizing, "fits", lambda df: few)
-    stored = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "twin_id string, batch int, v string")
-    updates = spark.createDataFrame([("b", 2, "y"), ("c", 2, "y"), ("b", 3, "z")], "twin_id string, batch int, v string")
-    assert sorted(tuple(r) for r in upsert.merge(stored, updates).collect()) == [("a", 1, "x"), ("b", 3, "z"), ("c", 2, "y")]
+    schema = "twin_id string, batch int, v string"
+    stored = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("d", 5, "x"), ("e", 2, "x"), ("e", 1, "w")], schema)
+    updates = spark.createDataFrame([("b", 2, "y"), ("c", 2, "y"), ("b", 3, "z"), ("d", 3, "late"), ("e", 3, "y")], schema)
+    want = [("a", 1, "x"), ("b", 3, "z"), ("c", 2, "y"), ("d", 5, "x"), ("e", 3, "y")]
+    assert sorted(tuple(r) for r in upsert.merge(stored, updates).collect()) == want
+
+
+def test_ties_are_decided_by_content(spark):
+    rows = [("a", 1, f"v{k}") for k in range(20)]
+    found = {upsert.newest(spark.createDataFrame(r, "twin_id string, batch int, v string").repartition(n)).first()["v"]
+             for r, n in ((rows, 1), (rows[::-1], 3), (rows[5:] + rows[:5], 7))}
+    assert len(found) == 1
 
 
 def test_distinct_ports_compare_by_content(spark):
@@ -204,7 +210,7 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     source.mkdir()
     (source / "1.txt").write_text(twin_document("1", "a") + "\n{broken\n")
     (source / "2.txt").write_text(twin_document("2", "b") + "\n")
-    store = upsert.TwinStore(spark, str(tmp_path / "twins"))
+    store = str(tmp_path / "twins")
     lines = docs.read_document_lines(spark, str(source), streaming=True).withColumn("batch", F.lit(1))
 
     def run(build, progress):
@@ -213,7 +219,7 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     run(doc_streams.twins_of_documents("s", "h"), "p1")
     (source / "3.txt").write_text(twin_document("3", "c") + "\n")
     run(doc_streams.twins_of_documents("s", "h"), "p1")
-    assert labels(store.read()) == ["a", "b", "c"] and spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    assert labels(upsert.read_newest(spark, store)) == ["a", "b", "c"] and spark.read.parquet(str(tmp_path / "bad")).count() == 1
 
     feeds_ = tmp_path / "feeds"
     feeds_.mkdir()
@@ -226,7 +232,7 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     assert sorted(json.loads(r["p"])["isOperational" if "is" in r["p"] else "a"] for r in spark.read.parquet(str(tmp_path / "shares"))
                   .select(docs.bytes_text(F.col("payload")).alias("p")).collect()) == ["1", "true"]
 
-    twins = store.read().select("host_id", "twin_id", "properties", "feeds", "inputs")
+    twins = upsert.read_newest(spark, store).select("host_id", "twin_id", "properties", "feeds", "inputs")
     known = twins.first()
     (feeds_ / "2.txt").write_text(json.dumps({"hostId": "h", "id": known["twin_id"]}))
     doc_streams.start_describe(keyed, twins, str(tmp_path / "described"), str(tmp_path / "p3")).awaitTermination()
@@ -238,11 +244,11 @@ def test_linked_documents_stream_into_the_store(spark, tmp_path):
     source.mkdir()
     linked = {"@context": {"ID": vocab.IDENTIFIER, "label": vocab.RDFS_LABEL}, "ID": "1", "label": "x"}
     (source / "1.txt").write_text(json.dumps(linked) + "\n{broken\n")
-    store = upsert.TwinStore(spark, str(tmp_path / "twins"))
+    store = str(tmp_path / "twins")
     lines = docs.read_document_lines(spark, str(source), streaming=True).withColumn("batch", F.lit(1))
     build = doc_streams.twins_of_linked_documents("s", "h", vocab.ALLOW_NONE)
     doc_streams.start_upsert(lines, build, store, str(tmp_path / "bad"), str(tmp_path / "p")).awaitTermination()
-    assert labels(store.read()) == ["x"] and spark.read.parquet(str(tmp_path / "bad")).first()["error"].startswith(vocab.JSONLD_INVALID)
+    assert labels(upsert.read_newest(spark, store)) == ["x"] and spark.read.parquet(str(tmp_path / "bad")).first()["error"].startswith(vocab.JSONLD_INVALID)
 
 
 # --- Tables and sizes ----------------------------------------------------------------

@@ -44,9 +44,38 @@ def test_contexts(spark):
     assert len([r for r in rows if r["doc_id"] == 2]) == 1
 
 
+def test_aliases_are_followed_to_their_end(spark):
+    for size in range(1, 14):
+        chain = {f"t{k}": f"t{k + 1}:{k}/" for k in range(size)} | {f"t{size}": "http://h/"}
+        quads = quads_of(spark, {"@context": chain, "t0": "x"}).first()["quads"]
+        assert [q["p"] for q in quads] == ["http://h/" + "".join(f"{k}/" for k in reversed(range(size)))]
+    for cycle in ({"a": "b", "b": "a"}, {"a": "a:x"}, {"a": "b:x", "b": "c:y", "c": "a:z"}, {"a": "a"}):
+        assert quads_of(spark, {"@context": cycle, "a": "x"}).first()["error"] == vocab.JSONLD_INVALID + vocab.JSONLD_CYCLIC
+
+
+def test_terms_that_are_objects(spark):
+    xsd = vocab.XSD
+    document = {
+        "@context": {
+            "xsd": xsd, "en": "http://h/en", "@language": "en", "@vocab": "http://v/",
+            "r": {"@id": "http://h/r", "@type": "@id"}, "n": {"@id": "http://h/n", "@type": "xsd:decimal"},
+            "l": {"@id": "http://h/l", "@language": "de"}, "p": {"@id": "http://h/p", "@language": None},
+            "q": {"@type": "@vocab"}, "d": {"@id": "http://h/d", "@type": xsd + "double"},
+        },
+        "r": "http://o/1", "n": "1.5", "l": "Haus", "p": "plain", "q": "r", "z": "zz", "d": 5,
+    }
+    found = {q["p"]: (q["o"], q["kind"], q["datatype"], q["lang"]) for q in quads_of(spark, document).first()["quads"]}
+    assert found == {
+        "http://h/r": ("http://o/1", "iri", None, None), "http://h/n": ("1.5", "literal", xsd + "decimal", None),
+        "http://h/l": ("Haus", "literal", vocab.RDF_LANG_STRING, "de"), "http://h/p": ("plain", "literal", xsd + "string", None),
+        "http://v/q": ("http://h/r", "iri", None, None), "http://v/z": ("zz", "literal", vocab.RDF_LANG_STRING, "en"),
+        "http://h/d": ("5.0E0", "literal", xsd + "double", None),
+    }
+
+
 def test_documents_that_are_not_flat_are_in_error(spark):
     bad = ['{"a":1,}', "[]", {"@context": "http://remote", "a": 1}, {"@context": {"a": "http://a"}, "a": {"b": 1}},
-           {"@context": {"a": {"@id": "http://a"}}, "a": 1}, {"@graph": []}, {"@context": {"a": "http://a"}, "a": [1]}]
+           {"@context": {"a": {"@id": "http://a", "@container": "@list"}}, "a": 1}, {"@graph": []}, {"@context": {"a": "http://a"}, "a": [1]}]
     errors = [r["error"] for r in quads_of(spark, *bad).orderBy("doc_id").collect()]
     assert errors == [vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED] + [vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED] * 6
 
@@ -153,6 +182,12 @@ def test_counts_as_result_documents(spark):
         {"numberOfCars": {"type": "literal", "datatype": vocab.XSD + "integer", "value": "4"}}]}}
 
 
+def test_bindings_keep_their_language(spark):
+    label = graph._term(F.lit("Haus"), F.lit("literal"), F.lit(vocab.RDF_LANG_STRING), F.lit("de"))
+    document = graph.bindings_documents(spark.range(1), {"l": label}).first()["document"]
+    assert json.loads(document)["results"]["bindings"] == [{"l": {"type": "literal", "xml:lang": "de", "value": "Haus"}}]
+
+
 def test_chunks_are_joined_in_order_and_long_results_stay_whole(spark):
     text = "".join(chr(97 + i % 26) for i in range(25))
     rows = [("a", i * 7 % 25, i * 7 % 25 == 24, text[i * 7 % 25]) for i in range(25)] + [("b", 1, False, "y"), ("b", 0, False, "x")]
@@ -160,5 +195,10 @@ def test_chunks_are_joined_in_order_and_long_results_stay_whole(spark):
     whole = {r["query_id"]: r for r in chunks.reassemble(table).collect()}
     assert whole["a"]["text"] == text and whole["a"]["route"] == "success"
     assert whole["b"]["text"] == "xy" and whole["b"]["error"] == vocab.CHUNKS_INCOMPLETE
+    gone = table.where("seq <> 3").union(table.where("query_id = 'b'")).union(table.where("seq = 4"))
+    broken = {r["query_id"]: r for r in chunks.reassemble(gone).collect()}
+    assert broken["a"]["route"] == "failure" and broken["a"]["text"] == text[:3] + text[4:]
+    twice = chunks.reassemble(table.union(table)).where("query_id = 'a'").first()
+    assert twice["text"] == text and twice["route"] == "success"
     parts = chunks.reassemble(table, per_segment=4).where("query_id = 'a'").orderBy("segment").collect()
-    assert len(parts) == 7 and "".join(p["text"] for p in parts) == text
+    assert len(parts) == 7 and {p["n_segments"] for p in parts} == {7} and "".join(p["text"] for p in parts) == text

@@ -79,13 +79,35 @@ def test_anchor_lists_too_long_for_a_plan_give_the_same(setup, monkeypatch):
     assert pairs(search.search(twins, requests)) == brute
 
 
+@pytest.mark.parametrize("options", [{}, {"max_rows": 0}], ids=["broadcast", "shuffled"])
+def test_rows_that_repeat_their_ids_are_each_answered(spark, setup, options):
+    twins, requests, _ = setup
+    first = twins.limit(4)
+    again = requests.where("error is null").withColumn("request_id", F.lit(1))
+    stored = twins.union(first)
+    brute = pairs(stored.crossJoin(again).where(search.satisfies()))
+    assert pairs(search.search(stored, again, **options)) == brute
+
+
+@pytest.mark.parametrize("text", ["\u0130a", "w", "wo", "O", "\u0130"])
+def test_short_and_growing_texts_are_found(spark, setup, text):
+    twins = setup[0].withColumn("properties", F.transform("properties", lambda p: F.when(
+        p["key"] == vocab.RDFS_LABEL, p.withField("value", F.concat(p["value"], F.lit("two \u0130ab")))).otherwise(p)))
+    docs = spark.createDataFrame([(1, json.dumps({"text": text, "properties": []}))], "request_id int, content string")
+    requests = search.parse_requests(docs, DEFAULTS, "h0")
+    brute = pairs(twins.crossJoin(requests).where(search.satisfies()))
+    assert brute and pairs(search.search(twins, requests)) == brute
+    anchors = search.request_anchors(requests).first()["options"]
+    assert all("host:" not in a for o in anchors for a in o["anchors"])
+
+
 def test_the_rarest_anchor_is_chosen(spark, setup):
     twins = setup[0]
     docs = spark.createDataFrame([(1, json.dumps({"properties": [
         {"key": vocab.RDF_TYPE, "uri": "http://t/Car"}, {"key": vocab.RDFS_COMMENT, "langLiteral": "not there", "lang": "en"}]}))], "request_id int, content string")
     optioned = search.request_anchors(search.parse_requests(docs, DEFAULTS, "h0"))
     needs = search.measure(optioned, 100, 10_000)
-    assert needs.has_choice and needs.small and not needs.has_text and not needs.levels
+    assert needs.has_choice and needs.small and not needs.text_sizes and not needs.levels
     chosen = search.choose_anchors(optioned, search.anchor_counts(twins, optioned, needs), True)
     assert [("not there" in r["anchor"]) for r in chosen.collect()] == [True]
 

@@ -9,9 +9,9 @@ _TIME = r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:[.][0-9]{0,9})?)?"
 _DATE = r"(?:[0-9]{4}|-[0-9]{4,10}|\+[0-9]{5,10})-[0-9]{2}-[0-9]{2}"
 _OFFSET = r"(?:[Zz]|[+-](?:(?:0[0-9]|1[0-7])(?::[0-5][0-9](?::[0-5][0-9])?)?|18(?::00(?::00)?)?))"
 _ZONE = r"\[[A-Za-z0-9_/+:~.-]+\]"
-TIME = rf"^{_TIME}$"
-DATE = rf"^{_DATE}$"
-DATE_TIME = rf"^{_DATE}[Tt]{_TIME}(?:{_OFFSET}(?:{_ZONE})?)?$"
+TIME = rf"^{_TIME}\z"
+DATE = rf"^{_DATE}\z"
+DATE_TIME = rf"^{_DATE}[Tt]{_TIME}(?:{_OFFSET}(?:{_ZONE})?)?\z"
 # Three-letter names that Spark reads as zones and the ISO form does not have.
 SHORT_ZONES = (
     "ACT", "AET", "AGT", "ART", "AST", "BET", "BST", "CAT", "CNT", "CST", "CTT", "EAT", "ECT",

@@ -19,7 +19,7 @@ _HIERARCHY = rf"(?://{_HOST}(?:/{_PATH}*)?|///{_PATH}*|/(?!/){_PATH}*)(?:\?{_ANY
 # scheme:anything that does not start with a slash
 _OPAQUE = rf"(?!/){_ANY}+"
 _RELATIVE = rf"(?![^/?#]*:){_PATH}*(?:\?{_ANY}*)?"
-LEGAL = rf"^(?:{_SCHEME}(?:{_HIERARCHY}|{_OPAQUE})|{_HIERARCHY}|{_RELATIVE})(?:#{_ANY}*)?$"
+LEGAL = rf"^(?:{_SCHEME}(?:{_HIERARCHY}|{_OPAQUE})|{_HIERARCHY}|{_RELATIVE})(?:#{_ANY}*)?\z"
 ABSOLUTE = rf"^{_SCHEME}"
 
 

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from twinloom import vocab
 
-CHUNKS_PER_SEGMENT = 4096
+CHUNKS_PER_SEGMENT = 512
 
 
 def reassemble(chunks: DataFrame, key: str = "query_id", per_segment: int = CHUNKS_PER_SEGMENT) -> DataFrame:
     """``chunks(key, seq, last, chunk)`` to the text of each result, in the order of ``seq``.
 
-    A result of at most ``per_segment`` chunks is one row. A longer one is kept whole as several
-    rows, numbered by ``segment``, so that no task ever holds more than one segment of it.
-    Adds ``route`` and ``error``: a result whose last chunk never came is a failure. Which results
-    are complete is read apart, from the keys of last chunks alone.
+    A result is a table of segments of ``per_segment`` chunks, numbered from 0 to ``n_segments`` - 1, so
+    that no task ever holds more than one segment of it. A chunk that came several times counts
+    once. Adds ``route`` and ``error``: a result is complete if its last chunk and every one before
+    it have come.
     """
+    once = chunks.groupBy(key, "seq").agg(F.min("chunk").alias("chunk"), F.max("last").alias("last"))
     segment = F.expr(f"seq div {int(per_segment)}")
-    parts = chunks.groupBy(key, segment.alias("segment")).agg(
+    parts = once.groupBy(key, segment.alias("segment")).agg(
         F.count("*").alias("n_chunks"),
         F.sort_array(F.collect_list(F.struct("seq", "chunk"))).alias("ordered"),
     )
@@ -26,11 +27,14 @@ def reassemble(chunks: DataFrame, key: str = "query_id", per_segment: int = CHUN
         key, "segment", "n_chunks",
         F.array_join(F.transform("ordered", lambda c: c["chunk"]), "").alias("text"),
     )
-    ends = chunks.where("last").select(key).distinct().withColumn("complete", F.lit(True))
-    joined = texts.join(ends, key, "left")
-    failed = F.col("complete").isNull()
-    return joined.select(
-        key, "segment", "n_chunks", "text",
+    whole = (F.max("seq") == F.max(F.when(F.col("last"), F.col("seq")))) & (F.count("*") == F.max("seq") + 1)
+    results = once.groupBy(key).agg(
+        F.coalesce(whole, F.lit(False)).alias("complete"),
+        (F.expr(f"max(seq) div {int(per_segment)}") + 1).alias("n_segments"),
+    )
+    failed = ~F.col("complete")
+    return texts.join(results, key).select(
+        key, "segment", "n_segments", "n_chunks", "text",
         F.when(failed, F.lit("failure")).otherwise(F.lit("success")).alias("route"),
         F.when(failed, F.lit(vocab.CHUNKS_INCOMPLETE)).alias("error"),
     )

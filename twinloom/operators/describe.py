@@ -28,17 +28,18 @@ def describe_projection(twin: Column) -> Column:
     )
 
 
-def lookup_left(keys: DataFrame, stored: DataFrame, on: list[str], row_id: str) -> DataFrame:
+def lookup_left(keys: DataFrame, stored: DataFrame, on: list[str]) -> DataFrame:
     """``keys`` left join ``stored``, without shuffling ``stored`` where the keys are few.
 
-    An outer join cannot broadcast the side it preserves. So few keys are first sent to the
-    stored rows by an inner join, and only the hits are joined back. ``row_id`` tells keys apart.
+    An outer join cannot broadcast the side it preserves. So the distinct values of few keys are first
+    sent to the stored rows, and only the hits are joined back, by the same columns. Rows of
+    ``keys`` may repeat; nothing else of theirs is used.
     """
-    if not sizing.fits(keys.select(row_id, *on)):
+    wanted = keys.select(*on).distinct()
+    if not sizing.fits(wanted):
         return keys.join(stored, on, "left")
-    wanted = F.broadcast(keys.select(row_id, *on))
-    hits = stored.join(wanted, on).drop(*on)
-    return keys.join(hits, row_id, "left")
+    hits = stored.join(F.broadcast(wanted), on, "left_semi")
+    return keys.join(hits, on, "left")
 
 
 def describe(requests: DataFrame, twins: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def describe(requests: DataFrame, twins: DataFrame) -> DataFrame:
         .when(F.col("twin_id").isNull(), F.lit(vocab.TWIN_ID_MISSING))
         .when(F.col("described").isNull(), F.lit(vocab.TWIN_UNKNOWN))
     )
-    looked_up = lookup_left(keyed, stored, ["host_id", "twin_id"], "request_id")
+    looked_up = lookup_left(keyed, stored, ["host_id", "twin_id"])
     routed = looked_up.withColumn("error", error)
     failed = F.col("error").isNotNull()
     return routed.select(

@@ -1,7 +1,7 @@
 """Flat JSON-LD documents: to quads, and on to twins.
 
-A document holds one node with scalar values and its own ``@context`` of plain terms, prefixes,
-``@vocab`` and ``@language``. Each is resolved within its row, as the context travels with it, so
+A document holds one node with scalar values and its own ``@context`` of terms, prefixes, ``@vocab`` and
+``@language``; a term may be a text or an object of ``@id``, ``@type`` and ``@language``. Each is resolved within its row, as the context travels with it, so
 no shuffle is needed. Anything deeper is put in error, not guessed at.
 """
 
@@ -18,8 +18,8 @@ from twinloom.functions.properties import flat
 QUAD = "struct<s:string,p:string,o:string,kind:string,datatype:string,lang:string>"
 DEFAULT_GRAPH = "@default"
 BLANK = "_:b0"
-_ALIAS_STEPS = 3  # a term may stand for a compact name whose prefix is a compact name
 _CONTEXT_KEYWORDS = ("@vocab", "@language", "@version")
+_TERM_KEYWORDS = ("@id", "@type", "@language")
 
 
 def canonical_double(number: Column) -> Column:
@@ -54,22 +54,81 @@ def _text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
+def _is_compact(name: Column, context: Column) -> Column:
+    """True for ``prefix:rest`` with a prefix of the context."""
+    prefix, colon = F.substring_index(name, ":", 1), F.instr(name, ":")
+    authority = F.substring(name, colon + 1, 2) == "//"
+    return (colon > 0) & ~authority & F.map_contains_key(context, prefix)
+
+
 def _expand_once(name: Column, context: Column) -> Column:
     """A term to what the context says, or ``prefix:rest`` to the prefix's text and the rest."""
-    colon = F.instr(name, ":")
-    prefix = F.substring_index(name, ":", 1)
-    rest = F.substring(name, colon + 1, F.length(name))
-    compact = (colon > 0) & ~rest.startswith("//") & F.map_contains_key(context, prefix)
+    rest = F.substring(name, F.instr(name, ":") + 1, F.length(name))
     return F.when(F.map_contains_key(context, name), F.try_element_at(context, name)).when(
-        compact, F.concat(F.try_element_at(context, prefix), rest)
+        _is_compact(name, context),
+        F.concat(F.try_element_at(context, F.substring_index(name, ":", 1)), rest),
     ).otherwise(name)
 
 
 def _resolved(context: Column) -> Column:
-    """The context with its own terms and prefixes expanded."""
-    for _ in range(_ALIAS_STEPS - 1):
-        context = let(context, lambda c: F.transform_values(c, lambda _, iri: _expand_once(iri, c)))
-    return context
+    """The context with its own terms and prefixes expanded.
+
+    A round expands every value by what the rounds before have made of the others, so it goes
+    twice as far as the last; a chain is no longer than the context, whose size sets the rounds.
+    """
+    rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.size(context) + F.lit(2))).cast("int"))
+
+    def expand(known: Column, _: Column) -> Column:
+        return F.transform_values(
+            known, lambda term, iri: F.when(term.startswith("@"), iri).otherwise(_expand_once(iri, known))
+        )
+
+    return F.aggregate(rounds, context, expand)
+
+
+def _is_cyclic(context: Column) -> Column:
+    """True if a value of a resolved context can still be expanded: its term stands for itself."""
+    return F.exists(F.map_entries(context), lambda e: ~e["key"].startswith("@") & e["value"].isNotNull() & (
+        F.map_contains_key(context, e["value"]) | _is_compact(e["value"], context)
+    ))
+
+
+def _definition(value: Column) -> Column:
+    """The members of a term that is an object."""
+    return F.when(_kind(value) == "OBJECT", F.try_variant_get(value, "$", "map<string,variant>"))
+
+
+def _term_texts(given: Column) -> Column:
+    """What each term of a context stands for; an object without ``@id`` leaves that to ``@vocab``."""
+    def text(entry: Column) -> Column:
+        value = entry["value"]
+        named = _text(F.try_element_at(_definition(value), F.lit("@id")))
+        return F.struct(
+            entry["key"].alias("key"),
+            F.when(_kind(value) == "STRING", _text(value)).when(_kind(value) == "OBJECT", named).alias("value"),
+            ((_kind(value) != "OBJECT") | named.isNotNull()).alias("stands"),
+        )
+
+    kept = F.filter(F.transform(F.map_entries(given), text), lambda e: e["stands"])
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"], e["value"])))
+
+
+def _term_types(given: Column) -> Column:
+    """``type``, ``tagged`` (a language is given, or none is wanted) and ``lang`` of terms that are objects."""
+    objects = F.map_filter(given, lambda _, v: _kind(v) == "OBJECT")
+    return F.transform_values(objects, lambda _, v: let(_definition(v), lambda d: F.struct(
+        _text(F.try_element_at(d, F.lit("@type"))).alias("type"),
+        F.map_contains_key(d, F.lit("@language")).alias("tagged"),
+        _text(F.try_element_at(d, F.lit("@language"))).alias("lang"),
+    )))
+
+
+def _is_bad_definition(value: Column) -> Column:
+    """True for an object with members beyond id, type and language, or with values that are no texts."""
+    kind = _text(F.try_element_at(_definition(value), F.lit("@type")))
+    return F.exists(F.map_entries(_definition(value)), lambda m: ~m["key"].isin(*_TERM_KEYWORDS) | ~(
+        (_kind(m["value"]) == "STRING") | (m["key"] == "@language") & (_kind(m["value"]) == "VOID")
+    )) | F.coalesce(kind.startswith("@") & ~kind.isin("@id", "@vocab"), F.lit(False))
 
 
 def _absolute(name: Column, context: Column) -> Column:
@@ -84,13 +143,22 @@ def _expand_all(names: Column, context: Column) -> Column:
     return F.transform(names, lambda n: let(_expand_once(n, context), lambda e: _absolute(e, context)))
 
 
-def _literal_quad(subject: Column, entry: Column, language: Column) -> Column:
+def _value_quad(subject: Column, entry: Column, language: Column, context: Column, term: Column) -> Column:
+    """The quad of a value; ``term`` says how its term wants it to be read, if it does."""
     value, kind = entry["value"], entry["kind"]
+    by_id = F.coalesce(term["type"].isin("@id", "@vocab") & (kind == "STRING"), F.lit(False))
+    typed = term["type"].isNotNull() & ~term["type"].isin("@id", "@vocab")
+    language = F.when(F.coalesce(term["tagged"], F.lit(False)), term["lang"]).otherwise(language)
+    name = _text(value)
+    whole = F.when((term["type"] == "@vocab") | _is_compact(name, context), _expand_once(name, context)).otherwise(name)
+    iri = let(whole, lambda w: F.when(
+        w.startswith("_:") | uris.is_absolute(w), w
+    ).when(term["type"] == "@vocab", _absolute(w, context)))
     number = F.try_variant_get(value, "$", "double")
     # A decimal without digits behind the point is 5.0, or an integer too long for a bigint.
     long_integer = (F.abs(number) >= 9.3e18) & ~F.schema_of_variant(value).rlike(r",[1-9]")
-    tagged = (kind == "STRING") & language.isNotNull()
-    datatype = (
+    tagged = (kind == "STRING") & language.isNotNull() & ~typed
+    plain = (
         F.when(tagged, F.lit(vocab.RDF_LANG_STRING))
         .when(kind == "STRING", F.lit(vocab.XSD + "string"))
         .when(kind == "BIGINT", F.lit(vocab.XSD + "integer"))
@@ -98,13 +166,15 @@ def _literal_quad(subject: Column, entry: Column, language: Column) -> Column:
         .when((kind == "DECIMAL") & long_integer, F.lit(vocab.XSD + "integer"))
         .otherwise(F.lit(vocab.XSD + "double"))
     )
-    return let(datatype, lambda known: F.struct(
+    wanted = let(_expand_once(term["type"], context), lambda t: _absolute(t, context))
+    canonical = (kind != "STRING") & ((plain == vocab.XSD + "double") | (kind != "BOOLEAN") & typed & (wanted == vocab.XSD + "double"))
+    return F.struct(
         subject.alias("s"), entry["iri"].alias("p"),
-        F.when(known == vocab.XSD + "double", let(number, canonical_double))
-        .otherwise(_text(value)).alias("o"),
-        F.lit("literal").alias("kind"), known.alias("datatype"),
-        F.when(tagged, language).alias("lang"),
-    ))
+        F.when(by_id, iri).when(canonical, let(number, canonical_double)).otherwise(_text(value)).alias("o"),
+        F.when(~by_id, F.lit("literal")).when(iri.startswith("_:"), F.lit("blank")).otherwise(F.lit("iri")).alias("kind"),
+        F.when(~by_id, F.when(typed, wanted).otherwise(plain)).alias("datatype"),
+        F.when(tagged & ~by_id, language).alias("lang"),
+    )
 
 
 def _texts(entry: Column) -> Column:
@@ -133,7 +203,7 @@ def _named(entries: Column, keyword: str, context: Column) -> Column:
     return _expand_all(texts, context)
 
 
-def _ordered_quads(entries: Column, types: Column, subject: Column, context: Column) -> Column:
+def _ordered_quads(entries: Column, types: Column, subject: Column, context: Column, terms: Column) -> Column:
     none = F.lit(None).cast("string")
     typed = F.transform(
         F.filter(types, lambda t: t.isNotNull()),
@@ -148,27 +218,30 @@ def _ordered_quads(entries: Column, types: Column, subject: Column, context: Col
         F.filter(entries, lambda e: ~e["iri"].startswith("@")),
         lambda e: F.struct(
             e["iri"].alias("by"), e["key"].alias("key"), F.lit(0).alias("at"),
-            _literal_quad(subject, e, language).alias("q"),
+            _value_quad(subject, e, language, context, F.try_element_at(terms, e["key"])).alias("q"),
         ),
     )
+    # A reference that is no IRI leads nowhere.
+    literals = F.filter(literals, lambda x: x["q"]["o"].isNotNull())
     ordered = F.sort_array(F.concat(typed, literals))
     return F.array_distinct(F.transform(ordered, lambda x: x["q"]))
 
 
-def _error(root: Column, fields: Column, given: Column, entries: Column) -> Column:
+def _error(root: Column, fields: Column, given: Column, context: Column, entries: Column) -> Column:
     nested = F.exists(
         entries, lambda e: ~e["iri"].startswith("@") & e["kind"].isin("OBJECT", "ARRAY")
     )
     keyword = F.exists(entries, lambda e: e["iri"].startswith("@") & ~e["iri"].isin("@type", "@id"))
     bad_context = given.isNull() | F.exists(
         F.map_entries(given),
-        lambda e: ~_kind(e["value"]).isin("STRING", "VOID")
+        lambda e: ~_kind(e["value"]).isin("STRING", "VOID", "OBJECT")
+        | F.coalesce(_is_bad_definition(e["value"]), F.lit(False))
         | (e["key"].startswith("@") & ~e["key"].isin(*_CONTEXT_KEYWORDS)),
     )
     return F.when(root.isNull(), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED)).when(
         fields.isNull() | bad_context | nested | keyword,
         F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED),
-    )
+    ).when(_is_cyclic(context), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_CYCLIC))
 
 
 def _of_document(content: Column) -> Column:
@@ -184,8 +257,7 @@ def _of_document(content: Column) -> Column:
         return let(context, lambda given: of_context(root, fields, given))
 
     def of_context(root: Column, fields: Column, given: Column) -> Column:
-        texts = F.transform_values(given, lambda _, v: F.when(_kind(v) == "STRING", _text(v)))
-        return let(_resolved(texts), lambda context: let(
+        return let(let(_term_texts(given), _resolved), lambda context: let(
             _entries(fields, context), lambda entries: finish(root, fields, given, context, entries)
         ))
 
@@ -193,11 +265,12 @@ def _of_document(content: Column) -> Column:
         def with_subject(ids: Column) -> Column:
             relative = (F.size(ids) > 0) & F.get(ids, F.lit(0)).isNull()
             subject = F.coalesce(F.get(ids, F.lit(0)), F.lit(BLANK))
-            quads = _ordered_quads(entries, _named(entries, "@type", context), subject, context)
+            types = _named(entries, "@type", context)
+            quads = let(_term_types(given), lambda terms: _ordered_quads(entries, types, subject, context, terms))
             return F.when(relative, F.array().cast(f"array<{QUAD}>")).otherwise(quads)
 
         quads = let(_named(entries, "@id", context), with_subject)
-        return let(_error(root, fields, given, entries), lambda error: F.struct(
+        return let(_error(root, fields, given, context, entries), lambda error: F.struct(
             F.when(error.isNull(), quads).alias("quads"), error.alias("error")
         ))
 
@@ -223,7 +296,11 @@ def explode_quads(with_quads: DataFrame) -> DataFrame:
 
 
 def default_graph(quads: DataFrame) -> DataFrame:
-    """Only the first graph of a document is used."""
+    """Only the first graph of a document is used.
+
+    Documents with named graphs of their own are in error as unsupported, so what ``explode_quads`` gives is
+    one graph; quads from elsewhere may have more.
+    """
     return quads.where(F.col("graph") == DEFAULT_GRAPH)
 
 

@@ -67,6 +67,17 @@ def _missing_feeds(parsed: DataFrame) -> Column:
     return F.array(F.lit(None).cast(feed))
 
 
+def feed_error(twin_id: Column, feed: Column) -> Column:
+    """Why a feed of a twin cannot be shared; null if it can, or has nothing to share."""
+    has_values = F.size(feed["values"]) > 0
+    return F.coalesce(
+        F.when(feed.isNull(), F.lit(vocab.FEEDS_MISSING)),
+        payload_error(feed["values"]),
+        F.when(has_values & twin_id.isNull(), F.lit(vocab.TWIN_ID_MISSING)),
+        F.when(has_values & feed["id"].isNull(), F.lit(vocab.FEED_ID_MISSING)),
+    )
+
+
 def publish(parsed: DataFrame) -> DataFrame:
     """One row per feed: route, error, share and output document.
 
@@ -80,15 +91,8 @@ def publish(parsed: DataFrame) -> DataFrame:
     )
     events = twins.select(*twins.columns, F.posexplode("feeds").alias("feed_pos", "feed")).drop("feeds")
     values = F.col("feed.values")
-    has_values = F.size(values) > 0
-    error = F.coalesce(
-        F.when(F.col("feed").isNull(), F.lit(vocab.FEEDS_MISSING)),
-        payload_error(values),
-        F.when(has_values & F.col("twin_id").isNull(), F.lit(vocab.TWIN_ID_MISSING)),
-        F.when(has_values & F.col("feed.id").isNull(), F.lit(vocab.FEED_ID_MISSING)),
-    )
-    events = events.withColumn("error", error)
-    shared = F.col("error").isNull() & has_values
+    events = events.withColumn("error", feed_error(F.col("twin_id"), F.col("feed")))
+    shared = F.col("error").isNull() & (F.size(values) > 0)
     failed = F.col("error").isNotNull()
     error_field = F.substring(error_document(F.col("error")), F.lit(2), F.length(error_document(F.col("error"))))
     return events.select(
@@ -116,27 +120,27 @@ def feed_total(twins: Column) -> Column:
     return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda total, n: total + n)
 
 
-def document_status(parsed: DataFrame, published: DataFrame) -> DataFrame:
-    """One row per document: its feeds, the outcomes, and the route of the document itself.
+def document_status(parsed: DataFrame) -> DataFrame:
+    """One row per document: its feeds, the outcomes of publishing them, and its own route.
 
-    Documents and outcomes meet in one aggregation, so documents without feeds are kept.
+    A document is one row, so its outcomes are counted within it.
     """
+    missing = _missing_feeds(parsed)
+
+    def outcomes(twin: Column) -> Column:
+        return F.transform(F.coalesce(twin["feeds"], missing), lambda feed: F.when(
+            feed_error(twin["id"], feed).isNotNull(), F.lit("failure")
+        ).when(F.size(feed["values"]) > 0, F.lit("success")).otherwise(F.lit("skipped")))
+
+    found = F.flatten(F.transform(F.coalesce("twins", F.array().cast(parsed.schema["twins"].dataType)), outcomes))
+
     def counted(route: str) -> Column:
-        return F.sum(F.when(F.col("route") == route, 1).otherwise(0)).cast("bigint")
+        return F.size(F.filter("_found", lambda r: r == route)).cast("bigint")
 
-    asked = parsed.select(
-        "doc_id", feed_total(F.col("twins")).alias("feeds"),
-        F.lit(None).cast("string").alias("route"), F.col("error").alias("document_error"),
-    )
-    done = published.select(
-        "doc_id", F.lit(None).cast("bigint").alias("feeds"), "route",
-        F.lit(None).cast("string").alias("document_error"),
-    )
-    status = asked.unionByName(done).groupBy("doc_id").agg(
-        F.coalesce(F.max("feeds"), F.lit(0)).cast("bigint").alias("n_feeds"),
+    listed = parsed.withColumn("_found", found)
+    return listed.select(
+        "doc_id", F.coalesce(feed_total(F.col("twins")), F.lit(0)).cast("bigint").alias("n_feeds"),
         counted("success").alias("n_success"), counted("failure").alias("n_failure"),
-        counted("skipped").alias("n_skipped"), F.max("document_error").alias("error"),
-    )
-    return status.withColumn(
-        "route", F.when(F.col("error").isNotNull(), F.lit("failure")).otherwise(F.lit("original"))
+        counted("skipped").alias("n_skipped"), "error",
+        F.when(F.col("error").isNotNull(), F.lit("failure")).otherwise(F.lit("original")).alias("route"),
     )

@@ -41,10 +41,17 @@ class LinkedRules:
     booleans: tuple[str, ...] = ()
 
 
-def concat_default(df: DataFrame, name: str, columns: list[str], separator: str = " ") -> DataFrame:
-    """Adds a column made of others where it has no value yet."""
-    made = F.concat_ws(separator, *columns)
-    return df.withColumn(name, F.coalesce(F.col(name), made) if name in df.columns else made)
+def concat_default(
+    df: DataFrame, name: str, columns: list[str], separator: str = " ", overwrite: bool = False
+) -> DataFrame:
+    """Adds a column made of others where it has no value yet, or anyway if it is to be overwritten.
+
+    Nothing is made where one of the others is null, so that a default may still apply.
+    """
+    spaced = [part for c in columns for part in (F.lit(separator), F.col(c).cast("string"))][1:]
+    made = F.concat(*spaced)
+    keep = name in df.columns and not overwrite
+    return df.withColumn(name, F.coalesce(F.col(name), made) if keep else made)
 
 
 def reshape_twin(df: DataFrame, rules: TwinRules) -> DataFrame:

@@ -146,12 +146,18 @@ def _property_anchor(prop: Column) -> Column:
     )
 
 
-def _pieces(text: Column) -> Column:
-    """Every run of ``PIECE`` characters in the text, in any case."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(rf"(?s)(?=(.{{{PIECE}}}))"), 1)
+def _pieces(text: Column, size: int = PIECE) -> Column:
+    """Every run of ``size`` characters in the text, in any case."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(rf"(?s)(?=(.{{{size}}}))"), 1)
     return F.transform(runs, lambda run: F.concat(F.lit("text:"), run))
 
 
+def _asked_pieces(text: Column) -> Column:
+    """The pieces of a request's text; a text shorter than a piece is one itself."""
+    size = F.length(F.lower(text))
+    return F.when(size >= PIECE, _pieces(text)).when(size > 0, F.array(F.concat(F.lit("text:"), F.lower(text))))
+
+
 def _scope_anchor(host: Column) -> Column:
     return F.concat(F.lit("host:"), host)
 
@@ -162,6 +168,8 @@ _EVERY_HOST = "host:*"
 def request_anchors(requests: DataFrame) -> DataFrame:
     """Usable requests with ``options``: the anchors it may be looked up by, best first.
 
+    ``_request`` tells requests apart, as their ids need not.
+
     An option is ``struct(rank, level, anchors)``; a twin that is found has exactly one of its
     ``anchors``. Ranks are a guess used where no counts are at hand: a property other than the
     type, then a circle, a text, a type, and the scope alone.
@@ -170,10 +178,11 @@ def request_anchors(requests: DataFrame) -> DataFrame:
     # Kept in columns of their own: used several times, they must be computed once.
     leveled = (
         requests.where(F.col("error").isNull())
+        .withColumn("_request", F.monotonically_increasing_id())  # fixed by being stored below
         .withColumn("_box", circle)
         .withColumn("geo_level", geo.box_level(F.col("_box")))
         .withColumn("_cells", geo.box_cells(F.col("_box"), F.col("geo_level")))
-        .withColumn("_pieces", F.array_distinct(_pieces(F.col("text"))))
+        .withColumn("_pieces", F.array_distinct(_asked_pieces(F.col("text"))))
     )
 
     def option(rank: Column | int, anchors: Column) -> Column:
@@ -208,7 +217,7 @@ class Needs:
     """What a set of requests needs, and whether it may be broadcast: a few numbers, measured."""
 
     levels: tuple[int, ...]
-    has_text: bool
+    text_sizes: tuple[int, ...]
     has_scope: bool
     has_choice: bool
     small: bool
@@ -223,7 +232,9 @@ def measure(optioned: DataFrame, max_rows: int, max_bytes: int) -> Needs:
     row_bytes = F.octet_length(F.to_json(F.struct("*")))
     seen = optioned.agg(
         F.collect_set("geo_level").alias("levels"),
-        F.max(F.coalesce(F.length("text") >= PIECE, F.lit(False))).alias("has_text"),
+        F.collect_set(F.when(
+            F.exists("options", lambda o: o["rank"] == 3), F.least(F.length(F.lower("text")), F.lit(PIECE))
+        )).alias("sizes"),
         F.max(F.exists("options", lambda o: o["rank"] == 5)).alias("has_scope"),
         F.max(F.size("options") > 1).alias("has_choice"),
         F.coalesce(F.sum(repeats), F.lit(0)).alias("rows"),
@@ -231,7 +242,7 @@ def measure(optioned: DataFrame, max_rows: int, max_bytes: int) -> Needs:
     ).first()
     return Needs(
         levels=tuple(sorted(seen["levels"])),
-        has_text=bool(seen["has_text"]),
+        text_sizes=tuple(sorted(seen["sizes"])),
         has_scope=bool(seen["has_scope"]),
         has_choice=bool(seen["has_choice"]),
         small=seen["rows"] <= max_rows and seen["bytes"] <= max_bytes,
@@ -244,12 +255,14 @@ def twin_anchors(needs: Needs) -> Column:
     if needs.levels:
         cells = F.array(*[geo.cell(F.col("lat"), F.col("lon"), F.lit(n)) for n in needs.levels])
         kinds.append(F.filter(cells, lambda c: c.isNotNull()))
-    if needs.has_text:
+    if needs.text_sizes:
         texts = F.filter(
             F.col("properties"),
             lambda p: p["key"].isin(vocab.RDFS_LABEL, vocab.RDFS_COMMENT) & p["value"].isNotNull(),
         )
-        kinds.append(F.flatten(F.transform(texts, lambda p: _pieces(p["value"]))))
+        kinds.append(F.flatten(F.transform(texts, lambda p: F.concat(
+            *[_pieces(p["value"], size) for size in needs.text_sizes]
+        ))))
     if needs.has_scope:
         kinds.append(F.array(F.lit(_EVERY_HOST), _scope_anchor(F.col("host_id"))))
     none = F.array().cast("array<string>")
@@ -294,18 +307,18 @@ def choose_anchors(requests: DataFrame, counts: DataFrame | None, small: bool =
         chosen = requests.withColumn("chosen", best_guess)
     else:
         several = requests.where(F.size("options") > 1)
-        listed = several.select("request_id", F.posexplode("options").alias("choice", "o")).select(
-            "request_id", "choice", F.col("o.anchors").alias("anchors"), F.explode("o.anchors").alias("anchor")
+        listed = several.select("_request", F.posexplode("options").alias("choice", "o")).select(
+            "_request", "choice", F.col("o.anchors").alias("anchors"), F.explode("o.anchors").alias("anchor")
         )
         weighed = (
             listed.join(sizing.broadcast_if(counts, small), "anchor", "left")
-            .groupBy("request_id", "choice")
+            .groupBy("_request", "choice")
             .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.first("anchors").alias("anchors"))
-            .groupBy("request_id")
+            .groupBy("_request")
             .agg(F.min_by("anchors", F.struct("n", "choice")).alias("rarest"))
         )
         weighed = sizing.broadcast_if(weighed, small)
-        chosen = requests.join(weighed, "request_id", "left").withColumn(
+        chosen = requests.join(weighed, "_request", "left").withColumn(
             "chosen", F.coalesce("rarest", best_guess)
         )
     return chosen.withColumn("anchor", F.explode("chosen")).drop("chosen", "rarest", "options", "geo_level")
@@ -325,7 +338,8 @@ def search(
 
     Requests measured to be few are broadcast and twins are read in one pass without a shuffle.
     Otherwise only ``(anchor, twin id)`` pairs are shuffled, hot anchors spread over several
-    groups, and the candidates meet twins and requests again by their ids.
+    groups, and the candidates meet twins by their ids and requests by their row. Ids of requests
+    and twins may repeat: every row is answered for itself, on either way.
     ``counts`` are anchor counts kept from earlier (``anchor_counts``); without them they are
     taken from ``twins`` if some request has a choice.
     """
@@ -336,15 +350,23 @@ def search(
     anchors = choose_anchors(optioned, counts, needs.small)
     if needs.small:
         anchors = materialize(anchors, "anchors")
-        wanted = listed(anchors, needs.small)
+    wanted = listed(anchors, needs.small)
+    if wanted is not None:
         candidates = anchored(twins, needs, wanted).join(F.broadcast(anchors), "anchor")
     else:
-        index = anchored(twins, needs).select("anchor", "host_id", "twin_id")
-        pairs = sizing.spread_join(
-            index, anchors.select("anchor", "request_id"), ["anchor"], F.col("twin_id")
-        ).select("request_id", "host_id", "twin_id")
-        asked = optioned.select(*requests.columns)
-        candidates = pairs.join(twins, ["host_id", "twin_id"]).join(asked, "request_id")
+        # Only anchors that are asked for are worth a row, and of a twin only its ids.
+        slim = twins.select("host_id", "twin_id", "lat", "lon", "properties")
+        index = anchored(slim, needs).select("anchor", "host_id", "twin_id")
+        asked = anchors.select("anchor", "_request")
+        if needs.small:
+            pairs = index.join(F.broadcast(asked), "anchor")
+        else:
+            index = index.join(asked.select("anchor").distinct(), "anchor", "left_semi")
+            pairs = sizing.spread_join(index, asked, ["anchor"], F.col("twin_id"))
+        # Each pair of ids once, so that a twin stored twice is found as often as it is stored.
+        pairs = pairs.select("_request", "host_id", "twin_id").distinct()
+        rows = optioned.select("_request", *requests.columns)
+        candidates = pairs.join(twins, ["host_id", "twin_id"]).join(rows, "_request")
     return candidates.where(satisfies()).select(*twins.columns, *requests.columns)
 
 

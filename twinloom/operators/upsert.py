@@ -9,7 +9,6 @@ from twinloom.functions.identity import twin_identity
 from twinloom.functions.properties import (
     find_property, property_errors, typed_union, value_metadata,
 )
-from twinloom.sources.tables import write_twins
 
 
 def upsert_port(port: Column, stored: bool) -> Column:
@@ -62,76 +61,52 @@ def build_twins(
 
 
 def newest(records: DataFrame, key: str = "twin_id", order: str = "batch") -> DataFrame:
-    """The latest record of each key; it replaces the earlier ones as a whole."""
+    """The latest record of each key; it replaces the earlier ones as a whole.
+
+    Between records of the same order their content decides, so that the choice does not hang on
+    how rows are dealt out.
+    """
     rest = [c for c in records.columns if c != key]
-    picked = records.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("r"))
+    latest = F.struct(F.col(order).alias("order"), F.xxhash64(*rest).alias("content"))
+    picked = records.groupBy(key).agg(F.max_by(F.struct(*rest), latest).alias("r"))
     return picked.select(key, "r.*").select(*records.columns)
 
 
 def merge(stored: DataFrame, updates: DataFrame, key: str = "twin_id", order: str = "batch") -> DataFrame:
-    """Stored rows without a new version, and the newest version of each updated row.
+    """Stored rows, and in place of those with updates the newest of both by ``order``.
 
-    Stored rows are not aggregated: those with a new version are taken out by an anti-join,
-    which broadcasts the updated keys if they are measured to be few.
+    An update that comes late does not replace a newer stored row. Stored rows are not aggregated but
+    for those that have an update; the updated keys are broadcast if measured to be few.
     """
-    latest = newest(updates, key, order)
     keys = updates.select(key).distinct()
-    kept = stored.join(sizing.broadcast_if(keys, sizing.fits(keys)), key, "left_anti")
-    return kept.unionByName(latest)
+    keys = sizing.broadcast_if(keys, sizing.fits(keys))
+    rivals = stored.join(keys, key, "left_semi").unionByName(updates)
+    return stored.join(keys, key, "left_anti").unionByName(newest(rivals, key, order))
+
+
+# --- A table of versions: appended to, newest on read, compacted at times -------
+
 
+BUCKET = "twin_bucket"
 
-class TwinStore:
-    """A twin table under one folder, in buckets by twin id, for one writer and many readers.
 
-    An upsert reads and writes only the buckets its twins fall in. It writes them beside the ones
-    being read, as a new version; a version counts once its job has left the success mark, so
-    that what a failed job left is never read and is replaced by the next one.
+def append_versions(updates: DataFrame, path: str, buckets: int = 64) -> None:
+    """Adds versions of twins to the table at ``path``, which keeps all of them.
+
+    Appending the same rows again, as after a failure, changes nothing that is read.
     """
+    bucket = F.pmod(F.xxhash64("twin_id"), F.lit(buckets)).cast("int")
+    updates.withColumn(BUCKET, bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
+
+
+def read_newest(spark: SparkSession, path: str, order: str = "batch") -> DataFrame:
+    """The newest version of each twin of the table at ``path``."""
+    return newest(spark.read.parquet(path).drop(BUCKET), order=order)
+
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.buckets = buckets
-
-    def _folders(self, pattern: str) -> list[str]:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
-        return [f.getPath().toString() for f in path.getFileSystem(conf).globStatus(path) or []]
-
-    def versions(self) -> list[int]:
-        """Numbers of the complete versions."""
-        marks = self._folders("v=*/_SUCCESS")
-        return sorted(int(mark.split("/v=")[-1].split("/")[0]) for mark in marks)
-
-    def _parts(self) -> dict[int, str]:
-        """The folder that holds the newest complete version of each bucket."""
-        complete, newest_of = set(self.versions()), {}
-        for folder in self._folders("v=*/bucket=*"):
-            version, bucket = (int(x) for x in folder.split("/v=")[-1].split("/bucket="))
-            if version in complete:
-                newest_of[bucket] = max(newest_of.get(bucket, (0, "")), (version, folder))
-        return {bucket: folder for bucket, (_, folder) in newest_of.items()}
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        return self.spark.read.option("basePath", self.root).parquet(*folders).drop("v", "bucket")
-
-    def read(self) -> DataFrame | None:
-        """All twins; None before the first upsert."""
-        parts = self._parts()
-        return self._read(list(parts.values())) if parts else None
-
-    def upsert(self, updates: DataFrame, order: str = "batch") -> int:
-        """Merge ``updates`` into the table; gives the number of the version that holds them."""
-        bucket = F.pmod(F.xxhash64("twin_id"), F.lit(self.buckets)).cast("int")
-        touched = {row[0] for row in updates.select(bucket.alias("bucket")).distinct().collect()}
-        last = (self.versions() or [0])[-1]
-        if not touched:
-            return last
-        old = [folder for number, folder in self._parts().items() if number in touched]
-        merged = merge(self._read(old), updates, order=order) if old else newest(updates, order=order)
-        version = f"{self.root}/v={last + 1}"
-        write_twins(merged.withColumn("bucket", bucket), version, "bucket", "overwrite")
-        return last + 1
+def compact(spark: SparkSession, path: str, to: str, order: str = "batch", buckets: int = 64) -> None:
+    """Writes the newest versions as a new table at ``to``; when readers use it, ``path`` may go."""
+    append_versions(read_newest(spark, path, order), to, buckets)
 
 
 def distinct_ports(twins: DataFrame, ports: str = "feeds") -> DataFrame:

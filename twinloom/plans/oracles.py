@@ -20,14 +20,14 @@ NULL = "CAST(NULL AS VARCHAR)"
 XSD_STRING, XSD_DECIMAL = _s(v.XSD + "string"), _s(v.XSD + "decimal")
 
 _BASE = f"""base AS (
-  SELECT c_custkey AS k, c_custkey // 5 AS doc_id, c_name, c_mktsegment, n_name,
+  SELECT c_custkey AS k, CASE WHEN c_custkey // 5 % 7 = 3 THEN -c_custkey - 1 ELSE c_custkey // 5 END AS doc_id, c_name, c_mktsegment, n_name,
     {_s(data.HOST_PREFIX)} || n_regionkey AS host_id, {_s(data.TWIN_PREFIX)} || c_custkey AS twin_id,
     CAST(c_custkey * 37 % 179 - 89 AS DOUBLE) AS lat,
     CAST(c_custkey * 91 % 359 - 179 AS DOUBLE) AS lon,
     CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS balance,
     'Customer in ' || n_name AS comment,
     CASE WHEN c_custkey % 10 = 0 THEN {_s(f"{v.DID_PREFIX}1, {v.DID_PREFIX}2")}
-         WHEN c_custkey % 10 = 1 THEN 'did:wot:z' ELSE {_s(v.ALLOW_NONE)} END AS allowed
+         WHEN c_custkey % 10 = 1 THEN 'urn:elsewhere:7' ELSE {_s(v.ALLOW_NONE)} END AS allowed
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 _PROPS = f"""props AS (
@@ -99,9 +99,9 @@ _SHAPE = (
 _PAYLOAD_ERROR = f"""CASE WHEN k % 17 = 0 THEN {_s(v.VALUES_MISSING)} WHEN k % 7 = 0 THEN NULL
   WHEN k % 11 = 0 THEN {_s(v.LABEL_DUPLICATE)} WHEN k % 13 = 0 THEN {_s(v.VALUE_NULL)} END"""
 
-# Twins of readable documents: five to a document, or the first alone in every seventh.
-_IN_DOCUMENT = "doc_id % 50 <> 49 AND (doc_id % 7 <> 3 OR k % 5 = 0)"
-_TWIN_POS = "CAST(CASE WHEN doc_id % 7 = 3 THEN 0 ELSE k % 5 END AS BIGINT)"
+# Twins of readable documents: five to a document, or each alone in every seventh group.
+_IN_DOCUMENT = "doc_id % 50 <> 49"
+_TWIN_POS = "CAST(CASE WHEN doc_id < 0 THEN 0 ELSE k % 5 END AS BIGINT)"
 _OUTCOME = f"""outcome AS (
   SELECT k, doc_id, {_TWIN_POS} AS twin_pos, host_id, CASE WHEN k % 19 <> 0 THEN twin_id END AS twin_id, balance,
     feed_pos, feed_id,
@@ -126,19 +126,23 @@ _BUILD_ERROR = f"""coalesce(parse_error, CASE WHEN k % 6 = 0 OR k % 29 = 0
 
 _LINKED = f"""linked AS (
   SELECT *, CASE WHEN k % 50 = 49 THEN {_s(v.JSONLD_INVALID + v.JSONLD_MALFORMED)}
-      WHEN k % 50 = 47 THEN {_s(v.JSONLD_INVALID + v.JSONLD_UNSUPPORTED)} END AS error,
+      WHEN k % 50 = 47 THEN {_s(v.JSONLD_INVALID + v.JSONLD_UNSUPPORTED)}
+      WHEN k % 50 = 46 THEN {_s(v.JSONLD_INVALID + v.JSONLD_CYCLIC)} END AS error,
     CASE WHEN k % 6 = 0 THEN {_s(f" {v.DID_PREFIX}1, {v.DID_PREFIX}2 ")} WHEN k % 6 = 3 THEN 'nonsense' END AS allow,
     CASE WHEN k = 0 THEN '5.0E-1' ELSE left(CAST(k AS VARCHAR), 1) || '.' || substr(CAST(k AS VARCHAR) || '5', 2)
       || 'E' || (length(CAST(k AS VARCHAR)) - 1) END AS score
   FROM base),
 quad AS (
-  SELECT k, 0 AS ord, {_s(v.RDF_TYPE)} AS p, {_s(v.SCHEMA_ORG)} || c_mktsegment AS o, 'iri' AS kind, {NULL} AS datatype FROM linked WHERE error IS NULL
-  UNION ALL SELECT k, 1, {_s(v.HOST_ALLOW_LIST)}, allow, 'literal', {XSD_STRING} FROM linked WHERE error IS NULL AND allow IS NOT NULL
-  UNION ALL SELECT k, 2, {_s(v.SCHEMA_ORG + 'active')}, CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END, 'literal', {_s(v.XSD + 'boolean')} FROM linked WHERE error IS NULL
-  UNION ALL SELECT k, 3, {_s(v.IDENTIFIER)}, CAST(k AS VARCHAR), 'literal', {XSD_STRING} FROM linked WHERE error IS NULL AND k % 50 <> 48
-  UNION ALL SELECT k, 4, {_s(v.SCHEMA_ORG + 'score')}, score, 'literal', {_s(v.XSD + 'double')} FROM linked WHERE error IS NULL
-  UNION ALL SELECT k, 5, {_s(v.SCHEMA_ORG + 'units')}, CAST(k AS VARCHAR), 'literal', {_s(v.XSD + 'integer')} FROM linked WHERE error IS NULL
-  UNION ALL SELECT k, 6, {_s(v.RDFS_LABEL)}, c_name, 'literal', {XSD_STRING} FROM linked WHERE error IS NULL)"""
+  SELECT k, 0 AS ord, {_s(v.RDF_TYPE)} AS p, {_s(v.SCHEMA_ORG)} || c_mktsegment AS o, 'iri' AS kind, {NULL} AS datatype, {NULL} AS lang FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 1, {_s(v.HOST_ALLOW_LIST)}, allow, 'literal', {XSD_STRING}, NULL FROM linked WHERE error IS NULL AND allow IS NOT NULL
+  UNION ALL SELECT k, 2, {_s(v.SCHEMA_ORG + 'active')}, CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END, 'literal', {_s(v.XSD + 'boolean')}, NULL FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 3, {_s(v.IDENTIFIER)}, CAST(k AS VARCHAR), 'literal', {XSD_STRING}, NULL FROM linked WHERE error IS NULL AND k % 50 <> 48
+  UNION ALL SELECT k, 4, {_s(v.SCHEMA_ORG + 'price')}, balance, 'literal', {XSD_DECIMAL}, NULL FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 5, {_s(v.SCHEMA_ORG + 'score')}, score, 'literal', {_s(v.XSD + 'double')}, NULL FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 6, {_s(v.SCHEMA_ORG + 'units')}, CAST(k AS VARCHAR), 'literal', {_s(v.XSD + 'integer')}, NULL FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 7, {_s(v.SCHEMA_ORG + 'url')}, {_s(data.HOME)} || k, 'iri', NULL, NULL FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 8, {_s(v.RDFS_COMMENT)}, comment, 'literal', {_s(v.RDF_LANG_STRING)}, 'en' FROM linked WHERE error IS NULL
+  UNION ALL SELECT k, 9, {_s(v.RDFS_LABEL)}, c_name, 'literal', {XSD_STRING}, NULL FROM linked WHERE error IS NULL)"""
 _LINKED_ERROR = f"""coalesce(error, CASE WHEN k % 50 = 48
   THEN {_s(f"{v.JSONLD_INVALID}missing '{v.IDENTIFIER}'")} END)"""
 
@@ -164,12 +168,14 @@ _FOLLOW = _with(
 
 _MANUFACTURER, _MODEL, _UNITS = (_s(v.SCHEMA_ORG + x) for x in ("manufacturer", "model", "units"))
 _UNITS_TEXT = "CASE WHEN k % 3 = 0 THEN CAST(k AS VARCHAR) || 'x' ELSE CAST(k AS VARCHAR) END"
-_RECORD_PROPS = ((v.IDENTIFIER, "CAST(k AS VARCHAR)", "StringLiteral"), (v.SCHEMA_ORG + "manufacturer", "c_mktsegment", "StringLiteral"),
+_RECORD_PROPS = ((v.IDENTIFIER, "CAST(k AS VARCHAR)", "StringLiteral"), (v.SCHEMA_ORG + "manufacturer", "CASE WHEN k % 9 <> 0 THEN c_mktsegment END", "StringLiteral"),
     (v.SCHEMA_ORG + "model", "n_name", "StringLiteral"), (v.SCHEMA_ORG + "units", _UNITS_TEXT, "StringLiteral"),
     (v.RDFS_COMMENT, "CASE WHEN k % 5 <> 0 THEN 'Well maintained' END", "StringLiteral"), (v.HOST_ALLOW_LIST, _s(v.ALLOW_NONE), "Uri"),
-    (v.RDFS_LABEL, "CASE WHEN k % 7 = 0 THEN c_name ELSE c_mktsegment || ' ' || n_name || ' ' || k END", "StringLiteral"),
+    (v.RDFS_LABEL, "CASE WHEN k % 7 = 0 THEN c_name WHEN k % 9 = 0 THEN 'A car' ELSE c_mktsegment || ' ' || n_name || ' ' || k END", "StringLiteral"),
     (v.RDF_TYPE, _s(v.SCHEMA_ORG + "Car"), "Uri"))
 
+_SEGMENT = 100 * q.CHUNKS_PER_SEGMENT  # characters
+
 ORACLES: dict[str, str] = {
     "q_search": _search(),
     "q_search_text": _with(
@@ -297,8 +303,10 @@ FROM (SELECT *, CASE k % 8 WHEN 3 THEN {_s(v.HOST_ID_MISSING)} WHEN 4 THEN {_s(v
   CAST(3 AS BIGINT) AS n_quads, {NULL} AS error FROM base"""),
     "q_identity": f"SELECT c_custkey, {_ID.format('c_name')} AS twin_id FROM customer",
     "q_twin_upsert": _with("""SELECT host_id, twin_id,
-  CAST(CASE WHEN k % 2 = 1 OR k % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS batch,
-  CASE WHEN k % 5 = 0 THEN c_name || ' v2' ELSE c_name END AS label FROM base"""),
+  CAST(CASE WHEN k % 4 = 0 THEN 5 WHEN k % 10 = 5 THEN 3 WHEN k % 2 = 1 OR k % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS batch,
+  CASE WHEN k % 4 = 0 THEN c_name WHEN k % 10 = 5 THEN c_name || ' v3' WHEN k % 5 = 0 THEN c_name || ' v2' ELSE c_name END AS label FROM base"""),
+    "q_upsert_stream": _with(f"""SELECT {_s(data.LOCAL_HOST)} AS host_id, {_ID.format('k')} AS twin_id,
+  CAST(CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS batch, c_name AS label FROM base"""),
     "q_upsert_ports": _with(f"""SELECT twin_id, 'feed' AS kind, feed_id AS port_id, store_last, CAST(0 AS BIGINT) AS n_properties,
   CAST({_N_DECLARED} AS BIGINT) AS n_values, CASE WHEN k % 7 <> 0 THEN 'value' END AS first_label FROM base, feeds
 UNION ALL SELECT twin_id, 'input', 'control', CAST(NULL AS BOOLEAN), CAST(0 AS BIGINT), CAST(0 AS BIGINT), {NULL}
@@ -332,24 +340,27 @@ FROM base WHERE doc_id % 50 = 49""", _FEEDS, _OUTCOME),
   CASE type WHEN 'StringLiteral' THEN {XSD_STRING} WHEN 'LangLiteral' THEN {_s(v.RDF_LANG_STRING)} WHEN 'Literal' THEN {XSD_DECIMAL} ELSE '' END AS o_datatype,
   coalesce(lang, '') AS o_lang FROM props""", _PROPS),
     "q_jsonld_quads": _with(f"""SELECT k AS doc_id, row_number() OVER (PARTITION BY k ORDER BY ord) - 1 AS pos, '_:b0' AS s, p, o, kind, datatype,
-  {NULL} AS lang FROM quad""", _LINKED),
+  lang FROM quad""", _LINKED),
     "q_jsonld_identity": _with(f"""SELECT k AS doc_id, CASE WHEN e IS NULL THEN {_ID.format('k')} END AS twin_id, e AS error
 FROM (SELECT k, {_LINKED_ERROR} AS e FROM linked)""", _LINKED),
     "q_quads_to_properties": _with(f"""SELECT k AS doc_id, row_number() OVER (PARTITION BY k ORDER BY ord) - 1 AS pos, key, value, type, data_type FROM (
-  SELECT k, ord, p AS key, o AS value, CASE WHEN kind = 'iri' THEN 'Uri' ELSE 'Literal' END AS type,
-    CASE WHEN kind = 'literal' THEN regexp_extract(datatype, '#(.*)$', 1) END AS data_type FROM quad WHERE ord <> 1
-  UNION ALL SELECT k, 7, {_s(v.HOST_ALLOW_LIST)}, CASE WHEN k % 6 = 0 THEN {_s(f"{v.DID_PREFIX}1,{v.DID_PREFIX}2")} ELSE {_s(v.ALLOW_ALL)} END,
+  SELECT k, ord, p AS key, o AS value, CASE WHEN kind = 'iri' THEN 'Uri' WHEN lang IS NOT NULL THEN 'LangLiteral' ELSE 'Literal' END AS type,
+    CASE WHEN kind = 'literal' AND lang IS NULL THEN regexp_extract(datatype, '#(.*)$', 1) END AS data_type FROM quad WHERE ord <> 1
+  UNION ALL SELECT k, 99, {_s(v.HOST_ALLOW_LIST)}, CASE WHEN k % 6 = 0 THEN {_s(f"{v.DID_PREFIX}1,{v.DID_PREFIX}2")} ELSE {_s(v.ALLOW_ALL)} END,
     'Uri', NULL FROM linked WHERE error IS NULL) WHERE k % 50 <> 48""", _LINKED),
     "q_graph_pattern": _with(f"""SELECT twin_id, balance, {XSD_DECIMAL} AS datatype FROM base
 WHERE c_mktsegment = 'BUILDING' AND allowed = {_s(v.ALLOW_NONE)}"""),
     "q_pattern_count": _with(f"SELECT count(*) AS n FROM base WHERE c_mktsegment = 'BUILDING' AND allowed = {_s(v.ALLOW_NONE)}"),
     "q_bindings_json": f"""SELECT {_s(v.SCHEMA_ORG)} || c_mktsegment AS type_value, 'uri' AS type_kind, CAST(count(*) AS VARCHAR) AS n_value,
   {_s(v.XSD + 'integer')} AS n_datatype, 'n' AS second_variable FROM customer GROUP BY c_mktsegment""",
-    "q_chunk_join": f"""SELECT doc_id, segment, CAST(ceil(length(part) / 100.0) AS BIGINT) AS n_chunks, CAST(length(part) AS BIGINT) AS n_chars,
-  md5(part) AS text_md5, CASE WHEN doc_id % 20 = 0 THEN 'failure' ELSE 'success' END AS route,
-  CASE WHEN doc_id % 20 = 0 THEN {_s(v.CHUNKS_INCOMPLETE)} END AS error
-FROM (SELECT doc_id, segment, substr(text, segment * {100 * q.CHUNKS_PER_SEGMENT} + 1, {100 * q.CHUNKS_PER_SEGMENT}) AS part
-  FROM documents, LATERAL (SELECT unnest(generate_series(CAST(0 AS BIGINT), CAST((length(text) - 1) // {100 * q.CHUNKS_PER_SEGMENT} AS BIGINT))) AS segment))""",
+    "q_chunk_join": f"""SELECT doc_id, segment, (n - 1) // {_SEGMENT} + 1 AS n_segments, CAST(ceil(length(part) / 100.0) AS BIGINT) AS n_chunks,
+  CAST(length(part) AS BIGINT) AS n_chars, md5(part) AS text_md5,
+  CASE WHEN doc_id % 20 = 0 OR gap THEN 'failure' ELSE 'success' END AS route,
+  CASE WHEN doc_id % 20 = 0 OR gap THEN {_s(v.CHUNKS_INCOMPLETE)} END AS error
+FROM (SELECT doc_id, segment, n, gap, CASE WHEN gap AND segment = 0 THEN left(whole, 100) || substr(whole, 201) ELSE whole END AS part
+  FROM (SELECT doc_id, length(text) AS n, doc_id % 20 = 7 AND length(text) > 200 AS gap, segment,
+    substr(text, segment * {_SEGMENT} + 1, {_SEGMENT}) AS whole
+  FROM documents, LATERAL (SELECT unnest(generate_series(CAST(0 AS BIGINT), CAST((length(text) - 1) // {_SEGMENT} AS BIGINT))) AS segment)))""",
     "q_follow": _FOLLOW,
     "q_last_stored": _with(f"SELECT event_id, {_SHARE_COLUMNS} FROM shares QUALIFY {_NEWEST}", _SHARES),
     "q_follow_snapshot_live": _with(f"""SELECT {_FOLLOWER} AS follower_twin_id, event_id, {_SHARE_COLUMNS}, 'live' AS phase

@@ -5,6 +5,8 @@ Every rule uses integer arithmetic on keys only, so that SQL can state the same
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom import model, vocab
@@ -80,7 +82,7 @@ def twin_rows(named: DataFrame, values: Column) -> DataFrame:
     key = F.col("c_custkey")
     allowed = (
         F.when(key % 10 == 0, F.lit(f"{vocab.DID_PREFIX}1, {vocab.DID_PREFIX}2"))
-        .when(key % 10 == 1, F.lit("did:wot:z"))
+        .when(key % 10 == 1, F.lit("urn:elsewhere:7"))
         .otherwise(F.lit(vocab.ALLOW_NONE))
     )
     properties = F.array(
@@ -156,8 +158,14 @@ def shared_twins(named: DataFrame) -> DataFrame:
 
 
 def document_key() -> Column:
-    """Five customers in a row share a document."""
-    return F.floor(F.col("c_custkey") / 5).cast("bigint")
+    """Five customers in a row share a document; in every seventh group each has its own."""
+    group = F.floor(F.col("c_custkey") / 5).cast("bigint")
+    return F.when(group % 7 == 3, -F.col("c_custkey") - 1).otherwise(group)
+
+
+def spoiled(text: Column) -> Column:
+    """JSON text that has lost its last bracket."""
+    return F.left(text, F.length(text) - 1)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,10 +175,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("c_custkey", "twin"))).alias("members")
     )
     listed = F.transform("members", lambda m: m["twin"])
-    text = F.when(F.col("doc_id") % 7 == 3, F.to_json(F.element_at(listed, 1))).otherwise(F.to_json(listed))
+    text = F.when(F.col("doc_id") < 0, F.to_json(F.element_at(listed, 1))).otherwise(F.to_json(listed))
     broken = F.col("doc_id") % 50 == 49
     return grouped.select(
-        "doc_id", F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("content")
+        "doc_id", F.when(broken, spoiled(text)).otherwise(text).alias("content")
     )
 
 
@@ -197,20 +205,27 @@ def twin_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), F.lit("}"))
     broken = key % 50 == 49
     return rows.select(
-        "c_custkey", F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("content")
+        "c_custkey", F.when(broken, spoiled(text)).otherwise(text).alias("content")
     )
 
 
-LINKED_CONTEXT = {
+# The label's prefix is reached by a chain of six names; three terms are objects.
+LINKED_CONTEXT: dict = {
     "rdfs": "http://www.w3.org/2000/01/rdf-schema#",
+    "one": "two:", "two": "three:", "three": "four:", "four": "five:", "five": "rdfs:",
     "ID": vocab.IDENTIFIER,
-    "label": "rdfs:label",
+    "label": "one:label",
     "active": vocab.SCHEMA_ORG + "active",
     "Units": vocab.SCHEMA_ORG + "units",
     "Score": vocab.SCHEMA_ORG + "score",
     "Parts": vocab.SCHEMA_ORG + "parts",
     "allow": vocab.HOST_ALLOW_LIST,
+    "Home": {"@id": vocab.SCHEMA_ORG + "url", "@type": "@id"},
+    "Note": {"@id": "rdfs:comment", "@language": "en"},
+    "Price": {"@id": vocab.SCHEMA_ORG + "price", "@type": vocab.XSD + "decimal"},
 }
+CYCLIC_CONTEXT: dict = {**LINKED_CONTEXT, "here": "there", "there": "here"}
+HOME = "http://example.org/customer/"
 
 
 def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,18 +234,20 @@ def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     allowed = F.when(key % 6 == 0, F.lit(f" {vocab.DID_PREFIX}1, {vocab.DID_PREFIX}2 ")).when(
         key % 6 == 3, F.lit("nonsense")
     )
-    text = F.to_json(F.struct(
-        F.create_map(*[F.lit(x) for pair in LINKED_CONTEXT.items() for x in pair]).alias("@context"),
+    fields = F.to_json(F.struct(
         F.concat(F.lit(vocab.SCHEMA_ORG), "c_mktsegment").alias("@type"),
         F.when(key % 50 != 48, key.cast("string")).alias("ID"),
         F.col("c_name").alias("label"), (key % 2 == 0).alias("active"), key.alias("Units"),
         (key + F.lit(0.5)).alias("Score"), F.col("n_name").alias("Comment"),
-        allowed.alias("allow"),
+        allowed.alias("allow"), F.concat(F.lit(HOME), key).alias("Home"),
+        F.concat(F.lit("Customer in "), "n_name").alias("Note"), money(F.col("c_acctbal")).alias("Price"),
         F.when(key % 50 == 47, F.struct(F.lit(1).alias("a"))).alias("Parts"),
     ))
+    context = F.when(key % 50 == 46, F.lit(json.dumps(CYCLIC_CONTEXT))).otherwise(F.lit(json.dumps(LINKED_CONTEXT)))
+    text = F.concat(F.lit('{"@context":'), context, F.lit(","), F.substring(fields, F.lit(2), F.length(fields)))
     broken = key % 50 == 49
     return customers(spark, sf_dir).select(
-        key.alias("doc_id"), F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("content")
+        key.alias("doc_id"), F.when(broken, spoiled(text)).otherwise(text).alias("content")
     )
 
 
@@ -250,13 +267,16 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_chunks(spark: SparkSession, sf_dir: str, size: int = 100) -> DataFrame:
-    """Texts cut into chunks; every 20th text lacks the mark of its last chunk."""
+    """Texts cut into chunks. Of twenty texts one lacks the mark of its last chunk, one its second chunk, and
+    one has every chunk twice."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{size}}}"), 0).alias("pieces")
     )
     total = F.size("pieces")
     cut = docs.select("doc_id", total.alias("total"), F.posexplode("pieces").alias("at", "chunk"))
-    return cut.select(
+    cut = cut.where(~((F.col("doc_id") % 20 == 7) & (F.col("at") == 1) & (F.col("total") > 2)))
+    again = F.sequence(F.lit(1), F.when(F.col("doc_id") % 20 == 11, 2).otherwise(1))
+    return cut.withColumn("_again", F.explode(again)).select(
         "doc_id", F.col("at").cast("bigint").alias("seq"),
         ((F.col("at") == F.col("total") - 1) & (F.col("doc_id") % 20 != 0)).alias("last"), "chunk",
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from twinloom.operators import describe as describing, jsonld, publish as publishing
-from twinloom.operators.upsert import TwinStore, build_twins
+from twinloom.operators.upsert import append_versions, build_twins
 from twinloom.sources.documents import explode_twins, parse_documents, parse_twins
 from twinloom.streaming.follow import _start
 
@@ -48,18 +48,18 @@ def twins_of_linked_documents(seed: str, host_id: str, default_allow_list: str)
 
 
 def start_upsert(
-    docs: DataFrame, build: Builder, store: TwinStore, failures: str, checkpoint: str,
+    docs: DataFrame, build: Builder, table: str, failures: str, checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Build a twin from each arriving document (``content, batch``) and merge it into ``store``.
+    """Build a twin from each arriving document (``content, batch``) and add it to the versions in ``table``.
 
-    ``batch`` tells which of two documents of a twin is the later. A batch that is run again
-    after a failure merges the same rows, which changes nothing.
+    ``batch`` tells which of two documents of a twin is the later, whenever they arrive. A batch
+    that is run again after a failure adds the same rows, which changes nothing that is read.
     """
     def write_batch(batch: DataFrame, number: int) -> None:
         built = build(batch).persist()
         good = built.where(F.col("error").isNull())
-        store.upsert(good.select("host_id", "twin_id", "properties", "feeds", "inputs", "batch"))
+        append_versions(good.select("host_id", "twin_id", "properties", "feeds", "inputs", "batch"), table)
         bad = built.where(F.col("error").isNotNull()).select("content", "error")
         bad.write.mode("overwrite").parquet(f"{failures}/batch={number}")
         built.unpersist()

@@ -69,6 +69,7 @@ FEED_ID_MISSING = "missing feed id"
 TWIN_UNKNOWN = "twin not found"
 JSONLD_MALFORMED = "malformed JSON"
 JSONLD_UNSUPPORTED = "unsupported JSON-LD"
+JSONLD_CYCLIC = "cyclic term in context"
 CHUNKS_INCOMPLETE = "result incomplete: last chunk missing"
 
 EARTH_RADIUS_KM = 6371.0088

@@ -65,6 +65,35 @@ def _with(body: str, *tables: str) -> str:
     return "WITH " + ",\n".join((_BASE, *tables)) + "\n" + body
 
 
+# The content of a twin's lists as one text each, as the queries write it.
+_PROPS_SHOWN = "concat_ws(';', " + ", ".join((
+    f"{_s(v.IDENTIFIER + '|')} || k || '|StringLiteral||'",
+    f"{_s(v.RDF_TYPE + '|' + v.SCHEMA_ORG)} || c_mktsegment || '|Uri||'",
+    f"{_s(v.RDFS_LABEL + '|')} || c_name || '|StringLiteral||'",
+    f"{_s(v.RDFS_COMMENT + '|')} || comment || '|LangLiteral|en|'",
+    f"{_s(data.BALANCE + '|')} || balance || {_s('|Literal||' + v.XSD + 'decimal')}",
+    f"{_s(v.HOST_ALLOW_LIST + '|')} || allowed || '|Uri||'",
+)) + ")"
+_PROPS_UNNAMED = _PROPS_SHOWN.replace(f"{_s(v.IDENTIFIER + '|')} || k || '|StringLiteral||', ", "")
+
+
+def _port_shown(port: str, stored: bool, labelled: bool = True) -> str:
+    label = f"{v.RDFS_LABEL}|{port}|StringLiteral||" if labelled else ""
+    return _s(f"{port}/{'true' if stored else 'false'}/{label}/")
+
+
+def _feeds_shown(values: str = "''", labelled: bool = True) -> str:
+    ports = ", ".join(f"{_port_shown(f, f in data.STORED_FEED_IDS, labelled)} || {values}" for f in data.FEED_IDS)
+    return f"concat_ws(';', {ports})"
+
+
+def _inputs_shown(labelled: bool = True) -> str:
+    return f"CASE WHEN k % 3 = 0 THEN {_port_shown('control', False, labelled)} ELSE '' END"
+
+
+_LABELS_DECLARED = "CASE WHEN k % 7 = 0 THEN '' WHEN k % 11 = 0 THEN 'value+value' ELSE 'value' END"
+
+
 def _search() -> str:
     has_text = "(contains(lower(c_name), {0}) OR contains(lower(comment), {0}))"
     building = "c_mktsegment = 'BUILDING'"
@@ -82,7 +111,7 @@ def _search() -> str:
     return _with("\nUNION ALL ".join(
         f"""SELECT {_s(name)} AS request_id, {_s(kind)} AS response_type, host_id, twin_id,
   {'lat' if kind == 'LOCATED' else 'CAST(NULL AS DOUBLE)'} AS lat, {'lon' if kind == 'LOCATED' else 'CAST(NULL AS DOUBLE)'} AS lon,
-  CAST({6 if kind == 'FULL' else 0} AS BIGINT) AS n_properties, CAST({5 if kind == 'FULL' else 0} AS BIGINT) AS n_feeds
+  {_PROPS_SHOWN if kind == 'FULL' else "''"} AS properties, {_feeds_shown() if kind == 'FULL' else "''"} AS feeds
 FROM base WHERE {condition}"""
         for name, (kind, condition) in found.items()
     ))
@@ -90,12 +119,6 @@ FROM base WHERE {condition}"""
 
 # Values a twin's feeds declare, as (label, times): none, twice, or once.
 _N_DECLARED = "CASE WHEN k % 7 = 0 THEN 0 WHEN k % 11 = 0 THEN 2 ELSE 1 END"
-_N_INPUTS = "CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END"
-_SHAPE = (
-    f"CAST(6 AS BIGINT) AS n_properties, CAST(5 AS BIGINT) AS n_feeds, CAST(2 AS BIGINT) AS n_stored, "
-    f"CAST(0 AS BIGINT) AS n_values, CAST({_N_INPUTS} AS BIGINT) AS n_inputs"
-)
-
 _PAYLOAD_ERROR = f"""CASE WHEN k % 17 = 0 THEN {_s(v.VALUES_MISSING)} WHEN k % 7 = 0 THEN NULL
   WHEN k % 11 = 0 THEN {_s(v.LABEL_DUPLICATE)} WHEN k % 13 = 0 THEN {_s(v.VALUE_NULL)} END"""
 
@@ -174,10 +197,34 @@ _RECORD_PROPS = ((v.IDENTIFIER, "CAST(k AS VARCHAR)", "StringLiteral"), (v.SCHEM
     (v.RDFS_LABEL, "CASE WHEN k % 7 = 0 THEN c_name WHEN k % 9 = 0 THEN 'A car' ELSE c_mktsegment || ' ' || n_name || ' ' || k END", "StringLiteral"),
     (v.RDF_TYPE, _s(v.SCHEMA_ORG + "Car"), "Uri"))
 
+_REQUESTS = f"""SELECT k AS request_id,
+  CASE WHEN k % 50 = 49 THEN NULL WHEN k % 5 = 0 THEN c_name WHEN k % 5 = 1 THEN ' ' END AS text,
+  CASE WHEN k % 50 <> 49 AND k % 3 = 0 THEN CAST({_LAT} AS DOUBLE) END AS lat0,
+  CASE WHEN k % 50 <> 49 AND k % 3 = 0 THEN CAST({_LON} AS DOUBLE) END AS lon0,
+  CASE WHEN k % 50 <> 49 AND k % 3 = 0 THEN CAST(k % 7 - 1 AS BIGINT) END AS radius_km,
+  CAST(CASE WHEN k % 50 = 49 THEN 1 WHEN k % 9 IN (1, 2, 3, 4) THEN 0 ELSE 1 END AS BIGINT) AS n_wanted,
+  CASE WHEN k % 50 = 49 THEN 'GLOBAL' WHEN k % 6 = 0 THEN 'LOCAL' WHEN k % 6 = 1 THEN 'WORLD' ELSE 'GLOBAL' END AS scope,
+  CASE WHEN k % 50 = 49 THEN 'FULL' WHEN k % 8 = 0 THEN 'MINIMAL' WHEN k % 8 = 1 THEN 'LOCATED' WHEN k % 8 = 2 THEN 'SOME' ELSE 'FULL' END AS response_type,
+  CAST(CASE WHEN k % 50 = 49 THEN 3 WHEN k % 4 = 0 THEN 2 WHEN k % 4 = 1 THEN 7 WHEN k % 4 = 2 THEN -1 ELSE 3 END AS BIGINT) AS expiry_seconds,
+  CASE WHEN k % 50 = 49 THEN 'malformed request' ELSE nullif(concat_ws(', ', {_SETTING_ERROR.format('')},
+    CASE WHEN k % 3 = 0 THEN nullif(concat_ws(', ', {_LOCATION_REASONS.format(_SMALL_RADIUS)}), '') END,
+    CASE k % 9 WHEN 1 THEN {_s(v.SPEC_NO_DATATYPE)} WHEN 2 THEN {_s(v.SPEC_NO_LANG + ', ' + v.SPEC_NO_KEY)}
+      WHEN 4 THEN {_s(v.SPEC_NO_VALUE)} END), '') END AS error
+"""
+# What the requests of a table find: a property no twin has, none, or the default type; text, circle and scope.
+_MANY = _with(f"""SELECT r.request_id, t.host_id, t.twin_id
+FROM (SELECT * FROM ({_REQUESTS}FROM base) WHERE error IS NULL) r JOIN base t ON
+  (r.text IS NULL OR contains(lower(t.c_name), lower(r.text)) OR contains(lower(t.comment), lower(r.text)))
+  AND (r.lat0 IS NULL OR {_distance("r.lat0", "r.lon0")} <= r.radius_km)
+  AND r.request_id % 9 <> 0 AND (r.request_id % 9 = 3 OR t.c_mktsegment = 'MACHINERY')
+  AND (r.scope <> 'LOCAL' OR t.host_id = {_s(data.LOCAL_HOST)})""")
+
 _SEGMENT = 100 * q.CHUNKS_PER_SEGMENT  # characters
 
 ORACLES: dict[str, str] = {
     "q_search": _search(),
+    "q_search_many": _MANY,
+    "q_search_shuffled": _MANY,
     "q_search_text": _with(
         f"SELECT host_id, twin_id FROM base WHERE contains(lower(c_name), lower({_s(q.SEARCH_TEXT)})) "
         f"OR contains(lower(comment), lower({_s(q.SEARCH_TEXT)}))"
@@ -189,28 +236,14 @@ ORACLES: dict[str, str] = {
         "SELECT host_id, twin_id FROM base WHERE c_mktsegment = 'BUILDING' AND comment = 'Customer in NATION_3'"
     ),
     "q_search_scope": _with(f"SELECT host_id, twin_id FROM base WHERE host_id = {_s(data.LOCAL_HOST)}"),
-    "q_search_defaults": _with(f"""SELECT k AS request_id,
-  CASE WHEN k % 50 = 49 THEN NULL WHEN k % 5 = 0 THEN c_name WHEN k % 5 = 1 THEN ' ' END AS text,
-  CASE WHEN k % 50 <> 49 AND k % 3 = 0 THEN CAST({_LAT} AS DOUBLE) END AS lat0,
-  CASE WHEN k % 50 <> 49 AND k % 3 = 0 THEN CAST({_LON} AS DOUBLE) END AS lon0,
-  CASE WHEN k % 50 <> 49 AND k % 3 = 0 THEN CAST(k % 7 - 1 AS BIGINT) END AS radius_km,
-  CAST(CASE WHEN k % 50 = 49 THEN 1 WHEN k % 9 IN (1, 2, 3, 4) THEN 0 ELSE 1 END AS BIGINT) AS n_wanted,
-  CASE WHEN k % 50 = 49 THEN 'GLOBAL' WHEN k % 6 = 0 THEN 'LOCAL' WHEN k % 6 = 1 THEN 'WORLD' ELSE 'GLOBAL' END AS scope,
-  CASE WHEN k % 50 = 49 THEN 'FULL' WHEN k % 8 = 0 THEN 'MINIMAL' WHEN k % 8 = 1 THEN 'LOCATED' WHEN k % 8 = 2 THEN 'SOME' ELSE 'FULL' END AS response_type,
-  CAST(CASE WHEN k % 50 = 49 THEN 3 WHEN k % 4 = 0 THEN 2 WHEN k % 4 = 1 THEN 7 WHEN k % 4 = 2 THEN -1 ELSE 3 END AS BIGINT) AS expiry_seconds,
-  CASE WHEN k % 50 = 49 THEN 'malformed request' ELSE nullif(concat_ws(', ', {_SETTING_ERROR.format('')},
-    CASE WHEN k % 3 = 0 THEN nullif(concat_ws(', ', {_LOCATION_REASONS.format(_SMALL_RADIUS)}), '') END,
-    CASE k % 9 WHEN 1 THEN {_s(v.SPEC_NO_DATATYPE)} WHEN 2 THEN {_s(v.SPEC_NO_LANG + ', ' + v.SPEC_NO_KEY)}
-      WHEN 4 THEN {_s(v.SPEC_NO_VALUE)} END), '') END AS error
-FROM base"""),
-    "q_search_project": _with(f"""SELECT host_id, twin_id, CAST(6 AS BIGINT) AS n_properties,
-  CAST(2 AS BIGINT) AS n_stored, CAST(0 AS BIGINT) AS n_values, CAST({_N_INPUTS} AS BIGINT) AS n_inputs FROM base"""),
+    "q_search_defaults": _with(f"""{_REQUESTS}FROM base"""),
+    "q_search_project": _with(f"""SELECT host_id, twin_id, {_PROPS_SHOWN} AS properties, {_feeds_shown()} AS feeds,
+  {_inputs_shown()} AS inputs FROM base"""),
     "q_response_type": _with(f"""SELECT k AS request_id,
   CASE k % 3 WHEN 0 THEN 'FULL' WHEN 1 THEN 'LOCATED' ELSE 'MINIMAL' END AS response_type, host_id, twin_id,
   CASE WHEN k % 3 = 1 THEN lat END AS lat, CASE WHEN k % 3 = 1 THEN lon END AS lon,
-  CAST(CASE WHEN k % 3 = 0 THEN 6 ELSE 0 END AS BIGINT) AS n_properties,
-  CAST(CASE WHEN k % 3 = 0 THEN 5 ELSE 0 END AS BIGINT) AS n_feeds,
-  CAST(CASE WHEN k % 3 = 0 THEN {_N_INPUTS} ELSE 0 END AS BIGINT) AS n_inputs FROM base"""),
+  CASE WHEN k % 3 = 0 THEN {_PROPS_SHOWN} ELSE '' END AS properties, CASE WHEN k % 3 = 0 THEN {_feeds_shown()} ELSE '' END AS feeds,
+  {_inputs_shown()} AS inputs FROM base"""),
     "q_search_flatten": _with("SELECT doc_id AS response_id, host_id, twin_id FROM base WHERE doc_id % 10 <> 0"),
     "q_bounded_results": """SELECT user_id AS request_id, event_id, ts AS responded_at
 FROM events JOIN customer ON user_id = c_custkey
@@ -223,9 +256,9 @@ UNION ALL SELECT DISTINCT doc_id, CAST(NULL AS BIGINT), {NULL}, {NULL}, {_s(v.DO
   CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM base WHERE doc_id % 50 = 49"""),
     "q_twin_parse": _with(f"""SELECT k AS c_custkey,
   CASE WHEN parse_error IS NULL THEN host_id END AS host_id, CASE WHEN parse_error IS NULL THEN twin_id END AS twin_id,
-  CASE WHEN parse_error IS NULL THEN CAST(CASE WHEN k % 6 = 0 THEN 0 WHEN k % 29 = 0 THEN 5 ELSE 6 END AS BIGINT) END AS n_properties,
-  CASE WHEN parse_error IS NULL THEN CAST(CASE WHEN k % 13 = 0 THEN 0 ELSE 5 END AS BIGINT) END AS n_feeds,
-  CASE WHEN parse_error IS NULL THEN CAST({_N_INPUTS} AS BIGINT) END AS n_inputs, parse_error AS error FROM fault""", _TWIN_FAULT),
+  CASE WHEN parse_error IS NULL THEN CASE WHEN k % 6 = 0 THEN '' WHEN k % 29 = 0 THEN {_PROPS_UNNAMED} ELSE {_PROPS_SHOWN} END END AS properties,
+  CASE WHEN parse_error IS NULL THEN CASE WHEN k % 13 = 0 THEN '' ELSE {_feeds_shown(_LABELS_DECLARED)} END END AS feeds,
+  CASE WHEN parse_error IS NULL THEN {_inputs_shown()} END AS inputs, parse_error AS error FROM fault""", _TWIN_FAULT),
     "q_twin_json": _with("""SELECT twin_id, host_id, c_name AS label, 'en' AS comment_lang,
   'true' AS signup_stored, FALSE AS has_null FROM base"""),
     "q_find_property": _with(f"""SELECT twin_id, CAST(k AS VARCHAR) AS identifier, comment,
@@ -284,7 +317,8 @@ FROM customer""",
   build_error AS error, CASE WHEN build_error IS NULL THEN {_s(data.LOCAL_HOST)} END AS host_id,
   CASE WHEN build_error IS NULL THEN {_ID.format('k')} END AS twin_id
 FROM (SELECT k, {_BUILD_ERROR} AS build_error FROM fault)""", _TWIN_FAULT),
-    "q_describe": _with(f"SELECT host_id, twin_id, {_SHAPE} FROM base"),
+    "q_describe": _with(f"""SELECT host_id, twin_id, {_PROPS_SHOWN} AS properties, {_feeds_shown(labelled=False)} AS feeds,
+  {_inputs_shown(False)} AS inputs FROM base"""),
     "q_describe_lookup": _with(f"""SELECT k AS request_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failure' END AS route, error,
   CASE WHEN error IS NULL THEN twin_id END AS described_id,
   CASE WHEN k % 8 = 3 THEN twin_id WHEN k % 8 = 5 THEN twin_id || 'x' END AS input_id, error AS document_error,
@@ -307,9 +341,10 @@ FROM (SELECT *, CASE k % 8 WHEN 3 THEN {_s(v.HOST_ID_MISSING)} WHEN 4 THEN {_s(v
   CASE WHEN k % 4 = 0 THEN c_name WHEN k % 10 = 5 THEN c_name || ' v3' WHEN k % 5 = 0 THEN c_name || ' v2' ELSE c_name END AS label FROM base"""),
     "q_upsert_stream": _with(f"""SELECT {_s(data.LOCAL_HOST)} AS host_id, {_ID.format('k')} AS twin_id,
   CAST(CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS batch, c_name AS label FROM base"""),
-    "q_upsert_ports": _with(f"""SELECT twin_id, 'feed' AS kind, feed_id AS port_id, store_last, CAST(0 AS BIGINT) AS n_properties,
-  CAST({_N_DECLARED} AS BIGINT) AS n_values, CASE WHEN k % 7 <> 0 THEN 'value' END AS first_label FROM base, feeds
-UNION ALL SELECT twin_id, 'input', 'control', CAST(NULL AS BOOLEAN), CAST(0 AS BIGINT), CAST(0 AS BIGINT), {NULL}
+    "q_upsert_ports": _with(f"""SELECT twin_id, 'feed' AS kind, feed_id AS port_id, store_last, CAST(1 AS BIGINT) AS n_properties,
+  CAST({_N_DECLARED} AS BIGINT) AS n_values, CASE WHEN k % 7 <> 0 THEN 'value' END AS first_label,
+  {_s(v.RDFS_LABEL)} AS first_key, feed_id AS first_text FROM base, feeds
+UNION ALL SELECT twin_id, 'input', 'control', CAST(NULL AS BOOLEAN), CAST(1 AS BIGINT), CAST(0 AS BIGINT), {NULL}, {_s(v.RDFS_LABEL)}, 'control'
 FROM base WHERE k % 3 = 0""", _FEEDS),
     "q_feed_values": _with(f"""SELECT host_id, twin_id, feed_id, value_pos, 'value' AS label, 'double' AS data_type, 'event value' AS comment
 FROM base, feeds, (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) AS n(value_pos) WHERE value_pos < {_N_DECLARED}""", _FEEDS),

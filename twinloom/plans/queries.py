@@ -66,6 +66,21 @@ def _prop(key: str) -> Column:
     return props.find_property(F.col("properties"), key)
 
 
+def _shown(properties: Column) -> Column:
+    """The whole content of a list of properties as one text."""
+    return F.array_join(F.transform(properties, lambda p: F.concat_ws(
+        "|", p["key"], p["value"], p["type"], F.coalesce(p["lang"], F.lit("")), F.coalesce(p["dataType"], F.lit(""))
+    )), ";")
+
+
+def _ports_shown(ports: Column) -> Column:
+    """The whole content of a list of ports as one text."""
+    return F.array_join(F.transform(ports, lambda p: F.concat_ws(
+        "/", p["id"], p["storeLast"].cast("string"), _shown(p["properties"]),
+        F.array_join(F.transform(p["values"], lambda v: v["label"]), "+"),
+    )), ";")
+
+
 # --- Search -------------------------------------------------------------------
 
 
@@ -73,10 +88,28 @@ def q_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = searching.search(data.twins(spark, sf_dir), _requests(spark, data.SEARCH_REQUESTS))
     return searching.response(found).select(
         "request_id", "response_type", "host_id", "twin_id", "lat", "lon",
-        _big(F.size("properties")).alias("n_properties"), _big(F.size("feeds")).alias("n_feeds"),
+        _shown(F.col("properties")).alias("properties"), _ports_shown(F.col("feeds")).alias("feeds"),
     )
 
 
+def _many(spark: SparkSession, sf_dir: str, **sizes: int) -> DataFrame:
+    """The twins found by a table of requests, one of each customer."""
+    requests = searching.parse_requests(
+        data.request_documents(spark, sf_dir), data.SEARCH_DEFAULTS, data.LOCAL_HOST
+    ).drop("content")
+    found = searching.search(data.twins(spark, sf_dir), requests, **sizes)
+    return found.select("request_id", "host_id", "twin_id")
+
+
+def q_search_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _many(spark, sf_dir)
+
+
+def q_search_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many requests as no executor should be sent: neither side is broadcast."""
+    return _many(spark, sf_dir, max_rows=0)
+
+
 def q_search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     twins = data.twins(spark, sf_dir)
     found = twins.where(searching.text_matches(F.col("properties"), F.lit(SEARCH_TEXT)))
@@ -124,10 +157,8 @@ def q_search_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = data.twins(spark, sf_dir).select(searching.search_projection(twin_struct()).alias("t"))
     return shown.select(
         F.col("t.hostId").alias("host_id"), F.col("t.id").alias("twin_id"),
-        _big(F.size("t.properties")).alias("n_properties"),
-        _big(F.size(F.filter("t.feeds", lambda f: f["storeLast"]))).alias("n_stored"),
-        _big(F.size(F.flatten("t.feeds.values"))).alias("n_values"),
-        _big(F.size("t.inputs")).alias("n_inputs"),
+        _shown(F.col("t.properties")).alias("properties"), _ports_shown(F.col("t.feeds")).alias("feeds"),
+        _ports_shown(F.col("t.inputs")).alias("inputs"),
     )
 
 
@@ -137,8 +168,8 @@ def q_response_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = asked.withColumn("response_type", F.get(kinds, (F.col("c_custkey") % 3).cast("int")))
     return searching.response(typed).select(
         "request_id", "response_type", "host_id", "twin_id", "lat", "lon",
-        _big(F.size("properties")).alias("n_properties"), _big(F.size("feeds")).alias("n_feeds"),
-        _big(F.size("inputs")).alias("n_inputs"),
+        _shown(F.col("properties")).alias("properties"), _ports_shown(F.col("feeds")).alias("feeds"),
+        _ports_shown(F.col("inputs")).alias("inputs"),
     )
 
 
@@ -182,13 +213,10 @@ def q_twin_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_twin_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = docs.parse_twins(data.twin_documents(spark, sf_dir))
 
-    def count(name: str) -> Column:
-        return _big(F.when(F.col("twin").isNotNull(), F.size(F.col("twin")[name])))
-
     return parsed.select(
         "c_custkey", F.col("twin.hostId").alias("host_id"), F.col("twin.id").alias("twin_id"),
-        count("properties").alias("n_properties"), count("feeds").alias("n_feeds"),
-        count("inputs").alias("n_inputs"), "error",
+        _shown(F.col("twin.properties")).alias("properties"), _ports_shown(F.col("twin.feeds")).alias("feeds"),
+        _ports_shown(F.col("twin.inputs")).alias("inputs"), "error",
     )
 
 
@@ -394,19 +422,12 @@ def q_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Describe, reshape, upsert ---------------------------------------------------
 
 
-def _shape(twin: str) -> list[Column]:
-    return [
-        _big(F.size(f"{twin}.properties")).alias("n_properties"),
-        _big(F.size(f"{twin}.feeds")).alias("n_feeds"),
-        _big(F.size(F.filter(f"{twin}.feeds", lambda f: f["storeLast"]))).alias("n_stored"),
-        _big(F.size(F.flatten(f"{twin}.feeds.values"))).alias("n_values"),
-        _big(F.size(f"{twin}.inputs")).alias("n_inputs"),
-    ]
-
-
 def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = data.twins(spark, sf_dir).select(describing.describe_projection(twin_struct()).alias("t"))
-    return shown.select(F.col("t.hostId").alias("host_id"), F.col("t.id").alias("twin_id"), *_shape("t"))
+    return shown.select(
+        F.col("t.hostId").alias("host_id"), F.col("t.id").alias("twin_id"), _shown(F.col("t.properties")).alias("properties"),
+        _ports_shown(F.col("t.feeds")).alias("feeds"), _ports_shown(F.col("t.inputs")).alias("inputs"),
+    )
 
 
 def q_describe_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,12 +524,14 @@ def q_upsert_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     feeds = sent.select("twin_id", F.lit("feed").alias("kind"), F.explode("u.feeds").alias("p")).select(
         "twin_id", "kind", F.col("p.id").alias("port_id"), F.col("p.storeLast").alias("store_last"),
         _big(F.size("p.properties")).alias("n_properties"), _big(F.size("p.values")).alias("n_values"),
-        F.get("p.values", F.lit(0))["label"].alias("first_label"),
+        F.get("p.values", F.lit(0))["label"].alias("first_label"), F.get("p.properties", F.lit(0))["key"].alias("first_key"),
+        F.get("p.properties", F.lit(0))["stringLiteralValue"]["value"].alias("first_text"),
     )
     inputs = sent.select("twin_id", F.lit("input").alias("kind"), F.explode("u.inputs").alias("p")).select(
         "twin_id", "kind", F.col("p.id").alias("port_id"), F.lit(None).cast("boolean").alias("store_last"),
         _big(F.size("p.properties")).alias("n_properties"), _big(F.size("p.values")).alias("n_values"),
-        F.get("p.values", F.lit(0))["label"].alias("first_label"),
+        F.get("p.values", F.lit(0))["label"].alias("first_label"), F.get("p.properties", F.lit(0))["key"].alias("first_key"),
+        F.get("p.properties", F.lit(0))["stringLiteralValue"]["value"].alias("first_text"),
     )
     return feeds.unionByName(inputs)
 

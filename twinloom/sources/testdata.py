@@ -47,10 +47,12 @@ def _value(label: str, content: Column | None = None) -> Column:
 
 
 def _ports(ids: list[tuple[str, bool]], values: Column) -> Column:
-    nothing = F.array().cast(f"array<{model.PROPERTY}>")
+    def label(port_id: str) -> Column:
+        return F.array(flat(F.lit(vocab.RDFS_LABEL), F.lit(port_id), "StringLiteral"))
+
     return F.array(*[
         F.struct(
-            F.lit(port_id).alias("id"), nothing.alias("properties"),
+            F.lit(port_id).alias("id"), label(port_id).alias("properties"),
             F.lit(stored).alias("storeLast"), values.alias("values"),
         )
         for port_id, stored in ids

@@ -1,6 +1,7 @@
 """Publishing, following and upserting, in batches and as streams."""
 
 import json
+from pathlib import Path
 from collections import Counter
 from datetime import datetime, timedelta
 
@@ -277,3 +278,14 @@ def test_twin_tables(spark, sf_dir, tmp_path):
 
 def test_the_shared_folder_is_the_one_set(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-") and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from twinloom.session import materialize, scratch_scope
+
+    with scratch_scope(spark):
+        inner = materialize(spark.range(5), "kept-in-scope")
+        files = inner.inputFiles()
+        assert inner.count() == 5 and files
+    outer = materialize(spark.range(3), "kept")
+    assert outer.count() == 3 and not any(Path(f.removeprefix("file:")).exists() for f in files)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_open_scopes: list[list[str]] = []
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -46,7 +49,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, never used before."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _open_scopes[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that were put into the shared folder within it.
+
+    Results are lazy and read those tables: write or collect them inside the scope.
+    """
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        conf = spark._jsc.hadoopConfiguration()
+        for path in _open_scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -47,8 +47,14 @@ def test_pieces_of_all_documents(spark, library):
 def test_pieces_of_hard_rows(spark, library):
     docs = documents(spark, HARD)
     model = pieces.read_model(queries.PIECE_MODEL)
-    rows = docs.select("text", pieces.encoded(docs["text"], model).alias("p")).collect()
-    assert [r.p for r in rows] == [None if r.text is None else library.encode(r.text) for r in rows]
+    rows = pieces.encode_documents(docs.drop("ids"), model, ["doc_id", "text"], check=True).collect()
+    assert len(rows) == len(HARD)
+    for row in rows:
+        ids = None if row.text is None else library.encode(row.text)
+        assert row.ids == ids and row.n_ids == (None if ids is None else len(ids)) and row.round_trip in (None, True)
+    again = pieces.encode_documents(docs.drop("ids"), model, ["text"])
+    assert all(r.text == r.back for r in again.select("text", pieces.decoded(F.col("ids"), model).alias("back")).collect())
+    assert pieces.encode_documents(docs.limit(0), model, ["doc_id"]).collect() == []
 
 
 def test_unigram_scores_are_summed():

@@ -34,6 +34,7 @@ class LanguageConfig:
 
     dictionary_bytes: int = 1 << 15
     rows: int = 400
+    parts: int = 64
     most_languages: int = 1000
     block_bytes: int = 512
     level: int = 13
@@ -54,10 +55,15 @@ def learn_dictionaries(labelled: DataFrame, config: LanguageConfig = LanguageCon
         F.xxhash64(F.col("text").cast("string")).alias("hash"),
     ).filter("lang is not null and text is not null and text != ''")
     texts = named.groupBy("lang", "hash").agg(F.min(F.octet_length("text")).alias("size"))
-    order = Window.partitionBy("lang").orderBy(
-        F.col("size") > config.dictionary_bytes // 16, "hash"
-    )
-    chosen = texts.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= config.rows)
+    order = (F.col("size") > config.dictionary_bytes // 16, F.col("hash"))
+
+    def first(rows: DataFrame, *by: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("at", place).filter(F.col("at") <= config.rows)
+
+    # A language may have most of the texts: first the best of parts of it, then of these.
+    parted = texts.withColumn("part", F.pmod("hash", F.lit(config.parts)))
+    chosen = first(first(parted, "lang", "part"), "lang")
     keys = chosen.select("lang", "hash", "at").limit(config.rows * config.most_languages + 1).collect()
     if len(keys) > config.rows * config.most_languages:
         raise ValueError(f"more than {config.most_languages} languages")

@@ -29,7 +29,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BLANK = "▁"
 ODD = 0x9E3779B97F4A7C15
@@ -45,7 +46,7 @@ class PieceModel:
 
     pieces: list[str]
     scores: list[float]
-    special: frozenset[int]  # control, unknown and byte pieces: never matched in a text
+    special: frozenset[int]  # control, unknown, byte and unreachable pieces: never matched in a text
     byte_ids: dict[int, int]
     unknown: int
     merges: bool
@@ -67,6 +68,9 @@ def read_model(path: str, merges: bool = True) -> PieceModel:
     special = frozenset(
         i for i in ids if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)
     )
+    if merges:  # a piece that merging does not lead to is never met
+        rank = {pieces[i]: sp.get_score(i) for i in ids if i not in special}
+        special |= {i for i in ids if pieces[i] in rank and merge(list(pieces[i]), rank) != [pieces[i]]}
     return PieceModel(pieces, [sp.get_score(i) for i in ids], special, byte_ids, sp.unk_id(), merges)
 
 
@@ -99,12 +103,26 @@ def merge(symbols: list[str], rank: dict[str, float]) -> list[str]:
     return [p for p in parts if p is not None]
 
 
+class Numbered(dict):
+    """Numbers words in the order they are first met, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 @dataclass
 class PieceCoder:
     model: PieceModel
     #: Words remembered at most; the memory is emptied when full, which changes no result.
-    most_words: int = 400_000
-    known: dict[str, int] = field(default_factory=dict)
+    most_words: int = 300_000
+    most_pairs: int = 1_000_000
+    known: Numbered = field(default_factory=lambda: Numbered())
 
     split = re.compile(rf"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 
@@ -131,14 +149,14 @@ class PieceCoder:
         self._forget()
         self.plain = [
             bytes([int(p[3:5], 16)]) if i in model.byte_ids.values()
-            else b"" if i in model.special else p.replace(BLANK, " ").encode()
+            else b"" if p in ("<s>", "</s>", "<unk>") and i in model.special else p.replace(BLANK, " ").encode()
             for i, p in enumerate(model.pieces)
         ]
 
     def _forget(self) -> None:
-        self.known.clear()
+        self.known = Numbered()
         self.flat = np.empty(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
+        self.begin, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
 
     @staticmethod
     def _mix(points: np.ndarray) -> np.ndarray:
@@ -161,6 +179,8 @@ class PieceCoder:
         keys = left * len(self.model.pieces) + right
         slots = ((keys.astype(np.uint64) * self.odd) >> np.uint64(64 - SLOTS)).astype(np.int64)
         new = np.flatnonzero(self.slot_keys[slots] != keys)
+        if len(self.pairs) > self.most_pairs:
+            self.pairs.clear()
         answers = self.slot_may[slots]
         for k in new.tolist():
             key = int(keys[k])
@@ -171,15 +191,15 @@ class PieceCoder:
             answers[k] = may
         return answers
 
-    def viterbi(self, points: np.ndarray) -> list[list[int]]:
-        """Ids of words given as rows of code points, all of one length."""
+    def viterbi(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words given as rows of code points, all of one length: one after the other, and how many of each."""
         rows, size = points.shape
         merges = self.model.merges
         mixed = self._mix(points)
         codes = np.zeros((rows, self.longest), np.uint64)  # of the substrings that end here, by length
         best = np.full((rows, size + 1), -np.inf)
         best[:, 0] = 0.0
-        last = np.full((rows, size + 1), -1, np.int64)  # piece that ends here; -2: a character by its bytes
+        last = np.full((rows, size + 1), -1, np.int64)  # piece that ends here; below -1: a character by its bytes
         back = np.zeros((rows, size + 1), np.int32)
         for end in range(1, size + 1):
             codes[:, 1:] = codes[:, :-1] * self.odd + mixed[:, end - 1, None]
@@ -209,87 +229,135 @@ class PieceCoder:
             lost = np.flatnonzero(lost & ((best[:, end] == -np.inf) | (not merges)))
             by_bytes = best[lost, end - 1] - (0.0 if merges else 1e6)
             lost, by_bytes = lost[by_bytes > best[lost, end]], by_bytes[by_bytes > best[lost, end]]
-            best[lost, end], last[lost, end], back[lost, end] = by_bytes, -2, end - 1
-        last_of, back_of, found = last.tolist(), back.tolist(), []
-        for k in range(rows):
-            ids: list[int] = []
-            end, pieces, starts = size, last_of[k], back_of[k]
-            while end:
-                if pieces[end] >= 0:
-                    ids.append(pieces[end])
-                else:
-                    ids += [self.model.byte_ids[b] for b in reversed(chr(points[k, end - 1]).encode())]
-                end = starts[end]
-            found.append(ids[::-1])
-        return found
+            best[lost, end], back[lost, end] = by_bytes, end - 1
+            last[lost, end] = -2 - points[lost, end - 1].astype(np.int64)
+        return self._backwards(last, back)
+
+    def _backwards(self, last: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Follows the pointers of all words at once, from their ends."""
+        rows, size = len(last), last.shape[1] - 1
+        found = np.full((rows, size), -1, np.int64)
+        row, end = np.arange(rows), np.full(rows, size)
+        for column in range(size - 1, -1, -1):  # the last piece comes to stand last
+            found[row, column] = last[row, end]
+            end = back[row, end]
+            row, end = row[end > 0], end[end > 0]
+            if not len(row):
+                break
+        used = found != -1
+        ids, sizes = found[used], used.sum(axis=1)
+        lost = np.flatnonzero(ids < 0)
+        if len(lost):
+            spelled = [[self.model.byte_ids[b] for b in chr(-2 - i).encode()] for i in ids[lost].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[lost] = [len(x) for x in spelled]
+            owner = np.repeat(np.arange(rows), sizes)
+            sizes = np.bincount(owner, weights=times, minlength=rows).astype(np.int64)
+            wide = np.repeat(ids, times)
+            wide[wide < 0] = list(chain.from_iterable(spelled))
+            ids = wide
+        return ids, sizes
 
     def possible_single(self, points: np.ndarray) -> np.ndarray:
         """Whether a character is a piece."""
         return self._lookup(self._mix(points)) >= 0
 
-    def _learn(self, words: list[str]) -> None:
-        by_length: dict[int, list[str]] = {}
-        for word in words:
-            by_length.setdefault(len(word), []).append(word)
-        ids: list[list[int]] = []
-        for length, group in sorted(by_length.items()):
+    def _learn(self) -> None:
+        """Ids of the words met for the first time, in the order of their numbers."""
+        words, self.known.new = self.known.new, []
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        ids, sizes, at = [self.flat], np.empty(len(words), np.int64), 0
+        starts = np.flatnonzero(np.diff(lengths[order], prepend=0))
+        for first, end in zip(starts, [*starts[1:], len(words)]):
+            length = int(lengths[order[first]])
             step = max(1, ROWS_TIMES_LENGTH // max(length, self.longest))
-            for at in range(0, len(group), step):
-                some = group[at : at + step]
-                points = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)
-                ids += self.viterbi(points.reshape(len(some), length))
-                self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        added = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-        self.flat = np.concatenate([self.flat, added])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        prefix = BLANK if self.model.dummy_prefix else ""
-        cut = [
-            self.split.findall(prefix + text.replace(" ", BLANK)) if text else [] for text in texts
-        ]
+            for at in range(first, end, step):
+                some = order[at : min(at + step, end)]
+                points = np.frombuffer("".join([words[i] for i in some.tolist()]).encode("utf-32-le"), np.uint32)
+                found, sizes[some] = self.viterbi(points.reshape(len(some), length))
+                ids.append(found.astype(np.int32))
+        # Words of a length lie together; each word's number says where.
+        begin = np.empty(len(words), np.int64)
+        begin[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
+        self.flat = np.concatenate(ids)
+        self.begin = np.concatenate([self.begin, begin])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has; null has none."""
         if len(self.known) > self.most_words:
             self._forget()
-        new = {word for words in cut for word in words if word not in self.known}
-        if new:
-            self._learn(sorted(new))
-        found: list[np.ndarray | None] = []
-        for text, words in zip(texts, cut):
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            begin, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            take = np.arange(total) + np.repeat(begin - (ends - sizes), sizes)
-            found.append(None if text is None else self.flat[take])
-        return found
+        prefix = BLANK if self.model.dummy_prefix else ""
+        numbers, words_of = [], np.zeros(len(texts) + 1, np.int64)
+        number = self.known.__getitem__
+        for k, text in enumerate(texts):
+            words = self.split.findall(prefix + text.replace(" ", BLANK)) if text else []
+            numbers += map(number, words)
+            words_of[k + 1] = len(numbers)
+        if self.known.new:
+            self._learn()
+        at = np.array(numbers, np.int64)
+        begin, sizes = self.begin[at], self.sizes[at]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        take = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], sizes)
+        return self.flat[take], np.diff(ends[words_of])
 
-    def decode(self, ids: np.ndarray | list[int] | None) -> str | None:
-        if ids is None:
-            return None
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        flat, sizes = self.encode_flat(texts)
+        parts = np.split(flat, np.cumsum(sizes)[:-1]) if texts else []
+        return [None if text is None else part for text, part in zip(texts, parts)]
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
         plain = self.plain
-        text = b"".join([plain[i] for i in np.asarray(ids, np.int64).tolist()]).decode(errors="replace")
-        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
+        raw = b"".join([plain[i] for i in ids])
+        return raw[1:] if self.model.dummy_prefix and raw.startswith(b" ") else raw
+
+    def decode(self, ids: np.ndarray | list[int] | None) -> str | None:
+        return None if ids is None else self.decode_bytes(np.asarray(ids, np.int64).tolist()).decode(errors="replace")
 
 
 #: Texts encoded together; bounds the words of a batch.
 TOGETHER = 500
 
 
-def encoded(text: Column, model: PieceModel) -> Column:
-    """Piece ids of each text."""
+def encode_documents(docs: DataFrame, model: PieceModel, keep: list[str], check: bool = False) -> DataFrame:
+    """``ids`` and ``n_ids`` of each row's ``text``, beside the columns ``keep``.
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = PieceCoder(model)
-        for batch in batches:
-            texts = [None if t is None else str(t) for t in batch]
-            ids: list = []
-            for at in range(0, len(texts), TOGETHER):
-                ids += coder.encode(texts[at : at + TOGETHER])
-            yield pd.Series(ids, dtype=object)
+    With ``check`` also ``round_trip``: whether the ids decode to the text.
+    """
+    kept = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    names = [f.name for f in kept.schema.fields[:-1]]
+    more = ["ids", "n_ids", *(["round_trip"] if check else [])]
 
-    return encode(text.cast("string"))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = PieceCoder(model)
+        blank = BLANK.encode()
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(at, TOGETHER)
+                texts = batch.column(len(names)).to_pylist()
+                flat, sizes = coder.encode_flat(texts)
+                none = pa.array([text is None for text in texts])
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                columns = [
+                    *batch.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=none),
+                    pa.array(sizes.astype(np.int32), mask=none.to_numpy(zero_copy_only=False)),
+                ]
+                if check:
+                    ids = flat.tolist()
+                    columns.append(pa.array([
+                        None if text is None
+                        else coder.decode_bytes(ids[a:b]) == text.encode().replace(blank, b" ")
+                        for text, a, b in zip(texts, ends.tolist(), ends[1:].tolist())
+                    ], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *more])
+
+    schema = T.StructType([
+        *kept.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("n_ids", T.IntegerType()), *([T.StructField("round_trip", T.BooleanType())] if check else []),
+    ])
+    return kept.mapInArrow(encode, schema)
 
 
 def decoded(ids: Column, model: PieceModel) -> Column:

@@ -85,11 +85,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it."""
     model = pieces.read_model(PIECE_MODEL)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", pieces.encoded(F.col("text"), model))
-    again = coded.withColumn("again", pieces.decoded(F.col("ids"), model))
-    same = F.col("again").eqNullSafe(F.translate("text", pieces.BLANK, " "))
-    return again.select("doc_id", F.size("ids").alias("n_ids"), same.alias("round_trip"), "ids")
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), model, ["doc_id"], check=True)
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

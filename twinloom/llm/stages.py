@@ -38,5 +38,4 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encoded documents: ``doc_id, lang, source, ids, n_ids``."""
-    coded = docs.withColumn("ids", piece.encoded(docs["text"], piece.read_model(PIECE_MODEL)))
-    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_ids"))
+    return piece.encode_documents(docs, piece.read_model(PIECE_MODEL), ["doc_id", "lang", "source"])

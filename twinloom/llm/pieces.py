@@ -326,7 +326,7 @@ def encode_documents(docs: DataFrame, model: PieceModel, keep: list[str], check:
 
     With ``check`` also ``round_trip``: whether the ids decode to the text.
     """
-    kept = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    kept = docs.select(*keep, F.col("text").cast("string").alias("_encoded_text"))
     names = [f.name for f in kept.schema.fields[:-1]]
     more = ["ids", "n_ids", *(["round_trip"] if check else [])]
 

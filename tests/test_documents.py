@@ -20,11 +20,11 @@ def tolerant(spark, *texts):
 
 def test_tolerant_parse(spark):
     rows = tolerant(
-        spark, '{"hostId":"12345678","id":"0987654","feeds":[]}',
+        spark, '{"hostId":"host-7","id":"twin-q","feeds":[]}',
         '{"id":"i","feeds":[{"id":"a","storeLast":true,"values":[{"label":"op","value":true}]},{"id":"b","values":{}}],"inputs":{"id":"x"}}',
         '{"id":"i","feeds":[{"properties":[]}]}', '{"id":"i","inputs":[5]}', '[{"id":"i"}]', '{"id":"i","prop', "null",
         '{"id":null,"unknown":1}', '{"id":"i","feeds":[{"id":"a","values":[1]}]}')
-    assert tuple(rows[0][0]) == ("12345678", "0987654", [], [], [])
+    assert tuple(rows[0][0]) == ("host-7", "twin-q", [], [], [])
     feeds = rows[1][0]["feeds"]
     assert feeds[0]["storeLast"] and feeds[0]["values"][0]["value"] == "true" and feeds[1]["values"] == [] and not feeds[1]["storeLast"]
     assert rows[1][0]["inputs"] == []
@@ -75,26 +75,26 @@ def test_twins_are_built_or_have_a_reason(spark):
 
 
 def test_a_record_becomes_a_twin(spark):
-    record = spark.createDataFrame([("1", "Toyota", "Camry", "Red")], "ID string, Make string, Model string, Colour string")
+    record = spark.createDataFrame([("1", "Norlund", "Heron", "Teal")], "ID string, Yard string, Class string, Colour string")
     rules = reshape.TwinRules([
         reshape.PropertyRule(vocab.IDENTIFIER, "StringLiteral", "ID"), reshape.PropertyRule("color", "StringLiteral", "Colour"),
-        reshape.PropertyRule("gone", "StringLiteral", "NoColumn"), reshape.PropertyRule(vocab.RDFS_LABEL, "StringLiteral", "Label", "A car"),
+        reshape.PropertyRule("gone", "StringLiteral", "NoColumn"), reshape.PropertyRule(vocab.RDFS_LABEL, "StringLiteral", "Label", "A boat"),
         reshape.PropertyRule(vocab.HOST_ALLOW_LIST, "Uri", default=vocab.ALLOW_NONE),
     ], feeds=[{"id": "status", "storeLast": True}])
-    labelled = reshape.concat_default(record, "Label", ["Make", "Model", "ID"])
+    labelled = reshape.concat_default(record, "Label", ["Yard", "Class", "ID"])
     twin = reshape.reshape_twin(labelled, rules).first()["twin"]
     assert [(p["key"], p["value"]) for p in twin["properties"]] == [
-        (vocab.IDENTIFIER, "1"), ("color", "Red"), ("gone", None), (vocab.RDFS_LABEL, "Toyota Camry 1"), (vocab.HOST_ALLOW_LIST, vocab.ALLOW_NONE)]
+        (vocab.IDENTIFIER, "1"), ("color", "Teal"), ("gone", None), (vocab.RDFS_LABEL, "Norlund Heron 1"), (vocab.HOST_ALLOW_LIST, vocab.ALLOW_NONE)]
     assert twin["feeds"][0]["id"] == "status" and twin["inputs"] == []
-    assert reshape.reshape_twin(record, rules).first()["twin"]["properties"][3]["value"] == "A car"
+    assert reshape.reshape_twin(record, rules).first()["twin"]["properties"][3]["value"] == "A boat"
 
 
 def test_casts_keep_text_that_is_no_number_or_boolean(spark):
-    rows = spark.createDataFrame([("5", "TRUE"), ("x", "1"), (None, None)], "Units string, isOperational string")
-    rules = reshape.LinkedRules({"Units": "http://u"}, "http://t", ("Units",), ("isOperational",))
+    rows = spark.createDataFrame([("5", "TRUE"), ("x", "1"), (None, None)], "Berths string, Afloat string")
+    rules = reshape.LinkedRules({"Berths": "http://u"}, "http://t", ("Berths",), ("Afloat",))
     got = [json.loads(r["document"]) for r in reshape.reshape_linked(rows, rules).collect()]
-    assert [(d.get("Units"), d.get("isOperational")) for d in got] == [(5, True), ("x", "1"), (None, None)]
-    assert got[0]["@type"] == "http://t" and got[0]["@context"] == {"Units": "http://u"}
+    assert [(d.get("Berths"), d.get("Afloat")) for d in got] == [(5, True), ("x", "1"), (None, None)]
+    assert got[0]["@type"] == "http://t" and got[0]["@context"] == {"Berths": "http://u"}
 
 
 @pytest.mark.parametrize("few", [True, False])

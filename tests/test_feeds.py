@@ -27,7 +27,7 @@ def feed(*values, **more):
 
 
 PUBLISHED = [
-    {"id": "t", "feeds": [feed(("isOperational", True))]}, {"id": "t", "feeds": [feed(), feed(("a", "1"), ("b", "2"))]},
+    {"id": "t", "feeds": [feed(("isOpen", True))]}, {"id": "t", "feeds": [feed(), feed(("a", "1"), ("b", "2"))]},
     {"id": "t", "feeds": [{"id": "f"}]}, {"id": "t", "feeds": [feed(("a", "1"), ("a", "2"))]}, {"id": "t", "feeds": [feed(("a", None))]},
     {"feeds": [feed(("a", "1"))]}, {"id": "t", "feeds": [{"values": [{"label": "a", "value": "1"}]}]}, {"id": "t"}, {"id": "t", "feeds": []}, "{",
 ]
@@ -39,7 +39,7 @@ def test_publish_routes(spark):
     assert [(r["doc_id"], r["route"], r["error"]) for r in rows] == [
         (0, "success", None), (1, "skipped", None), (1, "success", None), (2, "failure", vocab.VALUES_MISSING), (3, "failure", vocab.LABEL_DUPLICATE),
         (4, "failure", vocab.VALUE_NULL), (5, "failure", vocab.TWIN_ID_MISSING), (6, "failure", vocab.FEED_ID_MISSING), (7, "failure", vocab.FEEDS_MISSING)]
-    assert json.loads(rows[0]["payload"]) == {"isOperational": "true"} and json.loads(rows[2]["payload"]) == {"a": "1", "b": "2"}
+    assert json.loads(rows[0]["payload"]) == {"isOpen": "true"} and json.loads(rows[2]["payload"]) == {"a": "1", "b": "2"}
     assert json.loads(rows[0]["document"])["id"] == "t" and rows[1]["document"] is None
     assert json.loads(rows[4]["document"]) == {"twin": PUBLISHED[3], "error": vocab.LABEL_DUPLICATE}
     status = {r["doc_id"]: r for r in publish.document_status(docs_).collect()}
@@ -47,6 +47,12 @@ def test_publish_routes(spark):
     assert (status[1]["n_feeds"], status[1]["n_success"], status[1]["n_skipped"]) == (2, 1, 1)
 
 
+def test_the_status_of_a_document_needs_no_shuffle(spark):
+    parsed = docs.parse_documents(spark.createDataFrame([(1, "[]")], "doc_id int, content string"))
+    plan = publish.document_status(parsed)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_values_are_set_by_label(spark):
     values = [("a", None, None, "1"), ("a", None, None, "2"), ("b", None, None, "3")]
     rows = spark.createDataFrame([(values, {"a": "new", "zz": "x"})], f"v array<{model.VALUE}>, c map<string,string>")
@@ -152,7 +158,7 @@ def test_followers_are_twins(spark):
     assert [(p["key"], p["value"], p["type"]) for p in row["properties"]] == [
         (vocab.HOST_ALLOW_LIST, vocab.ALLOW_ALL, "Uri"), (vocab.RDF_TYPE, "myType", "Uri"),
         (vocab.RDFS_LABEL, "myLabel", "StringLiteral"), (vocab.RDFS_COMMENT, "myComment", "StringLiteral")]
-    assert row["feeds"][0]["id"] == "status" and [p["value"] for p in row["feeds"][0]["properties"]] == ["OperationalStatus", "Current operational status of this twin"]
+    assert row["feeds"][0]["id"] == "status" and [p["value"] for p in row["feeds"][0]["properties"]] == [vocab.FOLLOWER_FEED_LABEL, vocab.FOLLOWER_FEED_COMMENT]
     assert json.loads(row["payload"]) == {"isOperational": True}
 
 
@@ -230,7 +236,7 @@ def test_documents_stream_into_sinks(spark, tmp_path):
     assert route.route_counts(spark.read.parquet(str(tmp_path / "out"))).where("route = 'success'").first()["n"] == 2
 
     doc_streams.start_share(keyed, str(tmp_path / "shares"), str(tmp_path / "p4")).awaitTermination()
-    assert sorted(json.loads(r["p"])["isOperational" if "is" in r["p"] else "a"] for r in spark.read.parquet(str(tmp_path / "shares"))
+    assert sorted(json.loads(r["p"])["isOpen" if "is" in r["p"] else "a"] for r in spark.read.parquet(str(tmp_path / "shares"))
                   .select(docs.bytes_text(F.col("payload")).alias("p")).collect()) == ["1", "true"]
 
     twins = upsert.read_newest(spark, store).select("host_id", "twin_id", "properties", "feeds", "inputs")

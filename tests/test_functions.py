@@ -22,13 +22,13 @@ def evaluate(spark, values, function, kind="string"):
 # --- Dates, times and URIs ----------------------------------------------------
 
 DATE_TEXTS = [
-    "2024-05-07", "15:24:00", "2024-05-07T15:24:00", "2024-05-07T15:24:00+02:00", "2024-05-07T15:24:00Z",
-    "foo", "2024-02-30", "2024-02-29", "2023-02-29", "2024", "25:00:00", "15:24", "15:24:00.123456789",
-    "15:24:00.1234567890", "15:24:00.", "2024-05-07T15:24:00+02:00[Europe/Paris]", "2024-05-07T15:24[Europe/Paris]",
-    "2024-05-07T15:24:00+02", "2024-05-07T15:24:00+0200", "2024-05-07t15:24:00z", "2024-05-07T15:24:00+18:00",
-    "2024-05-07T15:24:00+18:01", "2024-05-07T24:00:00", "+12345-01-01", "12345-01-01", "-0001-01-01", "-0000-01-01",
-    "0000-01-01", "2024-13-01", "2024-00-10", "2024-04-31", "1900-02-29", "2000-02-29", "2024-05-07T15:24:00+02:00[Foo/Bar]",
-    "", " 2024-05-07", "2024-5-7", "2024-05-07 15:24:00", "2024-05-07T15", "2024-05-07T15:24:00+02:00:30",
+    "2031-11-23", "06:41:00", "2031-11-23T06:41:00", "2031-11-23T06:41:00+02:00", "2031-11-23T06:41:00Z",
+    "foo", "2024-02-30", "2024-02-29", "2023-02-29", "2024", "25:00:00", "06:41", "06:41:00.123456789",
+    "06:41:00.1234567890", "06:41:00.", "2031-11-23T06:41:00+02:00[Europe/Paris]", "2031-11-23T06:41[Europe/Paris]",
+    "2031-11-23T06:41:00+02", "2031-11-23T06:41:00+0200", "2031-11-23t06:41:00z", "2031-11-23T06:41:00+18:00",
+    "2031-11-23T06:41:00+18:01", "2031-11-23T24:00:00", "+12345-01-01", "12345-01-01", "-0001-01-01", "-0000-01-01",
+    "0000-01-01", "2024-13-01", "2024-00-10", "2024-04-31", "1900-02-29", "2000-02-29", "2031-11-23T06:41:00+02:00[Foo/Bar]",
+    "", " 2031-11-23", "2024-5-7", "2031-11-23 06:41:00", "2031-11-23T15", "2031-11-23T06:41:00+02:00:30",
 ]
 
 
@@ -152,7 +152,7 @@ D = vocab.DID_PREFIX
 
 def test_allow_lists(spark):
     texts = [vocab.ALLOW_ALL, vocab.ALLOW_NONE, f" {D}1, {D}2 ", f" {D}1, ,, ,{D}2, ", f"\t{D}1\n",
-             f"{D}1,did:wot:z,{D}2", ", ,,, ,, , ,, ,", "ksjfzgfhisu", "", None, f"{D}1,\u2003,{D}2"]
+             f"{D}1,urn:elsewhere:7,{D}2", " ,, , ", "qqq", "", None, f"{D}1,\u2003,{D}2"]
     assert evaluate(spark, texts, checks.allow_list) == [
         vocab.ALLOW_ALL, vocab.ALLOW_NONE, f"{D}1,{D}2", f"{D}1,{D}2", f"{D}1", None, None, None, None, None, f"{D}1,{D}2"]
 

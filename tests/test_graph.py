@@ -11,9 +11,9 @@ from twinloom.operators import chunks, graph, jsonld
 
 SCHEMA = vocab.SCHEMA_ORG
 CAR = {
-    "@context": {"isOperational": "http://x/op", "Units": "https://x/units", "label": "rdfs:label", "ID": vocab.IDENTIFIER,
+    "@context": {"afloat": "http://x/op", "Units": "https://x/units", "label": "rdfs:label", "ID": vocab.IDENTIFIER,
                  "rdfs": "http://www.w3.org/2000/01/rdf-schema#", "Make": SCHEMA + "manufacturer"},
-    "@type": SCHEMA + "Car", "ID": "1", "Make": "Toyota", "isOperational": True, "Units": 5, "label": "Toyota Camry 1", "Comment": "no term",
+    "@type": SCHEMA + "Car", "ID": "1", "Make": "Norlund", "afloat": True, "Units": 5, "label": "Norlund Heron 1", "Comment": "no term",
 }
 
 
@@ -25,8 +25,8 @@ def quads_of(spark, *documents):
 def test_a_flat_document_becomes_quads(spark):
     quads = jsonld.default_graph(jsonld.explode_quads(quads_of(spark, CAR))).orderBy("pos").collect()
     assert [(q["p"], q["o"], (q["datatype"] or "").removeprefix(vocab.XSD)) for q in quads] == [
-        (vocab.RDF_TYPE, SCHEMA + "Car", ""), ("http://schema.org/identifier", "1", "string"), (SCHEMA + "manufacturer", "Toyota", "string"),
-        ("http://www.w3.org/2000/01/rdf-schema#label", "Toyota Camry 1", "string"), ("http://x/op", "true", "boolean"), ("https://x/units", "5", "integer")]
+        (vocab.RDF_TYPE, SCHEMA + "Car", ""), ("http://schema.org/identifier", "1", "string"), (SCHEMA + "manufacturer", "Norlund", "string"),
+        ("http://www.w3.org/2000/01/rdf-schema#label", "Norlund Heron 1", "string"), ("http://x/op", "true", "boolean"), ("https://x/units", "5", "integer")]
     assert {q["s"] for q in quads} == {jsonld.BLANK}
 
 
@@ -115,7 +115,7 @@ def test_a_document_without_identifier_is_in_error(spark):
 
 def graph_twins(spark):
     def twin(i):
-        properties = [(vocab.RDF_TYPE, SCHEMA + ("Car" if i % 3 else "Van"), "Uri", None, None), ("name", ["Bob", "Eve"][i % 2], "StringLiteral", None, None),
+        properties = [(vocab.RDF_TYPE, SCHEMA + ("Car" if i % 3 else "Van"), "Uri", None, None), ("name", ["Imke", "Odd"][i % 2], "StringLiteral", None, None),
                       ("owner", f"t{(i * 7) % 12}", "Uri", None, None), ("size", str(i % 4), "Literal", None, "integer")]
         return ("h", f"t{i}", properties + properties[1:2])
     return spark.createDataFrame([twin(i) for i in range(12)], f"host_id string, twin_id string, properties array<{model.PROPERTY}>")
@@ -141,11 +141,11 @@ def solved(df):
 
 I, L = graph.iri, graph.literal
 PATTERNS = {
-    "star": [("?c", I(vocab.RDF_TYPE), I(SCHEMA + "Car")), ("?c", I("name"), L("Bob"))],
-    "values": [("?c", I("size"), "?n"), ("?c", I("name"), L("Eve"))],
+    "star": [("?c", I(vocab.RDF_TYPE), I(SCHEMA + "Car")), ("?c", I("name"), L("Imke"))],
+    "values": [("?c", I("size"), "?n"), ("?c", I("name"), L("Odd"))],
     "two subjects": [("?c", I("owner"), "?o"), ("?o", I(vocab.RDF_TYPE), I(SCHEMA + "Van"))],
     "same value": [("?a", I("owner"), I("t0")), ("?a", I("size"), "?n"), ("?b", I("size"), "?n")],
-    "predicate": [("?c", "?p", L("Bob"))],
+    "predicate": [("?c", "?p", L("Imke"))],
     "constant subject": [(I("t3"), "?p", "?o")],
     "loop": [("?c", I("owner"), "?c")],
 }

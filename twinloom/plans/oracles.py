@@ -189,13 +189,12 @@ _FOLLOW = _with(
     f"SELECT {_FOLLOWER} AS follower_twin_id, event_id, {_SHARE_COLUMNS} FROM shares WHERE {_INTERESTED}", _SHARES
 )
 
-_MANUFACTURER, _MODEL, _UNITS = (_s(v.SCHEMA_ORG + x) for x in ("manufacturer", "model", "units"))
 _UNITS_TEXT = "CASE WHEN k % 3 = 0 THEN CAST(k AS VARCHAR) || 'x' ELSE CAST(k AS VARCHAR) END"
-_RECORD_PROPS = ((v.IDENTIFIER, "CAST(k AS VARCHAR)", "StringLiteral"), (v.SCHEMA_ORG + "manufacturer", "CASE WHEN k % 9 <> 0 THEN c_mktsegment END", "StringLiteral"),
-    (v.SCHEMA_ORG + "model", "n_name", "StringLiteral"), (v.SCHEMA_ORG + "units", _UNITS_TEXT, "StringLiteral"),
-    (v.RDFS_COMMENT, "CASE WHEN k % 5 <> 0 THEN 'Well maintained' END", "StringLiteral"), (v.HOST_ALLOW_LIST, _s(v.ALLOW_NONE), "Uri"),
-    (v.RDFS_LABEL, "CASE WHEN k % 7 = 0 THEN c_name WHEN k % 9 = 0 THEN 'A car' ELSE c_mktsegment || ' ' || n_name || ' ' || k END", "StringLiteral"),
-    (v.RDF_TYPE, _s(v.SCHEMA_ORG + "Car"), "Uri"))
+_RECORD_PROPS = ((v.IDENTIFIER, "CAST(k AS VARCHAR)", "StringLiteral"), (v.SCHEMA_ORG + "category", "CASE WHEN k % 9 <> 0 THEN c_mktsegment END", "StringLiteral"),
+    (v.SCHEMA_ORG + "areaServed", "n_name", "StringLiteral"), (v.SCHEMA_ORG + "quantity", _UNITS_TEXT, "StringLiteral"),
+    (v.RDFS_COMMENT, "CASE WHEN k % 5 <> 0 THEN 'Served monthly' END", "StringLiteral"), (v.HOST_ALLOW_LIST, _s(v.ALLOW_NONE), "Uri"),
+    (v.RDFS_LABEL, "CASE WHEN k % 7 = 0 THEN c_name WHEN k % 9 = 0 THEN 'A customer' ELSE c_mktsegment || ' ' || n_name || ' ' || k END", "StringLiteral"),
+    (v.RDF_TYPE, _s(v.SCHEMA_ORG + "Person"), "Uri"))
 
 _REQUESTS = f"""SELECT k AS request_id,
   CASE WHEN k % 50 = 49 THEN NULL WHEN k % 5 = 0 THEN c_name WHEN k % 5 = 1 THEN ' ' END AS text,
@@ -326,13 +325,13 @@ FROM (SELECT k, {_BUILD_ERROR} AS build_error FROM fault)""", _TWIN_FAULT),
 FROM (SELECT *, CASE k % 8 WHEN 3 THEN {_s(v.HOST_ID_MISSING)} WHEN 4 THEN {_s(v.TWIN_ID_MISSING)}
   WHEN 5 THEN {_s(v.TWIN_UNKNOWN)} END AS error FROM base)"""),
     "q_reshape_twin": _with("\nUNION ALL ".join(
-        f"SELECT CAST(k AS VARCHAR) AS id, 'status' AS feed_id, CAST(0 AS BIGINT) AS n_inputs, "
+        f"SELECT CAST(k AS VARCHAR) AS id, 'orders' AS feed_id, CAST(0 AS BIGINT) AS n_inputs, "
         f"CAST({i} AS BIGINT) AS pos, {_s(key)} AS key, {value} AS value, {_s(kind)} AS type FROM base"
         for i, (key, value, kind) in enumerate(_RECORD_PROPS)
     )),
     "q_reshape_jsonld": _with(f"""SELECT CAST(k AS VARCHAR) AS id,
   CASE WHEN k % 4 IN (0, 1) THEN 'BOOLEAN' WHEN k % 4 = 2 THEN 'STRING' END AS operational_type,
-  CASE k % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN '1' END AS operational, {_UNITS_TEXT} AS units,
+  CASE k % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN '1' END AS operational, {_UNITS_TEXT} AS quantity,
   CASE WHEN k % 3 = 0 THEN {XSD_STRING} ELSE {_s(v.XSD + 'integer')} END AS units_type,
   CAST(3 AS BIGINT) AS n_quads, {NULL} AS error FROM base"""),
     "q_identity": f"SELECT c_custkey, {_ID.format('c_name')} AS twin_id FROM customer",

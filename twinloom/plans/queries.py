@@ -35,20 +35,20 @@ FOLLOWED = {"type": {"properties": [WANTED[0]]}}
 RECORD_RULES = reshape.TwinRules(
     properties=[
         reshape.PropertyRule(vocab.IDENTIFIER, "StringLiteral", "ID"),
-        reshape.PropertyRule(vocab.SCHEMA_ORG + "manufacturer", "StringLiteral", "Make"),
-        reshape.PropertyRule(vocab.SCHEMA_ORG + "model", "StringLiteral", "Model"),
-        reshape.PropertyRule(vocab.SCHEMA_ORG + "units", "StringLiteral", "Units"),
-        reshape.PropertyRule(vocab.RDFS_COMMENT, "StringLiteral", "Comment"),
+        reshape.PropertyRule(vocab.SCHEMA_ORG + "category", "StringLiteral", "Segment"),
+        reshape.PropertyRule(vocab.SCHEMA_ORG + "areaServed", "StringLiteral", "Country"),
+        reshape.PropertyRule(vocab.SCHEMA_ORG + "quantity", "StringLiteral", "Quantity"),
+        reshape.PropertyRule(vocab.RDFS_COMMENT, "StringLiteral", "Remark"),
         reshape.PropertyRule(vocab.HOST_ALLOW_LIST, "Uri", default=vocab.ALLOW_NONE),
-        reshape.PropertyRule(vocab.RDFS_LABEL, "StringLiteral", "Label", "A car"),
-        reshape.PropertyRule(vocab.RDF_TYPE, "Uri", default=vocab.SCHEMA_ORG + "Car"),
+        reshape.PropertyRule(vocab.RDFS_LABEL, "StringLiteral", "Title", "A customer"),
+        reshape.PropertyRule(vocab.RDF_TYPE, "Uri", default=vocab.SCHEMA_ORG + "Person"),
     ],
-    feeds=[{"id": "status", "storeLast": True, "properties": [],
-            "values": [{"label": "isOperational", "dataType": "boolean"}]}],
+    feeds=[{"id": "orders", "storeLast": True, "properties": [],
+            "values": [{"label": "open", "dataType": "boolean"}]}],
 )
 LINKED_RULES = reshape.LinkedRules(
-    context={"ID": vocab.IDENTIFIER, "Units": vocab.SCHEMA_ORG + "units"},
-    type=vocab.SCHEMA_ORG + "Car", integers=("Units",), booleans=("isOperational",),
+    context={"ID": vocab.IDENTIFIER, "Quantity": vocab.SCHEMA_ORG + "quantity"},
+    type=vocab.SCHEMA_ORG + "Person", integers=("Quantity",), booleans=("Active",),
 )
 
 
@@ -326,7 +326,7 @@ def q_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(rest == 0, F.lit(vocab.ALLOW_ALL)).when(rest == 1, F.lit(vocab.ALLOW_NONE))
         .when(rest == 2, F.concat(F.lit(" \t"), did, "c_name", F.lit(" , ,, ,"), did, F.lit("2,\n ")))
-        .when(rest == 3, F.concat(did, "c_name", F.lit(",did:wot:z,"), did, F.lit("2")))
+        .when(rest == 3, F.concat(did, "c_name", F.lit(",urn:elsewhere:7,"), did, F.lit("2")))
         .when(rest == 4, F.lit(", ,,, ,, , ,, ,")).when(rest == 5, F.col("c_name"))
         .when(rest == 6, F.lit(""))
     )
@@ -448,17 +448,17 @@ def q_describe_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return data.customers(spark, sf_dir).select(
-        key.cast("string").alias("ID"), F.when(key % 9 != 0, F.col("c_mktsegment")).alias("Make"), F.col("n_name").alias("Model"),
-        F.when(key % 3 == 0, F.concat(key.cast("string"), F.lit("x"))).otherwise(key.cast("string")).alias("Units"),
+        key.cast("string").alias("ID"), F.when(key % 9 != 0, F.col("c_mktsegment")).alias("Segment"), F.col("n_name").alias("Country"),
+        F.when(key % 3 == 0, F.concat(key.cast("string"), F.lit("x"))).otherwise(key.cast("string")).alias("Quantity"),
         F.when(key % 4 == 0, F.lit("TRUE")).when(key % 4 == 1, F.lit("false")).when(key % 4 == 2, F.lit("1"))
-        .alias("isOperational"),
-        F.when(key % 5 != 0, F.lit("Well maintained")).alias("Comment"),
-        F.when(key % 7 == 0, F.col("c_name")).alias("Label"),
+        .alias("Active"),
+        F.when(key % 5 != 0, F.lit("Served monthly")).alias("Remark"),
+        F.when(key % 7 == 0, F.col("c_name")).alias("Title"),
     )
 
 
 def q_reshape_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = reshape.concat_default(_records(spark, sf_dir), "Label", ["Make", "Model", "ID"])
+    labelled = reshape.concat_default(_records(spark, sf_dir), "Title", ["Segment", "Country", "ID"])
     twins = reshape.reshape_twin(labelled, RECORD_RULES)
     rows = twins.select(
         "ID", F.get("twin.feeds", F.lit(0))["id"].alias("feed_id"),
@@ -473,12 +473,12 @@ def q_reshape_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_reshape_jsonld(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = reshape.reshape_linked(_records(spark, sf_dir), LINKED_RULES).select("ID", "document")
     quads = jsonld.to_quads(linked.select(F.col("ID").alias("doc_id"), F.col("document").alias("content")))
-    operational = F.try_variant_get(F.try_parse_json("content"), "$.isOperational", "variant")
+    operational = F.try_variant_get(F.try_parse_json("content"), "$.Active", "variant")
     return quads.select(
         F.col("doc_id").alias("id"), F.schema_of_variant(operational).alias("operational_type"),
         F.try_variant_get(operational, "$", "string").alias("operational"),
-        F.get(F.filter("quads", lambda q: q["p"] == vocab.SCHEMA_ORG + "units"), F.lit(0))["o"].alias("units"),
-        F.get(F.filter("quads", lambda q: q["p"] == vocab.SCHEMA_ORG + "units"), F.lit(0))["datatype"].alias("units_type"),
+        F.get(F.filter("quads", lambda q: q["p"] == vocab.SCHEMA_ORG + "quantity"), F.lit(0))["o"].alias("quantity"),
+        F.get(F.filter("quads", lambda q: q["p"] == vocab.SCHEMA_ORG + "quantity"), F.lit(0))["datatype"].alias("units_type"),
         _big(F.size("quads")).alias("n_quads"), "error",
     )
 

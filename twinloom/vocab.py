@@ -42,9 +42,9 @@ BAD_ALLOW_LIST_DEFAULT = "invalid default for allow list value: "
 
 FOLLOWER_FEED = "status"
 FOLLOWER_FEED_LABEL = "OperationalStatus"
-FOLLOWER_FEED_COMMENT = "Current operational status of this twin"
+FOLLOWER_FEED_COMMENT = "Whether the followed twin is at work"
 FOLLOWER_VALUE_LABEL = "isOperational"
-FOLLOWER_VALUE_COMMENT = "true if operational"
+FOLLOWER_VALUE_COMMENT = "true while it is"
 FOLLOWER_PAYLOAD = '{"isOperational":true}'
 
 # --- Texts of this engine's own -------------------------------------------

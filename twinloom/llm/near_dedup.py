@@ -51,7 +51,7 @@ class NearConfig:
     batch: int = 32
     miss: float = 1e-7
     #: Documents left over after the stars that may have a rare shingle; changes the work, not the links.
-    rare: int = 32
+    rare: int = 64
 
 
 def least_matches(compared: int, similarity: float, miss: float) -> int:

@@ -39,5 +39,7 @@ def test_reading_stops_early():
     vectors = rng.integers(-3, 4, (512, 4)).astype(np.int64)
     vectors[5], vectors[9] = [90, 90, 90, 90], [80, 80, 80, 80]
     block = topk.Block(np.arange(512), vectors)
-    ids, scores = block.best(np.array([1, 1, 1, 1]), -1, topk.TopKConfig(k=2))
+    (ids, scores), (others, _) = block.best(np.array([[1, 1, 1, 1], [-1, -1, -1, -1]]), np.array([-1, 7]), topk.TopKConfig(k=2))
     assert ids.tolist() == [5, 9] and scores.tolist() == [360, 320]
+    want = sorted((int(vectors[i].sum()), i) for i in range(512) if i != 7)[:2]
+    assert others.tolist() == [i for _, i in want]

@@ -11,7 +11,7 @@ Defined results: components become floor(256 * x). Vectors that are null, empty,
 non-finite component take no part, nor do rows without an id. Vectors meet only others of their
 own length. Rows with the query's id are not its candidates. Rows that repeat a query's id and
 vector are one query; repeated candidate rows each count. Ties go to the smaller id. Exact while
-no inner product reaches 2**63.
+no sum of products reaches 2**53, beyond which bounds would round.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ class TopKConfig:
     block: int = 4096
     group: int = 2048
     #: Shares of the lists after which bounds are compared.
-    depths: tuple[float, ...] = (1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8)
+    depths: tuple[float, ...] = (1 / 4, 1 / 2, 3 / 4, 7 / 8)
+    #: Queries whose bounds are held at once.
+    together: int = 256
 
 
 def quantized(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -57,27 +59,43 @@ class Block:
         self.rank = np.empty_like(places, np.int32)
         np.put_along_axis(self.rank, places, np.arange(rows, dtype=np.int32)[:, None], axis=0)
 
-    def best(self, query: np.ndarray, own: int, config: TopKConfig) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best; own rows left out."""
-        alive = np.flatnonzero(self.ids != own)
+    def best(
+        self, queries: np.ndarray, owns: np.ndarray, config: TopKConfig
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and scores of the ``k`` best for each query, its own rows left out."""
+        found = []
+        for at in range(0, len(queries), config.together):
+            found += self._best(queries[at : at + config.together], owns[at : at + config.together], config)
+        return found
+
+    def _best(self, queries: np.ndarray, owns: np.ndarray, config: TopKConfig) -> list:
+        """All queries read their lists to the same depth; a list is read from above where the query is
+        positive and from below where it is negative, so each bound is a product for either sign."""
         rows = len(self.ids)
-        up = query >= 0
-        last = np.where(up, self.sorted[0], self.sorted[-1]) * query
+        up, down = np.maximum(queries, 0).T.astype(float), np.minimum(queries, 0).T.astype(float)
+        alive = self.ids[:, None] != owns[None, :]
+        vectors = self.vectors.astype(float)
         for share in config.depths:
-            if len(alive) <= 4 * config.k:
+            if (alive.sum(axis=0) <= 4 * config.k).all():
                 break
             depth = int(rows * share)
-            following = np.where(up, self.sorted[rows - 1 - depth], self.sorted[depth]) * query
-            rank = self.rank[alive]
-            read = np.where(up, rank >= rows - depth, rank < depth)
-            parts = np.where(read, self.vectors[alive] * query, 0).sum(axis=1)
-            unread = ~read
-            lower, upper = parts + unread @ last, parts + unread @ following
-            kth = np.partition(lower, len(lower) - config.k)[len(lower) - config.k]
-            alive = alive[upper >= kth]
-        scores = self.vectors[alive] @ query
-        order = np.lexsort((self.ids[alive], -scores))[: config.k]
-        return self.ids[alive][order], scores[order]
+            high, low = (self.rank >= rows - depth), (self.rank < depth)  # what has been read
+            parts = (vectors * high) @ up + (vectors * low) @ down
+            above, below = (~high).astype(float), (~low).astype(float)
+            first, last = self.sorted[0][:, None], self.sorted[-1][:, None]
+            lower = parts + above @ (up * first) + below @ (down * last)
+            following = self.sorted[rows - 1 - depth][:, None], self.sorted[depth][:, None]
+            upper = parts + above @ (up * following[0]) + below @ (down * following[1])
+            lower[~alive] = -np.inf
+            if rows >= config.k:
+                alive &= upper >= np.partition(lower, rows - config.k, axis=0)[rows - config.k]
+        found = []
+        for k, query in enumerate(queries):
+            left = np.flatnonzero(alive[:, k])
+            scores = self.vectors[left] @ query
+            order = np.lexsort((self.ids[left], -scores))[: config.k]
+            found.append((self.ids[left][order], scores[order]))
+        return found
 
 
 def top_k(
@@ -103,10 +121,10 @@ def top_k(
         found: dict[str, list] = {"query_id": [], "vec_id": [], "score": [], "query": []}
         if len(candidates) and len(queries):
             block = Block(candidates["vec_id"].to_numpy(), np.stack(candidates["vector"].to_numpy()))
-            for own, query in zip(queries["vec_id"], queries["vector"]):
-                ids, scores = block.best(np.asarray(query), own, config)
-                found["query_id"] += [own] * len(ids)
-                found["query"] += [hash(tuple(query))] * len(ids)
+            asked, owns = np.stack(queries["vector"].to_numpy()), queries["vec_id"].to_numpy()
+            for own, query, (ids, scores) in zip(owns, asked, block.best(asked, owns, config)):
+                found["query_id"] += [int(own)] * len(ids)
+                found["query"] += [hash(tuple(query.tolist()))] * len(ids)
                 found["vec_id"] += ids.tolist()
                 found["score"] += scores.tolist()
         return pd.DataFrame(found).astype("int64")

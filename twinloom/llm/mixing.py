@@ -6,7 +6,9 @@ p the expected tokens of domain d are sum(r * w * p[d]). Rates start at 1 and fo
 descent on half the sum of (expected - target)**2 / present over the domains: each step subtracts
 from every rate the sum of p[d] * (expected - target)[d] / present[d] and cuts at 0. (The gradient
 is taken in the metric of the tokens, where its largest eigenvalue is 1, so a step of 1 is
-safe.) A step needs one sum for each domain from all documents; the numbers of a step, not the documents, pass through the driver.
+safe.) Scaled by how the totals bend with each other a step goes further, straight to the targets where no
+rate is cut; it is taken where it brings the sum down, else the plain one. A step needs a few sums over all documents; the numbers of a step, not
+the documents, pass through the driver.
 
 Defined results: a null or empty text has no tokens and weighs nothing, but gets probabilities and a rate. Without
 labelled documents all domains are equally likely; with one labelled domain it is certain. A domain
@@ -18,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -148,29 +151,48 @@ def fit_rates(
     share = [w / sum(weights.values()) for w in weights.values()]
     parts = [F.col("_posterior")[d] for d in range(len(domains))]
 
-    def expected(df: DataFrame) -> list[float]:
-        sums = [F.coalesce(F.sum(F.col("rate") * F.col("tokens") * p), F.lit(0.0)) for p in parts]
-        return list(df.agg(*sums).first())
+    size = len(domains)
+
+    def measure(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens of each domain, and how these change with each other's rates (of rates above 0)."""
+        used = F.col("tokens") * F.when(F.col("rate") > 0, 1.0).otherwise(0.0)
+        sums = [F.sum(F.col("rate") * F.col("tokens") * p) for p in parts]
+        sums += [F.sum(used * p * q) for p in parts for q in parts]
+        found = np.array([v or 0.0 for v in df.agg(*sums).first()])
+        return found[:size], found[size:].reshape(size, size)
 
     rated = posteriors.withColumn("rate", F.lit(1.0))
-    present = reached = expected(rated)
-    total = sum(present)
+    reached, curvature = measure(rated)
+    present = reached
+    total = float(present.sum())
     if keep is not None:
-        total = present[domains.index(keep)] / share[domains.index(keep)]
-    target = [s * total for s in share]
+        total = float(present[domains.index(keep)]) / share[domains.index(keep)]
+    target = np.array(share) * total
     steps: list[list[float]] = []
-    while len(steps) < config.steps:
-        off = [r - t for r, t in zip(reached, target)]
-        if max(map(abs, off), default=0) <= config.tolerance * total:
-            break
-        steps.append([o / p if p else 0.0 for o, p in zip(off, present)])
-        taken = sum(p * F.lit(s) for p, s in zip(parts, steps[-1]))
-        rated = rated.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - taken))
-        if len(steps) % config.keep_after == 0:
-            rated = materialize(rated, "mix-rates")
-        before, reached = reached, expected(rated)
-        if max(abs(a - b) for a, b in zip(before, reached)) <= config.tolerance * total / 100:
-            break  # the rest of the way is barred: a target cannot be reached with nonnegative rates
+    scaled = True
+    while len(steps) < config.steps and np.abs(reached - target).max() > config.tolerance * total:
+        off = reached - target
+        plain = np.divide(off, present, out=np.zeros(size), where=present > 0)
+        # Scaled by the curvature the step would be exact, were no rate cut at 0.
+        step = np.linalg.lstsq(curvature, off, rcond=1e-12)[0] if scaled else plain
+        taken = sum(p * F.lit(float(v)) for p, v in zip(parts, step))
+        moved = rated.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - taken))
+        if (len(steps) + 1) % config.keep_after == 0:
+            moved = materialize(moved, "mix-rates")
+        now, bend = measure(moved)
+
+        def miss(sums: np.ndarray) -> float:
+            return float(np.divide((sums - target) ** 2, present, out=np.zeros(size), where=present > 0).sum())
+
+        if miss(now) >= miss(reached) * (1 - 1e-9):
+            if not scaled:
+                break  # the rest of the way is barred: a target cannot be reached with nonnegative rates
+            scaled = False
+            continue
+        scaled = True
+        steps.append([float(v) for v in step])
+        rated, reached, curvature = moved, now, bend
+    present, target, reached = (x.tolist() for x in (present, target, reached))
     return Mix(domains, present, target, reached, steps), rated
 
 

@@ -35,6 +35,7 @@ class TopKConfig:
     depths: tuple[float, ...] = (1 / 4, 1 / 2, 3 / 4, 7 / 8)
     #: Queries whose bounds are held at once.
     together: int = 256
+    most_tasks: int = 20_000
 
 
 def quantized(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -130,6 +131,9 @@ def top_k(
         return pd.DataFrame(found).astype("int64")
 
     keys = ["width", "block", "group"]
+    # A meeting costs far more than its bytes tell, so tasks are not put together by size.
+    tasks = min(blocks * groups, config.most_tasks)
+    one, two = one.repartition(tasks, *keys), two.repartition(tasks, *keys)
     found = one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(meet, FOUND + ", query long")
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= config.k)

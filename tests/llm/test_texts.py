@@ -80,6 +80,21 @@ def test_text_of_pages():
         assert html_text.main_text(html_text.parse(html), set()) == text
 
 
+def test_no_name_loses_a_page():
+    story = "<article><h1>T</h1><p>a b c</p></article>"
+    for name in ("class='page has-sidebar'", "id=search-page", "class=no-comments", "class='page search'", "id=comments", "hidden"):
+        for html in (f"<div {name}>{story}</div><p>end</p>", f"<div {name}><main>{story}</main></div>", f"<main><div {name}>{story}</div></main>",
+                     f"<body {name}>{story}", f"<form><div {name}>{story}</div></form>"):
+            assert html_text.main_text(html_text.parse(html), set()) == "T a b c", html
+    for html, text in [
+        ("<html><head><title>t</title><body><article>x</article>", "x"), ("<head><title>t</title><p>x</p>", "x"), ("<head><meta charset=a>x", "x"),
+        ("<div class='page search'><nav>n</nav><p>a b c</p></div><p>end</p>", "a b c end"), ("<div class=search><p>a</p></div>", "a"),
+        ("<form><p>a</p></form>", "a"), ("<p>a b</p><div class=cookie-banner>we use cookies here</div>", "a b"),
+        ("<p>a b c</p><div class=related><article>no</article></div>", "a b c"), ("<article>x</article><section id=comments><article>no no</article></section>", "x"),
+    ]:
+        assert html_text.main_text(html_text.parse(html), set()) == text, html
+
+
 def test_templates_of_a_host_go(spark):
     def page(k):
         return (f"<body><div><a href=/>Home</a> menu</div><div><p>story {k}</p><span>same words {k}</span></div>"

@@ -7,7 +7,9 @@ how many pages of its host each subtree occurs; one that occurs on ``least_pages
 
 A page's text is then what is left of its main part: its ``article`` elements, else ``main``, else
 the body, without templates and without elements that say themselves that they are none of the article (``nav``, ``form``,
-``class="ad"`` and the like), which also covers hosts with few pages. Paragraphs and headings of an
+``class="ad"`` and the like), which also covers hosts with few pages. A name is a whole class, id or role made of
+such words only. It never takes an element that holds the main part, nor one that holds most of the text and a page's own
+parts; and if nothing else would be left, only tags decide. Paragraphs and headings of an
 ``article`` or ``main`` are never taken for templates, as copies of an article repeat them. In a
 bare body they are, unless nothing would be left.
 
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from twinloom.session import materialize
 from twinloom.sizing import broadcast_if, fits
 
-# Fixed lists of element names and of words in class, id and role attributes.
+# Fixed lists of element names, and of the words that class, id and role attributes of asides are made of.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure "
@@ -41,10 +43,12 @@ BLOCKS = set(
 )
 PROSE = set("blockquote dd dl dt figcaption h1 h2 h3 h4 h5 h6 li ol p pre table tbody td th thead tr ul".split())
 INLINE = set("a abbr b bdi bdo cite code data del dfn em i ins kbd mark q s samp small span strong sub sup time u var".split())
-ASIDE = set(
-    "aside audio button canvas dialog footer form head iframe input label math menu nav noscript object script "
-    "select style svg template textarea title video".split()
-)
+#: Nothing below these is text of the page.
+SILENT = set("audio canvas head iframe math noscript object script select style svg template textarea title video".split())
+#: Of these only a form may hold the whole page.
+ASIDE = set("aside button dialog footer form input label menu nav".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 ASIDE_WORDS = set(
     "ad ads adsense advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments "
     "complementary consent contentinfo cookie cookies dialog discussion disqus footer gdpr login masthead menu modal nav navbar "
@@ -67,12 +71,13 @@ class TemplateConfig:
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parts", "hash")
+    __slots__ = ("tag", "attrs", "parts", "hash", "words")
 
     def __init__(self, tag: str, attrs: tuple):
         self.tag, self.attrs = tag, attrs
         self.parts: list = []  # texts and elements, in order
         self.hash = 0
+        self.words = 0  # of the texts below, but for silent ones
 
 
 class TreeBuilder(HTMLParser):
@@ -84,6 +89,7 @@ class TreeBuilder(HTMLParser):
         self.open = [self.root]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_head(tag)
         if tag in ("html", "body") and len(self.open) == 1:
             return
         if tag in CLOSES:
@@ -114,7 +120,14 @@ class TreeBuilder(HTMLParser):
             if self.open[k].tag in holders:
                 return
 
+    def _end_head(self, tag: str) -> None:
+        """A body ends an open head and all left open in it; other elements that belong in no head end it if they are its own."""
+        if len(self.open) > 1 and self.open[1].tag == "head" and (tag == "body" or len(self.open) == 2 and tag not in IN_HEAD):
+            del self.open[1:]
+
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head("")
         self.open[-1].parts.append(data)
 
 
@@ -136,37 +149,93 @@ def _hash(root: Element) -> None:
     for element in reversed(order):
         said = [element.tag, *(f"{k}={v}" for k, v in element.attrs)]
         for part in element.parts:
-            said.append(f"<{part.hash}>" if isinstance(part, Element) else " ".join(part.split()))
+            words = [f"<{part.hash}>"] if isinstance(part, Element) else part.split()
+            said.append(" ".join(words))
+            element.words += part.words if isinstance(part, Element) else len(words)
+        if element.tag in SILENT:
+            element.words = 0
         element.hash = (xxhash.xxh3_64_intdigest("\0".join(said)) >> 1) or 1
 
 
-def _says_aside(element: Element, in_article: bool) -> bool:
-    if element.tag in ASIDE or element.tag == "header" and not in_article:
-        return True
+def _named_aside(element: Element, in_article: bool) -> bool:
+    """Whether it is hidden, or a whole class, id or role is made of words for asides only (``cookie-banner``, not ``no-sidebar``)."""
     for key, value in element.attrs:
         if key in ("class", "id", "role") and value:
-            words = re.split(r"[^a-z0-9]+", value.lower())
-            if not ASIDE_WORDS.isdisjoint(words) or "header" in words and not in_article:
-                return True
+            for token in value.lower().split():
+                words = [w for w in re.split(r"[^a-z0-9]+", token) if w]
+                if words and ASIDE_WORDS.issuperset(words) or words == ["header"] and not in_article:
+                    return True
         elif key == "hidden" or key == "aria-hidden" and value == "true":
             return True
     return False
 
 
+def _tagged_aside(element: Element, in_article: bool) -> bool:
+    return element.tag in SILENT or element.tag in ASIDE or element.tag == "header" and not in_article
+
+
+def _below(element: Element) -> list[Element]:
+    return [p for p in reversed(element.parts) if isinstance(p, Element)]
+
+
+def _outermost(base: list[Element], wanted: str, names: bool) -> list[Element]:
+    """Outermost elements of a tag below ``base``, but for asides; those that are asides by name only count unless ``names``."""
+    found, todo = [], [p for element in reversed(base) for p in _below(element)]
+    while todo:
+        element = todo.pop()
+        if element.tag == wanted and not (names and _named_aside(element, True)):
+            found.append(element)
+        elif element.tag == "form" or not _tagged_aside(element, False):
+            if not (names and _named_aside(element, False)):
+                todo += _below(element)
+    return found
+
+
+def _wraps(element: Element, words: int) -> bool:
+    """Whether it holds most of ``words`` and also a part that only a page has: then no name makes it an aside."""
+    if element.tag in SILENT or 2 * element.words <= words:
+        return False
+    todo = _below(element)
+    while todo:
+        part = todo.pop()
+        if part.tag in ("aside", "footer", "h1", "header", "nav"):
+            return True
+        todo += _below(part)
+    return False
+
+
+def _kept_words(parts: list[Element], in_article: bool) -> int:
+    """Words of ``parts`` outside asides, wherever these are."""
+    words, todo = 0, list(parts)
+    while todo:
+        element = todo.pop()
+        words += sum(len(p.split()) for p in element.parts if isinstance(p, str))
+        todo += [p for p in _below(element) if not _tagged_aside(p, in_article) and not _named_aside(p, in_article)]
+    return words
+
+
+def _dropped(element: Element, in_article: bool, words: int, names: bool) -> bool:
+    """Whether an element of a main part of so many words is an aside; without ``names`` only its tag decides, and no form is one."""
+    by_tag = _tagged_aside(element, in_article)
+    if by_tag and element.tag != "form":
+        return True
+    return names and (by_tag or _named_aside(element, in_article)) and not _wraps(element, words)
+
+
 def _main_parts(root: Element) -> tuple[list[Element], bool]:
-    """Outermost ``article`` elements, else ``main``, else the page; whether it is one of the first two."""
-    for wanted in ("article", "main"):
-        found, todo = [], [root]
-        while todo:
-            element = todo.pop()
-            if element is not root and element.tag == wanted and not _says_aside(element, True):
-                found.append(element)
-                continue
-            if element is root or not _says_aside(element, False):
-                todo += [p for p in reversed(element.parts) if isinstance(p, Element)]
-        if found:
-            return found, True
-    return [root], False
+    """Outermost ``article`` elements, else ``main``, else the page; whether it is one of the first two.
+
+    Names bar the way to an article only while there is another one, or more text outside of what they name.
+    """
+    found = _outermost([root], "article", True)
+    if found:
+        return found, True
+    mains = _outermost([root], "main", True) or _outermost([root], "main", False)
+    base = mains or [root]
+    named = _outermost(base, "article", False)
+    if named and sum(p.words for p in named) > _kept_words(base, bool(mains)):
+        return named, True
+    return base, bool(mains)
 
 
 def candidates(root: Element) -> set[int]:
@@ -188,8 +257,9 @@ def candidates(root: Element) -> set[int]:
 def main_text(root: Element, templates: set[int]) -> str:
     """Text of the main part without templates and asides; blocks are joined by one blank."""
     parts, marked = _main_parts(root)
+    own, words = {id(p) for p in parts}, sum(p.words for p in parts)
 
-    def text(spare_prose: bool) -> str:
+    def text(spare_prose: bool, names: bool) -> str:
         said: list[str] = []
         todo: list = list(reversed(parts))
         while todo:
@@ -197,17 +267,16 @@ def main_text(root: Element, templates: set[int]) -> str:
             if isinstance(part, str):
                 said.append(part)
                 continue
-            whole = part in parts
-            if not whole:
+            if id(part) not in own:
                 prose = part.tag in PROSE or part.tag in INLINE
-                if _says_aside(part, marked) or part.hash in templates and not (prose and spare_prose):
+                if _dropped(part, marked, words, names) or part.hash in templates and not (prose and spare_prose):
                     continue
             edge = [" "] if part.tag in BLOCKS else []
             said += edge
             todo += [*edge, *reversed(part.parts)]
         return " ".join("".join(said).split())
 
-    return text(marked) or text(True)
+    return text(marked, True) or text(True, True) or text(True, False)
 
 
 def host_of(url: Column) -> Column:

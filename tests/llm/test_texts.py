@@ -112,6 +112,37 @@ def test_templates_of_a_host_go(spark):
     assert html_text.with_main_text(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_templates_do_not_depend_on_the_size_of_a_host(spark, small):
+    """A menu of one section in ten and a notice in articles go from a host of 300 pages as from one of 30; copies stay."""
+    def page(k, of):
+        menu = "<div><p>menu of one section</p></div>" if k % of == 0 else ""
+        return f"<article><h1>T {k}</h1><section>{menu}</section><p>story <em>not</em> {k}</p><p>Yes.</p><ul><li>please read our terms</li></ul></article>"
+
+    rows = [(k, "http://big.org/", page(k, 20)) for k in range(300)] + [(1000 + k, "http://small.org/", page(k, 8)) for k in range(30)]
+    rows = [(k, u, h if k % 3 == 0 else h.replace("<p>Yes.</p>", "")) for k, u, h in rows]
+    rows += [(2000 + k, "http://big.org/", "<article><p>one article copied as a whole</p><p>with its second paragraph</p></article>") for k in range(40)]
+    rows += [(3000 + k, "http://big.org/", "<article>" + "".join(f"<p>paragraph {j} of a changed copy</p>" for j in range(6)) + f"<p>version {k}</p></article>") for k in range(12)]
+    rows += [(4000 + k, "http://big.org/", f"<article><h1>changed</h1><p>first {k}</p><p>{'word ' * 40}</p></article>") for k in range(40)]
+    rows += [(None, None, page(7, 8)), (None, "http://big.org/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = html_text.with_main_text(pages, small=small).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r.page_id is None:
+            assert r.text == ("" if r.url else "T 7 story not 7 Yes. please read our terms")
+        elif r.page_id < 2000:
+            k = r.page_id % 1000
+            yes = "" if r.page_id % 3 else " Yes."
+            assert r.text == f"T {k} story not {k}{yes}"
+        elif r.page_id < 3000:
+            assert r.text == "one article copied as a whole with its second paragraph"
+        elif r.page_id >= 4000:
+            assert r.text == f"changed first {r.page_id - 4000}" + " word" * 40
+        else:
+            assert r.text.startswith("paragraph 0 of a changed copy") and r.text.endswith(f"version {r.page_id - 3000}")
+
+
 def test_text_of_the_given_pages(spark):
     import html as entities
 

@@ -1,17 +1,21 @@
 """Main text of web pages: site templates are found by counting, and removed.
 
-Every page becomes a tree of elements, and every subtree a hash of its tags, attributes and words. Spark counts on
-how many pages of its host each subtree occurs; one that occurs on ``least_pages`` pages and on
-``least_share`` of the host's pages is a template. As shares are bounded, a host has no more than
-(elements of its pages) / ``least_share`` templates, one short list a host.
+Every page becomes a tree of elements, and every subtree a hash of its tags, attributes and words. Spark counts, for
+each host and hash, the pages and their distinct main texts; a subtree that occurs with ``enough`` distinct
+texts is a template, however large the host. Hosts of fewer than ``enough`` / ``least_share`` pages do with
+that share of their pages, but ``least_pages`` at least.
 
 A page's text is then what is left of its main part: its ``article`` elements, else ``main``, else
 the body, without templates and without elements that say themselves that they are none of the article (``nav``, ``form``,
 ``class="ad"`` and the like), which also covers hosts with few pages. A name is a whole class, id or role made of
 such words only. It never takes an element that holds the main part, nor one that holds most of the text and a page's own
-parts; and if nothing else would be left, only tags decide. Paragraphs and headings of an
-``article`` or ``main`` are never taken for templates, as copies of an article repeat them. In a
-bare body they are, unless nothing would be left.
+parts; and if nothing else would be left, only tags decide. Templates
+of an ``article`` or ``main`` are counted by themselves, as whole paragraphs, lists and tables, never a cell,
+an item or a word within a line; an ``h1`` stays. Copies of an article have one main text and so count once. A line of fewer than
+``line_words`` words may recur by chance and must be on ``line_share`` of the host's pages. A page most of whose
+paragraphs recur, ``copied`` at least, is a changed copy and keeps them, and so does one of which nothing would be left.
+A block of ``long_words`` words or more is also that of changed copies, and stays, where the texts around it have less than half as many
+titles (their ``h1``, else their longest other block) as there are of them.
 
 Defined results: null or empty html gives an empty text. A page without a host counts for none and only
 loses what says so itself. Broken markup is read as far as it can be; unclosed elements end with
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from twinloom.session import materialize
-from twinloom.sizing import broadcast_if, fits
+from twinloom.sizing import fits
 
 # Fixed lists of element names, and of the words that class, id and role attributes of asides are made of.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,12 +66,18 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 CLOSED_BY_BLOCK = "p"
+COPY_SALTS = 8
 
 
 @dataclass(frozen=True)
 class TemplateConfig:
     least_pages: int = 3
-    least_share: float = 0.1
+    least_share: float = 0.1  # of a small host's pages
+    enough: int = 10
+    line_words: int = 4
+    line_share: float = 0.5
+    copied: int = 4
+    long_words: int = 20
 
 
 class Element:
@@ -238,45 +248,100 @@ def _main_parts(root: Element) -> tuple[list[Element], bool]:
     return base, bool(mains)
 
 
-def candidates(root: Element) -> set[int]:
-    """Hashes of the subtrees that may be templates: all but the page itself, its main part and that part's prose."""
-    parts, marked = _main_parts(root)
-    inside = {id(p) for p in parts} if marked else set()
-    found: set[int] = set()
-    todo = [(p, False) for p in root.parts if isinstance(p, Element)]
-    while todo:
-        element, prose = todo.pop()
-        within = prose or id(element) in inside
-        protected = within and (element.tag in PROSE or element.tag in INLINE or id(element) in inside or element.tag in VOID)
-        if not protected and element.tag not in ("html", "body", "head"):
-            found.add(element.hash)
-        todo += [(p, within) for p in element.parts if isinstance(p, Element)]
-    return found
+#: Prose of a main part is counted apart from the same subtree elsewhere.
+IN_MAIN = 1 << 61
+
+
+def _key(element: Element, alone: bool, in_prose: bool, marked: bool) -> int:
+    """What the subtree counts as, or 0 if it can be no template where it stands.
+
+    ``alone``: no text beside it. ``in_prose``: within a paragraph, list or table. ``marked``: within an article or main.
+    """
+    if element.tag in VOID or element.tag in ("html", "body", "head") or element.tag in INLINE and not alone:
+        return 0
+    if not marked or element.tag not in PROSE and element.tag not in INLINE:
+        return 0 if marked and in_prose else element.hash
+    return 0 if in_prose or element.tag == "h1" else element.hash ^ IN_MAIN
+
+
+def _blocks(element: Element, in_prose: bool) -> tuple[bool, bool]:
+    """Whether what is below stands alone, and whether in prose."""
+    alone = not any(isinstance(p, str) and p.strip() for p in element.parts)
+    return alone, in_prose or element.tag in PROSE or element.tag in INLINE
 
 
-def main_text(root: Element, templates: set[int]) -> str:
+def candidates(root: Element, config: TemplateConfig = TemplateConfig()) -> tuple[int, dict[int, tuple[bool, int]]]:
+    """Hash of the main text, and the subtrees that may be templates.
+
+    Of each: whether it is a short line of the main part, and the title of what is around a long block of it (else the main text).
+    """
+    parts, marked = _main_parts(root)
+    whole = {id(p) for p in parts} if marked else set()
+    own, words = set(whole), sum(p.words for p in parts)
+    elsewhere: set[int] = set()
+    prose: dict[int, int] = {}  # words of the blocks of the main part
+    heads: list[int] = []
+    todo = [(p, _blocks(root, False)[0], False, False) for p in _below(root)]
+    todo += [(p, True, False, False) for p in reversed(parts) if marked]  # also those that an aside holds
+    while todo:
+        element, alone, in_prose, within = todo.pop()
+        if id(element) in whole:
+            if id(element) in own:
+                own.remove(id(element))
+                todo += [(p, _blocks(element, False)[0], False, True) for p in _below(element)]
+            continue
+        if _dropped(element, within, words, True):
+            continue
+        key = _key(element, alone, in_prose, within)
+        if within and element.tag == "h1":
+            heads.append(element.hash)
+        if key and within and (element.tag in PROSE or element.tag in INLINE):
+            prose[key] = element.words
+        elif key:
+            elsewhere.add(key)
+        todo += [(p, *_blocks(element, in_prose), within) for p in _below(element)]
+    text = xxhash.xxh3_64_intdigest(main_text(root, frozenset())) >> 1
+    longest = sorted(prose, key=lambda k: (-prose[k], k))[:2]
+    found = dict.fromkeys(elsewhere, (False, text))
+    for key, size in prose.items():
+        title = heads[0] if heads else next((k for k in longest if k != key), 0)
+        found[key] = size < config.line_words, title if size >= config.long_words else text
+    return text, found
+
+
+def main_text(root: Element, templates: Set[int], copied: int = TemplateConfig.copied) -> str:
     """Text of the main part without templates and asides; blocks are joined by one blank."""
     parts, marked = _main_parts(root)
     own, words = {id(p) for p in parts}, sum(p.words for p in parts)
 
     def text(spare_prose: bool, names: bool) -> str:
         said: list[str] = []
-        todo: list = list(reversed(parts))
+        recur = stay = 0
+        todo: list = [(p, True, False) for p in reversed(parts)]
         while todo:
-            part = todo.pop()
+            part, alone, in_prose = todo.pop()
             if isinstance(part, str):
                 said.append(part)
                 continue
-            if id(part) not in own:
-                prose = part.tag in PROSE or part.tag in INLINE
-                if _dropped(part, marked, words, names) or part.hash in templates and not (prose and spare_prose):
+            whole = id(part) in own
+            prose = part.tag in PROSE or part.tag in INLINE
+            if not whole:
+                if _dropped(part, marked, words, names):
+                    continue
+                key = _key(part, alone, in_prose, marked)
+                if marked and prose and key and part.words:
+                    recur, stay = recur + (key in templates), stay + (key not in templates)
+                if key in templates and not (prose and spare_prose):
                     continue
-            edge = [" "] if part.tag in BLOCKS else []
-            said += edge
-            todo += [*edge, *reversed(part.parts)]
+            edge = [(" ", alone, in_prose)] if part.tag in BLOCKS else []
+            said += [x[0] for x in edge]
+            below = (_blocks(part, False)[0], False) if whole else _blocks(part, in_prose)
+            todo += [*edge, *((p, *below) for p in reversed(part.parts))]
+        if recur >= copied and recur > stay and not spare_prose:
+            return ""
         return " ".join("".join(said).split())
 
-    return text(marked, True) or text(True, True) or text(True, False)
+    return text(False, True) or text(True, True) or text(True, False)
 
 
 def host_of(url: Column) -> Column:
@@ -286,40 +351,73 @@ def host_of(url: Column) -> Column:
 
 
 def site_templates(pages: DataFrame, config: TemplateConfig = TemplateConfig()) -> DataFrame:
-    """``host, templates``: the hashes of the subtrees that recur on a host's pages."""
+    """``host, hash``: the subtrees that recur on a host's pages, a row each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter = Counter()
+            pages_of: Counter = Counter()
             for host, html in zip(batch.column(0), batch.column(1)):
                 host = host.as_py()
-                seen[host, 0] += 1  # pages of the host
-                seen.update((host, h) for h in candidates(parse(html.as_py())))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
-                pa.array(seen.values(), pa.int64()),
-            ], names=["host", "hash", "n"])
+                text, found = candidates(parse(html.as_py()), config)
+                pages_of[host, 0, False, 0, 0] += 1  # pages of the host
+                pages_of.update((host, key, line, text, title) for key, (line, title) in found.items())
+            columns = [[k[j] for k in pages_of] for j in range(5)] + [list(pages_of.values())]
+            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "hash", "line", "text", "title", "n"])
 
     narrow = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).filter("host is not null")
-    counts = narrow.mapInArrow(count, "host string, hash long, n long").groupBy("host", "hash").agg(F.sum("n").alias("n"))
-    counts = materialize(counts.filter(F.col("n") >= config.least_pages), "html-counts")
+    counts = narrow.mapInArrow(count, "host string, hash long, line boolean, text long, title long, n long")
+    # Step by step, so that a text counts once and no key gathers its texts.
+    counts = counts.groupBy("host", "hash", "line", "title", "text").agg(F.sum("n").alias("n"))
+    counts = counts.groupBy("host", "hash", "line", "title").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
+    counts = counts.groupBy("host", "hash", "line").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.count("*").alias("titles"))
+    counts = materialize(counts.filter((F.col("texts") >= config.least_pages) | (F.col("hash") == 0)), "html-counts")
     totals = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
-    often = counts.filter("hash <> 0").join(totals, "host").filter(F.col("n") >= F.col("pages") * config.least_share)
-    return often.groupBy("host").agg(F.collect_list("hash").alias("templates"))
+    share = F.least(F.lit(float(config.enough)), F.greatest(F.lit(float(config.least_pages)), F.col("pages") * config.least_share))
+    often = (F.col("texts") >= share) & (2 * F.col("titles") >= F.col("texts")) & (~F.col("line") | (F.col("n") >= F.col("pages") * config.line_share))
+    return counts.filter("hash <> 0").join(totals, "host").filter(often).select("host", "hash")
 
 
-def with_main_text(pages: DataFrame, config: TemplateConfig = TemplateConfig()) -> DataFrame:
-    """``page_id, url, text`` of every page; templates are those of the same pages."""
+def with_main_text(pages: DataFrame, config: TemplateConfig = TemplateConfig(), small: bool | None = None) -> DataFrame:
+    """``page_id, url, text`` of every page; templates are those of the same pages.
+
+    Few templates (measured, unless ``small`` says) go to every task. Many are joined to the subtrees of pages by host and
+    hash, and each page meets only its own.
+    """
+    found = materialize(site_templates(pages, config), "html-templates")
+    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("_host"))
+    if fits(found) if small is None else small:
+        known: dict[str, set[int]] = {}
+        for row in found.collect():
+            known.setdefault(row["host"], set()).add(row["hash"])
+
+        @F.pandas_udf("string")
+        def extract(html: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for texts, hosts in html:
+                yield pd.Series([
+                    main_text(parse(h), known.get(host, frozenset()), config.copied) for h, host in zip(texts, hosts)
+                ], dtype=object)
+
+        return rows.select("page_id", "url", extract("html", "_host").alias("text"))
+
+    @F.pandas_udf("array<long>")
+    def hashes(html: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in html:
+            yield pd.Series([list(candidates(parse(h), config)[1]) for h in texts], dtype=object)
 
     @F.pandas_udf("string")
-    def extract(html: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def extract_own(html: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, lists in html:
             yield pd.Series([
-                main_text(parse(h), set() if t is None else set(t)) for h, t in zip(texts, lists)
+                main_text(parse(h), frozenset() if t is None else frozenset(t), config.copied) for h, t in zip(texts, lists)
             ], dtype=object)
 
-    found = materialize(site_templates(pages, config), "html-templates")
-    found = broadcast_if(found.withColumnRenamed("host", "_host"), fits(found))
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    joined = rows.join(found, host_of(F.col("url")) == F.col("_host"), "left")
-    return joined.select("page_id", "url", extract("html", "templates").alias("text"))
+    rows = rows.withColumn("_page", F.sha2(F.coalesce("html", F.lit("")), 256))
+    each = rows.filter("_host is not null").select("_host", "_page", F.explode(hashes("html")).alias("hash")).distinct()
+    met = each.join(found.withColumnRenamed("host", "_host"), ["_host", "hash"])
+    met = met.groupBy("_host", "_page").agg(F.collect_list("hash").alias("_templates"))
+    # Copies of one page are dealt to several groups.
+    met = met.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(COPY_SALTS - 1))))
+    rows = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(COPY_SALTS)).cast("int"))
+    joined = rows.join(met, ["_host", "_page", "_salt"], "left")
+    return joined.select("page_id", "url", extract_own("html", "_templates").alias("text"))

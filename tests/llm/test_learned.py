@@ -123,3 +123,28 @@ def test_mixing_without_labels(spark, mixed):
 def test_copies_follow_rates(spark):
     found = spark.range(4000).select(mixing.copies(F.lit(1.25), F.col("id")).alias("n")).collect()
     assert {r.n for r in found} == {1, 2} and sum(r.n for r in found) == pytest.approx(5000, rel=0.03)
+
+
+def test_documents_of_the_kept_domain_stay_once(spark):
+    """Good ones with some posterior of another domain are neither thinned nor doubled; the others meet their target."""
+    rows = [(k, 10 + k % 7, [1 - p, p * 0.75, p * 0.25]) for k, p in ((k, (k % 100) / 100) for k in range(1000))]
+    table = spark.createDataFrame(rows, "doc_id long, tokens long, _posterior array<double>")
+    fit, rated = mixing.fit_rates(table, {"good": 0.9, "poor": 0.07, "toxic": 0.03}, keep="good")
+    found = rated.select("_posterior", "rate", fit.rate(F.col("_posterior")).alias("again"), mixing.copies(F.col("rate"), F.col("doc_id")).alias("n")).collect()
+    assert fit.steps and len(found) == 1000
+    for r in found:
+        assert r.again == pytest.approx(r.rate) and 0 <= r.rate <= 1 and r.n <= 1
+        assert r._posterior[0] < max(r._posterior) or r.rate == 1 and r.n == 1
+    # Targets are lower than what the kept documents hold of the others, so these go.
+    assert sum(r.rate for r in found if r._posterior[0] < max(r._posterior)) == pytest.approx(0, abs=1e-6)
+    # Where they are not, they are met.
+    fit, rated = mixing.fit_rates(table, {"good": 0.6, "poor": 0.3, "toxic": 0.1}, keep="good")
+    assert fit.reached[1:] == pytest.approx(fit.target[1:], rel=1e-3)
+    again, _ = mixing.fit_rates(table, {"good": 0.1, "poor": 0.6, "toxic": 0.3}, keep="good")
+    assert again.steps == [] and again.reached == pytest.approx(again.present)
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    found = rows.select(mixing.copies(F.lit(0.5), F.col("doc_id"), F.col("digest")).alias("n")).collect()
+    assert sum(r.n for r in found) == pytest.approx(1000, rel=0.1)

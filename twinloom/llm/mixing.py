@@ -10,6 +10,10 @@ safe.) Scaled by how the totals bend with each other a step goes further, straig
 rate is cut; it is taken where it brings the sum down, else the plain one. A step needs a few sums over all documents; the numbers of a step, not
 the documents, pass through the driver.
 
+With a domain to keep, a document of which no other domain is likelier has a rate of 1 throughout, and the others one from 0 to 1:
+only they are thinned, and none comes twice. Steps then serve the domains that have more than their target; of the others
+all is kept that no thinned document takes along.
+
 Defined results: a null or empty text has no tokens and weighs nothing, but gets probabilities and a rate. Without
 labelled documents all domains are equally likely; with one labelled domain it is certain. A domain
 without any expected tokens keeps none. Rows that repeat are documents of their own. Other columns, of any name, stay.
@@ -125,15 +129,29 @@ class Mix:
     target: list[float]
     reached: list[float]
     steps: list[list[float]]
+    keep: str | None = None
 
     def rate(self, posterior: Column) -> Column:
+        if not self.steps:
+            return F.lit(1.0)
         moves = F.array(*[F.array(*map(F.lit, step)) for step in self.steps])
         return F.aggregate(
             moves, F.lit(1.0),
-            lambda rate, step: F.greatest(F.lit(0.0), rate - sum(
+            lambda rate, step: bounded(rate - sum(
                 posterior[d] * step[d] for d in range(len(self.domains))
-            )),
-        ) if self.steps else F.lit(1.0)
+            ), posterior, self.domains, self.keep),
+        )
+
+
+def stays(posterior: Column, domains: list[str], keep: str) -> Column:
+    """Whether no other domain is likelier than ``keep``."""
+    return posterior[domains.index(keep)] >= F.array_max(posterior)
+
+
+def bounded(rate: Column, posterior: Column, domains: list[str], keep: str | None) -> Column:
+    """The nearest allowed rate."""
+    rate = F.greatest(F.lit(0.0), rate)
+    return rate if keep is None else F.when(stays(posterior, domains, keep), 1.0).otherwise(F.least(F.lit(1.0), rate))
 
 
 def fit_rates(
@@ -143,7 +161,7 @@ def fit_rates(
     """Rates that bring the domains to ``weights``, and ``posteriors`` with ``rate``.
 
     ``posteriors`` has ``tokens`` and ``_posterior``. The total stays as it is; with ``keep`` it is
-    chosen so that this domain keeps all its tokens.
+    chosen by the tokens of this domain, and its documents stay whole.
     """
     domains = list(weights)
     if any(w < 0 for w in weights.values()) or not sum(weights.values()):
@@ -155,7 +173,10 @@ def fit_rates(
 
     def measure(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         """Expected tokens of each domain, and how these change with each other's rates (of rates above 0)."""
-        used = F.col("tokens") * F.when(F.col("rate") > 0, 1.0).otherwise(0.0)
+        free = F.col("rate") > 0
+        if keep is not None:
+            free &= ~stays(F.col("_posterior"), domains, keep)
+        used = F.col("tokens") * F.when(free, 1.0).otherwise(0.0)
         sums = [F.sum(F.col("rate") * F.col("tokens") * p) for p in parts]
         sums += [F.sum(used * p * q) for p in parts for q in parts]
         found = np.array([v or 0.0 for v in df.agg(*sums).first()])
@@ -168,37 +189,41 @@ def fit_rates(
     if keep is not None:
         total = float(present[domains.index(keep)]) / share[domains.index(keep)]
     target = np.array(share) * total
+    aims = np.array([d for d in range(size) if keep is None or d != domains.index(keep) and present[d] > target[d]], int)
     steps: list[list[float]] = []
     scaled = True
-    while len(steps) < config.steps and np.abs(reached - target).max() > config.tolerance * total:
+    while len(steps) < config.steps and np.abs(reached - target)[aims].max(initial=0.0) > config.tolerance * total:
         off = reached - target
-        plain = np.divide(off, present, out=np.zeros(size), where=present > 0)
-        # Scaled by the curvature the step would be exact, were no rate cut at 0.
-        step = np.linalg.lstsq(curvature, off, rcond=1e-12)[0] if scaled else plain
+        step = np.zeros(size)
+        # Scaled by the curvature the step would be exact, were no rate cut at its bounds.
+        step[aims] = (
+            np.linalg.lstsq(curvature[np.ix_(aims, aims)], off[aims], rcond=1e-12)[0] if scaled
+            else np.divide(off, present, out=np.zeros(size), where=present > 0)[aims]
+        )
         taken = sum(p * F.lit(float(v)) for p, v in zip(parts, step))
-        moved = rated.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - taken))
+        moved = rated.withColumn("rate", bounded(F.col("rate") - taken, F.col("_posterior"), domains, keep))
         if (len(steps) + 1) % config.keep_after == 0:
             moved = materialize(moved, "mix-rates")
         now, bend = measure(moved)
 
         def miss(sums: np.ndarray) -> float:
-            return float(np.divide((sums - target) ** 2, present, out=np.zeros(size), where=present > 0).sum())
+            return float(np.divide((sums - target) ** 2, present, out=np.zeros(size), where=present > 0)[aims].sum())
 
         if miss(now) >= miss(reached) * (1 - 1e-9):
             if not scaled:
-                break  # the rest of the way is barred: a target cannot be reached with nonnegative rates
+                break  # the rest of the way is barred: a target cannot be reached with allowed rates
             scaled = False
             continue
         scaled = True
         steps.append([float(v) for v in step])
         rated, reached, curvature = moved, now, bend
     present, target, reached = (x.tolist() for x in (present, target, reached))
-    return Mix(domains, present, target, reached, steps), rated
+    return Mix(domains, present, target, reached, steps, keep), rated
 
 
-def copies(rate: Column, key: Column) -> Column:
+def copies(rate: Column, *keys: Column) -> Column:
     """How often to use a document: the rate, rounded up for a share of keys equal to its fraction."""
-    uniform = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    uniform = F.pmod(F.xxhash64(*keys, F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return F.floor(rate + uniform).cast("int")
 
 

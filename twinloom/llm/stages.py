@@ -26,12 +26,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says. Good documents keep all their words; others are thinned."""
+    """Documents that are most likely good, each once; others are thinned by a draw at their rate."""
     labels = domains_of(table(spark, sf_dir, "labels"))
     fit, _, posterior = mix.domain_rates(docs, labels, DOMAIN_WEIGHTS, keep="good")
     # The row travels as one column, out of the way of the operator's own.
     rows = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    copies = mix.copies(fit.rate(F.col("_posterior")), F.col("doc_id"))
+    # Rows without an id are told apart by their texts.
+    copies = mix.copies(fit.rate(F.col("_posterior")), F.col("doc_id"), F.sha2(F.col("text"), 256))
     often = posterior(rows).select("_row", copies.alias("_copies")).filter("_copies > 0")
     return often.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
 

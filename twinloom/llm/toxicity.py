@@ -1,10 +1,10 @@
 """Toxicity of a text: a weighted grammar over clauses, with weights learned from labels.
 
-Words of a clause become symbols: insult, threat, target, negation, reported speech, other. Five
-transducers are composed into one machine that reads a clause once: negation takes the force of the next insult or threat
+Words of a clause become symbols: insult, threat, target, negation, reported speech, other. Three
+transducers, without weights, are composed into one machine that reads a clause once: negation takes the force of the next insult or threat
 (``insult`` becomes ``denied``), reported speech quotes what follows it, a
-target next to an insult or threat makes it personal, and insults and threats left over add their
-weights. Only clauses that hold an insult or a threat can score. A document's features are what
+target next to an insult or threat makes it personal. Insults and threats have no transducers: they are single words, looked
+up before, whose weights are added up afterwards; none of several words matches. Only clauses that hold an insult or a threat can score. A document's features are what
 its clauses matched; a logistic model makes them a score from 0 to 1.
 
 The insult words are a short fixed list and what the labels teach: words, and beginnings of words,
@@ -12,6 +12,7 @@ that occur in toxic texts and hardly elsewhere, each with its own weight of evid
 
 Defined results: a null or empty text scores as a text without any match. Without labels of both
 kinds the fixed list alone is used, with fixed weights. Words are runs of letters, in lower case.
+No more than ``most_terms`` terms are learned.
 """
 
 from __future__ import annotations

@@ -1,11 +1,12 @@
-"""Exact top-k by inner product: sorted lists read without random access, in blocks of vectors.
+"""Exact top-k by inner product: bounds at fixed depths of sorted lists, in blocks of vectors.
 
 Vectors are dealt to blocks by their id, queries to groups; each block meets each group once. In a
 block every component has its list of vectors, sorted by value. For a query all lists are read from
 their best end, deeper and deeper. A vector's lower bound adds the list's last value for each
 component not read yet, its upper bound the next value to be read. A vector is out once its upper
-bound is below the k-th best lower bound; reading stops when hardly more than k are left, and
-these get their final scores. Each block then sends k rows a query, from which the best are taken.
+bound is below the k-th best lower bound; reading stops when hardly more than k are left to
+all queries held together, and these get their final scores. Bounds are evaluated densely: at each of a few fixed depths the whole
+block is multiplied by masks of what is read, which saves no products against full scores. Each block then sends k rows a query, from which the best are taken.
 
 Defined results: components become floor(256 * x). Vectors that are null, empty, or hold a null or
 non-finite component take no part, nor do rows without an id. Vectors meet only others of their

@@ -254,3 +254,18 @@ def test_reliabilities_are_estimated():
     likely, right = pii.estimate(votes, np.ones(4000), pii.PiiConfig())
     assert ((likely > 0.5) == truth).mean() > 0.93
     assert np.abs(right.mean(1) - [0.95, 0.8, 0.6]).max() < 0.06
+
+
+@needs_files
+def test_the_token_query_edits_kept_trees(spark, ranks, tmp_path):
+    from twinloom import session
+
+    documents(spark, HARD).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    with session.scratch_scope(spark):
+        found = queries.op9_token_counts(spark, str(tmp_path))
+        assert [p for p in session._open_scopes[-1] if "token-trees" in p]
+        rows = sorted(found.collect(), key=repr)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    edits = queries.edits_of(F.col("doc_id"), F.col("text"))
+    again = docs.select("doc_id", token_counts.counts_with_edits(F.col("text"), edits, ranks).alias("c")).select("doc_id", "c.*")
+    assert [tuple(r) for r in rows] == [tuple(r) for r in sorted(again.collect(), key=repr)] and len(rows) == len(HARD)

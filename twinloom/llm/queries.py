@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from twinloom.llm import (
     exact_dedup, html_text, language, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
 )
+from twinloom.session import materialize
 
 #: Public vocabulary files, read on the driver.
 VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -112,12 +113,16 @@ def edits_of(doc_id: Column, text: Column) -> Column:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document before and after its edits."""
+    """Tokens of every document before and after its edits, which are applied to trees kept as a table."""
     model = token_counts.read_ranks(RANKS, RANKS_PATTERN)
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = materialize(docs.withColumn("tree", token_counts.count_trees(F.col("text"), model)), "token-trees")
     edits = edits_of(F.col("doc_id"), F.col("text"))
-    counted = docs.select("doc_id", token_counts.counts_with_edits(F.col("text"), edits, model).alias("c"))
-    return counted.select("doc_id", "c.n_before", "c.n_after", "c.n_pieces", "c.n_counted")
+    edited = kept.withColumn("edited", token_counts.edited_trees(F.col("text"), F.col("tree"), edits, model))
+    return edited.select(
+        "doc_id", token_counts.tokens_of(F.col("tree")).alias("n_before"), F.col("edited.tokens").alias("n_after"),
+        F.col("tree.size").cast("long").alias("n_pieces"), F.col("edited.counted").alias("n_counted"),
+    )
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,6 +159,9 @@ def _leaves(text: str, counter: Counter) -> tuple[np.ndarray, np.ndarray]:
 
 TREE = "struct<size:int,lengths:array<array<bigint>>,counts:array<array<bigint>>>"
 
+#: Trees that are handed on at once; they take more memory than their texts.
+AT_ONCE = 64
+
 
 def count_trees(text: Column, model: TokenModel) -> Column:
     """The tree of each text, to be kept beside it: its levels from the leaves up."""
@@ -167,16 +170,22 @@ def count_trees(text: Column, model: TokenModel) -> Column:
     def build(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counter = Counter(model)
         for batch in batches:
-            trees = [CountTree.of(text or "", counter) for text in batch]
-            yield pd.DataFrame({
-                "size": [t.size for t in trees],
-                "lengths": [[level[0] for level in t.levels] for t in trees],
-                "counts": [[level[1] for level in t.levels] for t in trees],
-            })
+            for at in range(0, len(batch), AT_ONCE):
+                trees = [CountTree.of(text or "", counter) for text in batch.iloc[at:at + AT_ONCE]]
+                yield pd.DataFrame({
+                    "size": [t.size for t in trees],
+                    "lengths": [[level[0] for level in t.levels] for t in trees],
+                    "counts": [[level[1] for level in t.levels] for t in trees],
+                })
 
     return build(text.cast("string"))
 
 
+def tokens_of(tree: Column) -> Column:
+    """Tokens of a stored tree's text: the count of its last level."""
+    return F.element_at(F.element_at(tree["counts"], -1), 1)
+
+
 EDITED = "text string, tree " + TREE + ", tokens long, counted long"
 COUNTED = "n_before long, n_after long, n_pieces long, n_counted long"
 
@@ -201,6 +210,7 @@ def edited_trees(text: Column, tree: Column, edits: Column, model: TokenModel) -
     @F.pandas_udf(EDITED)
     def update(batches: Iterator[tuple[pd.Series, pd.DataFrame, pd.Series]]) -> Iterator[pd.DataFrame]:
         counter = Counter(model)
+        columns = ["text", "tree", "tokens", "counted"]
         for texts, trees, lists in batches:
             rows = []
             for text, size, lengths, counts, edits in zip(
@@ -214,7 +224,11 @@ def edited_trees(text: Column, tree: Column, edits: Column, model: TokenModel) -
                     "size": kept.size, "lengths": [level[0] for level in kept.levels],
                     "counts": [level[1] for level in kept.levels],
                 }, kept.tokens, counted))
-            yield pd.DataFrame(rows, columns=["text", "tree", "tokens", "counted"])
+                if len(rows) == AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
 
     return update(text.cast("string"), tree, edits)
 

@@ -37,3 +37,33 @@ def spread_join(
     left = big.withColumn("_salt", salt)
     right = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"]).drop("_salt")
+
+
+def heavy_keys(counts: DataFrame, on: list[str], rows: str = "n", parts: int = 1000) -> DataFrame:
+    """Keys that hold over one ``parts``-th of all rows, and in ``_salts`` how many groups each is dealt to.
+
+    ``counts`` has one row a key with its number of ``rows``. Fewer than ``parts`` keys can be heavy,
+    and all their groups together are fewer than ``2 * parts``, whatever the size of the table.
+    """
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    share = max(1, int(total) // parts)
+    return counts.where(F.col(rows) > share).select(
+        *on, F.ceil(F.col(rows) / F.lit(share)).cast("int").alias("_salts")
+    )
+
+
+def weighted_join(
+    big: DataFrame, other: DataFrame, on: list[str], salt_of: Column, heavy: DataFrame
+) -> DataFrame:
+    """Inner join on ``on`` where only the ``heavy_keys`` are dealt to several groups, each by its weight.
+
+    The rows of ``other`` are repeated for the groups of their own key alone; every pair is found once.
+    """
+    salts = F.coalesce("_salts", F.lit(1))
+    left = big.join(F.broadcast(heavy), on, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(salt_of), salts).cast("int")
+    ).drop("_salts")
+    right = other.join(F.broadcast(heavy), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    ).drop("_salts")
+    return left.join(right, [*on, "_salt"]).drop("_salt")

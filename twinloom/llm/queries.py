@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom.llm import (
-    exact_dedup, html_text, language, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
+    exact_dedup, html_text, language, line_dedup, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
 )
 from twinloom.session import materialize
 
@@ -138,10 +138,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_top_k, op4_mixing, op5_toxicity, op6_language, op7_pieces,
-        op8_html_text, op9_token_counts, op10_pii,
+        op8_html_text, op9_token_counts, op10_pii, op12_line_dedup,
     )
 }
 
@@ -166,4 +170,25 @@ ORACLES = {
         )
         select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
     """,
+    "op12_line_dedup": """
+        with cut as (
+            select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+        ), placed as (
+            select doc_id, unnest(lines) as line, unnest(range(len(lines))) as pos from cut
+        ), keyed as (
+            select *, translate(
+                trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+            ) as line_key from placed
+        ), repeated as (
+            select line_key, min(doc_id) as keep_id from keyed where length(line_key) >= 10
+            group by line_key having count(distinct doc_id) >= 2
+        ), marked as (
+            select k.*, coalesce(k.doc_id <> r.keep_id, false) as gone
+            from keyed k left join repeated r on k.line_key = r.line_key
+        )
+        select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+        from marked group by doc_id
+    """,
 }

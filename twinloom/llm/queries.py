@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom.llm import (
-    exact_dedup, html_text, language, line_dedup, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
+    exact_dedup, html_text, language, line_dedup, manifest, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
 )
 from twinloom.session import materialize
 
@@ -142,10 +142,15 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; a fifth of them are tampered with by lower-casing their texts."""
+    return manifest.manifest(table(spark, sf_dir, "documents"), held_out())
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_top_k, op4_mixing, op5_toxicity, op6_language, op7_pieces,
-        op8_html_text, op9_token_counts, op10_pii, op12_line_dedup,
+        op8_html_text, op9_token_counts, op10_pii, op12_line_dedup, op13_manifest,
     )
 }
 

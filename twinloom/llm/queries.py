@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom.llm import (
-    exact_dedup, html_text, language, line_dedup, manifest, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
+    clusters, exact_dedup, html_text, language, line_dedup, manifest, mixing, near_dedup, pieces, pii, token_counts, topk, toxicity,
 )
 from twinloom.session import materialize
 
@@ -138,6 +138,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -150,11 +154,58 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_top_k, op4_mixing, op5_toxicity, op6_language, op7_pieces,
-        op8_html_text, op9_token_counts, op10_pii, op12_line_dedup, op13_manifest,
+        op8_html_text, op9_token_counts, op10_pii, op11_clusters, op12_line_dedup, op13_manifest,
     )
 }
 
+def clusters_sql(rounds: int = 10) -> str:
+    """Vectors assigned, and centroids moved, once a round."""
+    parts = ["""
+        kept as materialized (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where embedding is not null and len(embedding) = 64
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        )""", """
+        c0 as materialized (
+            select cast(row_number() over (order by h) - 1 as integer) as cluster, v
+            from (select sha256('3:' || vec_id) as h, v from kept order by h limit 8)
+        )"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+        a{k} as materialized (
+            select vec_id, v, arg_min(cluster, d * 8 + cluster) as cluster, min(d) as distance
+            from (
+                select k.vec_id, k.v, c.cluster, cast(list_sum(list_transform(
+                    list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])
+                )) as bigint) as d from kept k, c{k} c
+            ) group by vec_id, v
+        )""")
+        if k < rounds:
+            parts.append(f"""
+        c{k + 1} as materialized (
+            select c.cluster, coalesce(m.v, c.v) as v from c{k} c left join (
+                select cluster, list(mean order by at) as v from (
+                    select cluster, at, cast((s - (((s % n) + n) % n)) // n as bigint) as mean from (
+                        select cluster, at, cast(sum(x) as bigint) as s, count(*) as n from (
+                            select cluster, unnest(v) as x, unnest(range(64)) as at from a{k}
+                        ) group by cluster, at
+                    )
+                ) group by cluster
+            ) m using (cluster)
+        )""")
+    return f"""
+        with {",".join(parts)}
+        select a.vec_id, a.cluster, a.distance,
+               cast(sum(a.distance) over (partition by a.cluster) as bigint) as cluster_inertia,
+               cast(sum(a.distance) over () as bigint) as inertia,
+               sha256(list_aggregate(c.v, 'string_agg', ',')) as centroid_sha256
+        from a{rounds} a join c{rounds} c using (cluster)
+    """
+
+
 ORACLES = {
+    "op11_clusters": clusters_sql(),
     "op1_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256

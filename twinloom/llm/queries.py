@@ -185,11 +185,11 @@ def clusters_sql(rounds: int = 10) -> str:
             parts.append(f"""
         c{k + 1} as materialized (
             select c.cluster, coalesce(m.v, c.v) as v from c{k} c left join (
-                select cluster, list(mean order by at) as v from (
-                    select cluster, at, cast((s - (((s % n) + n) % n)) // n as bigint) as mean from (
-                        select cluster, at, cast(sum(x) as bigint) as s, count(*) as n from (
-                            select cluster, unnest(v) as x, unnest(range(64)) as at from a{k}
-                        ) group by cluster, at
+                select cluster, list(mean order by pos) as v from (
+                    select cluster, pos, cast((s - (((s % n) + n) % n)) // n as bigint) as mean from (
+                        select cluster, pos, cast(sum(x) as bigint) as s, count(*) as n from (
+                            select cluster, unnest(v) as x, unnest(range(64)) as pos from a{k}
+                        ) group by cluster, pos
                     )
                 ) group by cluster
             ) m using (cluster)

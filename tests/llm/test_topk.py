@@ -43,3 +43,11 @@ def test_reading_stops_early():
     assert ids.tolist() == [5, 9] and scores.tolist() == [360, 320]
     want = sorted((int(vectors[i].sum()), i) for i in range(512) if i != 7)[:2]
     assert others.tolist() == [i for _, i in want]
+
+
+def test_queries_of_one_id_with_alike_hashes(spark):
+    rows = [(50, [-1.0]), (50, [-2.0]), (1, [0.5]), (2, [0.25]), (3, [-0.5])]
+    assert hash((-1,)) == hash((-2,))
+    table = spark.createDataFrame([(i, [x[0] / 256]) for i, x in rows], "vec_id long, embedding array<double>")
+    found = topk.top_k(table, F.col("vec_id") % 50 == 0)
+    assert found.count() == 6 and [r.rank for r in found.orderBy("rank").collect()] == [1, 1, 2, 2, 3, 3]

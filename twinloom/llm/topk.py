@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from twinloom.session import materialize
+
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -104,7 +106,11 @@ def top_k(
     vectors: DataFrame, is_query: Column, config: TopKConfig = TopKConfig(), column: str = "embedding"
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the best candidates of each row for which ``is_query`` holds."""
-    asked = quantized(vectors.filter(is_query), column).distinct()
+    # Numbered, as rows of one id may differ; stored, so that the numbers stay.
+    asked = materialize(
+        quantized(vectors.filter(is_query), column).distinct().withColumn("query", F.monotonically_increasing_id()),
+        "top-k-queries",
+    )
     rows = quantized(vectors, column)
     blocks = max(1, -(-rows.count() // config.block))
     groups = max(1, -(-asked.count() // config.group))
@@ -124,9 +130,9 @@ def top_k(
         if len(candidates) and len(queries):
             block = Block(candidates["vec_id"].to_numpy(), np.stack(candidates["vector"].to_numpy()))
             asked, owns = np.stack(queries["vector"].to_numpy()), queries["vec_id"].to_numpy()
-            for own, query, (ids, scores) in zip(owns, asked, block.best(asked, owns, config)):
+            for own, number, (ids, scores) in zip(owns, queries["query"], block.best(asked, owns, config)):
                 found["query_id"] += [int(own)] * len(ids)
-                found["query"] += [hash(tuple(query.tolist()))] * len(ids)
+                found["query"] += [int(number)] * len(ids)
                 found["vec_id"] += ids.tolist()
                 found["score"] += scores.tolist()
         return pd.DataFrame(found).astype("int64")

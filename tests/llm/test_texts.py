@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import pytest
 import sentencepiece
@@ -269,3 +270,45 @@ def test_the_token_query_edits_kept_trees(spark, ranks, tmp_path):
     edits = queries.edits_of(F.col("doc_id"), F.col("text"))
     again = docs.select("doc_id", token_counts.counts_with_edits(F.col("text"), edits, ranks).alias("c")).select("doc_id", "c.*")
     assert [tuple(r) for r in rows] == [tuple(r) for r in sorted(again.collect(), key=repr)] and len(rows) == len(HARD)
+
+
+def test_numbers_with_thousands_of_zeros():
+    zeros = "0" * 5000
+    text = f"{zeros}1.2.3.4 and {zeros}256.2.3.4 and {zeros}.0.0.{zeros}"
+    base, failed = pii.base_and_failed(text)
+    assert [k for *_, k in base] == ["ip", "ip"] and [k for *_, k in failed if k == "ip"] == ["ip"]
+
+
+def test_personal_data_in_very_long_texts():
+    words = [f"0{k % 900 + 100} {k % 9000 + 1000} {k % 700 + 200}" for k in range(100_000)]
+    texts = ["; ".join(words), "x" * 200_000 + "(at", "x" * 100_000 + " (at) y.de", "(at" * 60_000, "a@" * 60_000, "1." * 100_000]
+    start = time.perf_counter()
+    found = [pii.candidates(t)[1] for t in texts]
+    assert time.perf_counter() - start < 15
+    assert len(found[0]) == 100_000 and found[2] == [(0, 100_010, "email")]
+
+
+def test_masked_addresses_are_those_of_one_pattern():
+    whole = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[]at[)\]] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+")
+    rng = random.Random(5)
+    parts = ["joe", ".", " ", "(at)", "[at]", "x-y", "(dot)", "[dot] ", "de", "@", ")", "(at"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randrange(14)))
+        assert list(pii._masked_emails(text)) == [m.span() for m in whole.finditer(text)], text
+
+
+def test_free_candidates_are_apart_from_all_others():
+    rng = random.Random(6)
+    parts = ["+49 30 1234567", "030 1234 567", "4111 1111 1111 1111", "1234 5678 9012 3456", "10.1.2.3", "300.1.2.3", " ", "a(at)b.de", "a@b.de", "5"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randrange(12)))
+        base, free = pii.candidates(text)
+        more = pii.base_and_failed(text)[1] + [(*s, "email") for s in pii._masked_emails(text)] + [
+            (*m.span(), "phone") for m in pii.GROUPED.finditer(text) if 9 <= len(pii.digits_of(m.group())) <= 15
+        ]
+        taken, want = [(s, e) for s, e, _ in base], []
+        for s, e, kind in sorted(more, key=lambda x: (x[0], pii.KINDS.index(x[2]))):
+            if all(e <= a or b <= s for a, b in taken):
+                want.append((s, e, kind))
+                taken.append((s, e))
+        assert free == want

@@ -42,7 +42,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Looser ones.
-MASKED = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[]at[)\]] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+")
+MASKED_AT = re.compile(r" ?[(\[]at[)\]] ?")
+MASKED_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+")
 GROUPED = re.compile(r"(?<![0-9+.-])(?:00[1-9][0-9]{0,2}[ ./-]?)?\(?[0-9]{2,5}\)?[ ./-][0-9]{3,4}[ ./-]?[0-9]{3,4}(?![0-9])")
 
 # Fixed word lists.
@@ -81,14 +82,30 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _local_start(text: str, at: int, free: int) -> int:
+    """Where the part of an address before ``at`` starts, as long as it can be but not before ``free``."""
+    while at > free and text[at - 1] in LOCAL_SET:
+        at -= 1
+    return at
+
+
+def _masked_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost addresses written with ``(at)`` or ``[at]``, found from there outwards."""
+    free = 0
+    for at in MASKED_AT.finditer(text):
+        start = _local_start(text, at.start(), free)
+        domain = MASKED_DOMAIN.match(text, at.end()) if start < at.start() else None
+        if domain:
+            yield start, domain.end()
+            free = domain.end()
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost addresses, found from their ``@``: the part before it is as long as it can be."""
     free = 0
     at = text.find("@")
     while at >= 0:
-        start = at
-        while start > free and text[start - 1] in LOCAL_SET:
-            start -= 1
+        start = _local_start(text, at, free)
         domain = DOMAIN.match(text, at + 1) if start < at else None
         if domain:
             yield start, domain.end()
@@ -101,7 +118,7 @@ def base_and_failed(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[i
     good = [(s, e, "email") for s, e in _emails(text)] if "@" in text else []
     bad = []
     for match in IP.finditer(text):
-        fits = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match.group().split("."))
+        fits = all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in match.group().split(".")))
         (good if fits else bad).append((*match.span(), "ip"))
     for match in CARD.finditer(text):
         if match.end() - match.start() >= 12:
@@ -120,16 +137,23 @@ def candidates(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, i
     """Base spans, and others that might be personal data; those overlap neither base spans nor each other."""
     base, more = base_and_failed(text)
     if "(at" in text or "[at" in text:
-        more += [(*m.span(), "email") for m in MASKED.finditer(text)]
+        more += [(*span, "email") for span in _masked_emails(text)]
     more += [(*m.span(), "phone") for m in GROUPED.finditer(text) if 9 <= len(digits_of(m.group())) <= 15]
     if not more:
         return base, []
-    taken = sorted((s, e) for s, e, _ in base)
-    free = []
+    taken: list[list[int]] = []  # what base spans cover, apart and in order
+    for start, end, _ in base:
+        if taken and start < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    free, last, at = [], 0, 0
     for start, end, kind in sorted(more, key=lambda s: (s[0], KINDS.index(s[2]))):
-        if all(end <= s or e <= start for s, e in taken):
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if start >= last and (at == len(taken) or end <= taken[at][0]):
             free.append((start, end, kind))
-            taken.append((start, end))
+            last = end
     return base, free
 
 

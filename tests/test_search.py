@@ -1,4 +1,4 @@
-"""Search against a brute-force cross join, on both ways it may run."""
+"""Search against a brute-force cross join, on all ways it may run."""
 
 import json
 import random
@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinloom import model, vocab
-from twinloom.operators import search
+from twinloom.operators import index as indexing, search
+from twinloom.sources.tables import TWIN_COLUMNS
 
 WORDS = ["north pump", "South Pump", "valve", "Ventil für Öl", "a", "", "pumpe\nnord", "x" * 40]
 DEFAULTS = {"expiryTimeout": "3", "scope": "GLOBAL", "responseType": "FULL"}
@@ -132,3 +133,99 @@ def test_expired_results_are_left_out(spark):
     requests = spark.sql("select 1 request_id, timestamp'2024-01-01' requested_at, 2 expiry_seconds")
     results = spark.sql("select 1 request_id, timestamp'2024-01-01' + make_dt_interval(0,0,0,s) responded_at, s from values (-1),(0),(1),(2) as t(s)")
     assert [r["s"] for r in search.within_expiry(results, requests).orderBy("s").collect()] == [0, 1]
+
+
+# --- The kept index ----------------------------------------------------------------
+
+
+def whole_twins(twins, batch=1):
+    none = F.array().cast(f"array<{model.PORT}>")
+    return twins.withColumn("feeds", none).withColumn("inputs", none).withColumn("batch", F.lit(batch))
+
+
+@pytest.fixture(scope="module")
+def odd_twins(setup):
+    """Twins without a host, without an id, and repeated."""
+    twins = setup[0]
+    number = F.substring("twin_id", 2, 9).cast("int")
+    bare = twins.where(number % 11 == 0).withColumn("host_id", F.lit(None).cast("string"))
+    unnamed = twins.where(number % 13 == 0).withColumn("twin_id", F.lit(None).cast("string"))
+    return twins.where(number % 11 != 0).union(bare).union(unnamed).union(unnamed.limit(3)).cache()
+
+
+def brute_pairs(twins, requests):
+    return pairs_or_null(twins.crossJoin(requests.where("error is null")).where(search.satisfies()))
+
+
+def pairs_or_null(found):
+    return sorted(((r["request_id"], r["host_id"], r["twin_id"]) for r in found.collect()), key=repr)
+
+
+def test_all_ways_find_twins_without_ids(spark, setup, odd_twins, tmp_path):
+    requests = setup[1]
+    brute = brute_pairs(odd_twins, requests)
+    assert any(t is None for *_, t in brute) and any(h is None for _, h, _ in brute)
+    index = indexing.TwinIndex(str(tmp_path / "index"), 4)
+    indexing.update_index(spark, index, whole_twins(odd_twins), 0)
+    assert pairs_or_null(search.search(odd_twins, requests)) == brute
+    assert pairs_or_null(search.search(odd_twins, requests, max_rows=0)) == brute
+    assert pairs_or_null(indexing.search_index(spark, index, requests)) == brute
+    assert pairs_or_null(indexing.search_index(spark, index, requests, max_rows=0)) == brute
+
+
+def relabelled(twins, label):
+    return twins.withColumn("properties", F.transform("properties", lambda p: F.when(
+        p["key"] == vocab.RDFS_LABEL, p.withField("value", F.lit(label))).otherwise(p)))
+
+
+def test_an_index_is_kept_up_to_date(spark, setup, tmp_path):
+    twins, requests, _ = setup
+    number = F.substring("twin_id", 2, 9).cast("int")
+    index = indexing.TwinIndex(str(tmp_path / "index"), 4)
+    indexing.update_index(spark, index, whole_twins(twins.where(number < 200), 5), 0)
+    newer = whole_twins(relabelled(twins.where(number.between(150, 250)), "south pump valve"), 6)
+    late = whole_twins(relabelled(twins.where(number.between(0, 20)), "too late"), 4)
+    twice = whole_twins(relabelled(twins.where(number.between(150, 160)), "outdone"), 5)
+    for _ in range(2):  # the same update again leaves the same
+        indexing.update_index(spark, index, newer.unionByName(late).unionByName(twice), 1)
+        now = newer.drop("batch").unionByName(whole_twins(twins.where(number < 150)).drop("batch"))
+        assert pairs_or_null(indexing.search_index(spark, index, requests)) == brute_pairs(now, requests)
+        assert indexing.indexed_twins(spark, index).count() == now.count()
+    # Back to what it was before.
+    back = whole_twins(twins.where(number.between(150, 199)), 9)
+    indexing.update_index(spark, index, back, 2)
+    now = now.where(~number.between(150, 199)).unionByName(back.drop("batch"))
+    assert pairs_or_null(indexing.search_index(spark, index, requests)) == brute_pairs(now, requests)
+    smaller = indexing.TwinIndex(str(tmp_path / "smaller"), 2)
+    indexing.compact_index(spark, index, smaller)
+    assert smaller.numbers(spark) == [0] and smaller.read(spark, "gone", [0]).count() == 0
+    assert pairs_or_null(indexing.search_index(spark, smaller, requests)) == brute_pairs(now, requests)
+    indexing.update_index(spark, smaller, back.limit(0), 1)
+    assert pairs_or_null(indexing.search_index(spark, smaller, requests, max_rows=0)) == brute_pairs(now, requests)
+
+
+def test_an_update_that_broke_off_is_not_seen(spark, setup, tmp_path):
+    twins, requests, brute = setup
+    index = indexing.TwinIndex(str(tmp_path / "index"), 4)
+    indexing.update_index(spark, index, whole_twins(twins), 0)
+    indexing.update_index(spark, index, whole_twins(relabelled(twins, "pump"), 2), 1)
+    done = tmp_path / "index" / "done"
+    import shutil
+    shutil.rmtree(done)
+    spark.createDataFrame([(0,)], "number int").write.parquet(str(done))
+    assert pairs(indexing.search_index(spark, index, requests)) == brute
+
+
+def test_only_candidates_are_read(spark, setup, tmp_path):
+    twins = setup[0]
+    index = indexing.TwinIndex(str(tmp_path / "index"), 8)
+    indexing.update_index(spark, index, whole_twins(twins), 0)
+    docs = spark.createDataFrame([(1, json.dumps({"properties": [{"key": "size", "literal": "3", "dataType": "integer"}], "text": "valve"}))], "request_id int, content string")
+    requests = search.parse_requests(docs, DEFAULTS, "h0")
+    found = indexing.search_index(spark, index, requests)
+    brute = brute_pairs(twins, requests)
+    assert brute and pairs_or_null(found) == brute
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "row_part" in line)
+    assert "row_part#" in scan.split("PartitionFilters:")[1].split("]")[0] and "row_key" in scan.split("PushedFilters:")[1]
+    assert found.select(TWIN_COLUMNS).columns == TWIN_COLUMNS

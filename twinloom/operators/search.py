@@ -23,6 +23,7 @@ from twinloom.session import materialize
 
 PIECE = 3  # characters of a text anchor
 MAX_LISTED = 2_000  # anchors that may be written into a plan
+FEW_REQUESTS = 64  # of these, each twin has few enough anchors to need no counts
 
 
 # --- Requests ---------------------------------------------------------------
@@ -221,6 +222,7 @@ class Needs:
     has_scope: bool
     has_choice: bool
     small: bool
+    requests: int = 0
 
 
 def measure(optioned: DataFrame, max_rows: int, max_bytes: int) -> Needs:
@@ -237,6 +239,7 @@ def measure(optioned: DataFrame, max_rows: int, max_bytes: int) -> Needs:
         )).alias("sizes"),
         F.max(F.exists("options", lambda o: o["rank"] == 5)).alias("has_scope"),
         F.max(F.size("options") > 1).alias("has_choice"),
+        F.count("*").alias("requests"),
         F.coalesce(F.sum(repeats), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(repeats * row_bytes), F.lit(0)).alias("bytes"),
     ).first()
@@ -246,6 +249,7 @@ def measure(optioned: DataFrame, max_rows: int, max_bytes: int) -> Needs:
         has_scope=bool(seen["has_scope"]),
         has_choice=bool(seen["has_choice"]),
         small=seen["rows"] <= max_rows and seen["bytes"] <= max_bytes,
+        requests=seen["requests"],
     )
 
 
@@ -327,6 +331,26 @@ def choose_anchors(requests: DataFrame, counts: DataFrame | None, small: bool =
 # --- The search itself ------------------------------------------------------
 
 
+def twin_key() -> Column:
+    """A number for what a search looks at in a twin, null ids included.
+
+    Twins of one number are candidates together and each tested for itself, so that no twin is lost or
+    found wrongly, whether they are equal or meet by chance.
+    """
+    return F.xxhash64("host_id", "twin_id", "lat", "lon", "properties")
+
+
+def with_requests(pairs: DataFrame, requests: DataFrame, small: bool, salt_of: Column) -> DataFrame:
+    """``pairs`` (``_request`` and others) with the columns of their requests.
+
+    A request that finds a large share of all twins is dealt to groups by its own number of pairs.
+    """
+    if small:
+        return pairs.join(F.broadcast(requests), "_request")
+    counts = pairs.groupBy("_request").agg(F.count("*").alias("n"))
+    return sizing.weighted_join(pairs, requests, ["_request"], salt_of, sizing.heavy_keys(counts, ["_request"]))
+
+
 def search(
     twins: DataFrame,
     requests: DataFrame,
@@ -337,15 +361,16 @@ def search(
     """Every usable request with every twin it finds: twin columns and request columns.
 
     Requests measured to be few are broadcast and twins are read in one pass without a shuffle.
-    Otherwise only ``(anchor, twin id)`` pairs are shuffled, hot anchors spread over several
-    groups, and the candidates meet twins by their ids and requests by their row. Ids of requests
-    and twins may repeat: every row is answered for itself, on either way.
+    Otherwise only ``(anchor, twin key)`` pairs are shuffled, hot anchors spread over several
+    groups, and the candidates meet twins by their keys and requests by their row. Ids of requests
+    and twins may repeat or be null: every row is answered for itself, on either way.
     ``counts`` are anchor counts kept from earlier (``anchor_counts``); without them they are
-    taken from ``twins`` if some request has a choice.
+    taken from ``twins`` if some request has a choice, and there are so many requests that a common
+    anchor costs more than a pass over the twins. ``index.search_index`` needs no pass at all.
     """
     optioned = request_anchors(requests)
     needs = measure(optioned, max_rows, max_bytes)
-    if counts is None and needs.has_choice:
+    if counts is None and needs.has_choice and not (needs.small and needs.requests <= FEW_REQUESTS):
         counts = anchor_counts(twins, optioned, needs)
     anchors = choose_anchors(optioned, counts, needs.small)
     if needs.small:
@@ -354,19 +379,19 @@ def search(
     if wanted is not None:
         candidates = anchored(twins, needs, wanted).join(F.broadcast(anchors), "anchor")
     else:
-        # Only anchors that are asked for are worth a row, and of a twin only its ids.
-        slim = twins.select("host_id", "twin_id", "lat", "lon", "properties")
-        index = anchored(slim, needs).select("anchor", "host_id", "twin_id")
+        # Only anchors that are asked for are worth a row, and of a twin only its key.
+        slim = twins.select("host_id", "twin_id", "lat", "lon", "properties", twin_key().alias("_twin"))
+        index = anchored(slim, needs).select("anchor", "_twin")
         asked = anchors.select("anchor", "_request")
         if needs.small:
             pairs = index.join(F.broadcast(asked), "anchor")
         else:
             index = index.join(asked.select("anchor").distinct(), "anchor", "left_semi")
-            pairs = sizing.spread_join(index, asked, ["anchor"], F.col("twin_id"))
-        # Each pair of ids once, so that a twin stored twice is found as often as it is stored.
-        pairs = pairs.select("_request", "host_id", "twin_id").distinct()
-        rows = optioned.select("_request", *requests.columns)
-        candidates = pairs.join(twins, ["host_id", "twin_id"]).join(rows, "_request")
+            pairs = sizing.spread_join(index, asked, ["anchor"], F.col("_twin"))
+        # Each pair once, so that a twin stored twice is found as often as it is stored.
+        pairs = materialize(pairs.select("_request", "_twin").distinct(), "candidates")
+        met = pairs.join(twins.withColumn("_twin", twin_key()), "_twin")
+        candidates = with_requests(met, optioned.select("_request", *requests.columns), needs.small, F.col("_twin"))
     return candidates.where(satisfies()).select(*twins.columns, *requests.columns)
 
 

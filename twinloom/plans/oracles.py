@@ -224,6 +224,7 @@ ORACLES: dict[str, str] = {
     "q_search": _search(),
     "q_search_many": _MANY,
     "q_search_shuffled": _MANY,
+    "q_search_indexed": _MANY,
     "q_search_text": _with(
         f"SELECT host_id, twin_id FROM base WHERE contains(lower(c_name), lower({_s(q.SEARCH_TEXT)})) "
         f"OR contains(lower(comment), lower({_s(q.SEARCH_TEXT)}))"

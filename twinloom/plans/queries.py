@@ -12,7 +12,7 @@ from twinloom.functions import checks, datetimes, geo, properties as props, uris
 from twinloom.functions.identity import twin_identity
 from twinloom.functions.lets import let
 from twinloom.operators import (
-    chunks, describe as describing, follow as following, graph, jsonld, publish as publishing,
+    chunks, describe as describing, follow as following, graph, index as indexing, jsonld, publish as publishing,
     reshape, route, search as searching, upsert as upserting,
 )
 from twinloom.session import materialize, scratch_path
@@ -110,6 +110,24 @@ def q_search_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _many(spark, sf_dir, max_rows=0)
 
 
+def q_search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a kept index: two thirds of the twins, some outdated, then the rest and what is new."""
+    key = F.col("c_custkey")
+    twins = data.keyed_twins(spark, sf_dir)
+    outdated = F.transform("properties", lambda p: p.withField("value", F.concat(p["value"], F.lit(" before"))))
+    first = twins.where(key % 3 != 0).withColumn(
+        "properties", F.when(key % 5 == 1, outdated).otherwise(F.col("properties"))
+    ).withColumn("batch", F.lit(1))
+    index = indexing.TwinIndex(scratch_path(spark, "index"), buckets=16)
+    indexing.update_index(spark, index, first.drop("c_custkey"), 0)
+    later = twins.where((key % 3 == 0) | (key % 5 == 1)).withColumn("batch", F.lit(2))
+    indexing.update_index(spark, index, later.drop("c_custkey"), 1)
+    requests = searching.parse_requests(
+        data.request_documents(spark, sf_dir), data.SEARCH_DEFAULTS, data.LOCAL_HOST
+    ).drop("content")
+    return indexing.search_index(spark, index, requests).select("request_id", "host_id", "twin_id")
+
+
 def q_search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     twins = data.twins(spark, sf_dir)
     found = twins.where(searching.text_matches(F.col("properties"), F.lit(SEARCH_TEXT)))

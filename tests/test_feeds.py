@@ -12,7 +12,7 @@ from twinloom import model, sizing, vocab
 from twinloom.operators import follow, publish, route, upsert
 from twinloom.session import materialize, scratch_path, shared_dir
 from twinloom.sources import documents as docs, shares as share_tables, tables
-from twinloom.streaming import documents as doc_streams, follow as follow_streams
+from twinloom.streaming import documents as doc_streams, follow as follow_streams, results as result_streams
 
 T0 = datetime(2024, 1, 1)
 
@@ -162,6 +162,120 @@ def test_followers_are_twins(spark):
     assert json.loads(row["payload"]) == {"isOperational": True}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unfollowed_shares_are_not_shuffled(spark, feeds):
+    shares, interests = feeds
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(follow.follow(shares, interests, small=False))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Above the scan of shares the bits are tested before any exchange.
+    lines = plan.splitlines()
+    scan = next(k for k, line in enumerate(lines) if "event_id" in line and "FileScan" in line)
+    above = lines[:scan][::-1]
+    first_exchange = next(k for k, line in enumerate(above) if "Exchange hashpartitioning" in line)
+    assert any("_bitmap" in line and "Join" in line for line in above[:first_exchange])
+    kept = sizing.might_hold(interests, follow.FEED)(shares)
+    wanted = {(h, t, f) for h, t, f, *_ in INTERESTS}
+    assert {r["event_id"] for r in kept.collect()} == {r[0] for r in share_rows() if r[1:4] in wanted}
+
+
+def test_a_busy_feed_is_spread_by_its_weight(spark, feeds):
+    rows = [(i, "h", "t0", "f0", "m", T0, bytearray(str(i), "utf8")) for i in range(9000)]
+    rows += [(i, "h", f"t{i}", "f0", "m", T0, bytearray(b"x")) for i in range(9000, 10_000)]
+    shares = spark.createDataFrame(rows, SHARES)
+    heavy = sizing.heavy_keys(follow.feed_counts(shares), follow.FEED)
+    assert [(r["twin_id"], r["_salts"]) for r in heavy.collect()] == [("t0", 900)]
+    people = [("h", "t0", "f0", True, f"p{k}") for k in range(3)] + [("h", "t9001", "f0", True, "p0")]
+    interests = spark.createDataFrame(people, "host_id string, twin_id string, feed_id string, store_last boolean, follower_twin_id string")
+    for counts in (None, follow.feed_counts(shares), follow.feed_counts(shares.limit(0))):
+        found = follow.follow(shares, interests, False, counts)
+        assert found.count() == 27_001 and found.distinct().count() == 27_001
+
+
+def test_heavy_keys_on_both_sides_meet_once(spark):
+    big = spark.range(3000).select((F.col("id") % 7 % 3).alias("k"), "id")
+    other = spark.range(400).select((F.col("id") % 5 % 2).alias("k"), F.col("id").alias("v"))
+    counts = lambda df: df.groupBy("k").agg(F.count("*").alias("n"))
+    found = sizing.weighted_join(
+        big, other, ["k"], F.col("id"), sizing.heavy_keys(counts(big), ["k"], parts=20), F.col("v"), sizing.heavy_keys(counts(other), ["k"], parts=10)
+    )
+    want = big.join(other, "k")
+    assert found.count() == want.count() == found.distinct().count() and found.exceptAll(want).isEmpty()
+
+
+def test_members_pass_and_hardly_any_other(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("n"))
+    rows = spark.range(60_000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("n"))
+    passed = [r["n"] for r in sizing.might_hold(keys, ["key", "n"])(rows).collect()]
+    assert len(set(passed)) == len(passed) and set(range(20_000)) <= set(passed) and len(passed) < 20_500
+    tight = sizing.might_hold(keys, ["key"], max_bytes=4096)(rows)  # too small for all keys, but none is lost
+    assert set(range(20_000)) <= {r["n"] for r in tight.collect()}
+    assert sizing.might_hold(keys.limit(0), ["key"])(rows).count() == 0
+
+
+def test_last_shares_are_aggregated_by_hash(feeds):
+    shares, _ = feeds
+    plan = plan_of(follow.last_stored(shares))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_last_shares_of_odd_rows(spark):
+    rows = [
+        (1, None, "t", "f", "m", T0, None), (2, None, "t", "f", "m", T0, None), (None, "h", "t", "f", "m", T0, None), (-5, "h", "t", "f", "m", T0, None),
+        (7, "h", "u", "f", "m", None, None), (6, "h", "u", "f", "m", None, None), (9, "h", "v", "f", "m", datetime(1950, 1, 1), None),
+        (-2**63, "h", "v", "f", "m", datetime(1960, 1, 1), None), (2**63 - 1, "h", "v", "f", "m", datetime(1955, 1, 1), None),
+        (3, "h", "w", "f", "a", T0, None), (3, "h", "w", "f", "b", T0, None), (3, "h", "x", "f", "a", T0, None), (3, "h", "x", "f", "a", T0, None),
+    ]
+    shares = spark.createDataFrame(rows, SHARES)
+    found = [(r["host_id"], r["twin_id"], r["event_id"]) for r in follow.last_stored(shares.repartition(3)).collect()]
+    assert sorted(found, key=str) == sorted(
+        [(None, "t", 2), ("h", "t", -5), ("h", "u", 7), ("h", "v", -2**63), ("h", "w", 3), ("h", "x", 3)], key=str
+    )
+    picks = {follow.last_stored(shares.repartition(n)).where("twin_id = 'w'").first()["mime_type"] for n in (1, 2, 5)}
+    assert len(picks) == 1
+
+
+def test_the_last_share_is_kept_as_state(spark, feeds, tmp_path):
+    source, out, progress = (str(tmp_path / x) for x in ("source", "out", "progress"))
+    rows, seen = share_rows(), []
+    late = [(1000 + i, *r[1:5], T0 - timedelta(days=1), r[6]) for i, r in enumerate(rows[:50])]
+    for part in (rows[:100], rows[100:], late):
+        spark.createDataFrame(part, SHARES).repartition(2).write.mode("append").parquet(source)
+        live = share_tables.stream_shares(spark, source, feeds[0].schema, files_per_trigger=1)
+        follow_streams.start_last_state(live, out, progress).awaitTermination()
+        seen += part
+        assert {r["event_id"] for r in follow_streams.read_last_state(spark, out).collect()} == {r[0] for r in newest(seen)}
+
+
+def test_requests_are_closed_when_they_expire(spark, tmp_path):
+    source, out, progress = (str(tmp_path / x) for x in ("source", "out", "progress"))
+    schema = "request_id long, responded_at timestamp, result string"
+    at = lambda hours: T0 + timedelta(hours=hours)
+    requests = materialize(spark.createDataFrame([(1, at(0), 7200), (2, at(1), 3600), (3, at(500), 60)], "request_id long, requested_at timestamp, expiry_seconds int"), "timed")
+
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
+        live = spark.readStream.schema(schema).parquet(source)
+        result_streams.start_bounded(live, requests, out, progress, delay="1 hour").awaitTermination()
+
+    def found():
+        return sorted((r["request_id"], r["result"]) for r in result_streams.read_results(spark, out).collect())
+
+    arrive((1, at(0), "a"), (1, at(1.5), "b"), (2, at(0.5), "early"), (9, at(1), "of no request"), (1, at(1.9), "b"))
+    assert found() == [(1, "a"), (1, "b"), (1, "b")] and result_streams.read_closed(spark, out).count() == 0
+    arrive((1, at(2), "late"), (2, at(1.7), "c"), (1, at(1), "d"))
+    assert found() == [(1, "a"), (1, "b"), (1, "b"), (1, "d"), (2, "c")]
+    arrive((3, at(500), "e"))  # time has gone on: the first two are closed
+    arrive((3, at(500.001), "f"))
+    closed = {r["request_id"]: (r["in_time"], r["late"]) for r in result_streams.read_closed(spark, out).collect()}
+    assert closed == {1: (4, 1), 2: (1, 1)} and found()[-2:] == [(3, "e"), (3, "f")]
+
+
 # --- Upsert ------------------------------------------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from twinloom import model, sizing, vocab
 from twinloom.functions.identity import twin_identity
@@ -50,11 +52,25 @@ def interests_of(twins: DataFrame, follower_twin_id: Column) -> DataFrame:
     )
 
 
-def follow(shares: DataFrame, interests: DataFrame, small: bool | None = None) -> DataFrame:
+#: Followers of one feed that a single task takes without being split.
+FOLLOWERS_TOGETHER = 10_000
+
+
+def feed_counts(shares: DataFrame) -> DataFrame:
+    """``n`` shares of each feed; a task sends on one row a feed."""
+    return shares.groupBy(*FEED).agg(F.count("*").alias("n"))
+
+
+def follow(
+    shares: DataFrame, interests: DataFrame, small: bool | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """Shares of followed feeds, once per follower, in a batch or as a stream.
 
-    ``interests`` should be a stored table. It is broadcast if measured to be small; otherwise a
-    busy feed is spread over several groups of the join. ``small`` skips the measuring.
+    ``interests`` should be a stored table. It is broadcast if measured to be small. Otherwise shares of feeds that
+    nobody follows are left behind by a broadcast filter of the feeds; of the rest, feeds that hold a large
+    part of the shares or have very many followers are split by their weight, and all others joined plainly.
+    ``counts`` are those of ``feed_counts``; a batch without them counts the followed shares, a stream
+    joins plainly. ``small`` skips the measuring.
     """
     if small is None:
         small = sizing.fits(interests)
@@ -62,27 +78,54 @@ def follow(shares: DataFrame, interests: DataFrame, small: bool | None = None) -
     if small:
         joined = shares.join(F.broadcast(wanted), FEED)
     else:
-        joined = sizing.spread_join(shares, wanted, FEED, F.struct("occurred_at", "payload"))
+        followed = sizing.might_hold(wanted, FEED)(shares)
+        if counts is None and not shares.isStreaming:
+            counts = feed_counts(followed)
+        if counts is None:
+            joined = followed.join(wanted, FEED)
+        else:
+            busy = sizing.heavy_keys(counts, FEED)
+            liked = sizing.heavy_keys(feed_counts(wanted), FEED, least=FOLLOWERS_TOGETHER)
+            share = F.struct("occurred_at", "payload")
+            joined = sizing.weighted_join(followed, wanted, FEED, share, busy, F.col("follower_twin_id"), liked)
     return joined.select("follower_twin_id", *shares.columns)
 
 
-def last_stored(shares: DataFrame, order: tuple[str, ...] = ("occurred_at", "event_id")) -> DataFrame:
-    """The most recent share of each feed.
+def moment(time: Column, number: Column) -> Column:
+    """A time and a whole number as one decimal that sorts like the two, nulls first.
 
-    An aggregation, so that every task sends on one row per feed it saw, however many shares a
-    busy feed has.
+    Of fixed width, so that its maximum is kept in place by a hash aggregation.
     """
-    rest = [c for c in shares.columns if c not in FEED]
-    newest = shares.groupBy(*FEED).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("s")
-    )
-    return newest.select(*FEED, "s.*").select(*shares.columns)
+    micros = F.coalesce(F.unix_micros(time.cast("timestamp")), F.lit(-(1 << 62))).cast("decimal(19,0)")
+    within = F.coalesce(number.cast("decimal(19,0)"), F.lit(Decimal(-(1 << 63))))
+    return (micros * F.lit(Decimal(1 << 64)) + within).cast("decimal(38,0)")
+
+
+def last_stored(shares: DataFrame, order: tuple[str, str] = ("occurred_at", "event_id")) -> DataFrame:
+    """The most recent share of each feed, by time and number; between equals the content decides.
+
+    The greatest moment of each feed is found by a hash aggregation: every task sends on one number per feed
+    it saw, however many shares a busy feed has. Then shares meet it by feed and moment, so that those of
+    a busy feed are spread over all tasks, and hardly more than one per feed is left.
+    """
+    timed = shares.withColumn("_moment", moment(F.col(order[0]), F.col(order[1])))
+    newest = timed.groupBy(*FEED).agg(F.max("_moment").alias("_last"))
+    # Renamed, as feeds may have null ids.
+    newest = newest.select(*[F.col(c).alias(f"_{c}") for c in FEED], "_last")
+    same = F.col("_moment") == F.col("_last")
+    for c in FEED:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    left = timed.join(newest, same, "left_semi")
+    first = Window.partitionBy(*FEED).orderBy(F.xxhash64(*shares.columns))
+    return left.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(*shares.columns)
 
 
 def of_interest(shares: DataFrame, interests: DataFrame, small: bool) -> DataFrame:
     """Shares of feeds somebody follows, each once."""
     feeds = interests.select(*FEED).distinct()
-    return shares.join(sizing.broadcast_if(feeds, small), FEED, "left_semi")
+    if small:
+        return shares.join(F.broadcast(feeds), FEED, "left_semi")
+    return sizing.might_hold(feeds, FEED)(shares).join(feeds, FEED, "left_semi")
 
 
 def snapshot(

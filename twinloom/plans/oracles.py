@@ -220,6 +220,21 @@ FROM (SELECT * FROM ({_REQUESTS}FROM base) WHERE error IS NULL) r JOIN base t ON
 
 _SEGMENT = 100 * q.CHUNKS_PER_SEGMENT  # characters
 
+_LAST = _with(f"SELECT event_id, {_SHARE_COLUMNS} FROM shares QUALIFY {_NEWEST}", _SHARES)
+_SNAPSHOT_LIVE = _with(f"""SELECT {_FOLLOWER} AS follower_twin_id, event_id, {_SHARE_COLUMNS}, 'live' AS phase
+FROM shares WHERE {_INTERESTED} AND occurred_at > {_UNTIL}
+UNION ALL SELECT {_FOLLOWER}, event_id, {_SHARE_COLUMNS}, 'snapshot' FROM (
+  SELECT * FROM shares WHERE {_INTERESTED} AND occurred_at <= {_UNTIL} AND feed_id IN ('purchase', 'signup') QUALIFY {_NEWEST})""", _SHARES)
+_BOUNDED = """SELECT user_id AS request_id, event_id, ts AS responded_at
+FROM events JOIN customer ON user_id = c_custkey
+WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' + to_days(CAST(c_custkey % 20 AS INTEGER))
+  AND ts < TIMESTAMP '2024-01-05 00:00:00' + to_days(CAST(c_custkey % 20 + c_custkey % 7 + 1 AS INTEGER))"""
+_DESCRIBED = f"""SELECT k AS request_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failure' END AS route, error,
+  CASE WHEN error IS NULL THEN twin_id END AS described_id,
+  CASE WHEN k % 8 = 3 THEN twin_id WHEN k % 8 = 5 THEN twin_id || 'x' END AS input_id, error AS document_error{{0}}
+FROM (SELECT *, CASE k % 8 WHEN 3 THEN {_s(v.HOST_ID_MISSING)} WHEN 4 THEN {_s(v.TWIN_ID_MISSING)}
+  WHEN 5 THEN {_s(v.TWIN_UNKNOWN)} END AS error FROM base)"""
+
 ORACLES: dict[str, str] = {
     "q_search": _search(),
     "q_search_many": _MANY,
@@ -245,10 +260,8 @@ ORACLES: dict[str, str] = {
   CASE WHEN k % 3 = 0 THEN {_PROPS_SHOWN} ELSE '' END AS properties, CASE WHEN k % 3 = 0 THEN {_feeds_shown()} ELSE '' END AS feeds,
   {_inputs_shown()} AS inputs FROM base"""),
     "q_search_flatten": _with("SELECT doc_id AS response_id, host_id, twin_id FROM base WHERE doc_id % 10 <> 0"),
-    "q_bounded_results": """SELECT user_id AS request_id, event_id, ts AS responded_at
-FROM events JOIN customer ON user_id = c_custkey
-WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' + to_days(CAST(c_custkey % 20 AS INTEGER))
-  AND ts < TIMESTAMP '2024-01-05 00:00:00' + to_days(CAST(c_custkey % 20 + c_custkey % 7 + 1 AS INTEGER))""",
+    "q_bounded_results": _BOUNDED,
+    "q_bounded_stream": _BOUNDED,
     "q_twin_documents": _with(f"""SELECT doc_id, {_TWIN_POS} AS twin_pos, host_id,
   CASE WHEN k % 19 <> 0 THEN twin_id END AS twin_id, {NULL} AS error, CAST(6 AS BIGINT) AS n_properties,
   CASE WHEN k % 23 <> 0 THEN CAST(5 AS BIGINT) END AS n_feeds FROM base WHERE {_IN_DOCUMENT}
@@ -319,12 +332,10 @@ FROM customer""",
 FROM (SELECT k, {_BUILD_ERROR} AS build_error FROM fault)""", _TWIN_FAULT),
     "q_describe": _with(f"""SELECT host_id, twin_id, {_PROPS_SHOWN} AS properties, {_feeds_shown(labelled=False)} AS feeds,
   {_inputs_shown(False)} AS inputs FROM base"""),
-    "q_describe_lookup": _with(f"""SELECT k AS request_id, CASE WHEN error IS NULL THEN 'success' ELSE 'failure' END AS route, error,
-  CASE WHEN error IS NULL THEN twin_id END AS described_id,
-  CASE WHEN k % 8 = 3 THEN twin_id WHEN k % 8 = 5 THEN twin_id || 'x' END AS input_id, error AS document_error,
-  CASE WHEN error IS NULL THEN CAST(6 AS BIGINT) END AS n_properties
-FROM (SELECT *, CASE k % 8 WHEN 3 THEN {_s(v.HOST_ID_MISSING)} WHEN 4 THEN {_s(v.TWIN_ID_MISSING)}
-  WHEN 5 THEN {_s(v.TWIN_UNKNOWN)} END AS error FROM base)"""),
+    "q_describe_lookup": _with(_DESCRIBED.format(
+        ",\n  CASE WHEN error IS NULL THEN CAST(6 AS BIGINT) END AS n_properties"
+    )),
+    "q_describe_stream": _with(_DESCRIBED.format("")),
     "q_reshape_twin": _with("\nUNION ALL ".join(
         f"SELECT CAST(k AS VARCHAR) AS id, 'orders' AS feed_id, CAST(0 AS BIGINT) AS n_inputs, "
         f"CAST({i} AS BIGINT) AS pos, {_s(key)} AS key, {value} AS value, {_s(kind)} AS type FROM base"
@@ -397,11 +408,13 @@ FROM (SELECT doc_id, segment, n, gap, CASE WHEN gap AND segment = 0 THEN left(wh
     substr(text, segment * {_SEGMENT} + 1, {_SEGMENT}) AS whole
   FROM documents, LATERAL (SELECT unnest(generate_series(CAST(0 AS BIGINT), CAST((length(text) - 1) // {_SEGMENT} AS BIGINT))) AS segment)))""",
     "q_follow": _FOLLOW,
-    "q_last_stored": _with(f"SELECT event_id, {_SHARE_COLUMNS} FROM shares QUALIFY {_NEWEST}", _SHARES),
-    "q_follow_snapshot_live": _with(f"""SELECT {_FOLLOWER} AS follower_twin_id, event_id, {_SHARE_COLUMNS}, 'live' AS phase
-FROM shares WHERE {_INTERESTED} AND occurred_at > {_UNTIL}
-UNION ALL SELECT {_FOLLOWER}, event_id, {_SHARE_COLUMNS}, 'snapshot' FROM (
-  SELECT * FROM shares WHERE {_INTERESTED} AND occurred_at <= {_UNTIL} AND feed_id IN ('purchase', 'signup') QUALIFY {_NEWEST})""", _SHARES),
+    "q_last_stored": _LAST,
+    "q_last_state": _LAST,
+    "q_follow_snapshot_live": _SNAPSHOT_LIVE,
+    "q_follow_snapshot_stream": _SNAPSHOT_LIVE,
+    "q_refollow": _FOLLOW,
     "q_follow_stream": _FOLLOW.replace("occurred_at, payload FROM", "CAST(occurred_at AS TIMESTAMP) AS occurred_at, payload FROM"),
+    "q_share_sink": _with(f"""SELECT host_id, twin_id, feed_id, 'application/json' AS mime_type, value FROM routed
+WHERE route = 'success'""", _FEEDS, _OUTCOME),
     "q_publish_stream": _with("SELECT k AS doc_id, feed_pos, route, error, twin_id, feed_id, value FROM routed", _FEEDS, _OUTCOME),
 }

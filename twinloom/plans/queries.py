@@ -16,9 +16,9 @@ from twinloom.operators import (
     reshape, route, search as searching, upsert as upserting,
 )
 from twinloom.session import materialize, scratch_path
-from twinloom.sources import documents as docs, tables, testdata as data
+from twinloom.sources import documents as docs, shares as share_tables, tables, testdata as data
 from twinloom.sources.documents import bytes_text, twin_struct
-from twinloom.streaming import documents as doc_streams, follow as follow_streams
+from twinloom.streaming import documents as doc_streams, follow as follow_streams, results as result_streams
 
 SEED = "seed-1"
 FOLLOWER_KEY = "follower-1"
@@ -200,14 +200,18 @@ def q_search_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_bounded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _timed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     start = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
-    requests = data.table(spark, sf_dir, "customer").select(
+    return data.table(spark, sf_dir, "customer").select(
         key.alias("request_id"),
         (start + F.make_dt_interval(days=(key % 20).cast("int"))).alias("requested_at"),
         ((key % 7 + 1) * 86400).cast("int").alias("expiry_seconds"),
     )
+
+
+def q_bounded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = _timed_requests(spark, sf_dir)
     results = data.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("request_id"), F.col("ts").alias("responded_at"), "event_id"
     )
@@ -768,11 +772,113 @@ def q_follow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _share_columns(spark.read.parquet(out))
 
 
-def q_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _live_shares(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The events in ``source`` as a stream of shares."""
+    events = spark.readStream.schema(data.table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 4).parquet(source)
+    hosts = data.with_nation(data.table(spark, sf_dir, "customer"), data.table(spark, sf_dir, "nation"))
+    return data.shares_of_events(events, hosts)
+
+
+def _arrive(spark: SparkSession, sf_dir: str, source: str, part: int) -> None:
+    """A third of the events reach the folder of the stream; later parts hold earlier events too."""
+    events = data.table(spark, sf_dir, "events")
+    events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(source)
+
+
+def q_refollow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A subscription that is lost half-way and taken up again from its checkpoint."""
+    interests = _interests(spark, sf_dir, FOLLOWED)
+    source, out, checkpoint = (scratch_path(spark, name) for name in ("events", "followed", "progress"))
+    for part in range(3):
+        _arrive(spark, sf_dir, source, part)
+        if part != 1:  # what arrives while nobody listens is read later
+            live = _live_shares(spark, sf_dir, source)
+            follow_streams.start_follow(live, interests, out, checkpoint).awaitTermination()
+    return _share_columns(spark.read.parquet(out))
+
+
+def q_last_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last share of each feed as the state of a stream that was stopped and started again."""
+    source, out, checkpoint = (scratch_path(spark, name) for name in ("events", "last", "progress"))
+    for part in range(3):
+        _arrive(spark, sf_dir, source, part)
+        live = _live_shares(spark, sf_dir, source)
+        follow_streams.start_last_state(live, out, checkpoint).awaitTermination()
+    return _share_columns(follow_streams.read_last_state(spark, out))
+
+
+def q_follow_snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot first, then every later share, as a stream."""
+    interests = _interests(spark, sf_dir, FOLLOWED)
+    stored = data.shares(spark, sf_dir)
+    out, checkpoint = scratch_path(spark, "followed"), scratch_path(spark, "progress")
+    live = data.shares_of_events(
+        data.stream_table(spark, sf_dir, "events"),
+        data.with_nation(data.table(spark, sf_dir, "customer"), data.table(spark, sf_dir, "nation")),
+    )
+    until = SNAPSHOT_END
+    follow_streams.start_follow_from_snapshot(live, stored, interests, until, out, checkpoint).awaitTermination()
+    return _share_columns(spark.read.parquet(out).drop("batch"))
+
+
+def q_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results kept as they arrive until their request expires."""
+    source, out, checkpoint = (scratch_path(spark, name) for name in ("events", "bounded", "progress"))
+    requests = materialize(_timed_requests(spark, sf_dir), "timed-requests")
+    for part in range(2):
+        events = data.table(spark, sf_dir, "events")
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(source)
+        live = spark.readStream.schema(events.schema).parquet(source).select(
+            F.col("user_id").alias("request_id"), F.col("ts").cast("timestamp").alias("responded_at"),
+            F.col("event_id").cast("string").alias("result"),
+        )
+        result_streams.start_bounded(live, requests, out, checkpoint, delay="1000 days").awaitTermination()
+    return result_streams.read_results(spark, out).select(
+        "request_id", _big("result").alias("event_id"), F.col("responded_at").cast("timestamp_ntz").alias("responded_at")
+    )
+
+
+def _streamed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document for each customer, as a stream."""
     named = data.with_nation(data.stream_table(spark, sf_dir, "customer"), data.table(spark, sf_dir, "nation"))
-    documents = data.shared_twins(named).select(
+    return data.shared_twins(named).select(
         F.col("c_custkey").alias("doc_id"), docs.to_document(F.col("twin")).alias("content")
     )
+
+
+def q_share_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of streamed documents in the table of feeds."""
+    feeds, checkpoint = scratch_path(spark, "feeds"), scratch_path(spark, "progress")
+    doc_streams.start_share(_streamed_documents(spark, sf_dir), feeds, checkpoint).awaitTermination()
+    stored = share_tables.read_shares(spark, feeds)
+    return stored.select(
+        "host_id", "twin_id", "feed_id", "mime_type",
+        F.get_json_object(bytes_text(F.col("payload")), "$.value").alias("value"),
+    )
+
+
+def q_describe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed documents that ask for twins, described from the twin table."""
+    key = F.col("c_custkey")
+    named = data.with_nation(data.stream_table(spark, sf_dir, "customer"), data.table(spark, sf_dir, "nation"))
+    asked = F.struct(
+        F.when(key % 8 != 3, F.col("host_id")).alias("hostId"),
+        F.when(key % 8 == 5, F.concat("twin_id", F.lit("x"))).when(key % 8 != 4, F.col("twin_id")).alias("id"),
+    )
+    documents = named.select(key.alias("doc_id"), F.to_json(asked).alias("content"))
+    out, checkpoint = scratch_path(spark, "described"), scratch_path(spark, "progress")
+    twins = materialize(data.twins(spark, sf_dir), "twins")
+    doc_streams.start_describe(documents, twins, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select(
+        _big(F.substring_index("request_id", "/", 1)).alias("request_id"), "route", "error",
+        F.get_json_object("document", "$.id").alias("described_id"),
+        F.get_json_object("document", "$.twin.id").alias("input_id"),
+        F.get_json_object("document", "$.error").alias("document_error"),
+    )
+
+
+def q_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _streamed_documents(spark, sf_dir)
     out, checkpoint = scratch_path(spark, "published"), scratch_path(spark, "progress")
     doc_streams.start_publish(documents, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select(

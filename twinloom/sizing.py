@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from twinloom.session import materialize
+
 MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
 
@@ -39,31 +43,82 @@ def spread_join(
     return left.join(right, [*on, "_salt"]).drop("_salt")
 
 
-def heavy_keys(counts: DataFrame, on: list[str], rows: str = "n", parts: int = 1000) -> DataFrame:
+def heavy_keys(
+    counts: DataFrame, on: list[str], rows: str = "n", parts: int = 1000, least: int = 1
+) -> DataFrame:
     """Keys that hold over one ``parts``-th of all rows, and in ``_salts`` how many groups each is dealt to.
 
-    ``counts`` has one row a key with its number of ``rows``. Fewer than ``parts`` keys can be heavy,
-    and all their groups together are fewer than ``2 * parts``, whatever the size of the table.
+    ``counts`` has one row a key with its number of ``rows``; a key of up to ``least`` is never heavy. Fewer than
+    ``parts`` keys can be heavy, and all their groups together are fewer than ``2 * parts``, whatever
+    the size of the table.
     """
     total = counts.agg(F.sum(rows)).first()[0] or 0
-    share = max(1, int(total) // parts)
+    share = max(1, least, int(total) // parts)
     return counts.where(F.col(rows) > share).select(
         *on, F.ceil(F.col(rows) / F.lit(share)).cast("int").alias("_salts")
     )
 
 
 def weighted_join(
-    big: DataFrame, other: DataFrame, on: list[str], salt_of: Column, heavy: DataFrame
+    big: DataFrame, other: DataFrame, on: list[str], salt_of: Column, heavy: DataFrame,
+    other_salt_of: Column | None = None, other_heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``on`` where only the ``heavy_keys`` are dealt to several groups, each by its weight.
 
-    The rows of ``other`` are repeated for the groups of their own key alone; every pair is found once.
+    The rows of ``other`` are repeated for the groups of their own key alone; every pair is found once. With
+    ``other_heavy`` the heavy keys of ``other`` are dealt as well, and the rows of ``big`` repeated for these.
     """
-    salts = F.coalesce("_salts", F.lit(1))
-    left = big.join(F.broadcast(heavy), on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(salt_of), salts).cast("int")
-    ).drop("_salts")
-    right = other.join(F.broadcast(heavy), on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    ).drop("_salts")
-    return left.join(right, [*on, "_salt"]).drop("_salt")
+    groups = ["_salt"] if other_heavy is None else ["_salt", "_other"]
+
+    def dealt(df: DataFrame, salt: str, by: Column, known: DataFrame) -> DataFrame:
+        salts = F.coalesce("_salts", F.lit(1))
+        met = df.join(F.broadcast(known), on, "left")
+        return met.withColumn(salt, F.pmod(F.xxhash64(by), salts).cast("int")).drop("_salts")
+
+    def repeated(df: DataFrame, salt: str, known: DataFrame) -> DataFrame:
+        met = df.join(F.broadcast(known), on, "left")
+        return met.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+
+    left, right = dealt(big, "_salt", salt_of, heavy), repeated(other, "_salt", heavy)
+    if other_heavy is not None:
+        left, right = repeated(left, "_other", other_heavy), dealt(right, "_other", other_salt_of, other_heavy)
+    return left.join(right, [*on, *groups]).drop(*groups)
+
+
+# --- Membership ---------------------------------------------------------------
+
+BLOCK_BITS = 32 * 1024  # of one bitmap
+BITS_A_KEY = 16
+PROBES = 4
+
+
+def might_hold(
+    keys: DataFrame, on: list[str], max_bytes: int = MAX_BYTES
+) -> Callable[[DataFrame], DataFrame]:
+    """A filter that keeps every row with one of ``keys``, and of the others hardly any, without a shuffle.
+
+    A Bloom filter as a table of bitmaps: a key sets ``PROBES`` bits of one of them. It is broadcast, and never
+    larger than ``max_bytes``: with more keys than that has room for, more other rows pass.
+    """
+    keys = keys.select(*on).distinct()
+    blocks = max(1, min(max_bytes * 8 // BLOCK_BITS, -(-keys.count() * BITS_A_KEY // BLOCK_BITS)))
+    block = F.pmod(F.xxhash64(*on), F.lit(blocks))
+    bits = F.xxhash64(*on, F.lit("bits"))
+    places = [F.shiftright(bits, 15 * k).bitwiseAND(BLOCK_BITS - 1) for k in range(PROBES)]
+    set_bits = keys.select(block.alias("_block"), F.explode(F.array(*places)).alias("place"))
+    bitmaps = materialize(
+        set_bits.groupBy("_block").agg(F.bitmap_construct_agg(F.col("place")).alias("_bitmap")), "bitmaps"
+    )
+
+    def is_set(place: Column) -> Column:
+        octet = F.substring(F.col("_bitmap"), F.shiftright(place, 3).cast("int") + 1, F.lit(1))
+        value = F.conv(F.hex(octet), 16, 10).cast("int")
+        return F.pmod(F.floor(value / F.pow(F.lit(2.0), place.bitwiseAND(7))), F.lit(2)) == 1
+
+    def rows_that_might(df: DataFrame) -> DataFrame:
+        met = df.withColumn("_block", block).join(F.broadcast(bitmaps), "_block")
+        for place in places:
+            met = met.where(is_set(place))
+        return met.select(*df.columns)
+
+    return rows_that_might

@@ -23,7 +23,7 @@ def quads_of(spark, *documents):
 
 
 def test_a_flat_document_becomes_quads(spark):
-    quads = jsonld.default_graph(jsonld.explode_quads(quads_of(spark, CAR))).orderBy("pos").collect()
+    quads = jsonld.explode_quads(quads_of(spark, CAR)).orderBy("pos").collect()
     assert [(q["p"], q["o"], (q["datatype"] or "").removeprefix(vocab.XSD)) for q in quads] == [
         (vocab.RDF_TYPE, SCHEMA + "Car", ""), ("http://schema.org/identifier", "1", "string"), (SCHEMA + "manufacturer", "Norlund", "string"),
         ("http://www.w3.org/2000/01/rdf-schema#label", "Norlund Heron 1", "string"), ("http://x/op", "true", "boolean"), ("https://x/units", "5", "integer")]
@@ -75,11 +75,56 @@ def test_terms_that_are_objects(spark):
 
 def test_documents_that_are_not_flat_are_in_error(spark):
     bad = ['{"a":1,}', "[]", {"@context": "http://remote", "a": 1}, {"@context": {"a": "http://a"}, "a": {"b": 1}},
-           {"@context": {"a": {"@id": "http://a", "@container": "@list"}}, "a": 1}, {"@graph": []}, {"@context": {"a": "http://a"}, "a": [1]}]
+           {"@context": {"a": {"@id": "http://a", "@container": "@list"}}, "a": 1}, {"@graph": [1]}, {"@context": {"a": "http://a"}, "a": [1]}]
     errors = [r["error"] for r in quads_of(spark, *bad).orderBy("doc_id").collect()]
     assert errors == [vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED] + [vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED] * 6
 
 
+def test_graphs_stay_apart_and_the_first_is_used(spark):
+    context = {"@context": {"a": "http://a", "g": "http://g/"}}
+    nodes = lambda *names: [{"@id": f"urn:{n}", "a": n} for n in names]
+    documents = [
+        {**context, "@graph": []}, {**context, "@graph": nodes("x", "y")}, {**context, "@graph": [{"a": "1"}, {"a": "2"}]},
+        {**context, "@id": "g:own", "@graph": nodes("x")[0]},
+        {**context, "@graph": [{"@id": "g:2", "@graph": nodes("x")}, {"@id": "g:1", "@graph": nodes("y", "z")}, {"@id": "http://g/2", "@graph": nodes("w", "x")}]},
+        {**context, "@graph": [{"@id": "g:2", "@graph": nodes("x")}, *nodes("y")]},
+        {**context, "@graph": [{"@id": "nowhere", "@graph": nodes("x")}]}, {**context, "@graph": [{"@graph": nodes("x")}]},
+    ]
+    graphs = jsonld.to_graphs(spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "doc_id int, content string"))
+    found = {r["doc_id"]: [(g["graph"], [(q["s"], q["o"]) for q in g["quads"]]) for g in r["graphs"]] for r in graphs.collect()}
+    of = lambda *names: [(f"urn:{n}", n) for n in names]
+    assert found == {
+        0: [], 1: [("@default", of("x", "y"))], 2: [("@default", [("_:b0", "1"), ("_:b1", "2")])], 3: [("http://g/own", of("x"))],
+        4: [("http://g/2", of("x", "w")), ("http://g/1", of("y", "z"))], 5: [("@default", of("y")), ("http://g/2", of("x"))],
+        6: [], 7: [("_:g", of("x"))],
+    }
+    first = {r["doc_id"]: (r["graph"], r["error"]) for r in jsonld.first_graph(graphs).collect()}
+    missing = (None, vocab.JSONLD_INVALID + vocab.JSONLD_NO_GRAPH)
+    assert [first[k] for k in (0, 1, 3, 4, 6)] == [missing, ("@default", None), ("http://g/own", None), ("http://g/2", None), missing]
+
+
+def test_graphs_that_are_not_flat_are_in_error(spark):
+    context = {"@context": {"a": "http://a"}}
+    bad = [{**context, "a": 1, "@graph": []}, {**context, "@graph": [{"@context": {}, "a": 1}]}, {**context, "@graph": [{"a": {"b": 1}}]},
+           {**context, "@graph": [{"a": 1, "@graph": []}]}, {**context, "@graph": [{"@graph": [{"@graph": []}]}]}, {**context, "@graph": "x"}, {**context, "@graph": [[]]}]
+    errors = [r["error"] for r in quads_of(spark, *bad).orderBy("doc_id").collect()]
+    assert errors == [vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED] * len(bad)
+
+
+def test_contexts_of_all_documents_or_of_their_own_give_the_same(spark):
+    documents = [{"@context": {"a": f"http://h/{k % n}/", "b": "a:x", "c": {"@id": "a:c", "@type": "a:t"}, "d": "d" if k % 7 == 3 else "a:d"}, "b": k, "c": str(k), "@type": "a:T"}
+                 for n in (1, 3, 200) for k in range(60)]
+    documents += [{"a": 1, "urn:x": "y"}, {"@context": None, "urn:x": 1}, {"@context": {}, "urn:x": 1}, {"@context": [], "urn:x": 1}, {"@context": "http://r", "a": 1},
+                  {"@context": {"b": "urn:b", "a": "urn:a"}, "a": 1}, {"@context": {"a": "urn:a", "b": "urn:b"}, "a": 1}]
+    rows = [(i, json.dumps(d)) for i, d in enumerate(documents)] + [(1000, "{"), (1001, "[]"), (1002, None), (1003, "1")]
+    docs = spark.createDataFrame(rows, "doc_id int, content string")
+    ways = [sorted(map(tuple, jsonld.to_quads(docs, small=small).collect()), key=repr) for small in (True, False)]
+    assert ways[0] == ways[1]
+    kept = jsonld.resolved_contexts(docs)
+    texts = {json.dumps(d["@context"], sort_keys=True) for d in documents if "@context" in d}
+    assert kept.count() == len(texts) and kept.select("context_key").distinct().count() == len(texts)
+
+
 def allow_document(*lists):
     terms = {f"a{i}": vocab.HOST_ALLOW_LIST for i in range(len(lists))}
     return {"@context": {**terms, "ID": vocab.IDENTIFIER}, "ID": "1", **{f"a{i}": x for i, x in enumerate(lists)}}

@@ -1,19 +1,20 @@
 """Flat JSON-LD documents: to quads, and on to twins.
 
-A document holds one node with scalar values and its own ``@context`` of terms, prefixes, ``@vocab`` and
-``@language``; a term may be a text or an object of ``@id``, ``@type`` and ``@language``. Each is resolved within its row, as the context travels with it, so
-no shuffle is needed. Anything deeper is put in error, not guessed at.
+A document holds a node with scalar values, or graphs of such nodes, and its own ``@context`` of terms, prefixes,
+``@vocab`` and ``@language``; a term may be a text or an object of ``@id``, ``@type`` and ``@language``. Contexts are
+resolved once each where documents share them. Anything deeper is put in error, not guessed at.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from twinloom import model, vocab
+from twinloom import model, sizing, vocab
 from twinloom.functions import checks, uris
 from twinloom.functions.identity import twin_identity
 from twinloom.functions.lets import let
 from twinloom.functions.properties import flat
+from twinloom.session import materialize
 
 QUAD = "struct<s:string,p:string,o:string,kind:string,datatype:string,lang:string>"
 DEFAULT_GRAPH = "@default"
@@ -227,60 +228,200 @@ def _ordered_quads(entries: Column, types: Column, subject: Column, context: Col
     return F.array_distinct(F.transform(ordered, lambda x: x["q"]))
 
 
-def _error(root: Column, fields: Column, given: Column, context: Column, entries: Column) -> Column:
-    nested = F.exists(
-        entries, lambda e: ~e["iri"].startswith("@") & e["kind"].isin("OBJECT", "ARRAY")
-    )
-    keyword = F.exists(entries, lambda e: e["iri"].startswith("@") & ~e["iri"].isin("@type", "@id"))
-    bad_context = given.isNull() | F.exists(
-        F.map_entries(given),
-        lambda e: ~_kind(e["value"]).isin("STRING", "VOID", "OBJECT")
-        | F.coalesce(_is_bad_definition(e["value"]), F.lit(False))
-        | (e["key"].startswith("@") & ~e["key"].isin(*_CONTEXT_KEYWORDS)),
-    )
-    return F.when(root.isNull(), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED)).when(
-        fields.isNull() | bad_context | nested | keyword,
-        F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED),
-    ).when(_is_cyclic(context), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_CYCLIC))
+# --- Contexts -----------------------------------------------------------------
 
 
-def _of_document(content: Column) -> Column:
-    """``struct(quads, error)`` of a document's text."""
-    def of_root(root: Column) -> Column:
-        return let(F.try_variant_get(root, "$", "map<string,variant>"), lambda f: of_fields(root, f))
-
-    def of_fields(root: Column, fields: Column) -> Column:
-        empty = F.from_json(F.lit("{}"), "map<string,variant>")
-        context = let(F.try_element_at(fields, F.lit("@context")), lambda c: F.when(
-            c.isNull(), empty
-        ).otherwise(F.try_variant_get(c, "$", "map<string,variant>")))
-        return let(context, lambda given: of_context(root, fields, given))
-
-    def of_context(root: Column, fields: Column, given: Column) -> Column:
-        return let(let(_term_texts(given), _resolved), lambda context: let(
-            _entries(fields, context), lambda entries: finish(root, fields, given, context, entries)
+def _context_of(root: Column) -> Column:
+    """The context of a document as it is given, or null; a variant."""
+    fields = F.try_variant_get(root, "$", "map<string,variant>")
+    return let(fields, lambda f: F.try_element_at(f, F.lit("@context")))
+
+
+def context_text(content: Column) -> Column:
+    """The context of a document's text in a form of its own, the same for the same members in any order."""
+    return let(F.try_parse_json(content), lambda root: F.to_json(_context_of(root)))
+
+
+def resolve(context: Column) -> Column:
+    """What a context (a variant) says: its expanded terms, how they are read, and what is wrong with it."""
+    def of_given(given: Column) -> Column:
+        bad = given.isNull() | F.exists(
+            F.map_entries(given),
+            lambda e: ~_kind(e["value"]).isin("STRING", "VOID", "OBJECT")
+            | F.coalesce(_is_bad_definition(e["value"]), F.lit(False))
+            | (e["key"].startswith("@") & ~e["key"].isin(*_CONTEXT_KEYWORDS)),
+        )
+        return let(let(_term_texts(given), _resolved), lambda expanded: F.struct(
+            expanded.alias("context"), _term_types(given).alias("terms"),
+            F.coalesce(bad, F.lit(True)).alias("bad"),
+            F.coalesce(_is_cyclic(expanded), F.lit(False)).alias("cyclic"),
         ))
 
-    def finish(root: Column, fields: Column, given: Column, context: Column, entries: Column) -> Column:
+    none = F.from_json(F.lit("{}"), "map<string,variant>")
+    given = F.when(context.isNull(), none).otherwise(F.try_variant_get(context, "$", "map<string,variant>"))
+    return let(given, of_given)
+
+
+def resolved_contexts(docs: DataFrame, content: str = "content") -> DataFrame:
+    """``context_key, resolved`` of each distinct context of the documents, however often it is used."""
+    texts = docs.select(context_text(F.col(content)).alias("text")).where("text is not null").distinct()
+    return texts.select(
+        F.sha2("text", 256).alias("context_key"), resolve(F.try_parse_json("text")).alias("resolved")
+    )
+
+
+# --- Documents ----------------------------------------------------------------
+
+
+def _members(value: Column) -> Column:
+    """The members of a graph, which is a list or one of them."""
+    kind = _kind(value)
+    return F.when(kind == "ARRAY", F.try_variant_get(value, "$", "array<variant>")).when(kind == "OBJECT", F.array(value))
+
+
+def _fields(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _nodes(fields: Column) -> Column:
+    """The nodes of a document as ``struct(graph, fields, apart)``: one, or those that its graphs list.
+
+    ``apart`` tells nodes that stand where none may: beside a graph, or with a context of their own.
+    """
+    graph, name = F.lit("@graph"), F.lit("@id")
+    default = F.lit(DEFAULT_GRAPH)
+    nothing = F.lit(None).cast("map<string,variant>")
+
+    def node(of: Column, fields: Column) -> Column:
+        alone = fields.isNull() | F.map_contains_key(fields, F.lit("@context"))
+        return F.struct(of.alias("graph"), fields.alias("fields"), alone.alias("apart"))
+
+    def only(fields: Column, *keys: str) -> Column:
+        return F.forall(F.map_keys(fields), lambda k: k.isin(*keys))
+
+    def named(of: Column, fields: Column, keys: tuple[str, ...]) -> Column:
+        inner = _members(F.try_element_at(fields, graph))
+        return F.when(inner.isNull() | ~only(fields, *keys), F.array(
+            F.struct(of.alias("graph"), nothing.alias("fields"), F.lit(True).alias("apart"))
+        )).otherwise(F.transform(inner, lambda n: let(_fields(n), lambda f: node(of, f))))
+
+    def member(value: Column) -> Column:
+        return let(_fields(value), lambda f: F.when(
+            F.map_contains_key(f, graph), named(F.coalesce(_text(F.try_element_at(f, name)), F.lit("_:g")), f, ("@id", "@graph"))
+        ).otherwise(F.array(node(default, f))))
+
+    own = F.try_element_at(fields, name)
+    listed = F.when(
+        own.isNotNull(), named(_text(own), fields, ("@context", "@id", "@graph"))
+    ).when(
+        only(fields, "@context", "@graph") & _members(F.try_element_at(fields, graph)).isNotNull(),
+        F.flatten(F.transform(_members(F.try_element_at(fields, graph)), member)),
+    ).otherwise(F.array(F.struct(default.alias("graph"), nothing.alias("fields"), F.lit(True).alias("apart"))))
+    whole = F.array(F.struct(default.alias("graph"), fields.alias("fields"), fields.isNull().alias("apart")))
+    return F.when(F.map_contains_key(fields, graph), listed).otherwise(whole)
+
+
+def _of_node(node: Column, blank: Column, resolved: Column) -> Column:
+    """``struct(graph, quads, bad)`` of a node."""
+    context = resolved["context"]
+
+    def of_entries(entries: Column) -> Column:
+        nested = F.exists(entries, lambda e: ~e["iri"].startswith("@") & e["kind"].isin("OBJECT", "ARRAY"))
+        keyword = F.exists(entries, lambda e: e["iri"].startswith("@") & ~e["iri"].isin("@type", "@id"))
+
         def with_subject(ids: Column) -> Column:
             relative = (F.size(ids) > 0) & F.get(ids, F.lit(0)).isNull()
-            subject = F.coalesce(F.get(ids, F.lit(0)), F.lit(BLANK))
+            subject = F.coalesce(F.get(ids, F.lit(0)), blank)
             types = _named(entries, "@type", context)
-            quads = let(_term_types(given), lambda terms: _ordered_quads(entries, types, subject, context, terms))
+            quads = _ordered_quads(entries, types, subject, context, resolved["terms"])
             return F.when(relative, F.array().cast(f"array<{QUAD}>")).otherwise(quads)
 
-        quads = let(_named(entries, "@id", context), with_subject)
-        return let(_error(root, fields, given, context, entries), lambda error: F.struct(
-            F.when(error.isNull(), quads).alias("quads"), error.alias("error")
+        return F.struct(
+            node["graph"].alias("graph"), let(_named(entries, "@id", context), with_subject).alias("quads"),
+            (node["apart"] | nested | keyword).alias("bad"),
+        )
+
+    return let(_entries(node["fields"], context), of_entries)
+
+
+def _by_graph(made: Column, context: Column) -> Column:
+    """``array<struct(graph, quads)>``: the default graph, then others as they come; relative names lead nowhere."""
+    named = F.transform(made, lambda m: F.struct(
+        F.when(m["graph"] == DEFAULT_GRAPH, m["graph"]).otherwise(
+            let(_expand_once(m["graph"], context), lambda n: _absolute(n, context))
+        ).alias("graph"), m["quads"].alias("quads"),
+    ))
+
+    def grouped(nodes: Column) -> Column:
+        names = F.array_distinct(F.transform(nodes, lambda n: n["graph"]))
+        ordered = F.concat(
+            F.filter(names, lambda g: g == DEFAULT_GRAPH), F.filter(names, lambda g: g != DEFAULT_GRAPH)
+        )
+        return F.transform(ordered, lambda g: F.struct(g.alias("graph"), F.array_distinct(F.flatten(F.transform(
+            F.filter(nodes, lambda n: n["graph"] == g), lambda n: n["quads"]
+        ))).alias("quads")))
+
+    return let(F.filter(named, lambda n: n["graph"].isNotNull()), grouped)
+
+
+def _of_document(content: Column, known: Column | None) -> Column:
+    """``struct(graphs, error)`` of a document's text, its context ``known`` or still to be resolved."""
+    def of_root(root: Column) -> Column:
+        resolved = resolve(_context_of(root)) if known is None else known
+        return let(_fields(root), lambda fields: let(resolved, lambda r: let(
+            F.transform(_nodes(fields), lambda n, i: _of_node(n, F.concat(F.lit("_:b"), i.cast("string")), r)),
+            lambda made: finish(root, fields, r, made),
+        )))
+
+    def finish(root: Column, fields: Column, resolved: Column, made: Column) -> Column:
+        error = F.when(root.isNull(), F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_MALFORMED)).when(
+            fields.isNull() | resolved["bad"] | F.exists(made, lambda m: F.coalesce(m["bad"], F.lit(True))),
+            F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_UNSUPPORTED),
+        ).when(resolved["cyclic"], F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_CYCLIC))
+        return let(error, lambda e: F.struct(
+            F.when(e.isNull(), _by_graph(made, resolved["context"])).alias("graphs"), e.alias("error")
         ))
 
     return let(F.try_parse_json(content), of_root)
 
 
-def to_quads(docs: DataFrame, content: str = "content") -> DataFrame:
-    """Adds ``quads``, in the order of predicate and term and each once, and ``error``."""
-    made = docs.withColumn("_q", _of_document(F.col(content)))
-    return made.select(*docs.columns, "_q.quads", "_q.error")
+def to_graphs(docs: DataFrame, content: str = "content", small: bool | None = None) -> DataFrame:
+    """Adds ``graphs`` (``graph, quads`` each, the default graph first) and ``error``.
+
+    Documents mostly share a few contexts: these are resolved once each, and looked up by their digest
+    if measured to be few. Contexts that are many, as where each document has one of its own, are
+    resolved within their rows, where they need no shuffle. ``small`` skips the measuring.
+    """
+    if small is None and docs.isStreaming:
+        small = False
+    if small is not False:
+        contexts = materialize(resolved_contexts(docs, content), "contexts")
+        small = small or sizing.fits(contexts.select("context_key", F.col("resolved.context")))
+    if small:
+        keyed = docs.withColumn("_key", F.sha2(context_text(F.col(content)), 256))
+        known = F.broadcast(contexts.select(F.col("context_key").alias("_key"), F.col("resolved").alias("_known")))
+        nothing = resolve(F.lit(None).cast("variant"))  # a document without a context
+        joined = keyed.join(known, "_key", "left")
+        found = F.when(F.col("_key").isNull(), nothing).otherwise(F.col("_known"))
+        made = joined.withColumn("_q", _of_document(F.col(content), found))
+    else:
+        made = docs.withColumn("_q", _of_document(F.col(content), None))
+    return made.select(*docs.columns, "_q.graphs", "_q.error")
+
+
+def first_graph(with_graphs: DataFrame) -> DataFrame:
+    """``graph`` and ``quads`` of the first graph of each document; one without any is in error."""
+    others = [c for c in with_graphs.columns if c not in ("graphs", "error")]
+    first = F.get("graphs", F.lit(0))
+    missing = F.when(F.size("graphs") == 0, F.lit(vocab.JSONLD_INVALID + vocab.JSONLD_NO_GRAPH))
+    return with_graphs.select(
+        *others, first["graph"].alias("graph"), first["quads"].alias("quads"), F.coalesce("error", missing).alias("error")
+    )
+
+
+def to_quads(docs: DataFrame, content: str = "content", small: bool | None = None) -> DataFrame:
+    """Adds the ``quads`` of the first graph, in the order of nodes, predicate and term and each once, and ``error``."""
+    return first_graph(to_graphs(docs, content, small)).select(*docs.columns, "quads", "error")
 
 
 def explode_quads(with_quads: DataFrame) -> DataFrame:
@@ -289,19 +430,8 @@ def explode_quads(with_quads: DataFrame) -> DataFrame:
     The outer explode adds no filter of its own, which would have to build the quads once more.
     """
     others = [c for c in with_quads.columns if c not in ("quads", "error")]
-    rows = with_quads.select(
-        *others, F.lit(DEFAULT_GRAPH).alias("graph"), F.posexplode_outer("quads").alias("pos", "q")
-    )
-    return rows.where(F.col("pos").isNotNull()).select(*others, "graph", "pos", "q.*")
-
-
-def default_graph(quads: DataFrame) -> DataFrame:
-    """Only the first graph of a document is used.
-
-    Documents with named graphs of their own are in error as unsupported, so what ``explode_quads`` gives is
-    one graph; quads from elsewhere may have more.
-    """
-    return quads.where(F.col("graph") == DEFAULT_GRAPH)
+    rows = with_quads.select(*others, F.posexplode_outer("quads").alias("pos", "q"))
+    return rows.where(F.col("pos").isNotNull()).select(*others, "pos", "q.*")
 
 
 def identity_object(quads: Column, id_property: str = vocab.IDENTIFIER) -> Column:

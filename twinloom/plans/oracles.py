@@ -387,6 +387,15 @@ FROM base WHERE doc_id % 50 = 49""", _FEEDS, _OUTCOME),
   coalesce(lang, '') AS o_lang FROM props""", _PROPS),
     "q_jsonld_quads": _with(f"""SELECT k AS doc_id, row_number() OVER (PARTITION BY k ORDER BY ord) - 1 AS pos, '_:b0' AS s, p, o, kind, datatype,
   lang FROM quad""", _LINKED),
+    "q_first_graph": _with(f"""SELECT k AS doc_id,
+  CASE WHEN bad OR r = 0 THEN NULL WHEN r = 3 THEN {_s(data.HOME + 'own')} WHEN r = 4 THEN {_s(data.HOME + 'g2')} ELSE '@default' END AS graph,
+  CASE WHEN bad THEN NULL WHEN r = 1 THEN '_:b0' || p || c_name
+    WHEN r = 2 THEN {_s(data.HOME + 'a/')} || k || p || c_name || ' 0;_:b1' || p || c_name || ';' || {_s(data.HOME + 'a/')} || k || p || c_name || ' 2'
+    WHEN r = 3 THEN {_s(data.HOME + 'a/')} || k || p || c_name || ' 0'
+    WHEN r = 4 THEN {_s(data.HOME + 'a/')} || k || p || c_name || ' 0;' || {_s(data.HOME + 'b/')} || k || p || c_name || ' 1'
+    WHEN r = 5 THEN {_s(data.HOME + 'b/')} || k || p || c_name || ' 0' END AS quads,
+  CASE WHEN bad THEN {_s(v.JSONLD_INVALID + v.JSONLD_UNSUPPORTED)} WHEN r = 0 THEN {_s(v.JSONLD_INVALID + v.JSONLD_NO_GRAPH)} END AS error
+FROM (SELECT *, k % 6 AS r, k % 50 = 44 AS bad, {_s('|' + v.RDFS_LABEL + '|')} AS p FROM base)"""),
     "q_jsonld_identity": _with(f"""SELECT k AS doc_id, CASE WHEN e IS NULL THEN {_ID.format('k')} END AS twin_id, e AS error
 FROM (SELECT k, {_LINKED_ERROR} AS e FROM linked)""", _LINKED),
     "q_quads_to_properties": _with(f"""SELECT k AS doc_id, row_number() OVER (PARTITION BY k ORDER BY ord) - 1 AS pos, key, value, type, data_type FROM (

@@ -666,10 +666,17 @@ def _quads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_jsonld_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quads = jsonld.default_graph(jsonld.explode_quads(_quads(spark, sf_dir)))
+    quads = jsonld.explode_quads(_quads(spark, sf_dir))
     return quads.select("doc_id", _big("pos").alias("pos"), "s", "p", "o", "kind", "datatype", "lang")
 
 
+def q_first_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first graph of documents with none, one and three of them."""
+    graphs = jsonld.first_graph(jsonld.to_graphs(data.graph_documents(spark, sf_dir)))
+    shown = F.array_join(F.transform("quads", lambda q: F.concat_ws("|", q["s"], q["p"], q["o"])), ";")
+    return graphs.select("doc_id", "graph", shown.alias("quads"), "error")
+
+
 def q_jsonld_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_quads = _quads(spark, sf_dir)
     return jsonld.build_twins(with_quads, SEED, data.LOCAL_HOST).select("doc_id", "twin_id", "error")

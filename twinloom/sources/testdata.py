@@ -253,6 +253,41 @@ def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def graph_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, content``: per customer a document of no graph, a plain node, a list of nodes, a named graph, three graphs, or
+    one that is not flat."""
+    key = F.col("c_custkey")
+
+    def node(name: str, at: int) -> Column:
+        return F.concat(
+            F.lit(f'{{"@id":"{HOME}{name}/'), key.cast("string"), F.lit(f'","label":"'), F.col("c_name"), F.lit(f" {at}"), F.lit('"}')
+        )
+
+    def listed(*nodes: Column) -> Column:
+        inner: list[Column] = [F.lit("[")]
+        for k, n in enumerate(nodes):
+            inner += [F.lit(","), n] if k else [n]
+        return F.concat(*inner, F.lit("]"))
+
+    def named(name: str, *nodes: Column) -> Column:
+        return F.concat(F.lit(f'{{"@id":"{HOME}{name}","@graph":'), listed(*nodes), F.lit("}"))
+
+    bare = F.concat(F.lit('{"label":"'), F.col("c_name"), F.lit('"}'))
+    graphs = (
+        F.when(key % 6 == 0, F.lit("[]")).when(key % 6 == 2, listed(node("a", 0), bare, node("a", 2)))
+        .when(key % 6 == 4, listed(named("g2", node("a", 0), node("b", 1)), named("g1", node("c", 0)), named("g3", node("d", 0))))
+        .when(key % 6 == 5, listed(named("g2", node("a", 0)), node("b", 0), named("g2", node("c", 0)), named("g4")))
+    )
+    context = F.lit('{"@context":' + json.dumps({"label": vocab.RDFS_LABEL}))
+    text = F.when(key % 6 == 1, F.concat(context, F.lit(',"label":"'), F.col("c_name"), F.lit('"}'))).when(
+        key % 6 == 3, F.concat(context, F.lit(f',"@id":"{HOME}own","@graph":'), node("a", 0), F.lit("}"))
+    ).otherwise(F.concat(context, F.lit(',"@graph":'), graphs, F.lit("}")))
+    beside = F.concat(context, F.lit(',"label":"x","@graph":[]}'))
+    return customers(spark, sf_dir).select(
+        key.alias("doc_id"), F.when(key % 50 == 44, beside).otherwise(text).alias("content")
+    )
+
+
 def shares_of_events(events: DataFrame, hosts: DataFrame) -> DataFrame:
     """One share per event, with the host of the twin it belongs to."""
     keyed = hosts.select("c_custkey", "host_id", "twin_id")

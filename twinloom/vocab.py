@@ -70,6 +70,7 @@ TWIN_UNKNOWN = "twin not found"
 JSONLD_MALFORMED = "malformed JSON"
 JSONLD_UNSUPPORTED = "unsupported JSON-LD"
 JSONLD_CYCLIC = "cyclic term in context"
+JSONLD_NO_GRAPH = "missing graph"
 CHUNKS_INCOMPLETE = "result incomplete: last chunk missing"
 
 EARTH_RADIUS_KM = 6371.0088

@@ -135,15 +135,22 @@ class Mix:
     keep: str | None = None
 
     def rate(self, posterior: Column) -> Column:
-        if not self.steps:
-            return F.lit(1.0)
-        moves = F.array(*[F.array(*map(F.lit, step)) for step in self.steps])
-        return F.aggregate(
-            moves, F.lit(1.0),
-            lambda rate, step: bounded(rate - sum(
-                posterior[d] * step[d] for d in range(len(self.domains))
-            ), posterior, self.domains, self.keep),
-        )
+        return moved_rate(F.lit(1.0), posterior, self.steps, self.domains, self.keep)
+
+
+def moved_rate(
+    rate: Column, posterior: Column, steps: list[list[float]], domains: list[str], keep: str | None
+) -> Column:
+    """A rate after some steps. These are data of the expression, so that the code made for it stays the same."""
+    if not steps:
+        return rate
+    moves = F.array(*[F.array(*map(F.lit, step)) for step in steps])
+    return F.aggregate(
+        moves, rate,
+        lambda r, step: bounded(
+            r - sum(posterior[d] * step[d] for d in range(len(domains))), posterior, domains, keep
+        ),
+    )
 
 
 def stays(posterior: Column, domains: list[str], keep: str) -> Column:
@@ -194,6 +201,7 @@ def fit_rates(
     target = np.array(share) * total
     aims = np.array([d for d in range(size) if keep is None or d != domains.index(keep) and present[d] > target[d]], int)
     steps: list[list[float]] = []
+    kept = 0  # steps that the stored rates have taken
     scaled = True
     while len(steps) < config.steps and np.abs(reached - target)[aims].max(initial=0.0) > config.tolerance * total:
         off = reached - target
@@ -203,10 +211,8 @@ def fit_rates(
             np.linalg.lstsq(curvature[np.ix_(aims, aims)], off[aims], rcond=1e-12)[0] if scaled
             else np.divide(off, present, out=np.zeros(size), where=present > 0)[aims]
         )
-        taken = sum(p * F.lit(float(v)) for p, v in zip(parts, step))
-        moved = rated.withColumn("rate", bounded(F.col("rate") - taken, F.col("_posterior"), domains, keep))
-        if (len(steps) + 1) % config.keep_after == 0:
-            moved = materialize(moved, "mix-rates")
+        since = [*steps[kept:], step.tolist()]
+        moved = rated.withColumn("rate", moved_rate(F.col("rate"), F.col("_posterior"), since, domains, keep))
         now, bend = measure(moved)
 
         def miss(sums: np.ndarray) -> float:
@@ -219,7 +225,10 @@ def fit_rates(
             continue
         scaled = True
         steps.append([float(v) for v in step])
-        rated, reached, curvature = moved, now, bend
+        reached, curvature = now, bend
+        if len(steps) - kept == config.keep_after:
+            rated, kept = materialize(moved, "mix-rates"), len(steps)
+    rated = rated.withColumn("rate", moved_rate(F.col("rate"), F.col("_posterior"), steps[kept:], domains, keep))
     present, target, reached = (x.tolist() for x in (present, target, reached))
     return Mix(domains, present, target, reached, steps, keep), rated
 

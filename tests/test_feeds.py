@@ -300,7 +300,44 @@ def test_versions_keep_the_newest_of_each(spark, tmp_path):
     add([(9, ("2", "b3"))])  # a batch that is run again
     upsert.compact(spark, table, smaller, buckets=2)
     assert labels(upsert.read_newest(spark, smaller)) == ["a2", "b3", "c"]
-    assert spark.read.parquet(smaller).count() == 3 and spark.read.parquet(table).count() == 7
+    assert upsert.read_versions(spark, smaller).count() == 3 and upsert.read_versions(spark, table).count() == 7
+    assert labels(upsert.read_newest(spark, table, until=2)) == ["b", "late"]
+
+
+def test_runs_are_merged_by_size(spark, tmp_path):
+    table = str(tmp_path / "twins")
+    schema = "twin_id string, batch int, v string"
+    newest = {}
+    for number in range(20):
+        rows = [(f"t{(number * 7 + k) % 30}", (number * 5 + k) % 23, f"v{number}.{k}") for k in range(6)]
+        for t, batch, v in rows:
+            newest.setdefault(t, []).append((batch, v))
+        upsert.append_versions(spark.createDataFrame(rows + rows[:1], schema), table, 2, number)
+    upsert.append_versions(spark.createDataFrame([("t0", 99, "again")], schema), table, 2, 7)  # known: nothing changes
+    runs = upsert.live_runs(spark, table)
+    assert sorted(n for r in runs for n in r.numbers) == list(range(20)) and len(runs) < 8
+    tiers = [r.tier for r in runs]
+    assert all(tiers.count(t) < upsert.FAN_IN for t in tiers)
+    found = upsert.read_newest(spark, table)
+    assert "SortAggregate" not in plan_of(found) and "ShuffledHashJoin" in plan_of(found)
+    rows = {r["twin_id"]: (r["batch"], r["v"]) for r in found.collect()}
+    assert found.count() == 30 and {t: b for t, (b, _) in rows.items()} == {t: max(v)[0] for t, v in newest.items()}
+    assert all((rows[t]) in newest[t] for t in rows)
+    upsert.remove_old(spark, table)
+    assert {r["twin_id"]: (r["batch"], r["v"]) for r in upsert.read_newest(spark, table).collect()} == rows
+    files = [f for f in (tmp_path / "twins" / "runs").rglob("*.parquet")]
+    assert len(files) <= 2 * len(runs) * 2 and len(list((tmp_path / "twins" / "live").iterdir())) == 1
+
+
+def test_a_run_that_broke_off_is_not_read(spark, tmp_path):
+    table = str(tmp_path / "twins")
+    schema = "twin_id string, batch int, v string"
+    upsert.append_versions(spark.createDataFrame([("a", 1, "x")], schema), table, 2, 0)
+    broken = upsert.ranked(spark.createDataFrame([("a", 2, "half")], schema))
+    upsert._write_run(broken, table, "u1", (1,), 2, "batch")  # but not made live
+    assert [r["v"] for r in upsert.read_newest(spark, table).collect()] == ["x"]
+    upsert.append_versions(spark.createDataFrame([("a", 2, "whole")], schema), table, 2, 1)
+    assert [r["v"] for r in upsert.read_newest(spark, table).collect()] == ["whole"]
 
 
 @pytest.mark.parametrize("few", [True, False])

@@ -204,6 +204,43 @@ def test_patterns_find_what_brute_force_finds(spark, name):
     want = brute(rows, PATTERNS[name])
     assert want and solved(graph.match(graph.triples(twins), PATTERNS[name])) == want
     assert solved(graph.match_twins(twins, PATTERNS[name])) == want
+    counts = graph.graph_counts(graph.triples(twins)).cache()
+    assert solved(graph.match(graph.triples(twins), PATTERNS[name], counts)) == want
+    assert solved(graph.match_twins(twins, PATTERNS[name], counts)) == want
+
+
+def test_counts_tell_the_size_of_a_star(spark):
+    twins = graph_twins(spark)
+    rows = graph.triples(twins)
+    counts = graph.graph_counts(rows).cache()
+    for star in ([("?c", I("size"), "?n")], [("?c", I("size"), "?n"), ("?c", I("owner"), "?o")], [("?c", I("name"), L("Imke"))], [("?c", I("none"), "?n")]):
+        found = graph.match_twins(twins, star).count()
+        assert abs(graph.expected_rows(counts, star) - found) < 1e-6
+    total = counts.where("kind = 'object'").agg(F.sum("n")).first()[0]
+    assert total == rows.count() == counts.where("kind = 'set'").agg(F.sum("n")).first()[0]
+
+
+def test_the_rarest_star_comes_first_and_hot_objects_are_dealt(spark):
+    rows = []
+    for k in range(6000):
+        place = "hot" if k % 3 == 0 else f"p{k % 40}"
+        rows.append((f"t{k}", [("place", place, "StringLiteral", None, None), ("kind", "guide" if k % 300 == 0 else "other", "StringLiteral", None, None)]))
+    twins = spark.createDataFrame(rows, f"twin_id string, properties array<{model.PROPERTY}>").cache()
+    counts = graph.graph_counts(graph.triples(twins)).cache()
+    patterns = [("?a", I("place"), "?p"), ("?g", I("place"), "?p"), ("?g", I("kind"), L("guide"))]
+    assert graph.expected_rows(counts, patterns[1:]) < graph.expected_rows(counts, patterns[:1]) == 6000
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = graph.match_twins(twins, patterns, counts)
+        sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    want = sum(1 for a in rows for g in rows[::300] if a[1][0][1] == g[1][0][1])
+    assert sum(sizes) == want and len(sizes) == 8 and sizes[-1] < 3 * sizes[4]
 
 
 def test_patterns_without_a_shared_variable_are_refused(spark):

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from twinloom import sizing, vocab
@@ -9,6 +13,7 @@ from twinloom.functions.identity import twin_identity
 from twinloom.functions.properties import (
     find_property, property_errors, typed_union, value_metadata,
 )
+from twinloom.session import materialize
 
 
 def upsert_port(port: Column, stored: bool) -> Column:
@@ -78,35 +83,165 @@ def merge(stored: DataFrame, updates: DataFrame, key: str = "twin_id", order: st
     An update that comes late does not replace a newer stored row. Stored rows are not aggregated but
     for those that have an update; the updated keys are broadcast if measured to be few.
     """
-    keys = updates.select(key).distinct()
+    keys = materialize(updates.select(key).distinct(), "updated-keys")
     keys = sizing.broadcast_if(keys, sizing.fits(keys))
     rivals = stored.join(keys, key, "left_semi").unionByName(updates)
     return stored.join(keys, key, "left_anti").unionByName(newest(rivals, key, order))
 
 
-# --- A table of versions: appended to, newest on read, compacted at times -------
+# --- A table of versions: written in runs, merged by size, newest on read --------
 
 
 BUCKET = "twin_bucket"
+#: Runs of about one size that are merged to one.
+FAN_IN = 4
+
+
+@dataclass(frozen=True)
+class Run:
+    """A folder of versions that is part of the table, and the updates it holds."""
+
+    name: str
+    rows: int
+    numbers: tuple[int, ...]
+
+    @property
+    def tier(self) -> int:
+        return int(math.log(max(1, self.rows), FAN_IN))
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+
+
+def _states(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete lists of runs, in order; the last one is the table."""
+    listed = [int(n.removeprefix("state=")) for n in _files(spark, f"{path}/live") if n.startswith("state=")]
+    return sorted(n for n in listed if "_SUCCESS" in _files(spark, f"{path}/live/state={n}"))
+
 
+def live_runs(spark: SparkSession, path: str) -> list[Run]:
+    """The runs that make up the table; there are few, as runs are merged by size."""
+    states = _states(spark, path)
+    if not states:
+        return []
+    rows = spark.read.parquet(f"{path}/live/state={states[-1]}").collect()
+    return [Run(r["name"], r["rows"], tuple(r["numbers"])) for r in rows]
 
-def append_versions(updates: DataFrame, path: str, buckets: int = 64) -> None:
-    """Adds versions of twins to the table at ``path``, which keeps all of them.
 
-    Appending the same rows again, as after a failure, changes nothing that is read.
+def _set_live(spark: SparkSession, path: str, runs: list[Run]) -> None:
+    """Makes these runs the table, at once for all readers that come after."""
+    state = (_states(spark, path) or [0])[-1] + 1
+    rows = [(r.name, r.rows, list(r.numbers)) for r in runs]
+    frame = spark.createDataFrame(rows, "name string, rows long, numbers array<long>")
+    frame.coalesce(1).write.mode("overwrite").parquet(f"{path}/live/state={state}")
+
+
+def _write_run(versions: DataFrame, path: str, name: str, numbers: tuple[int, ...], buckets: int, order: str) -> Run:
+    """Rows in order within each bucket, so that files know the range of their ``order``; no two are alike."""
+    rows = versions.withColumn(BUCKET, F.pmod(F.xxhash64("twin_id"), F.lit(buckets)).cast("int"))
+    folder = f"{path}/runs/run={name}"
+    spread = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, order)
+    spread.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+    return Run(name, rows.sparkSession.read.schema(rows.schema).parquet(folder).count(), numbers)
+
+
+def ranked(updates: DataFrame, key: str = "twin_id", order: str = "batch") -> DataFrame:
+    """Adds ``rank``: the order, and between equals the content, as one decimal of fixed width."""
+    rest = [c for c in updates.columns if c != key]
+    rank = F.col(order).cast("decimal(19,0)") * F.lit(Decimal(1 << 64)) + F.xxhash64(*rest).cast("decimal(19,0)")
+    return updates.withColumn("rank", F.coalesce(rank.cast("decimal(38,0)"), F.lit(Decimal(-(10 ** 37)))))
+
+
+def append_versions(
+    updates: DataFrame, path: str, buckets: int = 64, number: int | None = None, order: str = "batch"
+) -> None:
+    """Adds versions of twins to the table at ``path`` as a run of their own, and merges runs of a size.
+
+    ``number`` names the update: added once more, as after a failure, it changes nothing.
+    """
+    spark = updates.sparkSession
+    runs = live_runs(spark, path)
+    known = {n for r in runs for n in r.numbers}
+    if number in known:
+        return
+    number = max(known, default=-1) + 1 if number is None else number
+    alike = ranked(updates, order=order).dropDuplicates(["twin_id", "rank"])
+    runs.append(_write_run(alike, path, f"u{number}", (number,), buckets, order))
+    _set_live(spark, path, runs)
+    merge_runs(spark, path, buckets, order)
+
+
+def merge_runs(spark: SparkSession, path: str, buckets: int = 64, order: str = "batch") -> None:
+    """Merges runs until no more than ``FAN_IN`` - 1 are of one size tier; older versions of a twin go.
+
+    Runs that were merged stay as files for readers that still use them, until ``remove_old``.
+    """
+    while True:
+        runs = live_runs(spark, path)
+        tiers: dict[int, list[Run]] = {}
+        for run in runs:
+            tiers.setdefault(run.tier, []).append(run)
+        full = next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= FAN_IN), None)
+        if full is None:
+            return
+        numbers = tuple(sorted(n for r in full for n in r.numbers))
+        name = f"m{(_states(spark, path) or [0])[-1] + 1}"
+        merged = _write_run(_newest_of(spark, path, full, None, order), path, name, numbers, buckets, order)
+        _set_live(spark, path, [r for r in runs if r not in full] + [merged])
+
+
+def remove_old(spark: SparkSession, path: str) -> None:
+    """Deletes runs and lists that are no longer part of the table; no reader of an older one may be at work."""
+    states, live = _states(spark, path), {f"run={r.name}" for r in live_runs(spark, path)}
+    gone = [f"{path}/runs/{n}" for n in _files(spark, f"{path}/runs") if n not in live]
+    gone += [f"{path}/live/state={n}" for n in states[:-1]]
+    for folder in gone:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """All versions that the table still holds."""
+    return _read_runs(spark, path, live_runs(spark, path)).drop("rank", "run", BUCKET)
+
+
+def _read_runs(spark: SparkSession, path: str, runs: list[Run]) -> DataFrame:
+    folders = [f"{path}/runs/run={r.name}" for r in runs if r.rows]
+    if not folders:
+        raise ValueError(f"no versions at {path}")
+    return spark.read.option("basePath", f"{path}/runs").parquet(*folders)
+
+
+def _newest_of(spark: SparkSession, path: str, runs: list[Run], until: int | None, order: str) -> DataFrame:
+    """The newest version of each twin, with its rank.
+
+    Only keys, ranks and names of runs are aggregated, by hash; then rows meet the one chosen for their key. Equal
+    versions of several runs count as that of the run with the greatest name.
     """
-    bucket = F.pmod(F.xxhash64("twin_id"), F.lit(buckets)).cast("int")
-    updates.withColumn(BUCKET, bucket).write.mode("append").partitionBy(BUCKET).parquet(path)
+    rows = _read_runs(spark, path, runs)
+    if until is not None:
+        rows = rows.where(F.col(order) <= until)  # pruned by the range that files and row groups know
+    names = F.create_map(*[x for k, r in enumerate(sorted(runs, key=lambda r: r.name)) for x in (F.lit(r.name), F.lit(k))])
+    slim = rows.select("twin_id", "rank", names[F.col("run")].alias("_place"))
+    places = slim.groupBy("twin_id", "rank").agg(F.max("_place").alias("_place"))
+    best = slim.groupBy("twin_id").agg(F.max("rank").alias("rank"))
+    chosen = places.join(best.hint("shuffle_hash"), ["twin_id", "rank"])
+    numbered = rows.withColumn("_place", names[F.col("run")])
+    return numbered.join(chosen.hint("shuffle_hash"), ["twin_id", "rank", "_place"], "left_semi").drop("_place", "run", BUCKET)
 
 
-def read_newest(spark: SparkSession, path: str, order: str = "batch") -> DataFrame:
-    """The newest version of each twin of the table at ``path``."""
-    return newest(spark.read.parquet(path).drop(BUCKET), order=order)
+def read_newest(spark: SparkSession, path: str, order: str = "batch", until: int | None = None) -> DataFrame:
+    """The newest version of each twin of the table at ``path``; with ``until``, as far as the table still knows, at that order."""
+    return _newest_of(spark, path, live_runs(spark, path), until, order).drop("rank")
 
 
 def compact(spark: SparkSession, path: str, to: str, order: str = "batch", buckets: int = 64) -> None:
     """Writes the newest versions as a new table at ``to``; when readers use it, ``path`` may go."""
-    append_versions(read_newest(spark, path, order), to, buckets)
+    append_versions(read_newest(spark, path, order), to, buckets, order=order)
 
 
 def distinct_ports(twins: DataFrame, ports: str = "feeds") -> DataFrame:

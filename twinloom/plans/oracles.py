@@ -405,6 +405,9 @@ FROM (SELECT k, {_LINKED_ERROR} AS e FROM linked)""", _LINKED),
     'Uri', NULL FROM linked WHERE error IS NULL) WHERE k % 50 <> 48""", _LINKED),
     "q_graph_pattern": _with(f"""SELECT twin_id, balance, {XSD_DECIMAL} AS datatype FROM base
 WHERE c_mktsegment = 'BUILDING' AND allowed = {_s(v.ALLOW_NONE)}"""),
+    "q_graph_join": _with(f"""SELECT t.twin_id, g.twin_id AS guide_id, t.place FROM placed t JOIN placed g ON t.place = g.place
+WHERE g.c_mktsegment = 'BUILDING' AND g.allowed = {_s(f"{v.DID_PREFIX}1, {v.DID_PREFIX}2")}""",
+        "placed AS (SELECT *, CASE WHEN k % 3 = 0 THEN 'Customer of the house' ELSE comment END AS place FROM base)"),
     "q_pattern_count": _with(f"SELECT count(*) AS n FROM base WHERE c_mktsegment = 'BUILDING' AND allowed = {_s(v.ALLOW_NONE)}"),
     "q_bindings_json": f"""SELECT {_s(v.SCHEMA_ORG)} || c_mktsegment AS type_value, 'uri' AS type_kind, CAST(count(*) AS VARCHAR) AS n_value,
   {_s(v.XSD + 'integer')} AS n_datatype, 'n' AS second_variable FROM customer GROUP BY c_mktsegment""",

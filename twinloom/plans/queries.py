@@ -706,6 +706,27 @@ def q_graph_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GUIDES: list[graph.Pattern] = [
+    ("?twin", graph.iri(vocab.RDFS_COMMENT), "?place"),
+    ("?guide", graph.iri(vocab.RDFS_COMMENT), "?place"),
+    ("?guide", graph.iri(vocab.RDF_TYPE), graph.iri(vocab.SCHEMA_ORG + "BUILDING")),
+    ("?guide", graph.iri(vocab.HOST_ALLOW_LIST), graph.iri(f"{vocab.DID_PREFIX}1, {vocab.DID_PREFIX}2")),
+]
+
+
+def q_graph_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two subjects over a shared object, which a third of all twins have; joined by kept counts."""
+    placed = F.transform("properties", lambda p: F.when(
+        (p["key"] == vocab.RDFS_COMMENT) & (F.col("c_custkey") % 3 == 0), p.withField("value", F.lit("Customer of the house"))
+    ).otherwise(p))
+    twins = data.keyed_twins(spark, sf_dir).withColumn("properties", placed).drop("c_custkey")
+    counts = materialize(graph.graph_counts(graph.triples(twins)), "graph-counts")
+    found = graph.match_twins(twins, GUIDES, counts)
+    return found.select(
+        F.col("`?twin`.value").alias("twin_id"), F.col("`?guide`.value").alias("guide_id"), F.col("`?place`.value").alias("place")
+    )
+
+
 def q_pattern_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = graph.match_twins(data.twins(spark, sf_dir), PATTERNS[:2])
     return graph.count_solutions(found, "?twin", "n")

@@ -53,13 +53,13 @@ def start_upsert(
 ) -> StreamingQuery:
     """Build a twin from each arriving document (``content, batch``) and add it to the versions in ``table``.
 
-    ``batch`` tells which of two documents of a twin is the later, whenever they arrive. A batch
-    that is run again after a failure adds the same rows, which changes nothing that is read.
+    ``batch`` tells which of two documents of a twin is the later, whenever they arrive. A micro-batch
+    that is run again after a failure changes nothing. Runs are merged by size as they come.
     """
     def write_batch(batch: DataFrame, number: int) -> None:
         built = build(batch).persist()
         good = built.where(F.col("error").isNull())
-        append_versions(good.select("host_id", "twin_id", "properties", "feeds", "inputs", "batch"), table)
+        append_versions(good.select("host_id", "twin_id", "properties", "feeds", "inputs", "batch"), table, number=number)
         bad = built.where(F.col("error").isNotNull()).select("content", "error")
         bad.write.mode("overwrite").parquet(f"{failures}/batch={number}")
         built.unpersist()

@@ -109,3 +109,10 @@ def test_describe_finds_or_fails(spark, monkeypatch, few):
     assert [r["error"] for r in rows] == [None, vocab.HOST_ID_MISSING, vocab.TWIN_ID_MISSING, vocab.TWIN_UNKNOWN, None]
     assert json.loads(rows[0]["document"])["feeds"] == [{"id": "f", "properties": [], "storeLast": True, "values": []}]
     assert json.loads(rows[3]["document"]) == {"twin": {"hostId": "h", "id": "b"}, "error": vocab.TWIN_UNKNOWN}
+
+
+def test_a_column_made_of_others_may_replace_what_is_there(spark):
+    rows = spark.createDataFrame([("a", "b", "old"), ("a", None, "old"), ("a", "b", None)], "x string, y string, t string")
+    kept = [r["t"] for r in reshape.concat_default(rows, "t", ["x", "y"]).collect()]
+    replaced = [r["t"] for r in reshape.concat_default(rows, "t", ["x", "y"], "-", overwrite=True).collect()]
+    assert kept == ["old", "old", "a b"] and replaced == ["a-b", None, "a-b"]

@@ -284,3 +284,15 @@ def test_chunks_are_joined_in_order_and_long_results_stay_whole(spark):
     assert twice["text"] == text and twice["route"] == "success"
     parts = chunks.reassemble(table, per_segment=4).where("query_id = 'a'").orderBy("segment").collect()
     assert len(parts) == 7 and {p["n_segments"] for p in parts} == {7} and "".join(p["text"] for p in parts) == text
+
+
+def test_results_with_odd_chunks_fail(spark):
+    schema = "query_id string, seq bigint, last boolean, chunk string"
+    odd = {
+        "before": [(-1, False, "?"), (0, False, "x"), (2, True, "y")], "late start": [(1, False, "x"), (2, True, "y")],
+        "no content": [(0, False, "x"), (1, False, None), (2, True, "y")], "unnumbered": [(0, False, "x"), (None, False, "y"), (1, True, "z")],
+        "beyond": [(0, True, "x"), (1, False, "y")], "good": [(0, False, "x"), (1, False, None), (1, False, "y"), (2, True, "")],
+    }
+    rows = [(name, *chunk) for name, parts in odd.items() for chunk in parts]
+    found = {r["query_id"]: r["route"] for r in chunks.reassemble(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {name: "success" if name == "good" else "failure" for name in odd}

@@ -274,6 +274,15 @@ UNION ALL SELECT DISTINCT doc_id, CAST(NULL AS BIGINT), {NULL}, {NULL}, {_s(v.DO
   CASE WHEN parse_error IS NULL THEN {_inputs_shown()} END AS inputs, parse_error AS error FROM fault""", _TWIN_FAULT),
     "q_twin_json": _with("""SELECT twin_id, host_id, c_name AS label, 'en' AS comment_lang,
   'true' AS signup_stored, FALSE AS has_null FROM base"""),
+    "q_twin_list": _with(f"""SELECT host_id, twin_id, lat, lon, {_PROPS_SHOWN} AS properties, {_feeds_shown(_LABELS_DECLARED)} AS feeds,
+  {_inputs_shown()} AS inputs FROM base"""),
+    "q_request_text": """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE text END AS text FROM (
+  SELECT page_id, url, CASE WHEN right(lines, 1) = chr(10) THEN left(lines, length(lines) - 1) ELSE lines END AS text FROM (
+    SELECT page_id, url, replace(replace(html, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS lines FROM pages))""",
+    "q_empty_lists": _with(f"""SELECT k AS c_custkey, host_id, CASE WHEN k % 19 <> 0 THEN twin_id END AS twin_id,
+  CAST(CASE WHEN k % 23 = 0 THEN 0 ELSE 5 END AS BIGINT) AS n_feeds, CAST(CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_inputs,
+  CAST(CASE WHEN k % 23 = 0 OR k % 17 = 0 OR k % 7 = 0 THEN 0 ELSE 10 - CASE WHEN k % 11 <> 0 AND k % 13 = 0 THEN 5 ELSE 0 END END AS BIGINT) AS n_values,
+  FALSE AS has_null FROM base"""),
     "q_find_property": _with(f"""SELECT twin_id, CAST(k AS VARCHAR) AS identifier, comment,
   'en' AS comment_lang, {NULL} AS missing FROM base"""),
     "q_property_flatten": _with(f"""SELECT k AS c_custkey, CAST(pos AS BIGINT) AS pos,
@@ -345,7 +354,7 @@ FROM (SELECT k, {_BUILD_ERROR} AS build_error FROM fault)""", _TWIN_FAULT),
   CASE WHEN k % 4 IN (0, 1) THEN 'BOOLEAN' WHEN k % 4 = 2 THEN 'STRING' END AS operational_type,
   CASE k % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN '1' END AS operational, {_UNITS_TEXT} AS quantity,
   CASE WHEN k % 3 = 0 THEN {XSD_STRING} ELSE {_s(v.XSD + 'integer')} END AS units_type,
-  CAST(3 AS BIGINT) AS n_quads, {NULL} AS error FROM base"""),
+  n_name || ' ' || k AS title, CAST(3 AS BIGINT) AS n_quads, {NULL} AS error FROM base"""),
     "q_identity": f"SELECT c_custkey, {_ID.format('c_name')} AS twin_id FROM customer",
     "q_twin_upsert": _with("""SELECT host_id, twin_id,
   CAST(CASE WHEN k % 4 = 0 THEN 5 WHEN k % 10 = 5 THEN 3 WHEN k % 2 = 1 OR k % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS batch,
@@ -411,12 +420,14 @@ WHERE g.c_mktsegment = 'BUILDING' AND g.allowed = {_s(f"{v.DID_PREFIX}1, {v.DID_
     "q_pattern_count": _with(f"SELECT count(*) AS n FROM base WHERE c_mktsegment = 'BUILDING' AND allowed = {_s(v.ALLOW_NONE)}"),
     "q_bindings_json": f"""SELECT {_s(v.SCHEMA_ORG)} || c_mktsegment AS type_value, 'uri' AS type_kind, CAST(count(*) AS VARCHAR) AS n_value,
   {_s(v.XSD + 'integer')} AS n_datatype, 'n' AS second_variable FROM customer GROUP BY c_mktsegment""",
-    "q_chunk_join": f"""SELECT doc_id, segment, (n - 1) // {_SEGMENT} + 1 AS n_segments, CAST(ceil(length(part) / 100.0) AS BIGINT) AS n_chunks,
+    "q_chunk_join": f"""SELECT doc_id, segment, (n - 1) // {_SEGMENT} + 1 AS n_segments,
+  CAST(ceil(length(whole) / 100.0) AS BIGINT) + CASE WHEN segment <> 0 THEN 0 WHEN gap THEN -1 WHEN r = 13 THEN 1 ELSE 0 END AS n_chunks,
   CAST(length(part) AS BIGINT) AS n_chars, md5(part) AS text_md5,
-  CASE WHEN doc_id % 20 = 0 OR gap THEN 'failure' ELSE 'success' END AS route,
-  CASE WHEN doc_id % 20 = 0 OR gap THEN {_s(v.CHUNKS_INCOMPLETE)} END AS error
-FROM (SELECT doc_id, segment, n, gap, CASE WHEN gap AND segment = 0 THEN left(whole, 100) || substr(whole, 201) ELSE whole END AS part
-  FROM (SELECT doc_id, length(text) AS n, doc_id % 20 = 7 AND length(text) > 200 AS gap, segment,
+  CASE WHEN r IN (0, 13, 17) OR gap THEN 'failure' ELSE 'success' END AS route,
+  CASE WHEN r IN (0, 13, 17) OR gap THEN {_s(v.CHUNKS_INCOMPLETE)} END AS error
+FROM (SELECT doc_id, segment, n, gap, r, whole, CASE WHEN segment <> 0 THEN whole WHEN gap THEN left(whole, 100) || substr(whole, 201)
+    WHEN r = 13 THEN '?' || whole WHEN r = 17 THEN substr(whole, 101) ELSE whole END AS part
+  FROM (SELECT doc_id, length(text) AS n, doc_id % 20 = 7 AND length(text) > 200 AS gap, doc_id % 20 AS r, segment,
     substr(text, segment * {_SEGMENT} + 1, {_SEGMENT}) AS whole
   FROM documents, LATERAL (SELECT unnest(generate_series(CAST(0 AS BIGINT), CAST((length(text) - 1) // {_SEGMENT} AS BIGINT))) AS segment)))""",
     "q_follow": _FOLLOW,

@@ -254,6 +254,39 @@ def q_twin_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_twin_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All twins, read back from a stored table."""
+    path = scratch_path(spark, "twin-table")
+    tables.write_twins(data.twins(spark, sf_dir), path)
+    twins = tables.read_twins(spark, path)
+    return twins.select(
+        "host_id", "twin_id", "lat", "lon", _shown(F.col("properties")).alias("properties"),
+        _ports_shown(F.col("feeds")).alias("feeds"), _ports_shown(F.col("inputs")).alias("inputs"),
+    )
+
+
+def q_request_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of a request: what an attribute gives, else the content."""
+    attribute = F.when(F.col("page_id") % 3 == 0, F.col("url"))
+    return data.table(spark, sf_dir, "pages").select(
+        "page_id", docs.request_text(attribute, F.col("html")).alias("text")
+    )
+
+
+def q_empty_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twins with an empty list for each that is missing, in their ports too."""
+    filled = data.shared_twins(data.customers(spark, sf_dir)).select(
+        "c_custkey", docs.with_empty_lists(F.col("twin")).alias("t")
+    )
+    values = F.flatten(F.transform("t.feeds", lambda f: F.transform(f["values"], lambda v: v["label"])))
+    return filled.select(
+        "c_custkey", F.col("t.hostId").alias("host_id"), F.col("t.id").alias("twin_id"),
+        _big(F.size("t.feeds")).alias("n_feeds"), _big(F.size("t.inputs")).alias("n_inputs"),
+        _big(F.size(values)).alias("n_values"),
+        F.exists("t.feeds", lambda f: f["values"].isNull() | f["properties"].isNull()).alias("has_null"),
+    )
+
+
 def q_find_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.twins(spark, sf_dir).select(
         "twin_id", _prop(vocab.IDENTIFIER)["value"].alias("identifier"),
@@ -493,7 +526,8 @@ def q_reshape_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reshape_jsonld(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = reshape.reshape_linked(_records(spark, sf_dir), LINKED_RULES).select("ID", "document")
+    titled = reshape.concat_default(_records(spark, sf_dir), "Title", ["Country", "ID"], overwrite=True)
+    linked = reshape.reshape_linked(titled, LINKED_RULES).select("ID", "document")
     quads = jsonld.to_quads(linked.select(F.col("ID").alias("doc_id"), F.col("document").alias("content")))
     operational = F.try_variant_get(F.try_parse_json("content"), "$.Active", "variant")
     return quads.select(
@@ -501,7 +535,7 @@ def q_reshape_jsonld(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_variant_get(operational, "$", "string").alias("operational"),
         F.get(F.filter("quads", lambda q: q["p"] == vocab.SCHEMA_ORG + "quantity"), F.lit(0))["o"].alias("quantity"),
         F.get(F.filter("quads", lambda q: q["p"] == vocab.SCHEMA_ORG + "quantity"), F.lit(0))["datatype"].alias("units_type"),
-        _big(F.size("quads")).alias("n_quads"), "error",
+        F.get_json_object("content", "$.Title").alias("title"), _big(F.size("quads")).alias("n_quads"), "error",
     )
 
 

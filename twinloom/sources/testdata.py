@@ -304,18 +304,27 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_chunks(spark: SparkSession, sf_dir: str, size: int = 100) -> DataFrame:
-    """Texts cut into chunks. Of twenty texts one lacks the mark of its last chunk, one its second chunk, and
-    one has every chunk twice."""
+    """Texts cut into chunks. Of twenty texts one lacks the mark of its last chunk, one its second chunk, one has
+    every chunk twice, one a chunk before the first, and one a first chunk without content."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{size}}}"), 0).alias("pieces")
     )
     total = F.size("pieces")
     cut = docs.select("doc_id", total.alias("total"), F.posexplode("pieces").alias("at", "chunk"))
     cut = cut.where(~((F.col("doc_id") % 20 == 7) & (F.col("at") == 1) & (F.col("total") > 2)))
-    again = F.sequence(F.lit(1), F.when(F.col("doc_id") % 20 == 11, 2).otherwise(1))
-    return cut.withColumn("_again", F.explode(again)).select(
-        "doc_id", F.col("at").cast("bigint").alias("seq"),
-        ((F.col("at") == F.col("total") - 1) & (F.col("doc_id") % 20 != 0)).alias("last"), "chunk",
+    rest, first = F.col("doc_id") % 20, F.col("at") == 0
+
+    def sent(seq: Column, chunk: Column) -> Column:
+        return F.struct(seq.cast("bigint").alias("seq"), chunk.cast("string").alias("chunk"))
+
+    given = sent(F.col("at"), F.col("chunk"))
+    rows = (
+        F.when(rest == 11, F.array(given, given)).when((rest == 13) & first, F.array(given, sent(F.lit(-1), F.lit("?"))))
+        .when((rest == 17) & first, F.array(sent(F.col("at"), F.lit(None)))).otherwise(F.array(given))
+    )
+    return cut.withColumn("_c", F.explode(rows)).select(
+        "doc_id", F.col("_c.seq").alias("seq"),
+        ((F.col("_c.seq") == F.col("total") - 1) & (rest != 0)).alias("last"), F.col("_c.chunk").alias("chunk"),
     )
 
 

@@ -128,3 +128,20 @@ def test_components_of_links(spark):
 def test_pairs_are_given_up_only_below_the_chosen_chance():
     assert least_matches(32, 0.8, 1e-7) < least_matches(32, 0.8, 1e-3) < 26
     assert least_matches(10, 0.5, 0.0) == 0
+
+
+def test_mixed_passages_in_one_large_group_meet_in_blocks(spark, monkeypatch):
+    """Texts made of the same passages in different mixes: hardly any shingle is rare, and no star links them all."""
+    rng = random.Random(11)
+    passages = [prose(200 + k, 12) for k in range(14)]
+    rows = []
+    for k in range(500):
+        chosen = sorted(rng.sample(range(14), rng.choice([9, 10, 11, 12])))
+        rows.append((k, " ".join(passages[c] for c in chosen)))
+    config = NearConfig(width=2, rare=4, block=64)
+    made = []
+    paired = near_dedup._paired
+    monkeypatch.setattr(near_dedup, "_paired", lambda *a: made.append(paired(*a)) or made[-1])
+    found = near_dedup.near_duplicates(documents(spark, rows), config)
+    assert sorted(map(tuple, found.collect()), key=repr) == near_by_hand(rows, 2)
+    assert sum(df.count() for df in made) < 10 * len(rows)

@@ -9,8 +9,9 @@ No group is written out as pairs. Among the documents that share a band, shingle
 of them has are counted; with u of its n shingles its own, a document can meet another of n' in at
 most min(n - u, n' - u') shingles. That bounds their similarity, and documents that can reach the threshold with
 no member of a group leave it. Of the others each is paired with the group's member that has the
-fewest shingles of its own (a star, as many pairs as members), which tends to be the one all were copied from. Only
-members that the stars leave in different components, and that the bound does not exclude, are paired afterwards.
+fewest shingles of its own (a star, as many pairs as members), which tends to be the one all were copied from. Of the
+members that the stars leave in different components, and that the bound does not exclude, those outside a group's
+largest component meet the others in blocks within tasks, which give back only links between components.
 
 Defined results: no words (null, empty or blank text) means no shingles and no link. Rows with a
 null ``doc_id`` are linked with nothing and have a null component. Rows that repeat a ``doc_id`` are one document. Other
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -52,6 +54,8 @@ class NearConfig:
     miss: float = 1e-7
     #: Documents left over after the stars that may have a rare shingle; changes the work, not the links.
     rare: int = 64
+    #: Members of a group that meet in one task.
+    block: int = 256
 
 
 def least_matches(compared: int, similarity: float, miss: float) -> int:
@@ -112,12 +116,24 @@ def _occurrences(texts: DataFrame, config: NearConfig) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = TextCodes()
+
+        def rows(ids: list[np.ndarray], hashes: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(hashes))], names=["doc_id", "shingle"]
+            )
+
         for batch in batches:
+            ids, gathered, size = [], [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 hashes = shingle_hashes(codes.words(text.as_py())[0], config.width).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(hashes), doc_id)), pa.array(hashes)], names=["doc_id", "shingle"]
-                )
+                ids.append(np.full(len(hashes), doc_id, np.int64))
+                gathered.append(hashes)
+                size += len(hashes)
+                if size >= 1 << 16:
+                    yield rows(ids, gathered)
+                    ids, gathered, size = [], [], 0
+            if size:
+                yield rows(ids, gathered)
 
     return texts.mapInArrow(spread, "doc_id long, shingle long")
 
@@ -159,13 +175,15 @@ def _stars(placed: DataFrame, config: NearConfig) -> DataFrame:
     )
 
 
-def _across(placed: DataFrame, labels: DataFrame, texts: DataFrame, config: NearConfig) -> DataFrame:
-    """Pairs of members of one group that are in different components and may reach the threshold.
+def _across(
+    placed: DataFrame, labels: DataFrame, known: DataFrame, texts: DataFrame, config: NearConfig
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs to look at, and links, of members of one group that are in different components.
 
     Shingles that ``rare`` or fewer of the documents left over have are rare. A pair at the threshold either
     has a rare shingle in common, and then one among the rarest few of both (no more than may be missing from a
     link), or only frequent ones, whose number bounds its similarity far more closely. The first are found
-    by those shingles, at most ``rare`` documents each; the second in their groups.
+    by those shingles, at most ``rare`` documents each; the second meet in blocks of their groups.
     """
     named = (
         placed.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
@@ -193,9 +211,105 @@ def _across(placed: DataFrame, labels: DataFrame, texts: DataFrame, config: Near
         seldom.withColumn("at", F.row_number().over(first)).join(often, "doc_id")
         .filter((F.col("at") <= missing) & (F.col("docs") > 1))
     )
-    near = rest.select("key", "doc_id").join(often, "doc_id")
-    by_group = _paired(_within_reach(near, "often", config), "key", "often", config)
-    return _paired(rarest, "shingle", "shared", config).union(by_group).distinct()
+    near = _within_reach(rest.select("key", "doc_id").join(often, "doc_id"), "often", config)
+    return _paired(rarest, "shingle", "shared", config), _met_in_blocks(near, known, texts, config)
+
+
+class Components:
+    """Labels that were found to be one, within a task."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, label: int) -> int:
+        while (up := self.parent.get(label, label)) != label:
+            self.parent[label] = self.parent.get(up, up)
+            label = up
+        return label
+
+    def join(self, one: int, two: int) -> None:
+        self.parent[self.find(one)] = self.find(two)
+
+
+def _met_in_blocks(near: DataFrame, known: DataFrame, texts: DataFrame, config: NearConfig) -> DataFrame:
+    """Links (``a, b``) between members (``key, doc_id, component, n, often``) of one group in different components.
+
+    Members outside the largest component of their group meet all others: both are dealt to blocks, and a task
+    holds a block of each. A pair is looked at in the first band that it shares, its signatures batch by
+    batch and then its full sets. A task gives back a link only where it joins components that no other
+    link of it has joined yet, so fewer links than members.
+    """
+    parts = near.groupBy("key", "component").agg(F.count("*").alias("size"))
+    groups = parts.groupBy("key").agg(
+        F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("total")
+    ).select(
+        "key", F.col("top.component").alias("largest"),
+        F.ceil(F.col("total") / config.block).alias("blocks"),
+        F.ceil((F.col("total") - F.col("top.size")) / config.block).alias("minor_blocks"),
+    )
+    full = texts.join(known.select("doc_id", "keys", "signature"), "doc_id")
+    rows = near.join(groups, "key").join(full, "doc_id")
+    dealt = F.xxhash64("doc_id")
+
+    def others(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    columns = ["doc_id", "component", "n", "often", "keys", "signature", "text"]
+    members = rows.filter("minor_blocks > 0").select(
+        "key", F.pmod(dealt, F.col("blocks")).alias("block"), others("minor_blocks").alias("minor"),
+        (F.col("component") != F.col("largest")).alias("outside"), *columns,
+    )
+    minors = rows.filter("component <> largest").select(
+        F.col("key").alias("key"), others("blocks").alias("block"), F.pmod(dealt, F.col("minor_blocks")).alias("minor"),
+        *[F.col(c).alias(c) for c in columns],  # attributes of their own, apart from the members'
+    )
+    values = config.bands * config.rows
+    steps, least = _batches(config)
+
+    def meet(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        if len(one) and len(two):
+            codes, same, group = TextCodes(), Components(), int(one["key"].iloc[0])
+            keys = np.stack(one["keys"].to_numpy())
+            signatures = np.frombuffer(b"".join(one["signature"]), np.uint8).reshape(len(one), values)
+            ids, sizes, often, outside = (one[c].to_numpy() for c in ("doc_id", "n", "often", "outside"))
+            hashes: dict[int, np.ndarray] = {}
+            for own in two.itertuples():
+                shared = keys == np.asarray(own.keys)
+                first = shared.argmax(axis=1)
+                good = (keys[np.arange(len(keys)), first] == group) & shared.any(axis=1)
+                # Two members outside the largest component would meet twice.
+                good &= (ids != own.doc_id) & (~outside | (ids > own.doc_id))
+                good &= (100 + config.percent) * np.minimum(often, own.often) >= config.percent * (sizes + own.n)
+                at = np.flatnonzero(good)
+                at = at[_pursued(signatures[at], np.frombuffer(own.signature, np.uint8), steps, least)]
+                at = np.array([k for k in at if same.find(one["component"].iloc[k]) != same.find(own.component)], int)
+                if not len(at):
+                    continue
+                for k in at:
+                    if k not in hashes:
+                        hashes[k] = shingle_hashes(codes.words(one["text"].iloc[k])[0], config.width)
+                mine = shingle_hashes(codes.words(own.text)[0], config.width)
+                every = np.concatenate([hashes[k] for k in at])
+                starts = np.cumsum([0, *[len(hashes[k]) for k in at[:-1]]])
+                place = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+                both = np.add.reduceat((mine[place] == every).astype(np.int64), starts)
+                whole = None
+                for k, common in zip(at, both):
+                    if 100 * common < config.percent * (len(mine) + len(hashes[k]) - common):
+                        continue
+                    if same.find(one["component"].iloc[k]) == same.find(own.component):
+                        continue
+                    whole = whole or shingle_set(codes.words(own.text)[1], config.width)
+                    other = shingle_set(codes.words(one["text"].iloc[k])[1], config.width)
+                    common = len(whole & other)
+                    if 100 * common >= config.percent * (len(whole) + len(other) - common):
+                        same.join(one["component"].iloc[k], own.component)
+                        found.append((min(own.doc_id, ids[k]), max(own.doc_id, ids[k])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    place = ["key", "block", "minor"]
+    return members.groupBy(*place).cogroup(minors.groupBy(*place)).applyInPandas(meet, "a long, b long")
 
 
 def _paired(members: DataFrame, key: str, common: str, config: NearConfig) -> DataFrame:
@@ -209,11 +323,30 @@ def _paired(members: DataFrame, key: str, common: str, config: NearConfig) -> Da
     return pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
+def _batches(config: NearConfig) -> tuple[list[int], list[int]]:
+    """After how many values signatures are looked at, and the fewest equal ones at which a pair goes on."""
+    values = config.bands * config.rows
+    steps = list(range(config.batch, values + 1, config.batch)) or [values]
+    return steps, [least_matches(n, config.percent / 100, config.miss) for n in steps]
+
+
+def _pursued(one: np.ndarray, two: np.ndarray, steps: list[int], least: list[int]) -> np.ndarray:
+    """Which rows of signatures no batch of values rules out; ``two`` has a row for each, or one for all."""
+    alive = np.arange(len(one))
+    matches = np.zeros(len(one), np.int64)
+    start = 0
+    for end, needed in zip(steps, least):
+        other = two[alive, start:end] if two.ndim == 2 else two[start:end]
+        matches[alive] += (one[alive, start:end] == other).sum(axis=1)
+        alive = alive[matches[alive] >= needed]
+        start = end
+    return alive
+
+
 def _likely(pairs: DataFrame, signatures: DataFrame, config: NearConfig) -> DataFrame:
     """Pairs that no batch of signature values rules out."""
     values = config.bands * config.rows
-    steps = list(range(config.batch, values + 1, config.batch)) or [values]
-    least = [least_matches(n, config.percent / 100, config.miss) for n in steps]
+    steps, least = _batches(config)
 
     def pursue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,16 +356,9 @@ def _likely(pairs: DataFrame, signatures: DataFrame, config: NearConfig) -> Data
                 np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8)
                 .reshape(batch.num_rows, values) for k in (2, 3)
             )
-            alive = np.arange(batch.num_rows)
-            matches = np.zeros(batch.num_rows, np.int64)
-            start = 0
-            for end, needed in zip(steps, least):
-                matches[alive] += (one[alive, start:end] == two[alive, start:end]).sum(axis=1)
-                alive = alive[matches[alive] >= needed]
-                start = end
+            alive = pa.array(_pursued(one, two, steps, least))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(alive)), batch.column(1).take(pa.array(alive))],
-                names=["a", "b"],
+                [batch.column(0).take(alive), batch.column(1).take(alive)], names=["a", "b"]
             )
 
     one = signatures.select(F.col("doc_id").alias("a"), F.col("signature").alias("one"))
@@ -290,7 +416,7 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     ids = broadcast_if(ids, fits(ids))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     texts = materialize(texts.join(ids, "doc_id", "left_semi").distinct(), "near-texts")
-    known = named.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"])
+    known = named.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "keys", "signature").dropDuplicates(["doc_id"])
     known = known.join(_own_shingles(texts, config), "doc_id", "left").withColumn(
         "shared", F.col("n_shingles") - F.coalesce("own", F.lit(0))
     )
@@ -304,7 +430,8 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
 
     stars = links(_stars(placed, config), "near-star")
     labels = connected(stars)
-    rest = links(_across(placed, labels, texts, config), "near-across")
+    pairs, met = _across(placed, labels, known, texts, config)
+    rest = links(pairs, "near-across").union(materialize(met, "near-met"))
     if not rest.isEmpty():
         labels = connected(stars.union(rest))
     reached = groups.join(labels.withColumnRenamed("id", "node"), "node", "left").select(

@@ -6,6 +6,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 import sentencepiece
 from helpers import HARD, documents
@@ -312,3 +313,28 @@ def test_free_candidates_are_apart_from_all_others():
                 want.append((s, e, kind))
                 taken.append((s, e))
         assert free == want
+
+
+@needs_files
+def test_large_trees_split_and_join_their_chunks(ranks):
+    counter = token_counts.Counter(ranks)
+    rng = random.Random(12)
+    text = " ".join(rng.choice(["word", "x" * 300, "it's", "12", "\n\n", "é中", "a b c"]) for _ in range(3000))
+    tree = token_counts.CountTree.of(text, counter)
+    seen = set()
+    for k in range(120):
+        start = rng.randrange(len(text) + 1)
+        end = min(len(text), start + rng.choice([0, 1, 5, 400, 5000]))
+        new = " ".join(["new", "y" * 700, "it's"][k % 3] for _ in range(rng.choice([0, 1, 3, 300])))
+        text, counted = tree.edit(text, start, end, new, counter)
+        again = token_counts.CountTree.of(text, counter)
+        assert (np.concatenate(tree.chunks, axis=1) == np.concatenate(again.chunks, axis=1)).all() and tree.tokens == again.tokens
+        assert counted < 2 * len(new.split()) + 20 and max(c.shape[1] for c in tree.chunks) <= token_counts.MOST
+        seen.add(len(tree.chunks))
+        size, tokens, chunks, leaves = tree.packed()
+        tree = token_counts.CountTree.unpacked(size, chunks, leaves)
+        assert tree.size == size and tree.tokens == tokens and 2 * size <= len(leaves) < 4 * size
+    assert len(seen) > 20
+    text, _ = tree.edit(text, 0, len(text), "", counter)
+    assert tree.size == tree.tokens == 0 and token_counts.CountTree.unpacked(*[tree.packed()[k] for k in (0, 2, 3)]).size == 0
+    assert tree.edit("", 0, 0, "once more", counter)[0] == "once more" and tree.size == 2

@@ -118,7 +118,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = materialize(docs.withColumn("tree", token_counts.count_trees(F.col("text"), model)), "token-trees")
     edits = edits_of(F.col("doc_id"), F.col("text"))
-    edited = kept.withColumn("edited", token_counts.edited_trees(F.col("text"), F.col("tree"), edits, model))
+    edited = kept.withColumn("edited", token_counts.edited_counts(F.col("text"), F.col("tree"), edits, model))
     return edited.select(
         "doc_id", token_counts.tokens_of(F.col("tree")).alias("n_before"), F.col("edited.tokens").alias("n_after"),
         F.col("tree.size").cast("long").alias("n_pieces"), F.col("edited.counted").alias("n_counted"),

@@ -211,7 +211,7 @@ def _across(
         seldom.withColumn("at", F.row_number().over(first)).join(often, "doc_id")
         .filter((F.col("at") <= missing) & (F.col("docs") > 1))
     )
-    near = _within_reach(rest.select("key", "doc_id").join(often, "doc_id"), "often", config)
+    near = materialize(_within_reach(rest.select("key", "doc_id").join(often, "doc_id"), "often", config), "near-blocks")
     return _paired(rarest, "shingle", "shared", config), _met_in_blocks(near, known, texts, config)
 
 
@@ -248,7 +248,7 @@ def _met_in_blocks(near: DataFrame, known: DataFrame, texts: DataFrame, config:
         F.ceil((F.col("total") - F.col("top.size")) / config.block).alias("minor_blocks"),
     )
     full = texts.join(known.select("doc_id", "keys", "signature"), "doc_id")
-    rows = near.join(groups, "key").join(full, "doc_id")
+    rows = near.join(materialize(groups, "near-block-groups"), "key").join(full, "doc_id")
     dealt = F.xxhash64("doc_id")
 
     def others(n: str) -> Column:

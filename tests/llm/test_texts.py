@@ -9,7 +9,7 @@ import time
 import numpy as np
 import pytest
 import sentencepiece
-from helpers import HARD, documents
+from helpers import HARD, documents, prose
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -145,11 +145,12 @@ def test_templates_do_not_depend_on_the_size_of_a_host(spark, small):
             assert r.text.startswith("paragraph 0 of a changed copy") and r.text.endswith(f"version {r.page_id - 3000}")
 
 
-def test_text_of_the_given_pages(spark):
+@pytest.mark.parametrize("scale", ["0.001", "0.1"])
+def test_text_of_the_given_pages(spark, scale):
     import html as entities
 
-    pages = queries.table(spark, "/root/testdata/sf0.001", "pages").select("page_id", "html")
-    for row in queries.op8_html_text(spark, "/root/testdata/sf0.001").join(pages, "page_id").collect():
+    pages = queries.table(spark, f"/root/testdata/sf{scale}", "pages").select("page_id", "html")
+    for row in queries.op8_html_text(spark, f"/root/testdata/sf{scale}").join(pages, "page_id").collect():
         inner = re.search(r"<article>(.*)</article>", row.html, re.S).group(1)
         text = re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br)>", " ", inner))
         assert row.text == " ".join(entities.unescape(text).split()) and row.n_chars == len(row.text)
@@ -338,3 +339,52 @@ def test_large_trees_split_and_join_their_chunks(ranks):
     text, _ = tree.edit(text, 0, len(text), "", counter)
     assert tree.size == tree.tokens == 0 and token_counts.CountTree.unpacked(*[tree.packed()[k] for k in (0, 2, 3)]).size == 0
     assert tree.edit("", 0, 0, "once more", counter)[0] == "once more" and tree.size == 2
+
+
+def site_page(k, body, notice="", head="h1"):
+    return (k, f"http://host.example/{k}", f"<html><body><nav>menu {k}</nav><article><{head}>Title {k}</{head}>{body}{notice}</article></body></html>")
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_templates_in_named_asides_do_not_hang_on_the_way(spark, small):
+    banner = "<div class='strip'><p>x same banner text of the site here</p></div>"
+    rows = [(k, f"http://host.example/{k}", f"<div class='ad'>{banner}<p>own words {k} of this page</p></div>") for k in range(30)]
+    rows += [(100 + k, f"http://host.example/{100 + k}", f"<div>{banner}<p>page number {k} says this</p></div>") for k in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.with_main_text(pages, small=small).collect()}
+    assert found == {k: f"own words {k} of this page" for k in range(30)} | {100 + k: f"page number {k} says this" for k in range(30)}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_recurring_prose_goes_only_from_a_place_of_its_own(spark, small):
+    rng = random.Random(4)
+    notice = "<p>This notice stands below every article of the site and says the same each time.</p>"
+    quote = "<p>A sentence that many articles of this site quote somewhere within their own text.</p>"
+    said = lambda html: " ".join(re.sub("<[^>]*>", " ", html).split())
+    rows, want = [], {}
+    for k in range(60):
+        blocks = [f"<p>{prose(1000 * k + j, 8)}</p>" for j in range(9)]
+        if k % 2:
+            blocks.insert(rng.randrange(10), quote)
+        rows.append(site_page(k, "".join(blocks), notice))
+        want[k] = f"Title {k} " + said(" ".join(blocks))
+    for k in range(60, 75):  # pages about the quoted sentence
+        rows.append((k, f"http://host.example/{k}", f"<article><h1>{said(quote)}</h1>{quote}<p>{prose(k, 9)}</p></article>"))
+        want[k] = f"{said(quote)} {said(quote)} {prose(k, 9)}"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.with_main_text(pages, small=small).collect()}
+    assert found == want
+
+
+def test_odd_pages_are_read_in_linear_time():
+    n = 50_000
+    pages = {
+        "nested": "<div class=ad>" * n + "x", "stray": "</h1>" * n + "x", "unclosed": "<h1>a" * n, "held": "<p><li>" + "<h1>a" * n,
+        "cells": "<td>a" * n, "lists": "<ul><li>a" * (n // 2), "bold": "<li><ul>" + "<b>" * n + "<li>a" * 10,
+    }
+    for name, page in pages.items():
+        start = time.perf_counter()
+        root = html_text.parse(page)
+        html_text.candidates(root)
+        html_text.main_text(root, frozenset())
+        assert time.perf_counter() - start < 6, name

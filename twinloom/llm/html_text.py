@@ -66,6 +66,8 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 CLOSED_BY_BLOCK = "p"
+HOLD_BLOCKS = {"td", "th", "article", "section", "div", "main", "li", "blockquote"}
+PAGE_PARTS = {"aside", "footer", "h1", "header", "nav"}
 COPY_SALTS = 8
 
 
@@ -78,16 +80,21 @@ class TemplateConfig:
     line_share: float = 0.5
     copied: int = 4
     long_words: int = 20
+    #: A block of prose has a place if it is one of so many at the start or end of the main part, and is a template
+    #: only if this share of the texts that hold it have it at one place.
+    edge: int = 3
+    placed_share: float = 0.8
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parts", "hash", "words")
+    __slots__ = ("tag", "attrs", "parts", "hash", "words", "holds_part")
 
     def __init__(self, tag: str, attrs: tuple):
         self.tag, self.attrs = tag, attrs
         self.parts: list = []  # texts and elements, in order
         self.hash = 0
         self.words = 0  # of the texts below, but for silent ones
+        self.holds_part = False  # whether something below is a part that only a page has
 
 
 class TreeBuilder(HTMLParser):
@@ -97,6 +104,26 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", ())
         self.open = [self.root]
+        self.tags: Counter = Counter()  # open elements of each tag
+        self.paragraphs = [0]  # open ones above each holder of paragraphs
+
+    def _push(self, element: Element) -> None:
+        self.open.append(element)
+        self.tags[element.tag] += 1
+        if element.tag in HOLD_BLOCKS:
+            self.paragraphs.append(0)
+        elif element.tag == CLOSED_BY_BLOCK:
+            self.paragraphs[-1] += 1
+
+    def _cut(self, at: int) -> None:
+        """Closes the open elements from this one on."""
+        for element in reversed(self.open[at:]):
+            self.tags[element.tag] -= 1
+            if element.tag in HOLD_BLOCKS:
+                self.paragraphs.pop()
+            elif element.tag == CLOSED_BY_BLOCK:
+                self.paragraphs[-1] -= 1
+        del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self._end_head(tag)
@@ -104,28 +131,28 @@ class TreeBuilder(HTMLParser):
             return
         if tag in CLOSES:
             self._end(*CLOSES[tag])
-        elif tag in BLOCKS and tag != "br":
-            self._end({CLOSED_BY_BLOCK}, {"td", "th", "article", "section", "div", "main", "li", "blockquote"})
+        elif tag in BLOCKS and tag != "br" and self.paragraphs[-1]:
+            self._end({CLOSED_BY_BLOCK}, HOLD_BLOCKS)
         element = Element(tag, tuple(attrs))
         self.open[-1].parts.append(element)
         if tag not in VOID:
-            self.open.append(element)
+            self._push(element)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID and len(self.open) > 1 and self.open[-1].tag == tag:
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
+        for k in range(len(self.open) - 1, 0, -1) if self.tags[tag] else ():
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self._cut(k)
                 return
 
     def _end(self, tags: set, holders: set) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
+        for k in range(len(self.open) - 1, 0, -1) if any(self.tags[t] for t in tags) else ():
             if self.open[k].tag in tags:
-                del self.open[k:]
+                self._cut(k)
                 return
             if self.open[k].tag in holders:
                 return
@@ -133,7 +160,7 @@ class TreeBuilder(HTMLParser):
     def _end_head(self, tag: str) -> None:
         """A body ends an open head and all left open in it; other elements that belong in no head end it if they are its own."""
         if len(self.open) > 1 and self.open[1].tag == "head" and (tag == "body" or len(self.open) == 2 and tag not in IN_HEAD):
-            del self.open[1:]
+            self._cut(1)
 
     def handle_data(self, data: str) -> None:
         if data.strip():
@@ -162,6 +189,8 @@ def _hash(root: Element) -> None:
             words = [f"<{part.hash}>"] if isinstance(part, Element) else part.split()
             said.append(" ".join(words))
             element.words += part.words if isinstance(part, Element) else len(words)
+            if isinstance(part, Element):
+                element.holds_part |= part.holds_part or part.tag in PAGE_PARTS
         if element.tag in SILENT:
             element.words = 0
         element.hash = (xxhash.xxh3_64_intdigest("\0".join(said)) >> 1) or 1
@@ -203,15 +232,7 @@ def _outermost(base: list[Element], wanted: str, names: bool) -> list[Element]:
 
 def _wraps(element: Element, words: int) -> bool:
     """Whether it holds most of ``words`` and also a part that only a page has: then no name makes it an aside."""
-    if element.tag in SILENT or 2 * element.words <= words:
-        return False
-    todo = _below(element)
-    while todo:
-        part = todo.pop()
-        if part.tag in ("aside", "footer", "h1", "header", "nav"):
-            return True
-        todo += _below(part)
-    return False
+    return element.tag not in SILENT and 2 * element.words > words and element.holds_part
 
 
 def _kept_words(parts: list[Element], in_article: bool) -> int:
@@ -270,10 +291,48 @@ def _blocks(element: Element, in_prose: bool) -> tuple[bool, bool]:
     return alone, in_prose or element.tag in PROSE or element.tag in INLINE
 
 
-def candidates(root: Element, config: TemplateConfig = TemplateConfig()) -> tuple[int, dict[int, tuple[bool, int]]]:
+def _said(element: Element) -> str:
+    """All text of an element, in order, with single blanks."""
+    said, todo = [], [element]
+    while todo:
+        part = todo.pop()
+        if isinstance(part, str):
+            said.append(part)
+        elif part.tag not in SILENT:
+            todo += reversed(part.parts)
+    return " ".join("".join(said).split())
+
+
+def _headings(parts: list[Element]) -> set[str]:
+    """Texts of the first-level headings of a main part."""
+    found, todo = set(), list(parts)
+    while todo:
+        element = todo.pop()
+        if element.tag == "h1":
+            found.add(_said(element))
+        todo += _below(element)
+    return found
+
+
+#: The place of what is not prose of a main part, and so needs none.
+ANYWHERE = 99
+#: Stands in for a place: a page has this text as its heading, so that it is no notice of any site.
+TITLE = 98
+
+
+def title_keys(root: Element, config: TemplateConfig) -> Iterator[tuple[int, bool]]:
+    """What a paragraph would count as that says no more than a heading of the page, and whether it is a short line."""
+    for said in _headings(_main_parts(root)[0]):
+        key = (xxhash.xxh3_64_intdigest(f"p\0{said}") >> 1) or 1
+        yield key ^ IN_MAIN, len(said.split()) < config.line_words
+
+
+def candidates(root: Element, config: TemplateConfig = TemplateConfig()) -> tuple[int, dict[int, tuple[bool, int, int]]]:
     """Hash of the main text, and the subtrees that may be templates.
 
-    Of each: whether it is a short line of the main part, and the title of what is around a long block of it (else the main text).
+    Of each: whether it is a short line of the main part, the title of what is around a long block of it (else the main text),
+    and the place of a block: 1, 2 ... from the start, -1, -2 ... from the end, 0 further in. A block that says
+    what a heading of its page says is none.
     """
     parts, marked = _main_parts(root)
     whole = {id(p) for p in parts} if marked else set()
@@ -281,14 +340,18 @@ def candidates(root: Element, config: TemplateConfig = TemplateConfig()) -> tupl
     elsewhere: set[int] = set()
     prose: dict[int, int] = {}  # words of the blocks of the main part
     heads: list[int] = []
-    todo = [(p, _blocks(root, False)[0], False, False) for p in _below(root)]
+    order: list[int] = []
+    blocks: dict[int, Element] = {}
+    alone, _ = _blocks(root, False)
+    todo = [(p, alone, False, False) for p in _below(root)]
     todo += [(p, True, False, False) for p in reversed(parts) if marked]  # also those that an aside holds
     while todo:
         element, alone, in_prose, within = todo.pop()
         if id(element) in whole:
             if id(element) in own:
                 own.remove(id(element))
-                todo += [(p, _blocks(element, False)[0], False, True) for p in _below(element)]
+                alone, _ = _blocks(element, False)
+                todo += [(p, alone, False, True) for p in _below(element)]
             continue
         if _dropped(element, within, words, True):
             continue
@@ -297,22 +360,39 @@ def candidates(root: Element, config: TemplateConfig = TemplateConfig()) -> tupl
             heads.append(element.hash)
         if key and within and (element.tag in PROSE or element.tag in INLINE):
             prose[key] = element.words
+            order.append(key)
+            blocks[key] = element
         elif key:
             elsewhere.add(key)
-        todo += [(p, *_blocks(element, in_prose), within) for p in _below(element)]
+        below = _blocks(element, in_prose)
+        todo += [(p, *below, within) for p in _below(element)]
     text = xxhash.xxh3_64_intdigest(main_text(root, frozenset())) >> 1
     longest = sorted(prose, key=lambda k: (-prose[k], k))[:2]
-    found = dict.fromkeys(elsewhere, (False, text))
+    found = dict.fromkeys(elsewhere, (False, text, ANYWHERE))
+    places: dict[int, int] = {}
+    for at, key in enumerate(order):
+        back = len(order) - at
+        place = at + 1 if at < back else -back
+        places.setdefault(key, place if abs(place) <= config.edge else 0)
+    headings = _headings(parts) if heads else set()
     for key, size in prose.items():
+        if headings and _said(blocks[key]) in headings:
+            continue
         title = heads[0] if heads else next((k for k in longest if k != key), 0)
-        found[key] = size < config.line_words, title if size >= config.long_words else text
+        found[key] = size < config.line_words, title if size >= config.long_words else text, places[key]
     return text, found
 
 
-def main_text(root: Element, templates: Set[int], copied: int = TemplateConfig.copied) -> str:
-    """Text of the main part without templates and asides; blocks are joined by one blank."""
+def _passes(root: Element, templates: Set[int], copied: int) -> Iterator[str]:
+    """Texts of the main part, ever more sparing: without templates; with those that are prose; with named asides, too."""
     parts, marked = _main_parts(root)
     own, words = {id(p) for p in parts}, sum(p.words for p in parts)
+    headings: list[set[str]] = []
+
+    def is_heading(element: Element) -> bool:
+        if not headings:
+            headings.append(_headings(parts))
+        return _said(element) in headings[0]
 
     def text(spare_prose: bool, names: bool) -> str:
         said: list[str] = []
@@ -329,9 +409,10 @@ def main_text(root: Element, templates: Set[int], copied: int = TemplateConfig.c
                 if _dropped(part, marked, words, names):
                     continue
                 key = _key(part, alone, in_prose, marked)
+                known = bool(key) and key in templates and not (marked and prose and is_heading(part))
                 if marked and prose and key and part.words:
-                    recur, stay = recur + (key in templates), stay + (key not in templates)
-                if key in templates and not (prose and spare_prose):
+                    recur, stay = recur + known, stay + (not known)
+                if known and not (prose and spare_prose):
                     continue
             edge = [(" ", alone, in_prose)] if part.tag in BLOCKS else []
             said += [x[0] for x in edge]
@@ -341,7 +422,30 @@ def main_text(root: Element, templates: Set[int], copied: int = TemplateConfig.c
             return ""
         return " ".join("".join(said).split())
 
-    return text(False, True) or text(True, True) or text(True, False)
+    yield text(False, True)
+    yield text(True, True)
+    yield text(True, False)
+
+
+def main_text(root: Element, templates: Set[int], copied: int = TemplateConfig.copied) -> str:
+    """Text of the main part without templates and asides; blocks are joined by one blank."""
+    return next(filter(None, _passes(root, templates, copied)), "")
+
+
+class Asked(set):
+    """Holds nothing, and remembers what it was asked for."""
+
+    def __contains__(self, key: object) -> bool:
+        self.add(key)
+        return False
+
+
+def asked_keys(root: Element, copied: int) -> list[int]:
+    """Every template that could change the text of a page, wherever a pass may come to."""
+    asked = Asked()
+    for _ in _passes(root, asked, copied):
+        pass
+    return list(asked)
 
 
 def host_of(url: Column) -> Column:
@@ -358,23 +462,41 @@ def site_templates(pages: DataFrame, config: TemplateConfig = TemplateConfig())
             pages_of: Counter = Counter()
             for host, html in zip(batch.column(0), batch.column(1)):
                 host = host.as_py()
-                text, found = candidates(parse(html.as_py()), config)
-                pages_of[host, 0, False, 0, 0] += 1  # pages of the host
-                pages_of.update((host, key, line, text, title) for key, (line, title) in found.items())
-            columns = [[k[j] for k in pages_of] for j in range(5)] + [list(pages_of.values())]
-            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "hash", "line", "text", "title", "n"])
+                root = parse(html.as_py())
+                text, found = candidates(root, config)
+                pages_of.update((host, key, line, 0, 0, TITLE) for key, line in title_keys(root, config))
+                pages_of[host, 0, False, 0, 0, ANYWHERE] += 1  # pages of the host
+                pages_of.update((host, key, line, text, title, place) for key, (line, title, place) in found.items())
+            columns = [[k[j] for k in pages_of] for j in range(6)] + [list(pages_of.values())]
+            kinds = (pa.string(), pa.int64(), pa.bool_(), *[pa.int64()] * 4)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "hash", "line", "text", "title", "place", "n"]
+            )
 
     narrow = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).filter("host is not null")
-    counts = narrow.mapInArrow(count, "host string, hash long, line boolean, text long, title long, n long")
+    counts = narrow.mapInArrow(
+        count, "host string, hash long, line boolean, text long, title long, place long, n long"
+    )
     # Step by step, so that a text counts once and no key gathers its texts.
-    counts = counts.groupBy("host", "hash", "line", "title", "text").agg(F.sum("n").alias("n"))
-    counts = counts.groupBy("host", "hash", "line", "title").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
-    counts = counts.groupBy("host", "hash", "line").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.count("*").alias("titles"))
-    counts = materialize(counts.filter((F.col("texts") >= config.least_pages) | (F.col("hash") == 0)), "html-counts")
+    by_text = counts.groupBy("host", "hash", "line", "title", "text", "place").agg(F.sum("n").alias("n"))
+    by_title = by_text.groupBy("host", "hash", "line", "title", "place").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
+    by_place = by_title.groupBy("host", "hash", "line", "place").agg(
+        F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.count("*").alias("titles")
+    )
+    counts = by_place.groupBy("host", "hash", "line").agg(
+        F.sum("n").alias("n"), F.sum("texts").alias("texts"), F.sum("titles").alias("titles"),
+        F.max(F.when(F.col("place") != 0, F.col("texts"))).alias("placed"), F.max(F.col("place") == TITLE).alias("title"),
+    )
+    several = (F.col("texts") >= config.least_pages) | (F.col("hash") == 0) | F.col("title")
+    counts = materialize(counts.filter(several), "html-counts")
+    counts = counts.join(counts.filter("title").select("hash").distinct(), "hash", "left_anti")
     totals = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
     share = F.least(F.lit(float(config.enough)), F.greatest(F.lit(float(config.least_pages)), F.col("pages") * config.least_share))
-    often = (F.col("texts") >= share) & (2 * F.col("titles") >= F.col("texts")) & (~F.col("line") | (F.col("n") >= F.col("pages") * config.line_share))
+    often = (
+        (F.col("texts") >= share) & (2 * F.col("titles") >= F.col("texts"))
+        & (F.coalesce("placed", F.lit(0)) >= F.col("texts") * config.placed_share)
+        & (~F.col("line") | (F.col("n") >= F.col("pages") * config.line_share))
+    )
     return counts.filter("hash <> 0").join(totals, "host").filter(often).select("host", "hash")
 
 
@@ -403,7 +525,7 @@ def with_main_text(pages: DataFrame, config: TemplateConfig = TemplateConfig(),
     @F.pandas_udf("array<long>")
     def hashes(html: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in html:
-            yield pd.Series([list(candidates(parse(h), config)[1]) for h in texts], dtype=object)
+            yield pd.Series([asked_keys(parse(h), config.copied) for h in texts], dtype=object)
 
     @F.pandas_udf("string")
     def extract_own(html: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -204,7 +204,69 @@ def clusters_sql(rounds: int = 10) -> str:
     """
 
 
+def manifest_sql(depth: int = 6, top: int = 4) -> str:
+    """Trees of up to 16 ** ``depth`` documents a source and 16 ** ``top`` sources, level by level."""
+    crc = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+            string_split(cast(doc_id as varchar), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]
+        ))), lambda a, x: case when x >= 0 then xor(a, x)
+             else xor(a // 2, case when a % 2 = 1 then 3988292384 else 0 end) end), 4294967295)"""
+
+    def leaf(text: str) -> str:
+        fields = ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""
+        docs as materialized (
+            select *, row_number() over (partition by source order by doc_id) - 1 as pos,
+                   case when {crc} % 5 = 0 then tampered else leaf end as start
+            from (select doc_id, source, {leaf('text')} as leaf, {leaf(lowered)} as tampered from documents)
+        ), s0 as materialized (
+            select source as tree, pos as idx, leaf as h, count(*) over (partition by source) as n from docs
+        )"""]
+
+    def levels(name: str, count: int) -> None:
+        beside = "over (partition by tree, idx // 16 order by idx rows between"
+        for k in range(count):
+            parts.append(f"""
+        {name}w{k} as materialized (
+            select tree, idx, n, coalesce(string_agg(h, '') {beside} unbounded preceding and 1 preceding), '') as b,
+                   coalesce(string_agg(h, '') {beside} 1 following and unbounded following), '') as a from {name}{k}
+        ), {name}{k + 1} as materialized (
+            select tree, idx // 16 as idx, (n + 15) // 16 as n,
+                   case when n > 1 then sha256(string_agg(h, '' order by idx)) else min(h) end as h
+            from {name}{k} group by tree, idx // 16, n
+        )""")
+
+    levels("s", depth)
+    parts.append(f"""
+        t0 as materialized (
+            select 0 as tree, tree as source, row_number() over (order by tree nulls first) - 1 as idx, h, count(*) over () as n
+            from s{depth}
+        )""")
+    levels("t", top)
+    steps = [("s", k) for k in range(depth)] + [("t", k) for k in range(top)]
+    joins = "".join(
+        f" join sw{k} on sw{k}.tree is not distinct from d.source and sw{k}.idx = d.pos // {16 ** k}" for k in range(depth)
+    ) + " join t0 on t0.source is not distinct from d.source" + "".join(
+        f" join tw{k} on tw{k}.idx = t0.idx // {16 ** k}" for k in range(top)
+    )
+    sides = ", ".join(f"{s}w{k}.b as b{s}{k}, {s}w{k}.a as a{s}{k}, {s}w{k}.n as n{s}{k}" for s, k in steps)
+    parts.append(f"""
+        f0 as (select d.doc_id, d.leaf, t0.h as subroot, d.start as f, {sides} from docs d{joins})""")
+    for at, (s, k) in enumerate(steps):
+        parts.append(f"""
+        f{at + 1} as (select * replace (case when n{s}{k} > 1 then sha256(b{s}{k} || f || a{s}{k}) else f end as f) from f{at})""")
+    proof = " || ".join(f"b{s}{k} || a{s}{k}" for s, k in steps)
+    return f"""
+        with {",".join(parts)}
+        select doc_id, leaf, subroot, t{top}.h as root, sha256({proof}) as proof_sha256, f as folded_root, f = t{top}.h as verified
+        from f{len(steps)}, t{top}
+    """
+
+
 ORACLES = {
+    "op13_manifest": manifest_sql(),
     "op11_clusters": clusters_sql(),
     "op1_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,

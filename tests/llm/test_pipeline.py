@@ -11,7 +11,7 @@ from twinloom.llm import language, near_dedup, queries
 
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(queries.ORACLES))

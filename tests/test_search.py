@@ -229,3 +229,66 @@ def test_only_candidates_are_read(spark, setup, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "row_part" in line)
     assert "row_part#" in scan.split("PartitionFilters:")[1].split("]")[0] and "row_key" in scan.split("PushedFilters:")[1]
     assert found.select(TWIN_COLUMNS).columns == TWIN_COLUMNS
+
+
+@pytest.fixture
+def stored_rows(monkeypatch):
+    """How many rows each table that a search stores has, by name."""
+    rows = {}
+
+    def counted(module):
+        store = module.materialize
+
+        def materialize(df, name):
+            table = store(df, name)
+            rows[name] = rows.get(name, 0) + table.count()
+            return table
+
+        monkeypatch.setattr(module, "materialize", materialize)
+
+    counted(search)
+    counted(indexing)
+    return rows
+
+
+def alike(spark):
+    """Requests of three kinds, many of each, and what they find of ``some_twins``."""
+    asked = [{}, {"text": "NORTH PUMP"}, {"scope": "LOCAL"}]
+    rows = [(i, json.dumps(asked[i % 3])) for i in range(150)]
+    docs = spark.createDataFrame(rows, "request_id int, content string")
+    return search.parse_requests(docs, DEFAULTS, "h0").drop("content").cache()
+
+
+def test_requests_alike_store_their_candidates_once(spark, setup, stored_rows):
+    twins, _, _ = setup
+    requests = alike(spark)
+    brute = pairs(twins.crossJoin(requests).where(search.satisfies()))
+    assert len(brute) > 25_000
+    assert pairs(search.search(twins, requests, max_rows=0)) == brute
+    assert stored_rows["candidates"] <= 3 * 300
+
+
+def test_requests_alike_store_their_candidates_once_from_an_index(spark, setup, stored_rows, tmp_path):
+    twins, _, _ = setup
+    requests = alike(spark)
+    whole = twins.withColumn("feeds", F.array().cast(f"array<{model.PORT}>")).withColumn(
+        "inputs", F.array().cast(f"array<{model.PORT}>")).withColumn("batch", F.lit(1))
+    index = indexing.TwinIndex(str(tmp_path / "index"), buckets=2)
+    indexing.update_index(spark, index, whole, 0)
+    brute = pairs(twins.crossJoin(requests).where(search.satisfies()))
+    assert pairs(indexing.search_index(spark, index, requests, max_rows=0)) == brute
+    assert stored_rows["index-candidates"] <= 3 * 300
+
+
+def test_a_join_by_pairs_deals_heavy_keys_on_both_sides(spark, monkeypatch):
+    from twinloom import sizing
+
+    monkeypatch.setattr(sizing, "PAIRS_A_TASK", 100)
+    left = spark.range(400).select(F.when(F.col("id") < 300, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("l"))
+    right = spark.range(200).select(F.when(F.col("id") < 150, 0).otherwise(F.col("id") + 200).alias("k"), F.col("id").alias("r"))
+    counts = left.groupBy("k").agg(F.count("*").alias("n_left")).join(right.groupBy("k").agg(F.count("*").alias("n_right")), "k")
+    joined = sizing.paired_join(left, right, ["k"], F.col("l"), F.col("r"), counts, parts=40, least=10)
+    both = sorted(tuple(r) for r in left.join(right, "k").collect())
+    assert sorted(tuple(r) for r in joined.collect()) == both and len(both) > 45_000
+    busiest = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert busiest < len(both) / 4

@@ -243,6 +243,22 @@ def test_the_rarest_star_comes_first_and_hot_objects_are_dealt(spark):
     assert sum(sizes) == want and len(sizes) == 8 and sizes[-1] < 3 * sizes[4]
 
 
+def test_a_large_result_is_dealt_by_its_rows_and_not_by_the_bytes_of_its_sides(spark, monkeypatch):
+    from twinloom import sizing
+
+    monkeypatch.setattr(sizing, "PAIRS_A_TASK", 1000)
+    rows = []
+    for k in range(2000):
+        place = "hot" if k % 2 == 0 else f"p{k % 41}"
+        rows.append((f"t{k}", [("place", place, "StringLiteral", None, None), ("kind", "guide" if k % 40 == 0 else "other", "StringLiteral", None, None)]))
+    twins = spark.createDataFrame(rows, f"twin_id string, properties array<{model.PROPERTY}>").cache()
+    counts = graph.graph_counts(graph.triples(twins)).cache()
+    found = graph.match_twins(twins, [("?a", I("place"), "?p"), ("?g", I("place"), "?p"), ("?g", I("kind"), L("guide"))], counts)
+    sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    want = sum(1 for a in rows for g in rows[::40] if a[1][0][1] == g[1][0][1])
+    assert sum(sizes) == want > 45_000 and len(sizes) > 30 and sizes[-1] < want / 8
+
+
 def test_patterns_without_a_shared_variable_are_refused(spark):
     apart = [("?a", I("name"), "?x"), ("?b", I("size"), "?y")]
     for run in (lambda: graph.match(graph.triples(graph_twins(spark)), apart), lambda: graph.match_twins(graph_twins(spark), apart)):

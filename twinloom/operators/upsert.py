@@ -95,6 +95,8 @@ def merge(stored: DataFrame, updates: DataFrame, key: str = "twin_id", order: st
 BUCKET = "twin_bucket"
 #: Runs of about one size that are merged to one.
 FAN_IN = 4
+#: Versions that a task sorts, whole twins that they are.
+ROWS_A_TASK = 10_000
 
 
 @dataclass(frozen=True)
@@ -140,11 +142,23 @@ def _set_live(spark: SparkSession, path: str, runs: list[Run]) -> None:
     frame.coalesce(1).write.mode("overwrite").parquet(f"{path}/live/state={state}")
 
 
-def _write_run(versions: DataFrame, path: str, name: str, numbers: tuple[int, ...], buckets: int, order: str) -> Run:
-    """Rows in order within each bucket, so that files know the range of their ``order``; no two are alike."""
+def _tasks(rows: int) -> int:
+    return max(1, -(-rows // ROWS_A_TASK))
+
+
+def _write_run(
+    versions: DataFrame, path: str, name: str, numbers: tuple[int, ...], buckets: int, order: str,
+    most: int | None = None,
+) -> Run:
+    """Rows in order within each bucket, so that files know the range of their ``order``; no two are alike.
+
+    Tasks are by rows (``most`` of them, if known), as a twin takes many times the memory of what is shuffled of it.
+    """
     rows = versions.withColumn(BUCKET, F.pmod(F.xxhash64("twin_id"), F.lit(buckets)).cast("int"))
     folder = f"{path}/runs/run={name}"
-    spread = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, order)
+    tasks = _tasks(versions.count() if most is None else most)
+    part = F.pmod(F.xxhash64("twin_id", "rank", F.lit("part")), F.lit(-(-tasks // buckets)))
+    spread = rows.repartition(tasks, BUCKET, part).sortWithinPartitions(BUCKET, order)
     spread.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
     return Run(name, rows.sparkSession.read.schema(rows.schema).parquet(folder).count(), numbers)
 
@@ -169,8 +183,10 @@ def append_versions(
     if number in known:
         return
     number = max(known, default=-1) + 1 if number is None else number
-    alike = ranked(updates, order=order).dropDuplicates(["twin_id", "rank"])
-    runs.append(_write_run(alike, path, f"u{number}", (number,), buckets, order))
+    most = updates.count()
+    dealt = ranked(updates, order=order).repartition(_tasks(most), "twin_id", "rank")
+    alike = dealt.dropDuplicates(["twin_id", "rank"])
+    runs.append(_write_run(alike, path, f"u{number}", (number,), buckets, order, most))
     _set_live(spark, path, runs)
     merge_runs(spark, path, buckets, order)
 
@@ -190,7 +206,8 @@ def merge_runs(spark: SparkSession, path: str, buckets: int = 64, order: str = "
             return
         numbers = tuple(sorted(n for r in full for n in r.numbers))
         name = f"m{(_states(spark, path) or [0])[-1] + 1}"
-        merged = _write_run(_newest_of(spark, path, full, None, order), path, name, numbers, buckets, order)
+        most = sum(r.rows for r in full)
+        merged = _write_run(_newest_of(spark, path, full, None, order), path, name, numbers, buckets, order, most)
         _set_live(spark, path, [r for r in runs if r not in full] + [merged])
 
 

@@ -446,3 +446,31 @@ def test_scratch_tables_go_with_their_scope(spark):
         assert inner.count() == 5 and files
     outer = materialize(spark.range(3), "kept")
     assert outer.count() == 3 and not any(Path(f.removeprefix("file:")).exists() for f in files)
+
+
+def test_a_run_has_tasks_by_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "ROWS_A_TASK", 50, raising=False)
+    table = str(tmp_path / "twins")
+    rows = [(f"t{k}", 1, "x" * 20) for k in range(1000)]
+    upsert.append_versions(spark.createDataFrame(rows + rows[:10], "twin_id string, batch int, v string"), table, 2)
+    stored = spark.read.parquet(f"{table}/runs")
+    most = stored.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert stored.count() == 1000 and most < 300
+
+
+@pytest.mark.parametrize("name", ["q_publish_stream", "q_share_sink", "q_upsert_stream", "q_describe_stream"])
+def test_streams_of_one_file_are_worked_on_by_all_cores(spark, sf_dir, name, monkeypatch):
+    from twinloom.plans import queries
+
+    made = {}
+    streamed = queries.data.with_nation
+
+    def noted(customer, nation):
+        found = streamed(customer, nation)
+        if customer.isStreaming:
+            made["tasks"] = found._jdf.queryExecution().analyzed().toString()
+        return found
+
+    monkeypatch.setattr(queries.data, "with_nation", noted)
+    assert queries.QUERIES[name](spark, sf_dir).count() > 0
+    assert "Repartition 4, true" in made["tasks"]

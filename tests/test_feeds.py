@@ -276,6 +276,36 @@ def test_requests_are_closed_when_they_expire(spark, tmp_path):
     assert closed == {1: (4, 1), 2: (1, 1)} and found()[-2:] == [(3, "e"), (3, "f")]
 
 
+def test_many_requests_share_a_group_of_state(spark, tmp_path, monkeypatch):
+    source, out, progress = (str(tmp_path / x) for x in ("source", "out", "progress"))
+    schema = "request_id long, responded_at timestamp, result string"
+    at = lambda hours: T0 + timedelta(hours=hours)
+    ends = {r: at(1 + r % 5) for r in range(300)}
+    timed = [(r, at(0), 3600 * (1 + r % 5)) for r in ends]
+    requests = materialize(spark.createDataFrame(timed, "request_id long, requested_at timestamp, expiry_seconds int"), "timed")
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        live = spark.readStream.schema(schema).parquet(source)
+        query = result_streams.start_bounded(live, requests, out, progress, delay="1 hour")
+        query.awaitTermination()
+        return max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+
+    def closed():
+        return {r["request_id"]: (r["in_time"], r["late"]) for r in result_streams.read_closed(spark, out).collect()}
+
+    groups = arrive([row for r in ends for row in ((r, at(0.5), f"a{r}"), (r, ends[r], f"b{r}"))])
+    assert groups <= 8 and closed() == {r: (1, 1) for r in ends if r % 5 < 3}
+    monkeypatch.setattr(result_streams, "REQUESTS_A_GROUP", 50)  # goes on with more groups
+    arrive([(r, at(4.5), f"c{r}") for r in ends if r % 5 in (0, 3, 4)])
+    arrive([(0, at(100), "d")])
+    counts = {0: (1, 2), 1: (1, 1), 2: (1, 1), 3: (1, 2), 4: (2, 1)}
+    assert closed() == {r: counts[r % 5] if r else (1, 3) for r in ends}
+    assert all(r["responded_at"] == ends[r["request_id"]] for r in spark.read.parquet(out).where("closed").collect())
+    found = sorted((r["request_id"], r["result"]) for r in result_streams.read_results(spark, out).collect())
+    assert found == sorted([(r, f"a{r}") for r in ends] + [(r, f"c{r}") for r in ends if r % 5 == 4])
+
+
 # --- Upsert ------------------------------------------------------------------------
 
 

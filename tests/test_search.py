@@ -231,6 +231,25 @@ def test_only_candidates_are_read(spark, setup, tmp_path):
     assert found.select(TWIN_COLUMNS).columns == TWIN_COLUMNS
 
 
+def test_an_update_takes_each_twin_apart_once(spark, setup, tmp_path, monkeypatch):
+    twins, _, _ = setup
+    taken = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def nothing(_):
+        taken.add(1)
+        return []
+
+    anchors = search.twin_anchors
+    monkeypatch.setattr(search, "twin_anchors", lambda needs: F.concat(anchors(needs), nothing("row_key")))
+    index = indexing.TwinIndex(str(tmp_path / "index"), buckets=2)
+    indexing.update_index(spark, index, whole_twins(twins), 0)
+    assert taken.value == twins.count()
+    stored = index.read(spark, "anchors", [0]).groupBy("anchor", "bucket").agg(F.count("*").alias("count"))
+    counts = index.read(spark, "counts", [0]).select("anchor", "bucket", "count")
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, stored.collect()))
+
+
 @pytest.fixture
 def stored_rows(monkeypatch):
     """How many rows each table that a search stores has, by name."""
